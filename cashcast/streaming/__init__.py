@@ -1,0 +1,4 @@
+"""Structured Streaming entry points.
+
+The reproduced pipeline has no streaming stage; see README.
+"""
