@@ -64,3 +64,67 @@ SELECT split, Material, CAST(COUNT(*) AS BIGINT) AS days, CAST(SUM(Sum_OrderQuan
   UNION ALL
   SELECT 'test' AS split, * FROM feature WHERE SalesOrderDate > DATE '{CFG.training_end}' AND SalesOrderDate <= DATE '{CFG.test_end}'
 ) x GROUP BY split, Material""")
+
+
+# --- regressors, spine, naive forecast, evaluation -------------------------------------
+
+_EXTRA.update({
+    "heads": (["history"], """
+SELECT Material, MAX(week_start) AS last_week, COUNT(*) AS training_rows,
+       first(MaterialGroup ORDER BY week_start, MaterialGroup) AS MaterialGroup
+FROM history GROUP BY Material"""),
+    "future": (["heads"], f"""
+SELECT h.Material, h.MaterialGroup, h.last_week + CAST(7 * t.k AS INTEGER) AS ds
+FROM heads h CROSS JOIN range(1, {CFG.horizon + 1}) t(k)"""),
+    "naive": (["future", "history"], """
+SELECT f.Material, f.MaterialGroup, f.ds, CAST(h.qty AS DOUBLE) AS predicted_qty
+FROM future f LEFT JOIN history h ON h.Material = f.Material AND h.week_start = f.ds - 364"""),
+    "actuals": (["order_lines"], f"""
+SELECT CAST(date_trunc('week', CAST(o.o_orderdate AS TIMESTAMP)) AS DATE) AS SalesOrderDate, l.MaterialGroup, l.Material,
+       CAST(SUM(l.OrderQuantity) AS BIGINT) AS actual_qty
+FROM order_lines l JOIN orders o ON l.SalesOrder = CAST(o.o_orderkey AS VARCHAR)
+WHERE CAST(o.o_orderdate AS TIMESTAMP) > {_END} AND l.Material IN ({_MATS})
+GROUP BY 1, 2, 3"""),
+    "insample": (["history"], """
+SELECT c.Material, c.week_start AS ds, CAST(c.qty AS DOUBLE) AS y, CAST(p.qty AS DOUBLE) AS yhat
+FROM history c JOIN history p ON p.Material = c.Material AND p.week_start = c.week_start - 364"""),
+})
+
+ORACLE["f3_regressor_fill"] = w(["history", "regressors"], f"""
+SELECT ds, Material,
+       round(COALESCE(last_value(t IGNORE NULLS) OVER fwd, first_value(t IGNORE NULLS) OVER bwd, {CFG.fallback[0]}), 6) AS avg_temp_c,
+       round(COALESCE(last_value(a IGNORE NULLS) OVER fwd, first_value(a IGNORE NULLS) OVER bwd, {CFG.fallback[1]}), 6) AS temp_anomaly_c
+FROM (SELECT h.week_start AS ds, h.Material, h.MaterialGroup, r.avg_temp_c AS t, r.temp_anomaly_c AS a
+      FROM history h LEFT JOIN regressors r ON CAST(date_trunc('month', h.week_start) AS DATE) = r.month_start) x
+WINDOW fwd AS (PARTITION BY Material ORDER BY ds, MaterialGroup ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+       bwd AS (PARTITION BY Material ORDER BY ds, MaterialGroup ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""")
+
+ORACLE["f2_future_weeks"] = w(["future"], "SELECT Material, MaterialGroup, ds FROM future")
+
+ORACLE["f10_naive_yoy"] = w(["naive"], "SELECT * FROM naive")
+
+ORACLE["f7_forecast_vs_actual"] = w(["naive", "actuals"], """
+SELECT f.ds AS SalesOrderDate, f.Material, f.MaterialGroup, f.predicted_qty,
+       CAST(NULL AS DOUBLE) AS predicted_qty_lower, CAST(NULL AS DOUBLE) AS predicted_qty_upper,
+       CAST(a.actual_qty AS DOUBLE) AS actual_qty, a.actual_qty - f.predicted_qty AS gap_actual_vs_forecast,
+       CASE WHEN a.actual_qty IS NOT NULL
+            THEN round(abs(a.actual_qty - f.predicted_qty) / NULLIF(CAST(a.actual_qty AS DOUBLE), 0) * 100, 2) END AS pct_error
+FROM naive f LEFT JOIN actuals a
+  ON a.SalesOrderDate = f.ds AND a.Material = f.Material AND a.MaterialGroup = f.MaterialGroup
+ORDER BY f.Material, f.ds""")
+
+ORACLE["f8_fit_metrics"] = w(["insample"], """
+SELECT Material, CAST(COUNT(*) AS BIGINT) AS n, round(AVG(abs(y - yhat)), 2) AS mae,
+       round(AVG(abs(y - yhat) / greatest(y, 1.0)) * 100, 2) AS mape_pct
+FROM insample GROUP BY Material""")
+
+ORACLE["f9_series_status"] = w(["history"], f"""
+SELECT Material, CAST(COUNT(*) AS BIGINT) AS training_rows, MAX(week_start) AS training_end,
+       CASE WHEN COUNT(*) < {CFG.min_rows} THEN 'skipped' ELSE 'ok' END AS status,
+       CASE WHEN COUNT(*) < {CFG.min_rows} THEN printf('only %d rows', COUNT(*)) END AS reason,
+       {CFG.horizon} AS forecast_horizon_weeks, 'multiplicative' AS seasonality_mode,
+       'avg_temp_c, temp_anomaly_c' AS weather_regressors
+FROM history GROUP BY Material""")
+
+ORACLE["a16_min_history"] = w(["history"], f"""
+SELECT * FROM history WHERE Material IN (SELECT Material FROM history GROUP BY Material HAVING COUNT(*) >= {CFG.min_rows})""")

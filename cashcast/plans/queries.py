@@ -73,3 +73,64 @@ def f12_split(spark, sf_dir):
             .unionByName(test.withColumn("split", F.lit("test")))
             .groupBy("split", "Material")
             .agg(F.count(F.lit(1)).alias("days"), F.sum("Sum_OrderQuantity").cast("bigint").alias("qty")))
+
+
+# --- regressors, spine, naive forecast, evaluation -------------------------------------
+
+from cashcast.operators import evaluate as EV  # noqa: E402
+from cashcast.operators.regressors import attach_regressors  # noqa: E402
+
+REGRESSORS = "avg_temp_c, temp_anomaly_c"
+
+
+def _monthly(spark, sf_dir):
+    return H.monthly_regressors(X.weather(spark, sf_dir), CFG.countries)
+
+
+def _actuals(spark, sf_dir):
+    return f6_weekly_actuals(spark, sf_dir)
+
+
+@query("f3_regressor_fill")
+def f3_regressor_fill(spark, sf_dir):
+    hist = _history(spark, sf_dir).select(F.col("week_start").alias("ds"), "Material", "MaterialGroup")
+    filled = attach_regressors(hist, _monthly(spark, sf_dir), fallback=CFG.fallback, order_extra=("MaterialGroup",))
+    return filled.select("ds", "Material", F.round("avg_temp_c", 6).alias("avg_temp_c"),
+                         F.round("temp_anomaly_c", 6).alias("temp_anomaly_c"))
+
+
+@query("f2_future_weeks")
+def f2_future_weeks(spark, sf_dir):
+    return EV.future_weeks(_history(spark, sf_dir), CFG.horizon).select("Material", "MaterialGroup", "ds")
+
+
+@query("f10_naive_yoy")
+def f10_naive_yoy(spark, sf_dir):
+    return EV.naive_yoy_forecast(_history(spark, sf_dir), CFG.horizon)
+
+
+def _naive_forecast_rows(spark, sf_dir):
+    return EV.naive_yoy_forecast(_history(spark, sf_dir), CFG.horizon).select(
+        F.col("ds").alias("SalesOrderDate"), "Material", "MaterialGroup", "predicted_qty",
+        F.lit(None).cast("double").alias("predicted_qty_lower"),
+        F.lit(None).cast("double").alias("predicted_qty_upper"))
+
+
+@query("f7_forecast_vs_actual")
+def f7_forecast_vs_actual(spark, sf_dir):
+    return EV.forecast_vs_actual(_naive_forecast_rows(spark, sf_dir), _actuals(spark, sf_dir))
+
+
+@query("f8_fit_metrics")
+def f8_fit_metrics(spark, sf_dir):
+    return EV.fit_metrics(EV.naive_in_sample(_history(spark, sf_dir)))
+
+
+@query("f9_series_status")
+def f9_series_status(spark, sf_dir):
+    return EV.series_status(_history(spark, sf_dir), CFG.min_rows, CFG.horizon, REGRESSORS)
+
+
+@query("a16_min_history")
+def a16_min_history(spark, sf_dir):
+    return EV.with_min_history(_history(spark, sf_dir), CFG.min_rows)
