@@ -128,3 +128,62 @@ FROM history GROUP BY Material""")
 
 ORACLE["a16_min_history"] = w(["history"], f"""
 SELECT * FROM history WHERE Material IN (SELECT Material FROM history GROUP BY Material HAVING COUNT(*) >= {CFG.min_rows})""")
+
+
+# --- billing ---------------------------------------------------------------------------
+
+_EXTRA.update({
+    "item_tot": (["sales_order_items"], """
+SELECT SalesOrder, MIN(PayerParty) AS _payer, SUM(NetAmount) AS _net, SUM(TaxAmount) AS _tax
+FROM sales_order_items GROUP BY SalesOrder"""),
+    "f2": (["billing_orders", "item_tot"], """
+SELECT o.OrderKey, o.SalesOrder, CAST(o.CreationDate + o.lag_days AS DATE) AS bill, o.SalesOrganization,
+       COALESCE(t._net, 0) AS _net, COALESCE(t._tax, 0) AS _tax, o.TransactionCurrency, o.CustomerPaymentTerms,
+       t._payer AS PayerParty, o.SoldToParty, o.IncotermsClassification, o.PaymentMethod, o.is_cancelled
+FROM billing_orders o LEFT JOIN item_tot t ON o.SalesOrder = t.SalesOrder
+WHERE o.OverallSDProcessStatus IN ('B', 'C') AND o.OverallSDDocumentRejectionSts <> 'C'"""),
+    "docs": (["f2"], """
+SELECT f2.*, v.s1, row_number() OVER (ORDER BY f2.OrderKey, v.s1) AS rn
+FROM f2 JOIN (SELECT 0 AS s1 UNION ALL SELECT 1 AS s1) v ON v.s1 = 0 OR f2.is_cancelled"""),
+    "billing_documents": (["docs"], """
+SELECT printf('BD-%06d', rn) AS BillingDocument,
+       CASE WHEN s1 = 1 THEN 'S1' ELSE 'F2' END AS BillingDocumentType,
+       'M' AS BillingDocumentCategory, bill AS CreationDate, bill AS BillingDocumentDate, SalesOrganization,
+       CAST(_net * CASE WHEN s1 = 1 THEN -1 ELSE 1 END AS DOUBLE) AS TotalNetAmount,
+       CAST(_tax * CASE WHEN s1 = 1 THEN -1 ELSE 1 END AS DOUBLE) AS TotalTaxAmount,
+       TransactionCurrency, CustomerPaymentTerms, PayerParty, SoldToParty, 'CC01' AS CompanyCode,
+       IncotermsClassification, PaymentMethod,
+       CASE WHEN s1 = 1 THEN false ELSE is_cancelled END AS BillingDocumentIsCancelled,
+       CASE WHEN s1 = 1 THEN printf('BD-%06d', rn - 1) END AS CancelledBillingDocument,
+       CASE WHEN s1 = 1 THEN 'C' WHEN is_cancelled THEN 'A' ELSE 'C' END AS AccountingPostingStatus,
+       CAST(year(bill) AS VARCHAR) AS FiscalYear, lpad(CAST(month(bill) AS VARCHAR), 2, '0') AS FiscalPeriod,
+       SalesOrder
+FROM docs"""),
+    "billing_items": (["billing_documents", "sales_order_items"], """
+SELECT d.BillingDocument, i.SalesOrderItem AS BillingDocumentItem, i.Material, i.Product, i.Plant, i.MaterialGroup,
+       i.ProductHierarchyNode, CAST(i.NetAmount * d.sg AS DOUBLE) AS NetAmount,
+       CAST(i.NetAmount * d.sg + i.TaxAmount * d.sg AS DOUBLE) AS GrossAmount,
+       CAST(i.TaxAmount * d.sg AS DOUBLE) AS TaxAmount, CAST(i.NetAmount * d.sg AS DOUBLE) AS EligibleAmountForCashDiscount,
+       i.SalesOrderItemCategory AS SalesDocumentItemCategory, i.SalesOrganization
+FROM (SELECT BillingDocument, SalesOrder, CASE WHEN BillingDocumentType = 'S1' THEN -1 ELSE 1 END AS sg
+      FROM billing_documents) d JOIN sales_order_items i ON d.SalesOrder = i.SalesOrder"""),
+})
+
+ORACLE["w9_preferred_row"] = w(["preferred_area"], "SELECT * EXCLUDE (CustKey) FROM preferred_area")
+
+ORACLE["a11_header_totals"] = w(["sales_orders", "sales_order_items"], """
+SELECT o.SalesOrder, o.SoldToParty, o.TransactionCurrency, CAST(t.net AS DOUBLE) AS TotalNetAmount
+FROM sales_orders o LEFT JOIN (SELECT SalesOrder, SUM(NetAmount) AS net FROM sales_order_items GROUP BY SalesOrder) t
+  ON o.SalesOrder = t.SalesOrder""")
+
+ORACLE["b1_eligible"] = w(["sales_orders"], """
+SELECT SalesOrder, CreationDate, OverallSDProcessStatus, OverallSDDocumentRejectionSts FROM sales_orders
+WHERE OverallSDProcessStatus IN ('B', 'C') AND OverallSDDocumentRejectionSts <> 'C'""")
+
+ORACLE["b2_documents"] = w(["billing_documents"], "SELECT * FROM billing_documents WHERE BillingDocumentType = 'F2'")
+ORACLE["b3_pairs"] = w(["billing_documents"], "SELECT * FROM billing_documents")
+ORACLE["b4_items"] = w(["billing_items"], "SELECT * FROM billing_items")
+ORACLE["b5_totals"] = w(["billing_items"], """
+SELECT BillingDocument, CAST(round(SUM(CAST(NetAmount AS DECIMAL(16,2))), 2) AS DOUBLE) AS TotalNetAmount,
+       CAST(round(SUM(CAST(TaxAmount AS DECIMAL(16,2))), 2) AS DOUBLE) AS TotalTaxAmount
+FROM billing_items GROUP BY BillingDocument""")

@@ -134,3 +134,60 @@ def f9_series_status(spark, sf_dir):
 @query("a16_min_history")
 def a16_min_history(spark, sf_dir):
     return EV.with_min_history(_history(spark, sf_dir), CFG.min_rows)
+
+
+# --- billing ---------------------------------------------------------------------------
+
+from cashcast.operators import billing as B  # noqa: E402
+
+
+def _billing(spark, sf_dir):
+    orders = X.billing_orders(spark, sf_dir)
+    items = X.sales_order_items(spark, sf_dir, header=orders)
+    docs = B.cancellation_pairs(B.billing_documents(orders, items))
+    return orders, items, docs
+
+
+@query("w9_preferred_row")
+def w9_preferred_row(spark, sf_dir):
+    return X.preferred_sales_area(X.customer_sales_area(spark, sf_dir)).drop("CustKey")
+
+
+@query("a11_header_totals")
+def a11_header_totals(spark, sf_dir):
+    orders = X.sales_orders(spark, sf_dir)
+    items = X.sales_order_items(spark, sf_dir, header=orders)
+    tot = items.groupBy("SalesOrder").agg(F.sum("NetAmount").alias("_net"))
+    return (orders.select("SalesOrder", "SoldToParty", "TransactionCurrency").join(tot, "SalesOrder", "left")
+            .select("SalesOrder", "SoldToParty", "TransactionCurrency",
+                    F.col("_net").cast("double").alias("TotalNetAmount")))
+
+
+@query("b1_eligible")
+def b1_eligible(spark, sf_dir):
+    return B.eligible_orders(X.sales_orders(spark, sf_dir)).select(
+        "SalesOrder", "CreationDate", "OverallSDProcessStatus", "OverallSDDocumentRejectionSts")
+
+
+@query("b2_documents")
+def b2_documents(spark, sf_dir):
+    _, _, docs = _billing(spark, sf_dir)
+    return docs.filter(F.col("BillingDocumentType") == "F2")
+
+
+@query("b3_pairs")
+def b3_pairs(spark, sf_dir):
+    _, _, docs = _billing(spark, sf_dir)
+    return docs
+
+
+@query("b4_items")
+def b4_items(spark, sf_dir):
+    _, items, docs = _billing(spark, sf_dir)
+    return B.billing_items(docs, items)
+
+
+@query("b5_totals")
+def b5_totals(spark, sf_dir):
+    _, items, docs = _billing(spark, sf_dir)
+    return B.document_totals(B.billing_items(docs, items))

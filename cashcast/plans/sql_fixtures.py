@@ -132,3 +132,6 @@ def sql_with(names: list[str], body: str, extra: dict[str, tuple[list[str], str]
     all_ctes = {**CTES, **extra}
     parts = [f"{n} AS ({all_ctes[n][1].strip()})" for n in _order(names, extra)]
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+
+CTES["billing_orders"] = (["sales_orders"], """
+SELECT *, CAST(3 + OrderKey % 8 AS INTEGER) AS lag_days, OrderKey % 10 = 0 AS is_cancelled FROM sales_orders""")

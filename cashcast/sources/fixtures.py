@@ -224,3 +224,11 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("t") / F.col("n")).alias("precipitation_mm"),
         F.lit(False).alias("extreme_heat_flag"),
     )
+
+
+def billing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """salesorder plus the billing draws re-aimed as data: lag_days and is_cancelled."""
+    return sales_orders(spark, sf_dir).withColumns({
+        "lag_days": (F.lit(3) + F.col("OrderKey") % 8).cast("int"),
+        "is_cancelled": (F.col("OrderKey") % 10 == 0),
+    })
