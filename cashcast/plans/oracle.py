@@ -187,3 +187,97 @@ ORACLE["b5_totals"] = w(["billing_items"], """
 SELECT BillingDocument, CAST(round(SUM(CAST(NetAmount AS DECIMAL(16,2))), 2) AS DOUBLE) AS TotalNetAmount,
        CAST(round(SUM(CAST(TaxAmount AS DECIMAL(16,2))), 2) AS DOUBLE) AS TotalTaxAmount
 FROM billing_items GROUP BY BillingDocument""")
+
+
+# --- cash ------------------------------------------------------------------------------
+
+from cashcast import config as _C  # noqa: E402
+
+_TERMS = ", ".join(f"('{t}', {m}, {s}, CAST({lo:.2f} AS DECIMAL(5,2)), CAST({hi:.2f} AS DECIMAL(5,2)))"
+                   for t, m, s, lo, hi in _C.TIER_TERMS)
+_DUN = ", ".join(f"({lv}, {d}, CAST({m:.2f} AS DECIMAL(5,2)))" for lv, d, m in _C.DUNNING_TERMS)
+_FX = ", ".join(f"('{c}', CAST({r} AS DECIMAL(10,4)))" for c, r in _C.FX_RATES)
+_KEY = "CAST(SalesOrder AS BIGINT)"
+
+_EXTRA.update({
+    "tiers": (["customers"], "SELECT Customer, Tier FROM customers WHERE Tier IS NOT NULL"),
+    "terms_dim": ([], f"SELECT * FROM (VALUES {_TERMS}) t(Tier, dso_mean, dso_std, rate_lo, rate_hi)"),
+    "dunning_dim": ([], f"SELECT * FROM (VALUES {_DUN}) t(DunningLevel, adj_days, mult)"),
+    "fx_dim": ([], f"SELECT * FROM (VALUES {_FX}) t(TransactionCurrency, fx_rate)"),
+    "dun": (["customer_dunning"], "SELECT Customer, MAX(DunningLevel) AS DunningLevel FROM customer_dunning GROUP BY Customer"),
+    "pay_terms": (["billing_documents", "tiers", "dun", "terms_dim", "dunning_dim"], """
+SELECT d.*, t.Tier, COALESCE(dn.DunningLevel, 0) AS DunningLevel, tm.dso_mean, tm.rate_lo,
+       COALESCE(dd.adj_days, 0) AS adj_days, COALESCE(dd.mult, CAST(1 AS DECIMAL(5,2))) AS mult
+FROM billing_documents d JOIN tiers t ON d.PayerParty = t.Customer
+LEFT JOIN dun dn ON d.PayerParty = dn.Customer
+JOIN terms_dim tm ON tm.Tier = t.Tier
+LEFT JOIN dunning_dim dd ON dd.DunningLevel = COALESCE(dn.DunningLevel, 0)
+WHERE d.BillingDocumentIsCancelled = false AND d.BillingDocumentType = 'F2'"""),
+    "cash_rows": (["pay_terms"], f"""
+SELECT p.*, {_KEY} AS OrderKey, CAST(dso_mean + {_KEY} % 11 - 5 AS INTEGER) AS base_dso,
+       CAST({_KEY} % 7 - 3 AS INTEGER) AS noise,
+       CAST(rate_lo + ({_KEY} % 4) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(5,2)) AS base_rate
+FROM pay_terms p"""),
+    "cash_calc": (["cash_rows"], """
+SELECT *, CAST(greatest(1, least(greatest(1, base_dso) + adj_days + noise, 180)) AS INTEGER) AS total_dso,
+       CAST(round_even(CAST(TotalNetAmount AS DECIMAL(20,2)) * base_rate * mult, 4) AS DECIMAL(34,4)) AS amount
+FROM cash_rows"""),
+    "cash_postings": (["cash_calc", "fx_dim"], """
+SELECT printf('CF-%06d', row_number() OVER (ORDER BY a.OrderKey, a.BillingDocument)) AS CashFlowID,
+       CAST(CAST((a.BillingDocumentDate + a.total_dso) - DATE '1970-01-01' AS BIGINT) * 86400 AS DECIMAL(21,7)) AS CshFlwValdtyStrtDteTmeVal,
+       'CC01' AS CompanyCode, a.BillingDocumentDate + a.total_dso AS TransactionDate,
+       a.BillingDocumentDate + a.total_dso AS PostingDate, a.TransactionCurrency,
+       a.amount AS AmountInTransactionCurrency, 'EUR' AS CompanyCodeCurrency,
+       CAST(round_even(a.amount * fx.fx_rate, 4) AS DECIMAL(34,4)) AS AmountInCompanyCodeCurrency,
+       'EUR' AS GlobalCurrency,
+       CAST(round_even(a.amount * fx.fx_rate, 4) AS DECIMAL(34,4)) AS AmountInGlobalCurrency,
+       CASE WHEN a.TransactionCurrency = 'EUR' THEN 'BANK001' ELSE 'BANK002' END AS BankAccountInternalID,
+       a.BillingDocument
+FROM cash_calc a LEFT JOIN fx_dim fx ON a.TransactionCurrency = fx.TransactionCurrency"""),
+    "seasonal": (["cash_postings"], f"""
+SELECT *, CASE WHEN overall_mean <> 0 THEN mean_amount / overall_mean ELSE 1.0 END AS seasonal_index FROM (
+  SELECT *, AVG(mean_amount) OVER () AS overall_mean FROM (
+    SELECT CAST(weekofyear(PostingDate) AS INTEGER) AS iso_week, CAST(SUM(AmountInCompanyCodeCurrency) AS DOUBLE) / CAST(COUNT(AmountInCompanyCodeCurrency) AS DOUBLE) AS mean_amount
+    FROM cash_postings WHERE year(PostingDate) BETWEEN {CFG.cash_years[0]} AND {CFG.cash_years[1]}
+    GROUP BY 1) w) x"""),
+})
+
+
+def _dbl(cols):
+    return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+
+
+ORACLE["j8_dunning_default"] = w(["customers", "dun"], """
+SELECT c.Customer, COALESCE(d.DunningLevel, 0) AS DunningLevel FROM customers c LEFT JOIN dun d ON c.Customer = d.Customer""")
+
+ORACLE["c1_payment_terms"] = w(["pay_terms"], f"""
+SELECT BillingDocument, PayerParty, Tier, DunningLevel, dso_mean, adj_days, {_dbl(['mult', 'rate_lo'])} FROM pay_terms""")
+
+ORACLE["c2_posting_date"] = w(["cash_calc"], """
+SELECT BillingDocument, BillingDocumentDate, base_dso, adj_days, noise, total_dso,
+       BillingDocumentDate + total_dso AS PostingDate FROM cash_calc""")
+
+ORACLE["c3_collected_amount"] = w(["cash_calc"], f"SELECT BillingDocument, {_dbl(['base_rate', 'mult', 'amount'])} FROM cash_calc")
+
+ORACLE["c4_postings"] = w(["cash_postings"], f"""
+SELECT CashFlowID, {_dbl(['CshFlwValdtyStrtDteTmeVal'])}, CompanyCode, TransactionDate, PostingDate, TransactionCurrency,
+       {_dbl(['AmountInTransactionCurrency'])}, CompanyCodeCurrency, {_dbl(['AmountInCompanyCodeCurrency'])},
+       GlobalCurrency, {_dbl(['AmountInGlobalCurrency'])}, BankAccountInternalID, BillingDocument
+FROM cash_postings""")
+
+ORACLE["c5_seasonal_index"] = w(["seasonal"], "SELECT iso_week, mean_amount, round(seasonal_index, 6) AS seasonal_index FROM seasonal")
+
+_FC_START = f"DATE '{CFG.cash_forecast_start}'"
+ORACLE["c6_cash_forecast"] = w(["seasonal"], f"""
+SELECT printf('FCF-%06d', CAST(d - {_FC_START} AS BIGINT) + 1) AS CashFlowID,
+       CAST(CAST(d - DATE '1970-01-01' AS BIGINT) * 86400 AS DOUBLE) AS CshFlwValdtyStrtDteTmeVal,
+       'CC01' AS CompanyCode, d AS TransactionDate, d AS PostingDate, 'EUR' AS TransactionCurrency,
+       v AS AmountInTransactionCurrency, 'EUR' AS CompanyCodeCurrency, v AS AmountInCompanyCodeCurrency,
+       'EUR' AS GlobalCurrency, v AS AmountInGlobalCurrency
+FROM (
+  SELECT s.d, CAST(CAST(round_even(COALESCE(s.overall_mean, 0.0) / 7 * COALESCE(x.seasonal_index, 1.0)
+                                   * {_C.CASH_GROWTH} * 1.0, 4) AS DECIMAL(34,4)) AS DOUBLE) AS v
+  FROM (SELECT (SELECT MAX(overall_mean) FROM seasonal) AS overall_mean,
+               CAST(unnest(generate_series({_FC_START}, CAST({_FC_START} + INTERVAL {CFG.cash_forecast_months} MONTH AS DATE) - 1,
+                                           INTERVAL 1 DAY)) AS DATE) AS d) s
+  LEFT JOIN seasonal x ON x.iso_week = weekofyear(s.d)) y""")

@@ -191,3 +191,72 @@ def b4_items(spark, sf_dir):
 def b5_totals(spark, sf_dir):
     _, items, docs = _billing(spark, sf_dir)
     return B.document_totals(B.billing_items(docs, items))
+
+
+# --- cash ------------------------------------------------------------------------------
+
+from cashcast.operators import cash as CS  # noqa: E402
+
+
+def doubles(df: DataFrame) -> DataFrame:
+    """Check projection: decimals as doubles (the stored tables keep their decimal types)."""
+    return df.select([F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal"
+                      else F.col(f.name) for f in df.schema.fields])
+
+
+def _terms(spark, sf_dir):
+    _, _, docs = _billing(spark, sf_dir)
+    tiers = X.customers(spark, sf_dir).filter(F.col("Tier").isNotNull()).select("Customer", "Tier")
+    return CS.payment_terms(docs, tiers, X.customer_dunning(spark, sf_dir))
+
+
+def _postings(spark, sf_dir):
+    return CS.cash_postings(X.cash_draws(_terms(spark, sf_dir)))
+
+
+def _index(spark, sf_dir):
+    return CS.seasonal_index(_postings(spark, sf_dir), *CFG.cash_years)
+
+
+@query("j8_dunning_default")
+def j8_dunning_default(spark, sf_dir):
+    cust = X.customers(spark, sf_dir).select("Customer")
+    lv = CS.dunning_levels(X.customer_dunning(spark, sf_dir))
+    return cust.join(lv, "Customer", "left").select("Customer", F.coalesce("DunningLevel", F.lit(0)).alias("DunningLevel"))
+
+
+@query("c1_payment_terms")
+def c1_payment_terms(spark, sf_dir):
+    return doubles(_terms(spark, sf_dir).select(
+        "BillingDocument", "PayerParty", "Tier", "DunningLevel", "dso_mean", "adj_days", "mult", "rate_lo"))
+
+
+@query("c2_posting_date")
+def c2_posting_date(spark, sf_dir):
+    t = X.cash_draws(_terms(spark, sf_dir))
+    days, post = CS.posting_date(F.col("BillingDocumentDate"), F.col("base_dso"), F.col("adj_days"), F.col("noise"))
+    return t.select("BillingDocument", "BillingDocumentDate", "base_dso", "adj_days", "noise",
+                    days.alias("total_dso"), post.alias("PostingDate"))
+
+
+@query("c3_collected_amount")
+def c3_collected_amount(spark, sf_dir):
+    t = X.cash_draws(_terms(spark, sf_dir))
+    return doubles(t.select("BillingDocument", "base_rate", "mult",
+                            CS.collected_amount(F.col("TotalNetAmount"), F.col("base_rate"), F.col("mult")).alias("amount")))
+
+
+@query("c4_postings")
+def c4_postings(spark, sf_dir):
+    return doubles(_postings(spark, sf_dir))
+
+
+@query("c5_seasonal_index")
+def c5_seasonal_index(spark, sf_dir):
+    return _index(spark, sf_dir).select(
+        "iso_week", "mean_amount", F.round("seasonal_index", 6).alias("seasonal_index"))
+
+
+@query("c6_cash_forecast")
+def c6_cash_forecast(spark, sf_dir):
+    return doubles(CS.cash_forecast(_index(spark, sf_dir), CFG.cash_forecast_start, CFG.cash_forecast_months))

@@ -232,3 +232,15 @@ def billing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lag_days": (F.lit(3) + F.col("OrderKey") % 8).cast("int"),
         "is_cancelled": (F.col("OrderKey") % 10 == 0),
     })
+
+
+def cash_draws(terms: DataFrame) -> DataFrame:
+    """The cash draws re-aimed as data, from the document's order key and tier terms:
+    base_dso = tier mean + key % 11 - 5, noise = key % 7 - 3, base_rate = tier low + (key % 4) x 0.01."""
+    key = F.col("SalesOrder").cast("bigint")
+    return terms.withColumns({
+        "OrderKey": key,
+        "base_dso": (F.col("dso_mean") + key % 11 - 5).cast("int"),
+        "noise": (key % 7 - 3).cast("int"),
+        "base_rate": (F.col("rate_lo") + (key % 4) * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(5,2)"),
+    })
