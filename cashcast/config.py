@@ -112,6 +112,9 @@ class ForecastConfig:
     cash_forecast_start: dt.date = dt.date(2000, 1, 1)
     cash_forecast_months: int = 6
     heat_windows: tuple = field(default=(("EUROPE", (7, 8), (1997, 1998)),))
+    base_year: int = 1995                      # first year of order history (growth origin)
+    uplift_years: tuple[int, int] = (1997, 1999)   # heat summer vs normal summer (A15, V7)
+    uplift_groups: tuple[str, ...] = ("L001", "L004")
 
 
 DEFAULT = ForecastConfig()
@@ -146,3 +149,8 @@ REJECTED_PRIORITY = "5-LOW"
 # payment terms code by tier
 TIER_PAYMENT_TERMS = [("A", "NT30"), ("B", "NT45"), ("C", "NT65")]
 OTHER_PAYMENT_TERMS = "NT30"
+
+# SKUs with a Sep-Dec price surge and their rate (supplied as data, drawn once)
+SURGE_SKUS = [("STANDARD", "0.07"), ("PROMO", "0.05")]
+SURGE_MONTHS = (9, 10, 11, 12)
+SUMMER_MONTHS = (7, 8)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cashcast.config import DEFAULT as CFG
-from cashcast.plans.sql_fixtures import sql_list, sql_with
+from cashcast.plans.sql_fixtures import sql_case, sql_list, sql_with
 
 ORACLE: dict[str, str] = {}
 
@@ -281,3 +281,144 @@ FROM (
                CAST(unnest(generate_series({_FC_START}, CAST({_FC_START} + INTERVAL {CFG.cash_forecast_months} MONTH AS DATE) - 1,
                                            INTERVAL 1 DAY)) AS DATE) AS d) s
   LEFT JOIN seasonal x ON x.iso_week = weekofyear(s.d)) y""")
+
+
+# --- weather and demand ----------------------------------------------------------------
+
+def _d(x) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+def _seasonal_sql(m: str, y: str, g: str, base_year: int) -> str:
+    off = _d(0.0)
+    for months, o in _C.SEASONAL_OFFSETS:
+        off = f"({off} + CASE WHEN {m} IN ({', '.join(map(str, months))}) THEN {_d(o)} ELSE {_d(0.0)} END)"
+    off = f"CASE WHEN {g} IN ('L001', 'L004') THEN {off} ELSE {_d(0.0)} END"
+    swing = "CASE " + " ".join(f"WHEN {g} = '{k}' THEN {_d(v)}" for k, v in _C.GROUP_SWING) + f" ELSE {_d(1.0)} END"
+    return f"(({_d(1.0)} + {off} * {swing}) * ({_d(1.0)} + {_d(_C.YOY_GROWTH)} * ({y} - {base_year})))"
+
+
+def _weather_mult_sql(t: str, a: str, g: str) -> str:
+    ramp = (f"CASE WHEN {t} > {_d(_C.HEAT_RAMP_START_C)} THEN {_d(_C.HEAT_RAMP_MAX)} * "
+            f"least(({t} - {_d(_C.HEAT_RAMP_START_C)}) / {_d(_C.HEAT_RAMP_WIDTH_C)}, {_d(1.0)}) ELSE {_d(0.0)} END")
+    hot = f"CASE WHEN {t} > {_d(_C.HOT_THRESHOLD_C)} THEN {_d(_C.HOT_BONUS)} ELSE {_d(0.0)} END"
+    mult = (f"least((({_d(1.0)} + {ramp}) + {hot}) + {_d(_C.ANOMALY_BONUS)} * greatest({_d(0.0)}, {a}), "
+            f"{_d(_C.WEATHER_CAP)})")
+    return (f"CASE WHEN {g} = 'P001' THEN {_d(1.0)} + ({mult} - {_d(1.0)}) * {_d(_C.P001_WEATHER_SHARE)} "
+            f"ELSE {mult} END")
+
+
+def _det3_sql(a, b, c, d, e, f, g, h, i) -> str:
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+_TH = f"{_d(2.0)} * pi() * (CAST(month AS DOUBLE) - {_d(1.0)}) / {_d(12.0)}"
+_DET = _det3_sql("n", "sc", "ss", "sc", "scc", "scs", "ss", "scs", "sss")
+_OK = f"abs({_DET}) > {_d(1e-9)} * greatest({_d(1.0)}, n * n * n)"
+_TH7 = f"{_d(2.0)} * pi() * ({_d(7)} - {_d(1.0)}) / {_d(12.0)}"
+
+_heat = " OR ".join(
+    f"(country = '{cty}' AND month IN ({', '.join(map(str, ms))}) AND year IN ({', '.join(map(str, ys))}))"
+    for cty, ms, ys in CFG.heat_windows) or "false"
+
+_EXTRA.update({
+    "harm": (["weather"], f"""
+SELECT station_id,
+       CASE WHEN {_OK} THEN {_det3_sql('sv', 'sc', 'ss', 'svc', 'scc', 'scs', 'svs', 'scs', 'sss')} / {_DET} END AS a0,
+       CASE WHEN {_OK} THEN {_det3_sql('n', 'sv', 'ss', 'sc', 'svc', 'scs', 'ss', 'svs', 'sss')} / {_DET} END AS a1,
+       CASE WHEN {_OK} THEN {_det3_sql('n', 'sc', 'sv', 'sc', 'scc', 'svc', 'ss', 'scs', 'svs')} / {_DET} END AS b1
+FROM (SELECT station_id, CAST(COUNT(*) AS DOUBLE) AS n, SUM(cos(th)) AS sc, SUM(sin(th)) AS ss,
+             SUM(cos(th) * cos(th)) AS scc, SUM(cos(th) * sin(th)) AS scs, SUM(sin(th) * sin(th)) AS sss,
+             SUM(v) AS sv, SUM(v * cos(th)) AS svc, SUM(v * sin(th)) AS svs
+      FROM (SELECT station_id, {_TH} AS th, CAST(avg_temp_c AS DOUBLE) AS v FROM weather WHERE avg_temp_c IS NOT NULL) x
+      GROUP BY station_id) s"""),
+    "wbase": (["weather", "harm"], f"""
+SELECT w.*, h.a0 + h.a1 * cos({_TH.replace('month', 'w.month')}) + h.b1 * sin({_TH.replace('month', 'w.month')}) AS baseline_c,
+       h.a0 + h.a1 * cos({_TH7}) + h.b1 * sin({_TH7}) AS july_baseline_c
+FROM weather w LEFT JOIN harm h ON w.station_id = h.station_id"""),
+    "features": (["sales_orders", "sales_order_items", "weather"], f"""
+SELECT i.SalesOrder, i.SalesOrderItem, i.Material, i.MaterialGroup, i.OrderQuantity,
+       COALESCE(w.avg_temp_c, {_d(CFG.fallback[0])}) AS avg_temp_c,
+       COALESCE(w.temp_anomaly_c, {_d(CFG.fallback[1])}) AS temp_anomaly_c,
+       {_seasonal_sql('month(o.SalesOrderDate)', 'year(o.SalesOrderDate)', 'i.MaterialGroup', CFG.base_year)} AS seasonal_weight,
+       {_weather_mult_sql(f"COALESCE(w.avg_temp_c, {_d(CFG.fallback[0])})", f"COALESCE(w.temp_anomaly_c, {_d(CFG.fallback[1])})", 'i.MaterialGroup')} AS weather_mult
+FROM sales_order_items i JOIN sales_orders o ON i.SalesOrder = o.SalesOrder
+LEFT JOIN weather w ON o.Country = w.country AND o.Region = w.region
+     AND year(o.SalesOrderDate) = w.year AND month(o.SalesOrderDate) = w.month"""),
+    "priced": (["sales_orders"], f"""
+SELECT l.l_orderkey AS OrderKey, l.l_quantity, p.p_partkey, month(o.SalesOrderDate) AS month, o.TransactionCurrency,
+       CAST(CAST(p.p_retailprice AS DECIMAL(15,2))
+            * CASE WHEN month(o.SalesOrderDate) IN ({', '.join(map(str, _C.SUMMER_MONTHS))})
+                    AND {sql_case('p.p_type', _C.MATERIAL_GROUPS)} <> 'P001'
+                   THEN CAST({_C.SUMMER_SURGE} AS DECIMAL(4,2)) ELSE CAST(1 AS DECIMAL(4,2)) END
+            * CASE WHEN month(o.SalesOrderDate) IN ({', '.join(map(str, _C.SURGE_MONTHS))}) AND s.surge_rate IS NOT NULL
+                   THEN CAST(1 AS DECIMAL(4,2)) + s.surge_rate ELSE CAST(1 AS DECIMAL(4,2)) END AS DECIMAL(24,6)) AS unit_price
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN sales_orders o ON l.l_orderkey = o.OrderKey
+LEFT JOIN (SELECT * FROM (VALUES {', '.join(f"('{k}', CAST({r} AS DECIMAL(4,2)))" for k, r in _C.SURGE_SKUS)}) t(sku, surge_rate)) s
+  ON p.p_type = s.sku"""),
+})
+
+ORACLE["h1_harmonic"] = w(["harm"], "SELECT station_id, round(a0, 6) AS a0, round(a1, 6) AS a1, round(b1, 6) AS b1 FROM harm")
+
+ORACLE["h3_anomaly"] = w(["wbase"], f"""
+SELECT station_id, year, month, step, round(baseline_c, 6) AS baseline_c,
+       round(avg_temp_c - baseline_c - {_d(_C.WARMING_TREND_PER_MONTH)} * step, 6) AS anomaly_c
+FROM (SELECT *, (year * 12 + month - 1) - MIN(year * 12 + month - 1) OVER (PARTITION BY station_id) AS step FROM wbase) x""")
+
+ORACLE["h4_extreme_heat"] = w(["wbase"], f"""
+SELECT station_id, year, month,
+       ({_heat}) AND COALESCE(avg_temp_c > july_baseline_c + {_d(_C.EXTREME_HEAT_MARGIN_C)}, false) AS extreme_heat_flag
+FROM wbase""")
+
+ORACLE["d1_seasonal_weight"] = w(["order_lines"], f"""
+SELECT year, month, MaterialGroup, lines, round({_seasonal_sql('month', 'year', 'MaterialGroup', CFG.base_year)}, 6) AS seasonal_weight
+FROM (SELECT year(SalesOrderDate) AS year, month(SalesOrderDate) AS month, MaterialGroup, COUNT(*) AS lines
+      FROM order_lines GROUP BY 1, 2, 3) x""")
+
+ORACLE["d2_weather_mult"] = w(["history", "regressors"], f"""
+SELECT ds, Material, round({_weather_mult_sql('t', 'a', 'MaterialGroup')}, 6) AS weather_mult FROM (
+  SELECT ds, Material, MaterialGroup,
+         COALESCE(last_value(t IGNORE NULLS) OVER fwd, first_value(t IGNORE NULLS) OVER bwd, {_d(CFG.fallback[0])}) AS t,
+         COALESCE(last_value(a IGNORE NULLS) OVER fwd, first_value(a IGNORE NULLS) OVER bwd, {_d(CFG.fallback[1])}) AS a
+  FROM (SELECT h.week_start AS ds, h.Material, h.MaterialGroup, r.avg_temp_c AS t, r.temp_anomaly_c AS a
+        FROM history h LEFT JOIN regressors r ON CAST(date_trunc('month', h.week_start) AS DATE) = r.month_start) x
+  WINDOW fwd AS (PARTITION BY Material ORDER BY ds, MaterialGroup ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         bwd AS (PARTITION BY Material ORDER BY ds, MaterialGroup ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) y""")
+
+ORACLE["d3_expected_qty"] = w(["features"], """
+SELECT SalesOrder, SalesOrderItem, OrderQuantity,
+       CAST(greatest(1, round_even(OrderQuantity * seasonal_weight * weather_mult, 0)) AS BIGINT) AS expected_qty
+FROM features""")
+
+ORACLE["d7_features"] = w(["features"], """
+SELECT SalesOrder, SalesOrderItem, Material, MaterialGroup, round(avg_temp_c, 6) AS avg_temp_c,
+       round(temp_anomaly_c, 6) AS temp_anomaly_c, round(seasonal_weight, 6) AS seasonal_weight,
+       round(weather_mult, 6) AS weather_mult FROM features""")
+
+ORACLE["j10_weather_lookup"] = w(["sales_orders", "weather"], f"""
+SELECT o.SalesOrder, o.Country, o.Region, round(COALESCE(w.avg_temp_c, {_d(CFG.fallback[0])}), 6) AS avg_temp_c,
+       round(COALESCE(w.temp_anomaly_c, {_d(CFG.fallback[1])}), 6) AS temp_anomaly_c
+FROM sales_orders o LEFT JOIN weather w ON o.Country = w.country AND o.Region = w.region
+     AND year(o.SalesOrderDate) = w.year AND month(o.SalesOrderDate) = w.month""")
+
+ORACLE["d4_price"] = w(["priced"], "SELECT p_partkey, month, CAST(MAX(unit_price) AS DOUBLE) AS unit_price FROM priced GROUP BY 1, 2")
+
+ORACLE["d5_amounts"] = w(["priced"], f"""
+SELECT CAST(OrderKey AS VARCHAR) AS SalesOrder, CAST(SUM(net) AS DOUBLE) AS net, CAST(SUM(tax) AS DOUBLE) AS tax FROM (
+  SELECT OrderKey, net, CAST(CASE WHEN TransactionCurrency = 'EUR' THEN round(net * CAST({_C.VAT_RATE} AS DECIMAL(4,2)), 2)
+                                  ELSE 0 END AS DECIMAL(20,2)) AS tax
+  FROM (SELECT OrderKey, TransactionCurrency,
+               CAST(round(CAST(l_quantity AS DECIMAL(18,2)) * unit_price, 2) AS DECIMAL(20,2)) AS net FROM priced) a) b
+GROUP BY OrderKey""")
+
+_PH = " OR ".join(f"(Material = '{k}' AND SalesOrderDate >= DATE '{d}')" for k, d in CFG.phased_out)
+ORACLE["d6_phase_out"] = w(["order_lines"], f"""
+SELECT Material, COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE NOT ({_PH})) AS rows_kept FROM order_lines GROUP BY Material""")
+
+ORACLE["d8_requested"] = w(["sales_orders", "sales_order_items"], """
+SELECT i.SalesOrder, i.SalesOrderItem, i.OrderQuantity,
+       CAST(greatest(CAST(i.OrderQuantity AS BIGINT) + 1,
+                     round_even(CAST(i.OrderQuantity AS DECIMAL(18,2))
+                                * (CAST(1.05 AS DECIMAL(6,2)) + (i.OrderKey % 11) * CAST(0.01 AS DECIMAL(6,2))), 0)) AS BIGINT) AS requested_qty,
+       o.CreationDate + CAST(i.OrderKey % 17 + 5 AS INTEGER) AS requested_date
+FROM sales_order_items i JOIN sales_orders o ON i.SalesOrder = o.SalesOrder""")

@@ -260,3 +260,125 @@ def c5_seasonal_index(spark, sf_dir):
 @query("c6_cash_forecast")
 def c6_cash_forecast(spark, sf_dir):
     return doubles(CS.cash_forecast(_index(spark, sf_dir), CFG.cash_forecast_start, CFG.cash_forecast_months))
+
+
+# --- weather and demand ----------------------------------------------------------------
+
+from cashcast.operators import demand as D  # noqa: E402
+from cashcast.operators import weather as W  # noqa: E402
+
+
+def _r6(*cols):
+    return [F.round(c, 6).alias(c) for c in cols]
+
+
+def _baseline(spark, sf_dir):
+    wx = X.weather(spark, sf_dir)
+    return W.harmonic_baseline(wx, W.fit_harmonic(wx))
+
+
+@query("h1_harmonic")
+def h1_harmonic(spark, sf_dir):
+    return W.fit_harmonic(X.weather(spark, sf_dir)).select("station_id", *_r6("a0", "a1", "b1"))
+
+
+@query("h3_anomaly")
+def h3_anomaly(spark, sf_dir):
+    a = W.temperature_anomaly(_baseline(spark, sf_dir))
+    return a.select("station_id", "year", "month", "step", *_r6("baseline_c", "anomaly_c"))
+
+
+@query("h4_extreme_heat")
+def h4_extreme_heat(spark, sf_dir):
+    h = W.extreme_heat(_baseline(spark, sf_dir), CFG.heat_windows)
+    return h.select("station_id", "year", "month", "extreme_heat_flag")
+
+
+@query("d1_seasonal_weight")
+def d1_seasonal_weight(spark, sf_dir):
+    lines = X.order_lines(spark, sf_dir)
+    d = F.col("SalesOrderDate")
+    g = lines.groupBy(F.year(d).alias("year"), F.month(d).alias("month"), "MaterialGroup").agg(
+        F.count(F.lit(1)).alias("lines"))
+    return g.withColumn("seasonal_weight", F.round(D.seasonal_weight(F.col("month"), F.col("year"),
+                                                                     F.col("MaterialGroup"), CFG.base_year), 6))
+
+
+@query("d2_weather_mult")
+def d2_weather_mult(spark, sf_dir):
+    hist = _history(spark, sf_dir).select(F.col("week_start").alias("ds"), "Material", "MaterialGroup")
+    f = attach_regressors(hist, _monthly(spark, sf_dir), fallback=CFG.fallback, order_extra=("MaterialGroup",))
+    return f.select("ds", "Material", F.round(D.weather_multiplier(F.col("avg_temp_c"), F.col("temp_anomaly_c"),
+                                                                   F.col("MaterialGroup")), 6).alias("weather_mult"))
+
+
+def _features(spark, sf_dir):
+    orders = X.sales_orders(spark, sf_dir)
+    items = X.sales_order_items(spark, sf_dir, header=orders).select(
+        "SalesOrder", "SalesOrderItem", "Material", "MaterialGroup", "OrderQuantity")
+    return D.demand_weather_features(items, orders, X.weather(spark, sf_dir), CFG.base_year)
+
+
+@query("d3_expected_qty")
+def d3_expected_qty(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    return f.select("SalesOrder", "SalesOrderItem", "OrderQuantity",
+                    D.expected_quantity(F.col("OrderQuantity"), F.col("seasonal_weight"), F.col("weather_mult")).alias("expected_qty"))
+
+
+@query("d7_features")
+def d7_features(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    return f.select("SalesOrder", "SalesOrderItem", "Material", "MaterialGroup",
+                    *_r6("avg_temp_c", "temp_anomaly_c", "seasonal_weight", "weather_mult"))
+
+
+@query("j10_weather_lookup")
+def j10_weather_lookup(spark, sf_dir):
+    orders = X.sales_orders(spark, sf_dir).select("SalesOrder", "SalesOrderDate", "Country", "Region")
+    return D.weather_lookup(orders, X.weather(spark, sf_dir)).select(
+        "SalesOrder", "Country", "Region", *_r6("avg_temp_c", "temp_anomaly_c"))
+
+
+def _priced(spark, sf_dir):
+    orders = X.sales_orders(spark, sf_dir)
+    li = X.read_table(spark, "lineitem", sf_dir).select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    p = X.read_table(spark, "part", sf_dir).select("p_partkey", "p_type", "p_retailprice")
+    o = orders.select("OrderKey", "SalesOrderDate", "TransactionCurrency")
+    j = li.join(p, li.l_partkey == p.p_partkey).join(o, li.l_orderkey == o.OrderKey)
+    j = j.withColumns({"month": F.month("SalesOrderDate"), "MaterialGroup": X.material_group(F.col("p_type"))})
+    return D.price_with_surge(j, "p_retailprice", "month", "MaterialGroup", "p_type")
+
+
+@query("d4_price")
+def d4_price(spark, sf_dir):
+    return doubles(_priced(spark, sf_dir).groupBy("p_partkey", "month").agg(F.max("unit_price").alias("unit_price")))
+
+
+@query("d5_amounts")
+def d5_amounts(spark, sf_dir):
+    pr = _priced(spark, sf_dir)
+    net, tax = D.line_amounts(F.col("l_quantity"), F.col("unit_price"), F.col("TransactionCurrency"))
+    return doubles(pr.groupBy(F.col("OrderKey").cast("string").alias("SalesOrder")).agg(
+        F.sum(net).alias("net"), F.sum(tax).alias("tax")))
+
+
+@query("d6_phase_out")
+def d6_phase_out(spark, sf_dir):
+    lines = X.order_lines(spark, sf_dir)
+    kept = D.phase_out_filter(lines, CFG.phased_out)
+    a = lines.groupBy("Material").agg(F.count(F.lit(1)).alias("rows_in"))
+    b = kept.groupBy("Material").agg(F.count(F.lit(1)).alias("rows_kept"))
+    return a.join(b, "Material", "left").select("Material", "rows_in", F.coalesce("rows_kept", F.lit(0)).alias("rows_kept"))
+
+
+@query("d8_requested")
+def d8_requested(spark, sf_dir):
+    orders = X.sales_orders(spark, sf_dir)
+    items = X.sales_order_items(spark, sf_dir, header=orders).select("OrderKey", "SalesOrder", "SalesOrderItem", "OrderQuantity")
+    hdr = orders.select("SalesOrder", "CreationDate")
+    j = items.join(hdr, "SalesOrder")
+    factor = (F.lit(1.05).cast("decimal(6,2)") + (F.col("OrderKey") % 11) * F.lit(0.01).cast("decimal(6,2)"))
+    return j.select("SalesOrder", "SalesOrderItem", "OrderQuantity",
+                    D.requested_quantity(F.col("OrderQuantity"), factor).alias("requested_qty"),
+                    D.requested_date(F.col("CreationDate"), F.col("OrderKey") % 17 + 5).alias("requested_date"))
