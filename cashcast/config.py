@@ -154,3 +154,11 @@ OTHER_PAYMENT_TERMS = "NT30"
 SURGE_SKUS = [("STANDARD", "0.07"), ("PROMO", "0.05")]
 SURGE_MONTHS = (9, 10, 11, 12)
 SUMMER_MONTHS = (7, 8)
+
+# data-quality expectations: heat-wave anomaly floor per heat year (in window order),
+# summer uplift range, and share targets with tolerance
+HEAT_ANOMALY_FLOORS = (2.0, 2.5)
+UPLIFT_RANGE = (1.4, 1.7)
+ELIGIBLE_SHARE_TARGET = (0.63, 0.05)
+CANCELLED_SHARE_TARGET = (0.10, 0.02)
+ITEMS_PER_ORDER = (2, 3)

@@ -422,3 +422,128 @@ SELECT i.SalesOrder, i.SalesOrderItem, i.OrderQuantity,
                                 * (CAST(1.05 AS DECIMAL(6,2)) + (i.OrderKey % 11) * CAST(0.01 AS DECIMAL(6,2))), 0)) AS BIGINT) AS requested_qty,
        o.CreationDate + CAST(i.OrderKey % 17 + 5 AS INTEGER) AS requested_date
 FROM sales_order_items i JOIN sales_orders o ON i.SalesOrder = o.SalesOrder""")
+
+
+# --- quality ---------------------------------------------------------------------------
+
+def _offset_sql(m: str) -> str:
+    off = _d(0.0)
+    for months, o in _C.SEASONAL_OFFSETS:
+        off = f"({off} + CASE WHEN {m} IN ({', '.join(map(str, months))}) THEN {_d(o)} ELSE {_d(0.0)} END)"
+    return off
+
+
+def _zero(name: str, from_where: str) -> str:
+    return (f"SELECT '{name}' AS \"check\", '= 0' AS expected, CAST(COUNT(*) AS DOUBLE) AS observed, "
+            f"COUNT(*) = 0 AS passed FROM {from_where}")
+
+
+_ALL_MATS = sql_list([m for m, _ in _C.MATERIAL_GROUPS])
+_heat_years = [y for _, _, ys in CFG.heat_windows for y in ys]
+_v6 = "\nUNION ALL\n".join(
+    f"""SELECT 'V6 heat-wave anomaly {y}' AS "check", '> {floor}' AS expected, round(MAX(m), 6) AS observed,
+       COALESCE(MAX(m) > {floor}, false) AS passed
+FROM (SELECT AVG(temp_anomaly_c) AS m FROM weather WHERE ({_heat}) AND year = {y}) h"""
+    for y, floor in zip(_heat_years, _C.HEAT_ANOMALY_FLOORS))
+_ya, _yb = CFG.uplift_years
+_grp = sql_list(CFG.uplift_groups)
+_sm = ", ".join(map(str, _C.SUMMER_MONTHS))
+_EXTRA["uplift"] = (["order_lines"], f"""
+SELECT AVG(CASE WHEN year(SalesOrderDate) = {_ya} THEN CAST(OrderQuantity AS DOUBLE) END) AS mean_a,
+       AVG(CASE WHEN year(SalesOrderDate) = {_yb} THEN CAST(OrderQuantity AS DOUBLE) END) AS mean_b
+FROM order_lines WHERE MaterialGroup IN ({_grp}) AND month(SalesOrderDate) IN ({_sm})""")
+_ulo, _uhi = _C.UPLIFT_RANGE
+
+ORACLE["v_integrity"] = w(["sales_orders", "sales_order_items", "order_lines", "billing_documents", "cash_postings",
+                           "customers", "weather", "uplift"], "\nUNION ALL\n".join([
+    _zero("V1 order customer unknown", "sales_orders o WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.Customer = o.SoldToParty)"),
+    _zero("V2 item material unknown", f"sales_order_items WHERE Material NOT IN ({_ALL_MATS}) OR Material IS NULL"),
+    _zero("V3 phased-out material ordered", f"order_lines WHERE {_PH}"),
+    _zero("V4 billing payer unknown", "billing_documents d WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.Customer = d.PayerParty)"),
+    _zero("V5 posting before billing date", "cash_postings c JOIN billing_documents d ON c.BillingDocument = d.BillingDocument "
+          "WHERE c.PostingDate < d.BillingDocumentDate"),
+    _v6,
+    f"""SELECT 'V7 summer uplift {_ya} vs {_yb}' AS "check", 'between {_ulo} and {_uhi}' AS expected,
+       round(mean_a / mean_b, 6) AS observed, COALESCE(mean_a / mean_b BETWEEN {_ulo} AND {_uhi}, false) AS passed FROM uplift""",
+]))
+
+_ilo, _ihi = _C.ITEMS_PER_ORDER
+_et, _etol = _C.ELIGIBLE_SHARE_TARGET
+_ct, _ctol = _C.CANCELLED_SHARE_TARGET
+ORACLE["v_cardinality"] = w(["sales_orders", "sales_order_items", "billing_documents", "billing_items",
+                             "cash_postings", "pay_terms"], "\nUNION ALL\n".join([
+    _zero(f"V8 orders without {_ilo}-{_ihi} items",
+          f"(SELECT SalesOrder, COUNT(*) AS n FROM sales_order_items GROUP BY 1) x WHERE NOT (n BETWEEN {_ilo} AND {_ihi})"),
+    _zero("V8 orders without items", "sales_orders o WHERE NOT EXISTS (SELECT 1 FROM sales_order_items i WHERE i.SalesOrder = o.SalesOrder)"),
+    _zero("V8 items without order", "sales_order_items i WHERE NOT EXISTS (SELECT 1 FROM sales_orders o WHERE i.SalesOrder = o.SalesOrder)"),
+    _zero("V8 eligible orders without exactly one F2",
+          "sales_orders o LEFT JOIN (SELECT SalesOrder, COUNT(*) AS n FROM billing_documents WHERE BillingDocumentType = 'F2' "
+          "GROUP BY 1) f ON o.SalesOrder = f.SalesOrder WHERE o.OverallSDProcessStatus IN ('B', 'C') "
+          "AND o.OverallSDDocumentRejectionSts <> 'C' AND COALESCE(f.n, 0) <> 1"),
+    _zero("V8 F2 with more than one S1",
+          "(SELECT CancelledBillingDocument, COUNT(*) AS n FROM billing_documents WHERE BillingDocumentType = 'S1' GROUP BY 1) x WHERE n > 1"),
+    _zero("V8 open F2 without exactly one cash row",
+          "pay_terms p LEFT JOIN (SELECT BillingDocument, COUNT(*) AS n FROM cash_postings GROUP BY 1) c "
+          "ON p.BillingDocument = c.BillingDocument WHERE COALESCE(c.n, 0) <> 1"),
+    f"""SELECT 'V11 eligible share of orders' AS "check", '{_et} +/- {_etol}' AS expected, s AS observed,
+       COALESCE(abs(s - {_et}) <= {_etol}, false) AS passed FROM (
+  SELECT round(CAST(COUNT(*) FILTER (WHERE OverallSDProcessStatus IN ('B', 'C') AND OverallSDDocumentRejectionSts <> 'C') AS DOUBLE)
+               / CAST(COUNT(*) AS DOUBLE), 6) AS s FROM sales_orders) x""",
+    f"""SELECT 'V11 cancelled share of F2' AS "check", '{_ct} +/- {_ctol}' AS expected, s AS observed,
+       COALESCE(abs(s - {_ct}) <= {_ctol}, false) AS passed FROM (
+  SELECT round(CAST(COUNT(*) FILTER (WHERE BillingDocumentIsCancelled) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 6) AS s
+  FROM billing_documents WHERE BillingDocumentType = 'F2') x""",
+    _zero("V12 S1 amounts not minus their F2",
+          "billing_documents s LEFT JOIN billing_documents f ON s.CancelledBillingDocument = f.BillingDocument "
+          "AND f.BillingDocumentType = 'F2' WHERE s.BillingDocumentType = 'S1' AND (NOT (s.TotalNetAmount = -f.TotalNetAmount) "
+          "OR NOT (s.TotalTaxAmount = -f.TotalTaxAmount) OR f.TotalNetAmount IS NULL)"),
+    _zero("V13 header total differs from item sum",
+          "billing_documents d JOIN (SELECT BillingDocument, SUM(CAST(NetAmount AS DECIMAL(16,2))) AS n, "
+          "SUM(CAST(TaxAmount AS DECIMAL(16,2))) AS t FROM billing_items GROUP BY 1) s ON d.BillingDocument = s.BillingDocument "
+          "WHERE CAST(d.TotalNetAmount AS DECIMAL(16,2)) <> s.n OR CAST(d.TotalTaxAmount AS DECIMAL(16,2)) <> s.t"),
+]))
+
+
+def _keys_sql(name: str, table: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    return "\nUNION ALL\n".join([
+        _zero(f"V9 null key {name}", f"{table} WHERE " + " OR ".join(f"{c} IS NULL" for c in keys)),
+        _zero(f"V10 duplicate key {name}", f"(SELECT {k}, COUNT(*) AS n FROM {table} GROUP BY {k}) x WHERE n > 1"),
+    ])
+
+
+ORACLE["v_keys"] = w(["billing_documents", "billing_items", "cash_postings", "sales_order_items"], "\nUNION ALL\n".join([
+    _keys_sql("billingdocument", "billing_documents", ["BillingDocument"]),
+    _keys_sql("billingdocumentitem", "billing_items", ["BillingDocument", "BillingDocumentItem"]),
+    _keys_sql("cashflow", "cash_postings", ["CashFlowID", "CshFlwValdtyStrtDteTmeVal"]),
+    _keys_sql("salesorderitem", "sales_order_items", ["SalesOrder", "SalesOrderItem"]),
+]))
+
+ORACLE["a12_tier_share"] = w(["sales_orders", "sales_order_items"], """
+SELECT Tier, CAST(revenue AS DOUBLE) AS revenue,
+       round(CAST(revenue AS DOUBLE) / CAST(SUM(revenue) OVER () AS DOUBLE), 6) AS share
+FROM (SELECT COALESCE(o.Tier, 'none') AS Tier, SUM(i.NetAmount) AS revenue
+      FROM sales_order_items i JOIN sales_orders o ON i.SalesOrder = o.SalesOrder GROUP BY 1) x""")
+
+ORACLE["a13_funnel"] = w(["sales_orders", "billing_documents", "cash_postings"], """
+SELECT step, stage, rows, round(CAST(rows AS DOUBLE) / CAST(lag(rows) OVER (ORDER BY step) AS DOUBLE), 6) AS pass_rate FROM (
+  SELECT 0 AS step, 'orders' AS stage, CAST(COUNT(*) AS BIGINT) AS rows FROM sales_orders
+  UNION ALL SELECT 1, 'status_ok', CAST(COUNT(*) FILTER (WHERE OverallSDProcessStatus IN ('B', 'C')) AS BIGINT) FROM sales_orders
+  UNION ALL SELECT 2, 'not_rejected', CAST(COUNT(*) FILTER (WHERE OverallSDProcessStatus IN ('B', 'C')
+                                                            AND OverallSDDocumentRejectionSts <> 'C') AS BIGINT) FROM sales_orders
+  UNION ALL SELECT 3, 'f2', CAST(COUNT(*) FILTER (WHERE BillingDocumentType = 'F2') AS BIGINT) FROM billing_documents
+  UNION ALL SELECT 4, 'cancelled', CAST(COUNT(*) FILTER (WHERE BillingDocumentType = 'F2' AND BillingDocumentIsCancelled) AS BIGINT) FROM billing_documents
+  UNION ALL SELECT 5, 's1', CAST(COUNT(*) FILTER (WHERE BillingDocumentType = 'S1') AS BIGINT) FROM billing_documents
+  UNION ALL SELECT 6, 'cash', CAST(COUNT(*) AS BIGINT) FROM cash_postings) f""")
+
+ORACLE["a14_heat_anomaly"] = w(["weather"], f"""
+SELECT year, round(AVG(temp_anomaly_c), 6) AS mean_anomaly FROM weather WHERE {_heat} GROUP BY year""")
+
+ORACLE["a15_uplift"] = w(["uplift"], "SELECT round(mean_a, 6) AS mean_a, round(mean_b, 6) AS mean_b, round(mean_a / mean_b, 6) AS uplift FROM uplift")
+
+ORACLE["a18_month_volume"] = w(["sales_orders"], f"""
+SELECT year, month, orders, round(wt, 6) AS weight, round(CAST(orders AS DOUBLE) / wt, 6) AS orders_per_weight FROM (
+  SELECT year, month, orders,
+         {_d(1.0)} + {_offset_sql('month')} * ({_d(1.0)} + {_d(_C.YOY_GROWTH)} * (year - {CFG.base_year})) AS wt
+  FROM (SELECT year(SalesOrderDate) AS year, month(SalesOrderDate) AS month, CAST(COUNT(*) AS BIGINT) AS orders
+        FROM sales_orders GROUP BY 1, 2) x) y""")

@@ -382,3 +382,67 @@ def d8_requested(spark, sf_dir):
     return j.select("SalesOrder", "SalesOrderItem", "OrderQuantity",
                     D.requested_quantity(F.col("OrderQuantity"), factor).alias("requested_qty"),
                     D.requested_date(F.col("CreationDate"), F.col("OrderKey") % 17 + 5).alias("requested_date"))
+
+
+# --- quality ---------------------------------------------------------------------------
+
+from cashcast import config as C  # noqa: E402
+from cashcast.operators import quality as Q  # noqa: E402
+
+ALL_MATERIALS = [m for m, _ in C.MATERIAL_GROUPS]
+
+
+@query("v_integrity")
+def v_integrity(spark, sf_dir):
+    orders, items, docs = _billing(spark, sf_dir)
+    cash = _postings(spark, sf_dir)
+    return Q.integrity_report(orders, items, X.order_lines(spark, sf_dir), docs, cash, X.customers(spark, sf_dir),
+                              X.weather(spark, sf_dir), ALL_MATERIALS, CFG.phased_out, CFG.heat_windows,
+                              CFG.uplift_groups, CFG.uplift_years).withColumn("observed", F.round("observed", 6))
+
+
+@query("v_cardinality")
+def v_cardinality(spark, sf_dir):
+    orders, items, docs = _billing(spark, sf_dir)
+    cash = _postings(spark, sf_dir)
+    open_known = _terms(spark, sf_dir).select("BillingDocument")
+    return Q.cardinality_report(orders, items, docs, B.billing_items(docs, items), cash, open_known)
+
+
+@query("v_keys")
+def v_keys(spark, sf_dir):
+    orders, items, docs = _billing(spark, sf_dir)
+    return Q.key_report([
+        ("billingdocument", docs, ["BillingDocument"]),
+        ("billingdocumentitem", B.billing_items(docs, items), ["BillingDocument", "BillingDocumentItem"]),
+        ("cashflow", _postings(spark, sf_dir), ["CashFlowID", "CshFlwValdtyStrtDteTmeVal"]),
+        ("salesorderitem", items, ["SalesOrder", "SalesOrderItem"]),
+    ])
+
+
+@query("a12_tier_share")
+def a12_tier_share(spark, sf_dir):
+    orders = X.sales_orders(spark, sf_dir)
+    return Q.revenue_share(X.sales_order_items(spark, sf_dir, header=orders), orders)
+
+
+@query("a13_funnel")
+def a13_funnel(spark, sf_dir):
+    orders, _, docs = _billing(spark, sf_dir)
+    return Q.eligibility_funnel(orders, docs, _postings(spark, sf_dir))
+
+
+@query("a14_heat_anomaly")
+def a14_heat_anomaly(spark, sf_dir):
+    return Q.heat_anomaly(X.weather(spark, sf_dir), CFG.heat_windows).withColumn("mean_anomaly", F.round("mean_anomaly", 6))
+
+
+@query("a15_uplift")
+def a15_uplift(spark, sf_dir):
+    u = Q.period_uplift(X.order_lines(spark, sf_dir), CFG.uplift_groups, *CFG.uplift_years)
+    return u.select(*_r6("mean_a", "mean_b", "uplift"))
+
+
+@query("a18_month_volume")
+def a18_month_volume(spark, sf_dir):
+    return Q.month_volume(X.sales_orders(spark, sf_dir), CFG.base_year)
