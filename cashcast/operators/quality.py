@@ -197,28 +197,43 @@ def revenue_share(items: DataFrame, orders: DataFrame, by: str = "Tier") -> Data
                     F.round(F.try_divide(F.col("revenue").cast("double"), total.cast("double")), 6).alias("share"))
 
 
+FUNNEL = [  # (stage, the stage its pass rate is measured against)
+    ("orders", None), ("status_ok", "orders"), ("not_rejected", "status_ok"), ("f2", "not_rejected"),
+    ("cancelled", "f2"), ("s1", "cancelled"), ("open_f2", "f2"), ("cash", "open_f2"),
+]
+
+
 def eligibility_funnel(orders: DataFrame, docs: DataFrame, cash: DataFrame) -> DataFrame:
-    """Orders -> status ok -> not rejected -> F2 -> cancelled -> S1 -> cash, with the
-    pass rate of each stage against the previous one. One aggregate per source table."""
+    """Orders -> status ok -> not rejected -> F2 -> cancelled -> S1, and F2 -> open
+    F2 -> cash, each with its pass rate against its base stage. One aggregate per source
+    table; the eight stage rows are then joined to themselves for the rates."""
+    is_f2 = F.col("BillingDocumentType") == "F2"
     o = orders.agg(
         F.count(F.lit(1)).alias("orders"),
         F.count_if(F.col("OverallSDProcessStatus").isin("B", "C")).alias("status_ok"),
         F.count_if(F.col("OverallSDProcessStatus").isin("B", "C") & (F.col("OverallSDDocumentRejectionSts") != "C")).alias("not_rejected"))
     d = docs.agg(
-        F.count_if(F.col("BillingDocumentType") == "F2").alias("f2"),
-        F.count_if((F.col("BillingDocumentType") == "F2") & F.col("BillingDocumentIsCancelled")).alias("cancelled"),
-        F.count_if(F.col("BillingDocumentType") == "S1").alias("s1"))
+        F.count_if(is_f2).alias("f2"),
+        F.count_if(is_f2 & F.col("BillingDocumentIsCancelled")).alias("cancelled"),
+        F.count_if(F.col("BillingDocumentType") == "S1").alias("s1"),
+        F.count_if(is_f2 & (F.col("BillingDocumentIsCancelled") == F.lit(False))).alias("open_f2"))
     c = cash.agg(F.count(F.lit(1)).alias("cash"))
-    stages = ["orders", "status_ok", "not_rejected", "f2", "cancelled", "s1", "cash"]
+    names = [n for n, _ in FUNNEL]
+    base = dict(FUNNEL)
 
-    def rows(one: DataFrame, names: list[str]) -> DataFrame:
-        arr = F.array(*[F.struct(F.lit(stages.index(n)).alias("step"), F.lit(n).alias("stage"),
-                                 F.col(n).cast("bigint").alias("rows")) for n in names])
+    def rows(one: DataFrame, cols: list[str]) -> DataFrame:
+        arr = F.array(*[F.struct(F.lit(names.index(n)).alias("step"), F.lit(n).alias("stage"),
+                                 F.col(n).cast("bigint").alias("rows"),
+                                 F.lit(base[n]).cast("string").alias("base_stage")) for n in cols])
         return one.select(F.explode(arr).alias("x")).select("x.*")
 
-    funnel = rows(o, stages[:3]).unionByName(rows(d, stages[3:6])).unionByName(rows(c, stages[6:]))
-    prev = F.lag("rows").over(Window.orderBy("step"))  # seven rows: one per stage
-    return funnel.withColumn("pass_rate", F.round(F.try_divide(F.col("rows").cast("double"), prev.cast("double")), 6))
+    funnel = (rows(o, ["orders", "status_ok", "not_rejected"])
+              .unionByName(rows(d, ["f2", "cancelled", "s1", "open_f2"]))
+              .unionByName(rows(c, ["cash"])))
+    bases = funnel.select(F.col("stage").alias("base_stage"), F.col("rows").alias("_base_rows"))
+    return (funnel.join(bases, "base_stage", "left")
+            .select("step", "stage", "rows", "base_stage",
+                    F.round(F.try_divide(F.col("rows").cast("double"), F.col("_base_rows").cast("double")), 6).alias("pass_rate")))
 
 
 def month_volume(orders: DataFrame, base_year: int) -> DataFrame:

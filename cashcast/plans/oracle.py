@@ -525,16 +525,19 @@ SELECT Tier, CAST(revenue AS DOUBLE) AS revenue,
 FROM (SELECT COALESCE(o.Tier, 'none') AS Tier, SUM(i.NetAmount) AS revenue
       FROM sales_order_items i JOIN sales_orders o ON i.SalesOrder = o.SalesOrder GROUP BY 1) x""")
 
-ORACLE["a13_funnel"] = w(["sales_orders", "billing_documents", "cash_postings"], """
-SELECT step, stage, rows, round(CAST(rows AS DOUBLE) / CAST(lag(rows) OVER (ORDER BY step) AS DOUBLE), 6) AS pass_rate FROM (
-  SELECT 0 AS step, 'orders' AS stage, CAST(COUNT(*) AS BIGINT) AS rows FROM sales_orders
-  UNION ALL SELECT 1, 'status_ok', CAST(COUNT(*) FILTER (WHERE OverallSDProcessStatus IN ('B', 'C')) AS BIGINT) FROM sales_orders
+_EXTRA["funnel"] = (["sales_orders", "billing_documents", "cash_postings"], """
+  SELECT 0 AS step, 'orders' AS stage, CAST(COUNT(*) AS BIGINT) AS rows, CAST(NULL AS VARCHAR) AS base_stage FROM sales_orders
+  UNION ALL SELECT 1, 'status_ok', CAST(COUNT(*) FILTER (WHERE OverallSDProcessStatus IN ('B', 'C')) AS BIGINT), 'orders' FROM sales_orders
   UNION ALL SELECT 2, 'not_rejected', CAST(COUNT(*) FILTER (WHERE OverallSDProcessStatus IN ('B', 'C')
-                                                            AND OverallSDDocumentRejectionSts <> 'C') AS BIGINT) FROM sales_orders
-  UNION ALL SELECT 3, 'f2', CAST(COUNT(*) FILTER (WHERE BillingDocumentType = 'F2') AS BIGINT) FROM billing_documents
-  UNION ALL SELECT 4, 'cancelled', CAST(COUNT(*) FILTER (WHERE BillingDocumentType = 'F2' AND BillingDocumentIsCancelled) AS BIGINT) FROM billing_documents
-  UNION ALL SELECT 5, 's1', CAST(COUNT(*) FILTER (WHERE BillingDocumentType = 'S1') AS BIGINT) FROM billing_documents
-  UNION ALL SELECT 6, 'cash', CAST(COUNT(*) AS BIGINT) FROM cash_postings) f""")
+                                                            AND OverallSDDocumentRejectionSts <> 'C') AS BIGINT), 'status_ok' FROM sales_orders
+  UNION ALL SELECT 3, 'f2', CAST(COUNT(*) FILTER (WHERE BillingDocumentType = 'F2') AS BIGINT), 'not_rejected' FROM billing_documents
+  UNION ALL SELECT 4, 'cancelled', CAST(COUNT(*) FILTER (WHERE BillingDocumentType = 'F2' AND BillingDocumentIsCancelled) AS BIGINT), 'f2' FROM billing_documents
+  UNION ALL SELECT 5, 's1', CAST(COUNT(*) FILTER (WHERE BillingDocumentType = 'S1') AS BIGINT), 'cancelled' FROM billing_documents
+  UNION ALL SELECT 6, 'open_f2', CAST(COUNT(*) FILTER (WHERE BillingDocumentType = 'F2' AND BillingDocumentIsCancelled = false) AS BIGINT), 'f2' FROM billing_documents
+  UNION ALL SELECT 7, 'cash', CAST(COUNT(*) AS BIGINT), 'open_f2' FROM cash_postings""")
+ORACLE["a13_funnel"] = w(["funnel"], """
+SELECT f.step, f.stage, f.rows, f.base_stage, round(CAST(f.rows AS DOUBLE) / CAST(b.rows AS DOUBLE), 6) AS pass_rate
+FROM funnel f LEFT JOIN funnel b ON f.base_stage = b.stage""")
 
 ORACLE["a14_heat_anomaly"] = w(["weather"], f"""
 SELECT year, round(AVG(temp_anomaly_c), 6) AS mean_anomaly FROM weather WHERE {_heat} GROUP BY year""")
