@@ -446,3 +446,46 @@ def a15_uplift(spark, sf_dir):
 @query("a18_month_volume")
 def a18_month_volume(spark, sf_dir):
     return Q.month_volume(X.sales_orders(spark, sf_dir), CFG.base_year)
+
+
+# --- model (no SQL twin: the driver records a rows-only check) ---------------------------
+
+from cashcast.operators import forecast as FC  # noqa: E402
+
+
+def _model(spark, sf_dir):
+    return FC.forecast_by_key(_history(spark, sf_dir), _monthly(spark, sf_dir), CFG.horizon, CFG.fallback,
+                              min_rows=CFG.min_rows)
+
+
+@query("f1_model_forecast")
+def f1_model_forecast(spark, sf_dir):
+    return FC.forecast_rows(_model(spark, sf_dir))
+
+
+@query("f7_model_vs_actual")
+def f7_model_vs_actual(spark, sf_dir):
+    return EV.forecast_vs_actual(FC.forecast_rows(_model(spark, sf_dir)), _actuals(spark, sf_dir))
+
+
+@query("f8_model_fit_metrics")
+def f8_model_fit_metrics(spark, sf_dir):
+    return EV.fit_metrics(FC.fit_rows(_model(spark, sf_dir)))
+
+
+@query("f9_model_status")
+def f9_model_status(spark, sf_dir):
+    return EV.series_status(_history(spark, sf_dir), CFG.min_rows, CFG.horizon, REGRESSORS,
+                            fit_status=FC.fit_errors(_model(spark, sf_dir)))
+
+
+@query("f11_skill")
+def f11_skill(spark, sf_dir):
+    """Model vs naive year-over-year on the test window (MAE and MAPE against actuals)."""
+    actual = _actuals(spark, sf_dir)
+
+    def scored(fc):
+        j = EV.forecast_vs_actual(fc, actual).filter(F.col("actual_qty").isNotNull() & F.col("predicted_qty").isNotNull())
+        return EV.fit_metrics(j.select("Material", F.col("actual_qty").alias("y"), F.col("predicted_qty").alias("yhat")))
+
+    return EV.skill_vs_naive(scored(FC.forecast_rows(_model(spark, sf_dir))), scored(_naive_forecast_rows(spark, sf_dir)))
