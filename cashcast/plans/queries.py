@@ -6,6 +6,7 @@ tables through ``cashcast.sources.fixtures`` so its work grows with them.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +18,37 @@ from cashcast.sources import fixtures as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Intermediates shared by the branches of one query (e.g. the numbered billing documents
+# used by several checks) are built once per query call. The memo is cleared when the
+# call returns, so every query still computes everything it needs.
+_MEMO: dict = {}
+
+
+def memo(fn):
+    @functools.wraps(fn)
+    def wrapper(spark, sf_dir):
+        key = (fn.__name__, id(spark), sf_dir)
+        if key not in _MEMO:
+            _MEMO[key] = fn(spark, sf_dir)
+        return _MEMO[key]
+    return wrapper
+
 
 def query(name: str):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            _MEMO.clear()
+            try:
+                return fn(spark, sf_dir)
+            finally:
+                _MEMO.clear()
+        QUERIES[name] = run
         return fn
     return deco
 
 
+@memo
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.weekly_history(H.daily_feature(X.order_lines(spark, sf_dir)), CFG.training_end, CFG.materials)
 
@@ -83,10 +107,12 @@ from cashcast.operators.regressors import attach_regressors  # noqa: E402
 REGRESSORS = "avg_temp_c, temp_anomaly_c"
 
 
+@memo
 def _monthly(spark, sf_dir):
     return H.monthly_regressors(X.weather(spark, sf_dir), CFG.countries)
 
 
+@memo
 def _actuals(spark, sf_dir):
     return f6_weekly_actuals(spark, sf_dir)
 
@@ -109,6 +135,7 @@ def f10_naive_yoy(spark, sf_dir):
     return EV.naive_yoy_forecast(_history(spark, sf_dir), CFG.horizon)
 
 
+@memo
 def _naive_forecast_rows(spark, sf_dir):
     return EV.naive_yoy_forecast(_history(spark, sf_dir), CFG.horizon).select(
         F.col("ds").alias("SalesOrderDate"), "Material", "MaterialGroup", "predicted_qty",
@@ -141,6 +168,7 @@ def a16_min_history(spark, sf_dir):
 from cashcast.operators import billing as B  # noqa: E402
 
 
+@memo
 def _billing(spark, sf_dir):
     orders = X.billing_orders(spark, sf_dir)
     items = X.sales_order_items(spark, sf_dir, header=orders)
@@ -204,16 +232,19 @@ def doubles(df: DataFrame) -> DataFrame:
                       else F.col(f.name) for f in df.schema.fields])
 
 
+@memo
 def _terms(spark, sf_dir):
     _, _, docs = _billing(spark, sf_dir)
     tiers = X.customers(spark, sf_dir).filter(F.col("Tier").isNotNull()).select("Customer", "Tier")
     return CS.payment_terms(docs, tiers, X.customer_dunning(spark, sf_dir))
 
 
+@memo
 def _postings(spark, sf_dir):
     return CS.cash_postings(X.cash_draws(_terms(spark, sf_dir)))
 
 
+@memo
 def _index(spark, sf_dir):
     return CS.seasonal_index(_postings(spark, sf_dir), *CFG.cash_years)
 
@@ -272,6 +303,7 @@ def _r6(*cols):
     return [F.round(c, 6).alias(c) for c in cols]
 
 
+@memo
 def _baseline(spark, sf_dir):
     wx = X.weather(spark, sf_dir)
     return W.harmonic_baseline(wx, W.fit_harmonic(wx))
@@ -312,6 +344,7 @@ def d2_weather_mult(spark, sf_dir):
                                                                    F.col("MaterialGroup")), 6).alias("weather_mult"))
 
 
+@memo
 def _features(spark, sf_dir):
     orders = X.sales_orders(spark, sf_dir)
     items = X.sales_order_items(spark, sf_dir, header=orders).select(
@@ -340,6 +373,7 @@ def j10_weather_lookup(spark, sf_dir):
         "SalesOrder", "Country", "Region", *_r6("avg_temp_c", "temp_anomaly_c"))
 
 
+@memo
 def _priced(spark, sf_dir):
     orders = X.sales_orders(spark, sf_dir)
     li = X.read_table(spark, "lineitem", sf_dir).select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
@@ -453,6 +487,7 @@ def a18_month_volume(spark, sf_dir):
 from cashcast.operators import forecast as FC  # noqa: E402
 
 
+@memo
 def _model(spark, sf_dir):
     return FC.forecast_by_key(_history(spark, sf_dir), _monthly(spark, sf_dir), CFG.horizon, CFG.fallback,
                               min_rows=CFG.min_rows)
