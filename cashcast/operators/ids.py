@@ -9,11 +9,15 @@ partition count, not the data size).
 
 The tagged frame is checkpointed to the shared checkpoint folder so that both the
 partition counts and the final join read the same numbering, also after a lost
-executor forces recomputation.
+executor forces recomputation. The input is persisted while the range boundaries are
+sampled and the shuffle runs, and the tagged frame while it is checkpointed, so the
+upstream plan is computed once; both are released once the checkpoint is written
+(a lost cached block is recomputed from lineage, which is deterministic here).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,13 +36,17 @@ def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     mid = F.monotonically_increasing_id()
-    tagged = (df.repartitionByRange(n, *order_cols)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    staged = (src.repartitionByRange(n, *order_cols)
               .sortWithinPartitions(*order_cols)
               .withColumn("_mid", mid)
               .withColumn("_pid", F.shiftright(F.col("_mid"), _LOW_BITS))
               .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid"), _LOW_BITS))
               .drop("_mid")
-              .checkpoint(eager=True))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    tagged = staged.checkpoint(eager=True)
+    staged.unpersist()
+    src.unpersist()
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))

@@ -206,7 +206,7 @@ FUNNEL = [  # (stage, the stage its pass rate is measured against)
 def eligibility_funnel(orders: DataFrame, docs: DataFrame, cash: DataFrame) -> DataFrame:
     """Orders -> status ok -> not rejected -> F2 -> cancelled -> S1, and F2 -> open
     F2 -> cash, each with its pass rate against its base stage. One aggregate per source
-    table; the eight stage rows are then joined to themselves for the rates."""
+    table, computed once."""
     is_f2 = F.col("BillingDocumentType") == "F2"
     o = orders.agg(
         F.count(F.lit(1)).alias("orders"),
@@ -230,10 +230,12 @@ def eligibility_funnel(orders: DataFrame, docs: DataFrame, cash: DataFrame) -> D
     funnel = (rows(o, ["orders", "status_ok", "not_rejected"])
               .unionByName(rows(d, ["f2", "cancelled", "s1", "open_f2"]))
               .unionByName(rows(c, ["cash"])))
-    bases = funnel.select(F.col("stage").alias("base_stage"), F.col("rows").alias("_base_rows"))
-    return (funnel.join(bases, "base_stage", "left")
-            .select("step", "stage", "rows", "base_stage",
-                    F.round(F.try_divide(F.col("rows").cast("double"), F.col("_base_rows").cast("double")), 6).alias("pass_rate")))
+    # eight rows: a stage -> rows map over the whole frame gives each stage its base
+    by_stage = F.map_from_entries(F.collect_list(F.struct("stage", "rows")).over(Window.partitionBy(F.lit(0))))
+    return funnel.select(
+        "step", "stage", "rows", "base_stage",
+        F.round(F.try_divide(F.col("rows").cast("double"),
+                             F.element_at(by_stage, F.col("base_stage")).cast("double")), 6).alias("pass_rate"))
 
 
 def month_volume(orders: DataFrame, base_year: int) -> DataFrame:
