@@ -63,3 +63,11 @@ def month_angle(month) -> Column:
 def safe_pct(numerator, denominator, digits: int = 2) -> Column:
     """``round(|num| / den * 100, digits)``; null when den is null or 0 (ANSI-safe)."""
     return F.round(F.try_divide(F.abs(_c(numerator)), _c(denominator)) * F.lit(100), digits)
+
+
+def exact_mean(col, precision: int = 18, scale: int = 2) -> Column:
+    """Mean of values with at most ``scale`` decimals: the exact decimal sum over the
+    count, as a double. Unlike a floating-point ``avg`` it does not depend on the order
+    in which partitions are combined. Nulls are skipped (aggregate)."""
+    v = _c(col).cast(f"decimal({precision},{scale})")
+    return F.sum(v).cast("double") / F.count(v).cast("double")

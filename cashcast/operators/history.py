@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashcast.functions.calendar import month_start_from_parts, week_start
+from cashcast.functions.numeric import exact_mean
 
 
 def _end_ts(end) -> F.Column:
@@ -50,10 +51,14 @@ def weekly_actuals(items: DataFrame, orders: DataFrame, end, materials) -> DataF
 
 
 def monthly_regressors(weather: DataFrame, countries) -> DataFrame:
-    """P5 + A3 + X2 - mean temperature and anomaly per calendar month over the countries."""
+    """P5 + A3 + X2 - mean temperature and anomaly per calendar month over the countries.
+
+    Readings carry two decimals, so each mean is an exact decimal sum over the count:
+    the same value however the rows are split over partitions. Nulls are skipped.
+    """
     return (weather.filter(F.col("country").isin(list(countries)))
             .groupBy("year", "month")
-            .agg(F.avg("avg_temp_c").alias("avg_temp_c"), F.avg("temp_anomaly_c").alias("temp_anomaly_c"))
+            .agg(exact_mean("avg_temp_c", 12).alias("avg_temp_c"), exact_mean("temp_anomaly_c", 12).alias("temp_anomaly_c"))
             .select(month_start_from_parts("year", "month").alias("month_start"), "avg_temp_c", "temp_anomaly_c"))
 
 

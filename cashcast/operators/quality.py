@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cashcast import config as C
+from cashcast.functions.numeric import exact_mean
 
 
 def _row(one: DataFrame, name: str, expected: str, passed: Column) -> DataFrame:
@@ -74,7 +75,7 @@ def heat_anomaly(weather: DataFrame, windows) -> DataFrame:
         parts.append(weather.filter((F.col("country") == country) & F.col("month").isin(list(months))
                                     & F.col("year").isin(list(years))))
     rows = reduce(DataFrame.unionByName, parts)
-    return rows.groupBy("year").agg(F.avg("temp_anomaly_c").alias("mean_anomaly"))
+    return rows.groupBy("year").agg(exact_mean("temp_anomaly_c", 12).alias("mean_anomaly"))
 
 
 def period_uplift(lines: DataFrame, groups, year_a: int, year_b: int, months=C.SUMMER_MONTHS) -> DataFrame:

@@ -22,7 +22,9 @@ WHERE CAST(SalesOrderDate AS TIMESTAMP) <= {_END} AND Material IN ({_MATS})
   AND Material IS NOT NULL AND MaterialGroup IS NOT NULL
 GROUP BY 1, 2, 3"""),
     "regressors": (["weather"], f"""
-SELECT make_date(year, month, 1) AS month_start, AVG(avg_temp_c) AS avg_temp_c, AVG(temp_anomaly_c) AS temp_anomaly_c
+SELECT make_date(year, month, 1) AS month_start,
+       CAST(SUM(CAST(avg_temp_c AS DECIMAL(12,2))) AS DOUBLE) / CAST(COUNT(avg_temp_c) AS DOUBLE) AS avg_temp_c,
+       CAST(SUM(CAST(temp_anomaly_c AS DECIMAL(12,2))) AS DOUBLE) / CAST(COUNT(temp_anomaly_c) AS DOUBLE) AS temp_anomaly_c
 FROM weather WHERE country IN ({sql_list(CFG.countries)}) GROUP BY year, month"""),
 }
 
@@ -443,7 +445,8 @@ _heat_years = [y for _, _, ys in CFG.heat_windows for y in ys]
 _v6 = "\nUNION ALL\n".join(
     f"""SELECT 'V6 heat-wave anomaly {y}' AS "check", '> {floor}' AS expected, round(MAX(m), 6) AS observed,
        COALESCE(MAX(m) > {floor}, false) AS passed
-FROM (SELECT AVG(temp_anomaly_c) AS m FROM weather WHERE ({_heat}) AND year = {y}) h"""
+FROM (SELECT CAST(SUM(CAST(temp_anomaly_c AS DECIMAL(12,2))) AS DOUBLE) / CAST(COUNT(temp_anomaly_c) AS DOUBLE) AS m
+      FROM weather WHERE ({_heat}) AND year = {y}) h"""
     for y, floor in zip(_heat_years, _C.HEAT_ANOMALY_FLOORS))
 _ya, _yb = CFG.uplift_years
 _grp = sql_list(CFG.uplift_groups)
@@ -540,7 +543,8 @@ SELECT f.step, f.stage, f.rows, f.base_stage, round(CAST(f.rows AS DOUBLE) / CAS
 FROM funnel f LEFT JOIN funnel b ON f.base_stage = b.stage""")
 
 ORACLE["a14_heat_anomaly"] = w(["weather"], f"""
-SELECT year, round(AVG(temp_anomaly_c), 6) AS mean_anomaly FROM weather WHERE {_heat} GROUP BY year""")
+SELECT year, round(CAST(SUM(CAST(temp_anomaly_c AS DECIMAL(12,2))) AS DOUBLE) / CAST(COUNT(temp_anomaly_c) AS DOUBLE), 6) AS mean_anomaly
+FROM weather WHERE {_heat} GROUP BY year""")
 
 ORACLE["a15_uplift"] = w(["uplift"], "SELECT round(mean_a, 6) AS mean_a, round(mean_b, 6) AS mean_b, round(mean_a / mean_b, 6) AS uplift FROM uplift")
 

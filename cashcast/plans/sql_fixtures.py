@@ -101,9 +101,9 @@ FROM lineitem GROUP BY l_suppkey, year(l_shipdate), month(l_shipdate)"""),
 SELECT 'ST_' || CAST(g.n_nationkey AS VARCHAR) AS station_id, g.n_name AS station_name,
        g.r_name AS country, g.n_name AS region,
        CAST(w.year AS INTEGER) AS year, CAST(w.month AS INTEGER) AS month,
-       CAST(SUM(w.q) AS DOUBLE) / CAST(SUM(w.n) AS DOUBLE) AS avg_temp_c,
-       CAST(SUM(w.d) AS DOUBLE) / CAST(SUM(w.n) AS DOUBLE) - 5.0 AS temp_anomaly_c,
-       CAST(SUM(w.t) AS DOUBLE) / CAST(SUM(w.n) AS DOUBLE) AS precipitation_mm,
+       CAST((CAST(SUM(w.q) AS BIGINT) * 200 + CAST(SUM(w.n) AS BIGINT)) // (CAST(SUM(w.n) AS BIGINT) * 2) AS DOUBLE) / 100.0 AS avg_temp_c,
+       CAST((CAST(SUM(w.d) AS BIGINT) * 200 + CAST(SUM(w.n) AS BIGINT)) // (CAST(SUM(w.n) AS BIGINT) * 2) - 500 AS DOUBLE) / 100.0 AS temp_anomaly_c,
+       CAST((CAST(SUM(w.t) AS BIGINT) * 20 + CAST(SUM(w.n) AS BIGINT)) // (CAST(SUM(w.n) AS BIGINT) * 2) AS DOUBLE) / 10.0 AS precipitation_mm,
        false AS extreme_heat_flag
 FROM weather_parts w JOIN supplier s ON w.l_suppkey = s.s_suppkey JOIN geo g ON s.s_nationkey = g.n_nationkey
 GROUP BY g.n_nationkey, g.n_name, g.r_name, w.year, w.month"""),

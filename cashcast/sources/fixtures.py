@@ -202,6 +202,8 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     lineitem is first reduced to (supplier, year, month) partial sums, so the join
     with supplier and the final aggregate see supplier x month rows, not line rows.
+    Readings: mean quantity as temperature, mean discount in percent - 5 as anomaly,
+    mean tax in per mille as precipitation.
     """
     li = read_table(spark, "lineitem", sf_dir).select("l_suppkey", "l_quantity", "l_discount", "l_tax", "l_shipdate")
     part = (li.groupBy("l_suppkey", F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"))
@@ -212,6 +214,11 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = part.join(sup, part.l_suppkey == sup.s_suppkey).join(F.broadcast(geo), F.col("s_nationkey") == geo.n_nationkey)
     agg = df.groupBy("n_nationkey", "n_name", "r_name", "year", "month").agg(
         F.sum("q").alias("q"), F.sum("d").alias("d"), F.sum("t").alias("t"), F.sum("n").alias("n"))
+    # readings are rounded half-up to 2 decimals (precipitation to 1), as in a weather
+    # table, using integer arithmetic: (x * 2k + n) div (2n) = round(x / n, k digits)
+    def rounded(col: str, scale: int) -> Column:
+        return F.expr(f"(CAST({col} AS BIGINT) * {2 * scale} + CAST(n AS BIGINT)) div (CAST(n AS BIGINT) * 2)")
+
     return agg.select(
         F.concat(F.lit("ST_"), F.col("n_nationkey").cast("string")).alias("station_id"),
         F.col("n_name").alias("station_name"),
@@ -219,9 +226,9 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("region"),
         F.col("year").cast("int").alias("year"),
         F.col("month").cast("int").alias("month"),
-        (F.col("q") / F.col("n")).alias("avg_temp_c"),
-        (F.col("d") / F.col("n") - F.lit(5.0)).alias("temp_anomaly_c"),
-        (F.col("t") / F.col("n")).alias("precipitation_mm"),
+        (rounded("q", 100) / F.lit(100.0)).alias("avg_temp_c"),
+        ((rounded("d", 100) - F.lit(500)) / F.lit(100.0)).alias("temp_anomaly_c"),
+        (rounded("t", 10) / F.lit(10.0)).alias("precipitation_mm"),
         F.lit(False).alias("extreme_heat_flag"),
     )
 
