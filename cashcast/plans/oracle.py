@@ -554,3 +554,19 @@ SELECT year, month, orders, round(wt, 6) AS weight, round(CAST(orders AS DOUBLE)
          {_d(1.0)} + {_offset_sql('month')} * ({_d(1.0)} + {_d(_C.YOY_GROWTH)} * (year - {CFG.base_year})) AS wt
   FROM (SELECT year(SalesOrderDate) AS year, month(SalesOrderDate) AS month, CAST(COUNT(*) AS BIGINT) AS orders
         FROM sales_orders GROUP BY 1, 2) x) y""")
+
+
+# --- profiles and listings -------------------------------------------------------------
+
+ORACLE["s7_table_profile"] = w(["sales_orders", "sales_order_items", "billing_documents", "billing_items",
+                                "cash_postings", "weather"], """
+SELECT 'salesorder' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows FROM sales_orders
+UNION ALL SELECT 'salesorderitem', CAST(COUNT(*) AS BIGINT) FROM sales_order_items
+UNION ALL SELECT 'billingdocument', CAST(COUNT(*) AS BIGINT) FROM billing_documents
+UNION ALL SELECT 'billingdocumentitem', CAST(COUNT(*) AS BIGINT) FROM billing_items
+UNION ALL SELECT 'cashflow', CAST(COUNT(*) AS BIGINT) FROM cash_postings
+UNION ALL SELECT 'weather', CAST(COUNT(*) AS BIGINT) FROM weather""")
+
+ORACLE["o5_sorted_keys"] = w(["history"], "SELECT DISTINCT Material FROM history ORDER BY Material")
+
+ORACLE["o3_first_rows"] = w(["history"], "SELECT * FROM history ORDER BY Material, week_start LIMIT 5")

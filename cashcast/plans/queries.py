@@ -524,3 +524,30 @@ def f11_skill(spark, sf_dir):
         return EV.fit_metrics(j.select("Material", F.col("actual_qty").alias("y"), F.col("predicted_qty").alias("yhat")))
 
     return EV.skill_vs_naive(scored(FC.forecast_rows(_model(spark, sf_dir))), scored(_naive_forecast_rows(spark, sf_dir)))
+
+
+# --- profiles and listings -------------------------------------------------------------
+
+@query("s7_table_profile")
+def s7_table_profile(spark, sf_dir):
+    """Row count of each business table built from the test tables (one aggregate each)."""
+    orders, items, docs = _billing(spark, sf_dir)
+    tables = [("salesorder", orders), ("salesorderitem", items), ("billingdocument", docs),
+              ("billingdocumentitem", B.billing_items(docs, items)), ("cashflow", _postings(spark, sf_dir)),
+              ("weather", X.weather(spark, sf_dir))]
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n, df in tables]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("o5_sorted_keys")
+def o5_sorted_keys(spark, sf_dir):
+    return H.sorted_keys(_history(spark, sf_dir))
+
+
+@query("o3_first_rows")
+def o3_first_rows(spark, sf_dir):
+    """O3: the first five history rows in (Material, week) order - the limit is the feature."""
+    return _history(spark, sf_dir).orderBy("Material", "week_start").limit(5)
