@@ -53,3 +53,19 @@ def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
     return (tagged.join(F.broadcast(offsets), "_pid")
             .withColumn(out_col, F.col("_off") + F.col("_local") + F.lit(1))
             .drop("_pid", "_local", "_off"))
+
+
+def rank_within(df: DataFrame, key_cols: list, order_cols: list, out_col: str = "rank",
+                num_partitions: int | None = None) -> DataFrame:
+    """1-based position of each row inside its key, in the order of ``order_cols``.
+
+    Unlike ``row_number().over(partitionBy(key))`` no key is ever held by one task: rows
+    are numbered globally over (key, order) with range partitioning - a hot key spans
+    several partitions - and each row subtracts its key's first number. The per-key
+    minimum is a partial aggregate and its join is keyed, so AQE splits a skewed key.
+    """
+    ranked = global_row_number(df, list(key_cols) + list(order_cols), "_g", num_partitions)
+    first = ranked.groupBy(*key_cols).agg(F.min("_g").alias("_g0"))
+    return (ranked.join(first, list(key_cols))
+            .withColumn(out_col, F.col("_g") - F.col("_g0") + F.lit(1))
+            .drop("_g", "_g0"))

@@ -43,8 +43,9 @@ def billing_job(spark: SparkSession, sf_dir: str, schema: str = "billingdocument
     if root is None:
         ensure_schema(spark, schema)
     orders = X.billing_orders(spark, sf_dir)
+    docs = B.cancellation_pairs(B.billing_documents(
+        orders, X.sales_order_items(spark, sf_dir, header=orders, numbered=False)))
     items = X.sales_order_items(spark, sf_dir, header=orders)
-    docs = B.cancellation_pairs(B.billing_documents(orders, items))
     out = {
         "billingdocument": _write(docs.select(*B.DOCUMENT_COLUMNS), f"{schema}.billingdocument",
                                   ["BillingDocument"], fmt, root),
@@ -60,7 +61,7 @@ def cash_job(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = DEFAULT, sc
     if root is None:
         ensure_schema(spark, schema)
     orders = X.billing_orders(spark, sf_dir)
-    items = X.sales_order_items(spark, sf_dir, header=orders)
+    items = X.sales_order_items(spark, sf_dir, header=orders, numbered=False)
     docs = B.cancellation_pairs(B.billing_documents(orders, items))
     tiers = X.customers(spark, sf_dir).filter(F.col("Tier").isNotNull()).select("Customer", "Tier")
     terms = CS.payment_terms(docs, tiers, X.customer_dunning(spark, sf_dir))

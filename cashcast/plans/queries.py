@@ -170,12 +170,20 @@ from cashcast.operators import billing as B  # noqa: E402
 
 @memo
 def _billing(spark, sf_dir):
+    """(orders, items without item numbers, numbered documents)."""
     orders = X.billing_orders(spark, sf_dir)
-    items = X.sales_order_items(spark, sf_dir, header=orders)
+    items = X.sales_order_items(spark, sf_dir, header=orders, numbered=False)
     docs = B.cancellation_pairs(B.billing_documents(orders, items))
     return orders, items, docs
 
 
+@memo
+def _items(spark, sf_dir):
+    """Items with their item numbers (skew-safe numbering, computed once per query)."""
+    orders, _, _ = _billing(spark, sf_dir)
+    return X.sales_order_items(spark, sf_dir, header=orders)
+
+
 @query("w9_preferred_row")
 def w9_preferred_row(spark, sf_dir):
     return X.preferred_sales_area(X.customer_sales_area(spark, sf_dir)).drop("CustKey")
@@ -184,7 +192,7 @@ def w9_preferred_row(spark, sf_dir):
 @query("a11_header_totals")
 def a11_header_totals(spark, sf_dir):
     orders = X.sales_orders(spark, sf_dir)
-    items = X.sales_order_items(spark, sf_dir, header=orders)
+    items = X.sales_order_items(spark, sf_dir, header=orders, numbered=False)
     tot = items.groupBy("SalesOrder").agg(F.sum("NetAmount").alias("_net"))
     return (orders.select("SalesOrder", "SoldToParty", "TransactionCurrency").join(tot, "SalesOrder", "left")
             .select("SalesOrder", "SoldToParty", "TransactionCurrency",
@@ -211,14 +219,14 @@ def b3_pairs(spark, sf_dir):
 
 @query("b4_items")
 def b4_items(spark, sf_dir):
-    _, items, docs = _billing(spark, sf_dir)
-    return B.billing_items(docs, items)
+    _, _, docs = _billing(spark, sf_dir)
+    return B.billing_items(docs, _items(spark, sf_dir))
 
 
 @query("b5_totals")
 def b5_totals(spark, sf_dir):
-    _, items, docs = _billing(spark, sf_dir)
-    return B.document_totals(B.billing_items(docs, items))
+    _, _, docs = _billing(spark, sf_dir)
+    return B.document_totals(B.billing_items(docs, _items(spark, sf_dir)))
 
 
 # --- cash ------------------------------------------------------------------------------
@@ -440,12 +448,13 @@ def v_cardinality(spark, sf_dir):
     orders, items, docs = _billing(spark, sf_dir)
     cash = _postings(spark, sf_dir)
     open_known = _terms(spark, sf_dir).select("BillingDocument")
-    return Q.cardinality_report(orders, items, docs, B.billing_items(docs, items), cash, open_known)
+    return Q.cardinality_report(orders, items, docs, B.billing_items(docs, _items(spark, sf_dir)), cash, open_known)
 
 
 @query("v_keys")
 def v_keys(spark, sf_dir):
-    orders, items, docs = _billing(spark, sf_dir)
+    orders, _, docs = _billing(spark, sf_dir)
+    items = _items(spark, sf_dir)
     return Q.key_report([
         ("billingdocument", docs, ["BillingDocument"]),
         ("billingdocumentitem", B.billing_items(docs, items), ["BillingDocument", "BillingDocumentItem"]),
@@ -457,7 +466,7 @@ def v_keys(spark, sf_dir):
 @query("a12_tier_share")
 def a12_tier_share(spark, sf_dir):
     orders = X.sales_orders(spark, sf_dir)
-    return Q.revenue_share(X.sales_order_items(spark, sf_dir, header=orders), orders)
+    return Q.revenue_share(X.sales_order_items(spark, sf_dir, header=orders, numbered=False), orders)
 
 
 @query("a13_funnel")
@@ -533,7 +542,7 @@ def s7_table_profile(spark, sf_dir):
     """Row count of each business table built from the test tables (one aggregate each)."""
     orders, items, docs = _billing(spark, sf_dir)
     tables = [("salesorder", orders), ("salesorderitem", items), ("billingdocument", docs),
-              ("billingdocumentitem", B.billing_items(docs, items)), ("cashflow", _postings(spark, sf_dir)),
+              ("billingdocumentitem", B.billing_items(docs, _items(spark, sf_dir))), ("cashflow", _postings(spark, sf_dir)),
               ("weather", X.weather(spark, sf_dir))]
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n, df in tables]
     out = parts[0]

@@ -154,35 +154,33 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None = None) -> DataFrame:
+def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None = None,
+                      numbered: bool = True) -> DataFrame:
     """salesorderitem: lineitem x part, with header fields carried from the order.
 
-    Item numbers come from a window partitioned by the order key; the same hash
-    partitioning serves the join with the header, so lineitem is shuffled once by order.
+    Item numbers (000010, 000020, ...) follow the line order inside each order. They are
+    computed skew-safe (``rank_within``: no order is ever held by a single task) and only
+    when asked for: totals per order do not need them.
     """
-    li = read_table(spark, "lineitem", sf_dir).select(
-        "l_orderkey", *_LINE_ORDER)
+    li = read_table(spark, "lineitem", sf_dir).select("l_orderkey", *_LINE_ORDER)
     p = read_table(spark, "part", sf_dir).select("p_partkey", "p_type", "p_brand")
     hdr = (header if header is not None else sales_orders(spark, sf_dir)).select(
         "OrderKey", "SalesOrganization", "DistributionChannel", "SoldToParty",
         "TransactionCurrency", "OverallSDDocumentRejectionSts", "Tier")
     df = li.join(p, li.l_partkey == p.p_partkey).join(hdr, li.l_orderkey == hdr.OrderKey)
-    w = Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)
-    qty = F.col("l_quantity").cast("int")
     df = df.withColumn("NetAmount", net_amount())
     tax = F.when(F.col("TransactionCurrency") == "EUR",
                  F.expr("CAST(ROUND(NetAmount * 0.19, 2) AS DECIMAL(15,2))")
                  ).otherwise(F.lit(0).cast("decimal(15,2)"))
-    return df.select(
+    out = df.select(
         F.col("l_orderkey").alias("OrderKey"),
         F.col("l_orderkey").cast("string").alias("SalesOrder"),
-        padded(F.row_number().over(w) * 10).alias("SalesOrderItem"),
         F.col("p_type").alias("Material"),
         F.col("p_type").alias("Product"),
         F.when(F.col("DistributionChannel") == "10", F.lit("PLANT1")).otherwise(F.lit("PLANT2")).alias("Plant"),
         material_group(F.col("p_type")).alias("MaterialGroup"),
         F.col("p_brand").alias("ProductHierarchyNode"),
-        qty.alias("OrderQuantity"),
+        F.col("l_quantity").cast("int").alias("OrderQuantity"),
         F.lit("CS").alias("OrderQuantityUnit"),
         F.col("NetAmount"),
         tax.alias("TaxAmount"),
@@ -194,7 +192,16 @@ def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None
         F.col("p_brand").alias("InternationalArticleNumber"),
         "SalesOrganization", "DistributionChannel", "SoldToParty",
         F.col("SoldToParty").alias("PayerParty"),
+        *[F.col(c).alias(f"_o_{c}") for c in _LINE_ORDER],
     )
+    helpers = [f"_o_{c}" for c in _LINE_ORDER]
+    if not numbered:
+        return out.drop(*helpers)
+    from cashcast.operators.ids import rank_within
+    ranked = rank_within(out, ["OrderKey"], helpers, "_item")
+    cols = [c for c in out.columns if c not in helpers]
+    cols.insert(2, "SalesOrderItem")
+    return ranked.withColumn("SalesOrderItem", padded(F.col("_item") * 10)).select(*cols)
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
