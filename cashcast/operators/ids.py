@@ -55,17 +55,34 @@ def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
             .drop("_pid", "_local", "_off"))
 
 
+HOT_KEY_ROWS = 1_000_000
+
+
 def rank_within(df: DataFrame, key_cols: list, order_cols: list, out_col: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
+                hot_threshold: int = HOT_KEY_ROWS, num_partitions: int | None = None) -> DataFrame:
     """1-based position of each row inside its key, in the order of ``order_cols``.
 
-    Unlike ``row_number().over(partitionBy(key))`` no key is ever held by one task: rows
-    are numbered globally over (key, order) with range partitioning - a hot key spans
-    several partitions - and each row subtracts its key's first number. The per-key
-    minimum is a partial aggregate and its join is keyed, so AQE splits a skewed key.
+    Hot keys are split from the rest. Rows are counted per key (a partial aggregate
+    over the key columns only); keys with more than ``hot_threshold`` rows are hot. Their
+    number is at most rows / threshold, which bounds the broadcast that routes rows.
+    * other keys: ``row_number`` over a window partitioned by the key - every group has
+      at most ``hot_threshold`` rows;
+    * hot keys: numbered over the global (key, order) sequence with range partitioning,
+      so one key spans several tasks, minus the key's first number.
+    The two parts are unioned; no task ever holds a hot key whole.
     """
-    ranked = global_row_number(df, list(key_cols) + list(order_cols), "_g", num_partitions)
-    first = ranked.groupBy(*key_cols).agg(F.min("_g").alias("_g0"))
-    return (ranked.join(first, list(key_cols))
-            .withColumn(out_col, F.col("_g") - F.col("_g0") + F.lit(1))
-            .drop("_g", "_g0"))
+    keys = list(key_cols)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > hot_threshold).select(*keys)
+    w = Window.partitionBy(*keys).orderBy(*order_cols)
+    if hot.isEmpty():
+        return df.withColumn(out_col, F.row_number().over(w).cast("long"))
+    hot_b = F.broadcast(hot)
+    normal = df.join(hot_b, keys, "left_anti").withColumn(out_col, F.row_number().over(w).cast("long"))
+    heavy = df.join(hot_b, keys, "left_semi")
+    ranked = global_row_number(heavy, keys + list(order_cols), "_g", num_partitions)
+    first = ranked.groupBy(*keys).agg(F.min("_g").alias("_g0"))
+    heavy = (ranked.join(F.broadcast(first), keys)
+             .withColumn(out_col, F.col("_g") - F.col("_g0") + F.lit(1))
+             .drop("_g", "_g0"))
+    return normal.unionByName(heavy)

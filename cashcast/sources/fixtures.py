@@ -159,10 +159,14 @@ def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None
     """salesorderitem: lineitem x part, with header fields carried from the order.
 
     Item numbers (000010, 000020, ...) follow the line order inside each order. They are
-    computed skew-safe (``rank_within``: no order is ever held by a single task) and only
-    when asked for: totals per order do not need them.
+    computed skew-safe (``rank_within``: no order is ever held by a single task) on the
+    narrow lineitem rows before the joins, and only when asked for: totals per order do
+    not need them.
     """
     li = read_table(spark, "lineitem", sf_dir).select("l_orderkey", *_LINE_ORDER)
+    if numbered:
+        from cashcast.operators.ids import rank_within
+        li = rank_within(li, ["l_orderkey"], _LINE_ORDER, "_item")
     p = read_table(spark, "part", sf_dir).select("p_partkey", "p_type", "p_brand")
     hdr = (header if header is not None else sales_orders(spark, sf_dir)).select(
         "OrderKey", "SalesOrganization", "DistributionChannel", "SoldToParty",
@@ -172,9 +176,11 @@ def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None
     tax = F.when(F.col("TransactionCurrency") == "EUR",
                  F.expr("CAST(ROUND(NetAmount * 0.19, 2) AS DECIMAL(15,2))")
                  ).otherwise(F.lit(0).cast("decimal(15,2)"))
-    out = df.select(
+    item_no = [padded(F.col("_item") * 10).alias("SalesOrderItem")] if numbered else []
+    return df.select(
         F.col("l_orderkey").alias("OrderKey"),
         F.col("l_orderkey").cast("string").alias("SalesOrder"),
+        *item_no,
         F.col("p_type").alias("Material"),
         F.col("p_type").alias("Product"),
         F.when(F.col("DistributionChannel") == "10", F.lit("PLANT1")).otherwise(F.lit("PLANT2")).alias("Plant"),
@@ -192,16 +198,7 @@ def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None
         F.col("p_brand").alias("InternationalArticleNumber"),
         "SalesOrganization", "DistributionChannel", "SoldToParty",
         F.col("SoldToParty").alias("PayerParty"),
-        *[F.col(c).alias(f"_o_{c}") for c in _LINE_ORDER],
     )
-    helpers = [f"_o_{c}" for c in _LINE_ORDER]
-    if not numbered:
-        return out.drop(*helpers)
-    from cashcast.operators.ids import rank_within
-    ranked = rank_within(out, ["OrderKey"], helpers, "_item")
-    cols = [c for c in out.columns if c not in helpers]
-    cols.insert(2, "SalesOrderItem")
-    return ranked.withColumn("SalesOrderItem", padded(F.col("_item") * 10)).select(*cols)
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:

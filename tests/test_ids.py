@@ -12,3 +12,16 @@ def test_matches_row_number_and_is_partition_independent(spark):
     for parts in (1, 3, 8):
         got = {(r.k, r.j): r.rn for r in global_row_number(df.repartition(5), ["k", "j"], num_partitions=parts).collect()}
         assert got == expected
+
+
+def test_rank_within_splits_hot_keys(spark):
+    from cashcast.operators.ids import rank_within
+    # key 0 is hot (half of all rows); the others are small
+    df = spark.range(0, 4000).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 37).alias("k"),
+                                     (F.col("id") * 7919 % 100003).alias("o"))
+    expected = {(r.k, r.o): r.rn for r in df.withColumn(
+        "rn", F.row_number().over(Window.partitionBy("k").orderBy("o"))).collect()}
+    for threshold in (100, 10_000_000):
+        got = {(r.k, r.o): r.rn for r in rank_within(df, ["k"], ["o"], "rn", hot_threshold=threshold,
+                                                     num_partitions=4).collect()}
+        assert got == expected
