@@ -570,3 +570,12 @@ UNION ALL SELECT 'weather', CAST(COUNT(*) AS BIGINT) FROM weather""")
 ORACLE["o5_sorted_keys"] = w(["history"], "SELECT DISTINCT Material FROM history ORDER BY Material")
 
 ORACLE["o3_first_rows"] = w(["history"], "SELECT * FROM history ORDER BY Material, week_start LIMIT 5")
+
+ORACLE["w6_first_items"] = w(["sales_order_items"], """
+SELECT SalesOrder, SalesOrderItem, Material, OrderQuantity FROM sales_order_items WHERE CAST(SalesOrderItem AS INTEGER) <= 20""")
+
+ORACLE["x6_season"] = w(["weather"], """
+SELECT year, CASE WHEN month IN (12, 1, 2) THEN 'winter' WHEN month IN (3, 4, 5) THEN 'spring'
+                  WHEN month IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season,
+       CAST(COUNT(*) AS BIGINT) AS station_months
+FROM weather GROUP BY 1, 2""")

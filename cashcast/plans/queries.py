@@ -560,3 +560,16 @@ def o5_sorted_keys(spark, sf_dir):
 def o3_first_rows(spark, sf_dir):
     """O3: the first five history rows in (Material, week) order - the limit is the feature."""
     return _history(spark, sf_dir).orderBy("Material", "week_start").limit(5)
+
+
+@query("w6_first_items")
+def w6_first_items(spark, sf_dir):
+    return B.first_items(_items(spark, sf_dir), 2).select("SalesOrder", "SalesOrderItem", "Material", "OrderQuantity")
+
+
+@query("x6_season")
+def x6_season(spark, sf_dir):
+    """Season of each weather month, with the station-months per season and year."""
+    from cashcast.functions.calendar import season
+    wx = X.weather(spark, sf_dir)
+    return wx.groupBy("year", season("month").alias("season")).agg(F.count(F.lit(1)).alias("station_months"))
