@@ -39,7 +39,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when nothing is configured (local tests) a fresh scratch folder is made.
+    Only when nothing is configured and the master is local (tests) a fresh scratch
+    folder is made; a cluster without the setting is an error, never a local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder: ids are checkpointed there")
         configured = tempfile.mkdtemp(prefix="cashcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
