@@ -11,13 +11,16 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "cashcast") -> SparkSession:
+                  app_name: str = "cashcast", warehouse_dir: str | None = None) -> SparkSession:
     """Local session used by tests and bench.py. On a cluster, use the cluster's session."""
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
     parts = shuffle_partitions or int(cpus)
+    builder = SparkSession.builder
+    if warehouse_dir:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     spark = (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

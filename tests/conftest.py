@@ -10,6 +10,8 @@ from cashcast.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[4]", shuffle_partitions=4, app_name="cashcast-tests")
+    import tempfile
+    s = build_session(master="local[4]", shuffle_partitions=4, app_name="cashcast-tests",
+                      warehouse_dir=tempfile.mkdtemp(prefix="cashcast-warehouse-"))
     yield s
     s.stop()
