@@ -7,6 +7,7 @@ tables through ``cashcast.sources.fixtures`` so its work grows with them.
 from __future__ import annotations
 
 import functools
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,18 +20,25 @@ from cashcast.sources import fixtures as X
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Intermediates shared by the branches of one query (e.g. the numbered billing documents
-# used by several checks) are built once per query call. The memo is cleared when the
-# call returns, so every query still computes everything it needs.
-_MEMO: dict = {}
+# used by several checks) are built once per query call. The memo is per thread and
+# cleared when the call returns, so every query still computes everything it needs.
+_LOCAL = threading.local()
+
+
+def _memo_dict() -> dict:
+    if not hasattr(_LOCAL, "memo"):
+        _LOCAL.memo = {}
+    return _LOCAL.memo
 
 
 def memo(fn):
     @functools.wraps(fn)
     def wrapper(spark, sf_dir):
+        m = _memo_dict()
         key = (fn.__name__, id(spark), sf_dir)
-        if key not in _MEMO:
-            _MEMO[key] = fn(spark, sf_dir)
-        return _MEMO[key]
+        if key not in m:
+            m[key] = fn(spark, sf_dir)
+        return m[key]
     return wrapper
 
 
@@ -38,11 +46,11 @@ def query(name: str):
     def deco(fn):
         @functools.wraps(fn)
         def run(spark, sf_dir):
-            _MEMO.clear()
+            _memo_dict().clear()
             try:
                 return fn(spark, sf_dir)
             finally:
-                _MEMO.clear()
+                _memo_dict().clear()
         QUERIES[name] = run
         return fn
     return deco
