@@ -23,31 +23,48 @@ def daily_feature(lines: DataFrame) -> DataFrame:
             .agg(F.sum("OrderQuantity").alias("Sum_OrderQuantity")))
 
 
-def weekly_history(feature: DataFrame, end, materials) -> DataFrame:
+def _partial_week_start(end) -> F.Column:
+    """Monday of the week that contains ``end`` when that week runs past ``end``."""
+    d = F.lit(str(end)).cast("date")
+    return F.when(F.dayofweek(d) != 1, week_start(d))  # dayofweek: 1 = Sunday
+
+
+def weekly_history(feature: DataFrame, end, materials, drop_partial_weeks: bool = False) -> DataFrame:
     """P2-P5 + A1.
 
     Rows up to ``end`` (compared as a timestamp, so a row at 10:00 on the last day is
     out), for the listed materials, summed per (Monday, material, group). Null group
     keys are dropped, null quantities add 0, and missing weeks stay missing.
+    The last week is cut by ``end`` unless ``end`` is a Sunday; ``drop_partial_weeks``
+    leaves that week out (the default keeps it, as the original does).
     """
     ts = F.col("SalesOrderDate").cast("timestamp")
-    return (feature
+    out = (feature
             .filter(ts <= _end_ts(end))
             .filter(F.col("Material").isin(list(materials)))
             .filter(F.col("Material").isNotNull() & F.col("MaterialGroup").isNotNull())
             .groupBy(week_start(ts).alias("week_start"), "Material", "MaterialGroup")
             .agg(F.coalesce(F.sum("Sum_OrderQuantity"), F.lit(0)).cast("bigint").alias("qty")))
+    if drop_partial_weeks:
+        out = out.filter(F.coalesce(F.col("week_start") != _partial_week_start(end), F.lit(True)))
+    return out
+
 
+def weekly_actuals(items: DataFrame, orders: DataFrame, end, materials, drop_partial_weeks: bool = False) -> DataFrame:
+    """J1 + P4 + P5 + A2 - order quantity per week after the training end.
 
-def weekly_actuals(items: DataFrame, orders: DataFrame, end, materials) -> DataFrame:
-    """J1 + P4 + P5 + A2 - order quantity per week after the training end."""
+    Orders of the days after ``end`` in a week that started before it land on that
+    week's Monday (which has no forecast row); ``drop_partial_weeks`` leaves it out."""
     hdr = orders.select("SalesOrder", F.col("SalesOrderDate").cast("timestamp").alias("_ts"))
-    return (items.select("SalesOrder", "Material", "MaterialGroup", "OrderQuantity")
+    out = (items.select("SalesOrder", "Material", "MaterialGroup", "OrderQuantity")
             .join(hdr, "SalesOrder")
             .filter(F.col("_ts") > _end_ts(end))
             .filter(F.col("Material").isin(list(materials)))
             .groupBy(week_start("_ts").alias("SalesOrderDate"), "MaterialGroup", "Material")
             .agg(F.sum("OrderQuantity").cast("bigint").alias("actual_qty")))
+    if drop_partial_weeks:
+        out = out.filter(F.coalesce(F.col("SalesOrderDate") != _partial_week_start(end), F.lit(True)))
+    return out
 
 
 def monthly_regressors(weather: DataFrame, countries) -> DataFrame:

@@ -49,3 +49,18 @@ def test_split_by_date(spark):
     train, complete = H.split_by_date(df, "d", "2025-12-31", "2026-06-30")
     assert train.count() == 1 and complete.count() == 2
     assert H.test_window(df, "d", "2025-12-31", "2026-06-30").count() == 1
+
+
+def test_drop_partial_weeks(spark):
+    rows = [("2025-12-31 00:00:00", "M1", "G", 5), ("2025-12-22 00:00:00", "M1", "G", 3)]
+    df = spark.createDataFrame(rows, "SalesOrderDate string, Material string, MaterialGroup string, Sum_OrderQuantity int")
+    df = df.withColumn("SalesOrderDate", F.to_timestamp("SalesOrderDate"))
+    kept = {r.week_start for r in H.weekly_history(df, "2025-12-31", ["M1"], drop_partial_weeks=True).collect()}
+    assert kept == {dt.date(2025, 12, 22)}   # the week of Wed 31 Dec is partial
+    full = {r.week_start for r in H.weekly_history(df, "2025-12-28", ["M1"], drop_partial_weeks=True).collect()}
+    assert full == {dt.date(2025, 12, 22)}   # Sunday end: nothing partial
+    items = spark.createDataFrame([("1", "M1", "G", 4), ("2", "M1", "G", 6)],
+                                  "SalesOrder string, Material string, MaterialGroup string, OrderQuantity int")
+    orders = spark.createDataFrame([("1", dt.date(2026, 1, 1)), ("2", dt.date(2026, 1, 5))], "SalesOrder string, SalesOrderDate date")
+    act = {r.SalesOrderDate for r in H.weekly_actuals(items, orders, "2025-12-31", ["M1"], drop_partial_weeks=True).collect()}
+    assert act == {dt.date(2026, 1, 5)}
