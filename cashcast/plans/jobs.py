@@ -87,8 +87,7 @@ def forecast_job(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = DEFAULT
     model = FC.forecast_by_key(history, monthly, cfg.horizon, cfg.fallback, min_rows=cfg.min_rows)
     orders = X.read_table(spark, "orders", sf_dir).select(
         F.col("o_orderkey").cast("string").alias("SalesOrder"), F.col("o_orderdate").alias("SalesOrderDate"))
-    actuals = H.weekly_actuals(lines.select("SalesOrder", "Material", "MaterialGroup", "OrderQuantity"),
-                               orders, cfg.training_end, cfg.materials)
+    actuals = H.weekly_actuals(X.item_lines(spark, sf_dir), orders, cfg.training_end, cfg.materials)
     result = EV.forecast_vs_actual(FC.forecast_rows(model), actuals).select(*FORECAST_RESULT_COLUMNS)
     status = EV.series_status(history, cfg.min_rows, cfg.horizon, "avg_temp_c, temp_anomaly_c",
                               fit_status=FC.fit_errors(model))

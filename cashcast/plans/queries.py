@@ -73,11 +73,9 @@ def f5_weekly_history(spark, sf_dir):
 
 @query("f6_weekly_actuals")
 def f6_weekly_actuals(spark, sf_dir):
-    lines = X.order_lines(spark, sf_dir)
     orders = X.read_table(spark, "orders", sf_dir).select(
         F.col("o_orderkey").cast("string").alias("SalesOrder"), F.col("o_orderdate").alias("SalesOrderDate"))
-    items = lines.select("SalesOrder", "Material", "MaterialGroup", "OrderQuantity")
-    return H.weekly_actuals(items, orders, CFG.training_end, CFG.materials)
+    return H.weekly_actuals(X.item_lines(spark, sf_dir), orders, CFG.training_end, CFG.materials)
 
 
 @query("f4_monthly_regressors")

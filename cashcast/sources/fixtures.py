@@ -139,6 +139,18 @@ def net_amount() -> Column:
                   "(1 - CAST(l_discount AS DECIMAL(15,2))), 2) AS DECIMAL(15,2))")
 
 
+def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """salesorderitem, slim: one row per item (SalesOrder, Material, MaterialGroup, OrderQuantity)."""
+    li = read_table(spark, "lineitem", sf_dir).select("l_orderkey", "l_partkey", "l_quantity")
+    p = read_table(spark, "part", sf_dir).select("p_partkey", "p_type")
+    return li.join(p, li.l_partkey == p.p_partkey).select(
+        F.col("l_orderkey").cast("string").alias("SalesOrder"),
+        F.col("p_type").alias("Material"),
+        material_group(F.col("p_type")).alias("MaterialGroup"),
+        F.col("l_quantity").cast("int").alias("OrderQuantity"),
+    )
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 slim: one row per item with the header's order date (SalesOrderDate, Material, MaterialGroup, OrderQuantity)."""
     li = read_table(spark, "lineitem", sf_dir).select("l_orderkey", "l_partkey", "l_quantity")
