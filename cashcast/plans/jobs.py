@@ -1,9 +1,9 @@
-"""End-to-end jobs that write the business tables, one per reference notebook:
+"""End-to-end jobs that write the business tables, one per pipeline stage:
 billing documents and items, cash postings and cash forecast, and the forecast result.
 
 Each job keeps the work on the executors from scan to write; the only driver-side
 results are row counts of written tables. Tables are written once and counted from
-storage, so no plan runs twice (write, count, display) as in a notebook.
+storage, so no plan runs twice (write, then count, then display).
 """
 
 from __future__ import annotations
