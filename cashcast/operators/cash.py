@@ -80,22 +80,29 @@ def collected_amount(net, rate, mult):
 
 
 def cash_postings(terms: DataFrame, base_dso: str = "base_dso", noise: str = "noise",
-                  base_rate: str = "base_rate", order_key: str = "OrderKey", prefix: str = "CF-") -> DataFrame:
+                  base_rate: str = "base_rate", order_key: str = "OrderKey", prefix: str = "CF-",
+                  numbered: bool = True) -> DataFrame:
     """C4: one cash row per open F2 with a known payer: posting date, collected amount,
     conversion into company currency (X18, via the FX dimension; an unknown currency
     gives NULL), house bank, validity value (X9) and CF-numbering (W4) in document order.
 
     ``base_dso``, ``noise`` and ``base_rate`` are input columns (the draws are data).
+    With ``numbered=False`` the CashFlowID is left NULL: consumers that only aggregate
+    the postings (seasonal index, checks) skip the global numbering.
     """
     spark = terms.sparkSession
     days, post = posting_date(F.col("BillingDocumentDate"), F.col(base_dso), F.col("adj_days"), F.col(noise))
     amount = collected_amount(F.col("TotalNetAmount"), F.col(base_rate), F.col("mult"))
     rows = (terms.withColumns({"total_dso": days, "PostingDate": post, "_amount": amount})
             .join(F.broadcast(fx_dim(spark)), "TransactionCurrency", "left"))
-    numbered = global_row_number(rows, [order_key, "BillingDocument"], "_rn")
+    if numbered:
+        rows = global_row_number(rows, [order_key, "BillingDocument"], "_rn")
+        cf_id = padded_id(prefix, F.col("_rn"))
+    else:
+        cf_id = F.lit(None).cast("string")
     cc = F.bround(F.col("_amount").cast("decimal(24,4)") * F.col("fx_rate"), 4).cast(MONEY)
-    return numbered.select(
-        padded_id(prefix, F.col("_rn")).alias("CashFlowID"),
+    return rows.select(
+        cf_id.alias("CashFlowID"),
         validity_value("PostingDate").alias("CshFlwValdtyStrtDteTmeVal"),
         F.lit(C.COMPANY_CODE).alias("CompanyCode"),
         F.col("PostingDate").alias("TransactionDate"),

@@ -255,12 +255,19 @@ def _terms(spark, sf_dir):
 
 @memo
 def _postings(spark, sf_dir):
+    """Numbered cash postings (CashFlowID assigned)."""
     return CS.cash_postings(X.cash_draws(_terms(spark, sf_dir)))
 
 
+@memo
+def _cash_rows(spark, sf_dir):
+    """Cash postings without ids, for consumers that only aggregate them."""
+    return CS.cash_postings(X.cash_draws(_terms(spark, sf_dir)), numbered=False)
+
+
 @memo
 def _index(spark, sf_dir):
-    return CS.seasonal_index(_postings(spark, sf_dir), *CFG.cash_years)
+    return CS.seasonal_index(_cash_rows(spark, sf_dir), *CFG.cash_years)
 
 
 @query("j8_dunning_default")
@@ -443,7 +450,7 @@ ALL_MATERIALS = [m for m, _ in C.MATERIAL_GROUPS]
 @query("v_integrity")
 def v_integrity(spark, sf_dir):
     orders, items, docs = _billing(spark, sf_dir)
-    cash = _postings(spark, sf_dir)
+    cash = _cash_rows(spark, sf_dir)
     return Q.integrity_report(orders, items, X.order_lines(spark, sf_dir), docs, cash, X.customers(spark, sf_dir),
                               X.weather(spark, sf_dir), ALL_MATERIALS, CFG.phased_out, CFG.heat_windows,
                               CFG.uplift_groups, CFG.uplift_years).withColumn("observed", F.round("observed", 6))
@@ -452,7 +459,7 @@ def v_integrity(spark, sf_dir):
 @query("v_cardinality")
 def v_cardinality(spark, sf_dir):
     orders, items, docs = _billing(spark, sf_dir)
-    cash = _postings(spark, sf_dir)
+    cash = _cash_rows(spark, sf_dir)
     open_known = _terms(spark, sf_dir).select("BillingDocument")
     return Q.cardinality_report(orders, items, docs, B.billing_items(docs, _items(spark, sf_dir)), cash, open_known)
 
@@ -478,7 +485,7 @@ def a12_tier_share(spark, sf_dir):
 @query("a13_funnel")
 def a13_funnel(spark, sf_dir):
     orders, _, docs = _billing(spark, sf_dir)
-    return Q.eligibility_funnel(orders, docs, _postings(spark, sf_dir))
+    return Q.eligibility_funnel(orders, docs, _cash_rows(spark, sf_dir))
 
 
 @query("a14_heat_anomaly")
@@ -548,7 +555,7 @@ def s7_table_profile(spark, sf_dir):
     """Row count of each business table built from the test tables (one aggregate each)."""
     orders, items, docs = _billing(spark, sf_dir)
     tables = [("salesorder", orders), ("salesorderitem", items), ("billingdocument", docs),
-              ("billingdocumentitem", B.billing_items(docs, _items(spark, sf_dir))), ("cashflow", _postings(spark, sf_dir)),
+              ("billingdocumentitem", B.billing_items(docs, _items(spark, sf_dir))), ("cashflow", _cash_rows(spark, sf_dir)),
               ("weather", X.weather(spark, sf_dir))]
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n, df in tables]
     out = parts[0]
