@@ -267,7 +267,17 @@ def _cash_rows(spark, sf_dir):
 
 @memo
 def _index(spark, sf_dir):
-    return CS.seasonal_index(_cash_rows(spark, sf_dir), *CFG.cash_years)
+    """Seasonal index from cash rows built on the F2 documents before numbering: the
+    index needs posting dates and amounts only, neither document nor cash ids."""
+    orders = X.billing_orders(spark, sf_dir)
+    items = X.sales_order_items(spark, sf_dir, header=orders, numbered=False)
+    f2 = (B.billing_documents(orders, items)
+          .withColumn("TotalNetAmount", F.bround(F.col("_net"), 2).cast("double"))
+          .withColumn("BillingDocument", F.lit(None).cast("string")))
+    tiers = X.customers(spark, sf_dir).filter(F.col("Tier").isNotNull()).select("Customer", "Tier")
+    terms = CS.payment_terms(f2, tiers, X.customer_dunning(spark, sf_dir))
+    rows = CS.cash_postings(X.cash_draws(terms), numbered=False)
+    return CS.seasonal_index(rows, *CFG.cash_years)
 
 
 @query("j8_dunning_default")
