@@ -579,3 +579,36 @@ SELECT year, CASE WHEN month IN (12, 1, 2) THEN 'winter' WHEN month IN (3, 4, 5)
                   WHEN month IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season,
        CAST(COUNT(*) AS BIGINT) AS station_months
 FROM weather GROUP BY 1, 2""")
+
+
+# --- model input ---------------------------------------------------------------------
+
+def _fill_sql(frame: str) -> str:
+    return f"""
+SELECT Material, ds, MaterialGroup,
+       COALESCE(last_value(t IGNORE NULLS) OVER fwd, first_value(t IGNORE NULLS) OVER bwd, {_d(CFG.fallback[0])}) AS t,
+       COALESCE(last_value(a IGNORE NULLS) OVER fwd, first_value(a IGNORE NULLS) OVER bwd, {_d(CFG.fallback[1])}) AS a
+FROM (SELECT x.*, r.avg_temp_c AS t, r.temp_anomaly_c AS a
+      FROM {frame} x LEFT JOIN regressors r ON CAST(date_trunc('month', x.ds) AS DATE) = r.month_start) j
+WINDOW fwd AS (PARTITION BY Material ORDER BY ds, MaterialGroup ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+       bwd AS (PARTITION BY Material ORDER BY ds, MaterialGroup ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"""
+
+
+_EXTRA.update({
+    "mi_hist": (["history"], f"""
+SELECT week_start AS ds, Material, MaterialGroup, CAST(qty AS DOUBLE) AS y FROM history
+WHERE Material IN (SELECT Material FROM history GROUP BY Material HAVING COUNT(*) >= {CFG.min_rows})"""),
+    "mi_full": (["mi_hist", "future"], """
+SELECT ds, Material, MaterialGroup, y FROM mi_hist
+UNION ALL
+SELECT ds, Material, MaterialGroup, CAST(NULL AS DOUBLE) AS y FROM future WHERE Material IN (SELECT Material FROM mi_hist)"""),
+    "mi_fill_train": (["mi_hist", "regressors"], _fill_sql("mi_hist")),
+    "mi_fill_full": (["mi_full", "regressors"], _fill_sql("mi_full")),
+})
+
+ORACLE["f1_model_input"] = w(["mi_full", "mi_fill_train", "mi_fill_full"], """
+SELECT f.Material, f.ds, f.MaterialGroup, m.y, m.y IS NOT NULL AS is_train,
+       round(f.t, 6) AS avg_temp_c_full, round(f.a, 6) AS temp_anomaly_c_full,
+       round(tr.t, 6) AS avg_temp_c_train, round(tr.a, 6) AS temp_anomaly_c_train
+FROM mi_fill_full f JOIN mi_full m ON f.Material = m.Material AND f.ds = m.ds
+LEFT JOIN mi_fill_train tr ON tr.Material = f.Material AND tr.ds = f.ds""")

@@ -596,3 +596,13 @@ def x6_season(spark, sf_dir):
     from cashcast.functions.calendar import season
     wx = X.weather(spark, sf_dir)
     return wx.groupBy("year", season("month").alias("season")).agg(F.count(F.lit(1)).alias("station_months"))
+
+
+@query("f1_model_input")
+def f1_model_input(spark, sf_dir):
+    """F1's input: history (A16) + future weeks (U3, F2), regressors filled over the training
+    rows and over training + future rows (F3 twice). SQL-checkable part of the model."""
+    inp = FC.model_input(_history(spark, sf_dir), _monthly(spark, sf_dir), CFG.horizon, CFG.fallback,
+                         min_rows=CFG.min_rows)
+    cols = ["avg_temp_c_full", "temp_anomaly_c_full", "avg_temp_c_train", "temp_anomaly_c_train"]
+    return inp.select("Material", "ds", "MaterialGroup", "y", "is_train", *_r6(*cols))
