@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -56,3 +58,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="cashcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per Spark context.
+
+    Functions of grouped maps are pickled by module name, so every worker must be able to
+    import the package, whatever folder the driver was started from.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_cashcast_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="cashcast-ship-"), "cashcast_src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("cashcast", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._cashcast_shipped = True
+
+
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage: the table outlives executors, and later stages read exactly these
+    rows. Each call writes a folder of its own.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cashcast-{uuid.uuid4().hex}/{label}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
