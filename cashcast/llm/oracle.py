@@ -18,7 +18,7 @@ r AS (SELECT *, cap / weight AS ratio FROM w),
 f AS (SELECT *, (total - coalesce(sum(cap) OVER lo, 0)) / sum(weight) OVER hi AS level_ FROM r
       WINDOW lo AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
              hi AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
-lev AS (SELECT min(level_) AS level_ FROM f WHERE level_ <= ratio),
+lev AS (SELECT max(level_) AS level_ FROM f),
 t AS (SELECT f.source, source_size, least(CAST(cap AS DOUBLE), lev.level_ * weight) AS target FROM f, lev),
 q AS (SELECT d.*, source_size, target, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size, row ROWS UNBOUNDED PRECEDING) AS done

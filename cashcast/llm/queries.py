@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashcast.llm import line_rules, mixing, sharding
+from cashcast.llm import decontamination, language, line_rules, mixing, sharding
 from cashcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def query(name: str):
     return register
 
 
+@query("op1_decontaminate")
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digest(read_table(spark, "documents", sf_dir), read_table(spark, "benchmark", sf_dir))
+
+
 @query("op2_mix_sources")
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(read_table(spark, "documents", sf_dir))
@@ -29,6 +34,11 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, "documents", sf_dir))
 
 
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(read_table(spark, "documents", sf_dir))
+
+
 @query("op8_line_rules")
 def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_rules(read_table(spark, "documents", sf_dir))
