@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,5 +25,22 @@ def sample_by(rows: DataFrame, group: str, bound: int, key: Column) -> DataFrame
     return rows.filter(pick)
 
 
-def read_array(blob: bytes, kind=np.float32) -> np.ndarray:
-    return np.frombuffer(blob, kind)
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int,
+                    bound: int) -> list[tuple[str, int, float]]:
+    """(text, label, weight) of about ``bound`` labelled documents of each label 0 and 1.
+
+    Ids of the held-out fold, null ids and other labels are left out; an id labelled twice has
+    its larger label, rows of one id are learned once (smallest text). The weights bring the
+    sample back to the shares of the labels table.
+    """
+    y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).filter(
+        F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != held))
+    y = y.groupBy("doc_id").agg(F.max("label").alias("label"))
+    total = {r[0]: r[1] for r in y.groupBy("label").count().collect()}
+    picked = sample_by(y, "label", bound, F.col("doc_id"))  # its size is the documented bound
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = own.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
+    rows.sort(key=lambda r: r.doc_id)
+    have = {v: sum(r.label == v for r in rows) for v in (0, 1)}
+    n = sum(total.values())
+    return [(r.text, r.label, total[r.label] / n * len(rows) / have[r.label]) for r in rows]
