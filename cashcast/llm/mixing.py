@@ -73,18 +73,21 @@ def fair_queue(rows: DataFrame, sizes: DataFrame, budget: float, ranges: int = R
     queue = rows.filter("size > 0").withColumn("_key", key).withColumn("_cut", cut)
     sent = queue.groupBy("source", "_cut").agg(F.sum("size").alias("_sum"))
     before = Window.partitionBy("source").orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
-    sent = sent.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    sent = sent.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    queue = queue.alias("q").join(sent.alias("s"), same(queue, sent) & (queue["_cut"] == sent["_cut"])).select("q.*", "s._before")
+    sent = sent.alias("q").join(sizes.alias("s"), same(sent, sizes)).filter("s.target > 0").select(
+        "q.source", "q._cut", "q._before", "s.source_size", "s.target")
+    queue = queue.alias("q").join(sent.alias("s"), same(queue, sent) & (queue["_cut"] == sent["_cut"])).select(
+        "q.*", "s._before", "s.source_size", "s.target")
     inside = (Window.partitionBy("source", "_cut").orderBy("_key", "doc_id", "size", "row")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     queue = queue.withColumn("_done", F.col("_before") + F.sum("size").over(inside))
-    queue = queue.alias("q").join(sizes.alias("s"), same(queue, sizes)).select("q.*", "s.source_size", "s.target")
     epochs = F.ceil(F.col("target") / F.col("source_size")).cast("int")
-    copies = queue.filter("target > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), epochs)))
+    copies = queue.withColumn("epoch", F.explode(F.sequence(F.lit(1), epochs)))
     copies = copies.withColumn("finish", (F.col("_done") + (F.col("epoch") - 1) * F.col("source_size")) / F.col("target"))
     copies = copies.withColumn("_time", F.floor(F.col("finish") * ranges)).select(
         "row", "doc_id", "source", "size", "epoch", "_key", "finish", "_time")
+    copies = store(copies, "mix_copies")  # read by both steps below
     # the global order, range by range of virtual time
     spent = copies.groupBy("_time").agg(F.sum("size").alias("_sum"))
     upto = Window.orderBy("_time").rowsBetween(Window.unboundedPreceding, -1)
