@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashcast.llm import decontamination, language, line_rules, mixing, sharding
+from cashcast.llm import decontamination, language, line_rules, mixing, quality, sharding, toxicity
 from cashcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,11 +29,21 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(read_table(spark, "documents", sf_dir))
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(read_table(spark, "documents", sf_dir), read_table(spark, "labels", sf_dir))
+
+
 @query("op4_shards")
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, "documents", sf_dir))
 
 
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, "documents", sf_dir), read_table(spark, "labels", sf_dir))
+
+
 @query("op7_language_id")
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(read_table(spark, "documents", sf_dir))

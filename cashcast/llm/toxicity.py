@@ -27,11 +27,17 @@ from cashcast.session import ship_package
 LEARN_DOCS = 2500
 EPOCHS = 12
 BATCH = 32
-BUCKET_BITS = 17
+BUCKET_BITS = 18
 DIM = 8
 RATE = 0.4
 DECAY = 1e-6
 SIZES = (3, 4, 5)
+#: Texts of the sample that a bucket must occur in to be trained; other buckets stay zero.
+MIN_TEXTS = 4
+#: Long texts are scored by equal passages of about so many bytes; the most toxic one counts.
+PASSAGE = 2048
+#: Neutral subwords averaged into every bag, so that a few n-grams alone decide nothing.
+NEUTRAL = 400
 THRESHOLD = 0.5
 
 _WORD = tk.byte_table((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF), (0x40, 0x40))
@@ -39,15 +45,40 @@ _PLAIN = np.where(_WORD, np.arange(256), 0x20).astype(np.uint8)
 _PLAIN[0x41:0x5B] = np.arange(0x61, 0x7B)
 
 
-def subwords(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bucket, text row) of all words and character n-grams of a piece, a pair for each size."""
+def passages(off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of equal passages of about ``PASSAGE`` bytes, and the first passage of each text."""
+    size = np.diff(off)
+    k = np.maximum(1, size // PASSAGE)
+    first = np.concatenate([[0], np.cumsum(k)])
+    row = np.repeat(np.arange(len(size)), k)
+    at = off[:-1][row] + (np.arange(first[-1]) - first[:-1][row]) * size[row] // k[row]
+    return np.append(at, off[-1]), first
+
+
+def subwords(data: np.ndarray, off: np.ndarray, bins: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bucket, bin) of all words and character n-grams of a piece, a pair of arrays for each size.
+
+    ``bins`` are offsets that cut the bytes into texts or passages. A word equal to the one
+    before it is left out.
+    """
     n = len(off) - 1
+    mask = np.uint64((1 << BUCKET_BITS) - 1)
+    starts, ends, row = tk.word_spans(data, off, _WORD)
+    word = tk.span_hash(tk.prefix_sums(tk.LOWER[data]), starts, ends)
+    again = np.zeros(len(word), bool)
+    again[1:] = (word[1:] == word[:-1]) & (row[1:] == row[:-1])
+    yield (word[~again] & mask).astype(np.int64), np.searchsorted(bins, starts[~again], "right") - 1
+    plain = _PLAIN[data]
+    if again.any():
+        drop = np.zeros(len(data) + 1, np.int8)
+        drop[starts[again]] += 1
+        drop[ends[again]] -= 1
+        plain[np.cumsum(drop[:-1]) > 0] = 0x20
     rows = np.repeat(np.arange(n), np.diff(off))
     t = np.full(len(data) + n + 1, 0x20, np.uint8)  # a blank between texts
-    t[np.arange(len(data)) + rows + 1] = _PLAIN[data]
+    t[np.arange(len(data)) + rows + 1] = plain
     begin = off + np.arange(n + 1)
     gaps = np.concatenate([[0], np.cumsum(t == 0x20)])
-    mask = np.uint64((1 << BUCKET_BITS) - 1)
     wide = t.astype(np.uint64)
     packed = wide
     for k in range(2, max(SIZES) + 1):
@@ -55,18 +86,18 @@ def subwords(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np
         if k in SIZES:
             inside = gaps[k - 1:len(t)][:len(packed)] - gaps[1:1 + len(packed)]
             at = np.flatnonzero(inside == 0)
-            yield ((tk.mix(packed[at] + np.uint64(k << 56)) & mask).astype(np.int64),
-                   np.searchsorted(begin, at, "right") - 1)
-    starts, ends, row = tk.word_spans(data, off, _WORD)
-    yield (tk.span_hash(tk.prefix_sums(tk.LOWER[data]), starts, ends) & mask).astype(np.int64), row
+            row = np.searchsorted(begin, at, "right") - 1
+            place = np.maximum(at - row - 1, off[row])
+            yield (tk.mix(packed[at] + np.uint64(k << 56)) & mask).astype(np.int64), np.searchsorted(bins, place, "right") - 1
 
 
 class Bags:
     """Embeddings of the buckets and the softmax weights over their average."""
 
-    def __init__(self) -> None:
+    def __init__(self, known: np.ndarray) -> None:
         rng = np.random.default_rng(5)
         self.vectors = rng.uniform(-1, 1, (1 << BUCKET_BITS, DIM)) / DIM
+        self.vectors[~known] = 0
         self.softmax = np.zeros((DIM, 2))
         self.bias = np.zeros(2)
         self.seen = np.full((1 << BUCKET_BITS, DIM), 1e-6)
@@ -100,13 +131,17 @@ class Bags:
 
 def fit(sample: list[tuple[str, int, float]], epochs: int = EPOCHS) -> np.ndarray:
     """Margins of all buckets (bias last) from (text, label, weight) of a bounded sample."""
-    model = Bags()
-    bags = []
+    bags, texts = [], np.zeros(1 << BUCKET_BITS, int)
     for text, _, _ in sample:
         raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-        b = np.concatenate([x for x, _ in subwords(raw, np.array([0, len(raw)]))])
+        off = np.array([0, len(raw)])
+        b = np.concatenate([x for x, _ in subwords(raw, off, off)])
         used, n = np.unique(b, return_counts=True)
-        bags.append((used.astype(np.int32), (n / max(len(b), 1)).astype(np.float32)))
+        texts[used] += 1
+        bags.append((used.astype(np.int32), (n / (len(b) + NEUTRAL)).astype(np.float32)))
+    known = texts >= MIN_TEXTS
+    bags = [(b[known[b]], n[known[b]]) for b, n in bags]
+    model = Bags(known)
     labels = np.array([y for _, y, _ in sample], int)
     weight = np.array([w for _, _, w in sample])
     rng = np.random.default_rng(17)
@@ -126,11 +161,12 @@ def _scorer(spark: SparkSession, margins: np.ndarray):
         for b in batches:
             for i, j, data, off in tk.pieces(b.column("text")):
                 n = j - i
-                margin, total = np.zeros(n), np.zeros(n)
-                for bucket, rows in subwords(data, off):
-                    margin += np.bincount(rows, weights=m[bucket], minlength=n)
-                    total += np.bincount(rows, minlength=n)
-                logit = float(m[-1]) + margin / np.maximum(total, 1)
+                bins, first = passages(off)
+                margin, total = np.zeros(len(bins) - 1), np.zeros(len(bins) - 1)
+                for bucket, part in subwords(data, off, bins):
+                    margin += np.bincount(part, weights=m[bucket], minlength=len(margin))
+                    total += np.bincount(part, minlength=len(margin))
+                logit = float(m[-1]) + np.maximum.reduceat(margin / (total + NEUTRAL), first[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(i, n), pa.array(1 / (1 + np.exp(-np.clip(logit, -30, 30))))], ["doc_id", "score"])
     return run
