@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashcast.llm import decontamination, language, line_rules, mixing, quality, sharding, toxicity
+from cashcast.llm import decontamination, language, line_rules, mixing, ngram_join, quality, sharding, toxicity
 from cashcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_line_rules")
 def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_rules(read_table(spark, "documents", sf_dir))
+
+
+@query("op9_ngram_join")
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(read_table(spark, "documents", sf_dir))

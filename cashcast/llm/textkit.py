@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 1 << 19
+#: Texts of a piece at most.
+PIECE_ROWS = 1 << 13
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -61,6 +63,7 @@ def pieces(col: pa.Array, limit: int = PIECE) -> Iterator[tuple[int, int, np.nda
     i = 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
+        j = min(j, i + PIECE_ROWS)
         yield i, j, data[off[i]:off[j]], off[i:j + 1] - off[i]
         i = j
 
@@ -139,3 +142,41 @@ def window_hash(words: np.ndarray, length: int) -> np.ndarray:
 
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
+
+
+def distinct(rows: np.ndarray, h: np.ndarray, major: np.ndarray | None = None) -> np.ndarray:
+    """Indices of the distinct hashes of each text, in the order of text, ``major`` (below 64) and hash."""
+    top = rows.astype(U64) << U64(50)
+    if major is not None:
+        top |= major.astype(U64) << U64(44)
+    key = top | (h >> U64(20))
+    order = np.argsort(key)
+    k, v = key[order], h[order]
+    tie = k[1:] == k[:-1]
+    if np.any(tie & (v[1:] != v[:-1])):  # equal in 44 bits only
+        order = np.lexsort((h, key))
+        k, v = key[order], h[order]
+        tie = k[1:] == k[:-1]
+    new = np.ones(len(order), bool)
+    new[1:] = ~(tie & (v[1:] == v[:-1]))
+    return order[new]
+
+
+def shingles(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text row) of all runs of ``length`` words; a shorter text with words is one run.
+
+    Words are runs of non-blank bytes, A-Z taken as a-z.
+    """
+    starts, ends, rows = word_spans(data, off, NON_BLANK)
+    words = span_hash(prefix_sums(LOWER[data]), starts, ends)
+    g = window_hash(words, length)
+    inside = rows[:len(g)] == rows[length - 1:length - 1 + len(g)]
+    n = np.bincount(rows, minlength=len(off) - 1)
+    short = np.flatnonzero((n > 0) & (n < length))
+    if not len(short):
+        return g[inside], rows[:len(g)][inside]
+    first = row_starts(rows, len(off) - 1)
+    whole = span_hash(prefix_sums(words), first[short], first[short] + n[short]) ^ U64(0x5851F42D4C957F2D)
+    h, r = np.concatenate([g[inside], whole]), np.concatenate([rows[:len(g)][inside], short])
+    order = np.argsort(r, kind="stable")
+    return h[order], r[order]
