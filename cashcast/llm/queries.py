@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashcast.llm import decontamination, language, line_rules, mixing, ngram_join, quality, sharding, toxicity
+from cashcast.llm import decontamination, language, line_rules, mixing, ngram_join, quality, sharding, substring_index, toxicity
 from cashcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, "documents", sf_dir))
 
 
+@query("op5_repeats")
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_index.remove_repeats(read_table(spark, "documents", sf_dir))
+
+
 @query("op6_toxicity")
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(read_table(spark, "documents", sf_dir), read_table(spark, "labels", sf_dir))
