@@ -9,7 +9,7 @@ their prefix and need more shared tokens. A pair is verified, exactly, if it sha
 the smaller l of the two.
 
 Links are wanted as components, so lists of a token are not expanded into all pairs: first
-every list's members meet only their list's hub (the smallest id). What still lies in
+every list's members meet only their list's hub (the one with the fewest rarer tokens). What still lies in
 another component than its hub is a stray; after some hub rounds, strays meet all members
 of their lists that are not in their own component, whatever number that is, so no link
 between different components is lost.
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cashcast.llm import textkit as tk
@@ -31,15 +31,17 @@ from cashcast.session import ship_package, store
 SHINGLE = 4
 PERCENT = 85
 #: log2 of the sketch's counters; most tokens to share; estimated costs of a posting, of a met
-#: posting and of a verification; rows of a token's list that go to one task.
+#: posting and of a verification; share of the sets that meet in one more token; rows of a
+#: token's list that go to one task.
 SKETCH_BITS = 16
-MAX_MATCHES = 4
+MAX_MATCHES = 3
 POSTING, MEET, VERIFY = 1.0, 0.02, 30.0
+DECAY = 0.6
 LIST_ROWS = 20_000
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 
 _BASE = "doc_id long, row long, n int, s long"
-_POSTING = "token long, salt int, hot boolean, s long, n int, l int, doc_id long"
+_POSTING = "token long, salt int, hot boolean, s long, n int, l int, pos int, doc_id long"
 
 
 def _sets(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -76,24 +78,29 @@ def _counting(length: int):
     return run
 
 
-def frequencies(texts: DataFrame, length: int) -> np.ndarray:
-    """Estimated documents of a shingle by its counter, at least 1; 2^SKETCH_BITS numbers."""
+def frequencies(texts: DataFrame, length: int) -> tuple[np.ndarray, float]:
+    """Estimated documents of a shingle by its counter (2^SKETCH_BITS numbers, at least 1), and the
+    other documents that a shingle of unknown frequency is in, on average.
+
+    The second follows from the counters' second moment: what they vary more than counts of
+    unshared shingles would is due to shared ones.
+    """
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     got = texts.select("text").mapInArrow(_counting(length), "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
     for r in got.toPandas().itertuples(index=False):
         counts[r.counter] = r.n
-    usual = np.median(counts)
-    return np.maximum(1.0, counts - usual - 4 * np.sqrt(usual + 1)).astype(np.float32)
+    usual = float(np.median(counts))
+    noise = usual + 4 * np.sqrt(usual + 1)
+    cool = counts[counts <= noise]
+    others = max(0.0, float(cool.var()) / max(float(cool.mean()), 1.0) - 1) if len(cool) else 0.0
+    return np.where(counts > noise, np.maximum(1.0, counts - usual), 1.0).astype(np.float32), others
 
 
-def matches(n: np.ndarray, f_sums: list[np.ndarray], lengths: list[np.ndarray], docs: int, percent: int) -> np.ndarray:
-    """The l of least estimated cost for sets of size n; f_sums[l-1] are the frequencies in the prefix for l."""
+def matches(n: np.ndarray, met: list[np.ndarray], lengths: list[np.ndarray], percent: int) -> np.ndarray:
+    """The l of least estimated cost for sets of size n; for each l, the postings met and the prefix's length."""
     best, best_cost = np.ones(len(n), np.int64), None
-    fact = 1.0
-    for m in range(1, MAX_MATCHES + 1):
-        fact *= m
-        met = np.maximum(f_sums[m - 1] - lengths[m - 1], 0)
-        cost = POSTING * lengths[m - 1] + MEET * met + VERIFY * docs * (met / docs) ** m / fact
+    for m in range(1, len(met) + 1):
+        cost = POSTING * lengths[m - 1] + (MEET + VERIFY * DECAY ** (m - 1)) * met[m - 1]
         if best_cost is None:
             best_cost = cost
             continue
@@ -102,7 +109,7 @@ def matches(n: np.ndarray, f_sums: list[np.ndarray], lengths: list[np.ndarray],
     return best
 
 
-def _prefixes(freq, docs: int, length: int, percent: int):
+def _prefixes(freq, others: float, length: int, percent: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f_all = freq.value
         level = np.floor(np.log2(f_all)).astype(np.int64)
@@ -124,16 +131,17 @@ def _prefixes(freq, docs: int, length: int, percent: int):
                 f = f_all[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 sums = np.concatenate([[0.0], np.cumsum(f, dtype=float)])
                 need = (size * percent + 99) // 100
-                lengths = [np.minimum(size - need + m, size) for m in range(1, MAX_MATCHES + 1)]
-                m = matches(size, [sums[begin + x] - sums[begin] for x in lengths], lengths, docs, percent)
+                lengths = [np.minimum(size - need + m, size) for m in range(1, most + 1)]
+                m = matches(size, [sums[begin + x] - sums[begin] + (others - 1) * x for x in lengths], lengths, percent)
                 take = np.minimum(size - need + m, size)
-                keep = np.arange(len(h)) - begin[rows] < take[rows]
-                h, r, f = h[keep], rows[keep], f[keep]
+                pos = np.arange(len(h)) - begin[rows]
+                keep = pos < take[rows]
+                h, r, f, pos = h[keep], rows[keep], f[keep], pos[keep]
                 salts = np.maximum(1, np.ceil(f / LIST_ROWS)).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(tk.signed(h)), pa.array((s[r] % salts).astype(np.int32)), pa.array(salts > 1), pa.array(tk.signed(s[r])),
-                     pa.array(n[r].astype(np.int32)), pa.array(m[r].astype(np.int32)), pa.array(ids[i:j][r].astype(np.int64))],
-                    ["token", "salt", "hot", "s", "n", "l", "doc_id"])
+                     pa.array(n[r].astype(np.int32)), pa.array(m[r].astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(ids[i:j][r].astype(np.int64))],
+                    ["token", "salt", "hot", "s", "n", "l", "pos", "doc_id"])
     return run
 
 
@@ -213,22 +221,24 @@ def _verify(percent: int):
 class Join:
     """The join of one table: its classes, live lists, verified links and components."""
 
-    def __init__(self, docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> None:
+    def __init__(self, docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, most: int = MAX_MATCHES) -> None:
         ship_package(docs.sparkSession)
         self.spark: SparkSession = docs.sparkSession
         self.length, self.percent = length, percent
         own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        self.texts = own
+        self.texts, self.tested = own, None
         self.rows = store(own.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_bases(length), _BASE), "ngram_rows")
-        self.docs = max(1, self.rows.count())
-        freq = self.spark.sparkContext.broadcast(frequencies(own, length))
-        postings = own.mapInArrow(_prefixes(freq, self.docs, length, percent), _POSTING)
+        freq, others = frequencies(own, length)
+        postings = own.mapInArrow(_prefixes(self.spark.sparkContext.broadcast(freq), others, length, percent, most), _POSTING)
         dealt = postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "s", "doc_id")
         self.lists = store(dealt.mapInArrow(_lists, _POSTING), "ngram_lists")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) of classes that reach the threshold."""
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = store(pairs, "ngram_pairs")
+        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         classes = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()
         asked = self.rows.join(classes, "s").select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"))
         bloom = self.spark.sparkContext.broadcast(Bloom(asked, F.col("doc_id")))
@@ -240,10 +250,19 @@ class Join:
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
         return store(both.mapInArrow(_verify(self.percent), "a long, b long"), "ngram_links")
 
-    def candidates(self, met: DataFrame) -> DataFrame:
-        """Pairs (a < b) among (s, n, l, s2, n2, l2), a row per shared token, that share enough tokens."""
+    def reaches(self) -> Column:
+        """Can a pair of (s, n, l, pos, s2, n2, l2, pos2) that shares this token reach the threshold?
+
+        The sizes must fit, and of the first l common tokens each, at position pos, must leave
+        enough tokens behind it in both sets: at most l - 1 common ones come before.
+        """
         fits = 100 * F.least("n", "n2") >= self.percent * F.greatest("n", "n2")
-        return (met.filter(fits).groupBy(F.least("s", "s2").alias("a"), F.greatest("s", "s2").alias("b"))
+        left = F.least("l", "l2") - 1 + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
+        return fits & ((100 + self.percent) * left >= self.percent * (F.col("n") + F.col("n2")))
+
+    def candidates(self, met: DataFrame) -> DataFrame:
+        """Pairs (a < b) that share enough tokens, from a row (s, n, l, pos and the same of the other) per shared token."""
+        return (met.groupBy(F.least("s", "s2").alias("a"), F.greatest("s", "s2").alias("b"))
                 .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("l", "l2")).alias("l"))
                 .filter("shared >= l").select("a", "b"))
 
@@ -251,22 +270,24 @@ class Join:
         """Links (a, b) between classes that give all components."""
         found, lists = None, self.lists.withColumn("c", F.col("s"))
         cols = ["s", "n", "l", "c"]
+        other = [F.col(f"hub.{c}").alias(c + "2") for c in ["pos", *cols]]
         for k in range(HUB_ROUNDS):
-            # the hub of a list: the smallest id; later, of its members that are not in the first hub's component
-            hub = lists.groupBy("token").agg(F.min(F.struct("doc_id", *cols)).alias("hub"))
+            # the hub of a list: the member with the least tokens of its own before it, as the original of
+            # near copies has; later, of the members that are not in the first hub's component
+            hub = lists.groupBy("token").agg(F.min(F.struct("pos", "doc_id", *cols)).alias("hub"))
             met = lists.join(hub, "token").filter(F.col("c") != F.col("hub.c"))
             if k:
-                again = met.groupBy("token").agg(F.min(F.struct("doc_id", *cols)).alias("hub"))
+                again = met.groupBy("token").agg(F.min(F.struct("pos", "doc_id", *cols)).alias("hub"))
                 met = met.drop("hub").join(again, "token").filter(F.col("c") != F.col("hub.c"))
-            met = met.select("s", "n", "l", F.col("hub.s").alias("s2"), F.col("hub.n").alias("n2"), F.col("hub.l").alias("l2"))
-            found, lists = self._round(found, met)
-        hub = lists.groupBy("token").agg(F.min(F.struct("doc_id", *cols)).alias("hub"))
+            found, lists = self._round(found, met.select("pos", *cols, *other).filter(self.reaches()))
+        hub = lists.groupBy("token").agg(F.min(F.struct("pos", "doc_id", *cols)).alias("hub"))
         strays = lists.join(hub, "token").filter(F.col("c") != F.col("hub.c")).select(
-            "token", *cols, F.col("hub.c").alias("hub_c"))
-        other = lists.select("token", *[F.col(c).alias(c + "2") for c in cols])
-        met = strays.join(other, "token").filter(
-            (F.col("c") != F.col("c2")) & ((F.col("c2") == F.col("hub_c")) | (F.col("s") < F.col("s2"))))
-        return self._round(found, met.select("s", "n", "l", "s2", "n2", "l2"))[0]
+            "token", "pos", *cols, F.col("hub.c").alias("hub_c"))
+        members = lists.select("token", *[F.col(c).alias(c + "2") for c in ["pos", *cols]])
+        apart = (F.col("c") != F.col("c2")) & ((F.col("c2") == F.col("hub_c")) | (F.col("s") < F.col("s2")))
+        met = strays.join(members, "token").filter(apart & self.reaches())
+        self.final = met
+        return self._round(found, met)[0]
 
     def _round(self, found: DataFrame | None, met: DataFrame) -> tuple[DataFrame, DataFrame]:
         new = self.verified(self.candidates(met))
