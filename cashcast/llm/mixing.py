@@ -102,9 +102,25 @@ def fair_queue(rows: DataFrame, sizes: DataFrame, budget: float, ranges: int = R
             .groupBy("row").agg(F.sum("taken").cast("long").alias("taken")))
 
 
-def mix(docs: DataFrame, max_epochs: float = MAX_EPOCHS, budget: float | None = None,
-        cycle: tuple[int, ...] = (1, 2, 3), ranges: int = RANGES) -> tuple[DataFrame, DataFrame]:
-    """(rows with row, doc_id, source, size and the text's hash; their source_size, target, taken).
+def plan(rows: DataFrame, max_epochs: float = MAX_EPOCHS, budget: float | None = None,
+         cycle: tuple[int, ...] = (1, 2, 3), ranges: int = RANGES) -> DataFrame:
+    """Rows of (row, doc_id, source, size) with source_size, target and taken."""
+    sizes = ranked_weights(rows.groupBy("source").agg(F.sum("size").alias("source_size")), cycle)
+    sizes = store(targets(sizes, max_epochs, budget), "mix_targets")
+    spend = sizes.agg(F.sum("target")).first()[0] or 0.0
+    taken = fair_queue(rows, sizes, spend, ranges)
+    whole = rows.alias("r").join(sizes.alias("s"), rows["source"].eqNullSafe(sizes["source"])).select(
+        "r.*", "s.source_size", "s.target")
+    return whole.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+
+
+def _columns(prefix: str = "") -> list[Column]:
+    return [F.col(f"{prefix}doc_id").cast("long").alias("doc_id"), F.col(f"{prefix}source").cast("string").alias("source"),
+            doc_size(F.col(f"{prefix}text").cast("string")).alias("size")]
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """One row per row of ``docs``: doc_id, size, source_size, target, taken, source.
 
     ``docs`` needs ``doc_id``, ``text`` and ``source``; other columns are ignored, whatever
     their names. A null text has size 0 and nothing of it is taken; a null source is a source
@@ -112,19 +128,24 @@ def mix(docs: DataFrame, max_epochs: float = MAX_EPOCHS, budget: float | None =
     their own, ordered by (hash, doc_id, size), so equal rows are interchangeable and reruns
     agree; an empty table gives no rows. Without ``budget`` all sizes together are shared.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                      doc_size(F.col("text").cast("string")).alias("size"),
-                      F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
-    rows = store(own.withColumn("row", F.monotonically_increasing_id()), "mix_sizes")
-    sizes = ranked_weights(rows.groupBy("source").agg(F.sum("size").alias("source_size")), cycle)
-    sizes = store(targets(sizes, max_epochs, budget), "mix_targets")
-    spend = sizes.agg(F.sum("target")).first()[0] or 0.0
-    taken = fair_queue(rows.drop("text_hash"), sizes, spend, ranges)
-    whole = rows.alias("r").join(sizes.alias("s"), rows["source"].eqNullSafe(sizes["source"])).select(
-        "r.*", "s.source_size", "s.target")
-    return rows, whole.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+    rows = store(docs.select(F.monotonically_increasing_id().alias("row"), *_columns()), "mix_sizes")
+    return plan(rows, **options).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The digest of ``mix``: one row per row of ``docs``."""
-    return mix(docs, **options)[1].select("doc_id", "size", "source_size", "target", "taken", "source")
+def mixture(docs: DataFrame, **options) -> DataFrame:
+    """The documents that the mix takes, once for every copy; all columns as they are.
+
+    A copy that the budget cuts keeps its first words, and ``n_chars``, where the table has it,
+    is counted again.
+    """
+    whole = store(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
+    rows = store(whole.select("row", *_columns("doc.")), "mix_sizes")
+    taken = plan(rows, **options).filter("taken > 0").select("row", "size", "taken")
+    copies = whole.join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(0), F.floor((F.col("taken") - 1) / F.col("size")).cast("int"))))
+    words = F.least(F.col("size"), F.col("taken") - F.col("copy") * F.col("size"))
+    parts = F.regexp_extract_all(F.col("doc.text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    head = F.array_join(F.slice(parts, F.lit(1), words.cast("int")), "")
+    text = F.when(words < F.col("size"), head).otherwise(F.col("doc.text"))
+    new = {"text": text} | ({"n_chars": F.when(words < F.col("size"), F.char_length(text).cast(docs.schema["n_chars"].dataType))
+                             .otherwise(F.col("doc.n_chars"))} if "n_chars" in docs.columns else {})
+    return copies.select(*[new[c].alias(c) if c in new else F.col("doc")[c].alias(c) for c in docs.columns])

@@ -219,17 +219,16 @@ def _verify(percent: int):
 
 
 class Join:
-    """The join of one table: its classes, live lists, verified links and components."""
+    """The join of one table (row, doc_id, text): its classes, live lists, verified links and components."""
 
-    def __init__(self, docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT, most: int = MAX_MATCHES) -> None:
-        ship_package(docs.sparkSession)
-        self.spark: SparkSession = docs.sparkSession
+    def __init__(self, texts: DataFrame, length: int = SHINGLE, percent: int = PERCENT, most: int = MAX_MATCHES) -> None:
+        self.spark: SparkSession = texts.sparkSession
+        ship_package(self.spark)
         self.length, self.percent = length, percent
-        own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        self.texts, self.tested = own, None
-        self.rows = store(own.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_bases(length), _BASE), "ngram_rows")
-        freq, others = frequencies(own, length)
-        postings = own.mapInArrow(_prefixes(self.spark.sparkContext.broadcast(freq), others, length, percent, most), _POSTING)
+        self.texts, self.tested = texts.select("doc_id", "text"), None
+        self.rows = store(texts.mapInArrow(_bases(length), _BASE), "ngram_rows")
+        freq, others = frequencies(texts, length)
+        postings = self.texts.mapInArrow(_prefixes(self.spark.sparkContext.broadcast(freq), others, length, percent, most), _POSTING)
         dealt = postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "s", "doc_id")
         self.lists = store(dealt.mapInArrow(_lists, _POSTING), "ngram_lists")
 
@@ -315,16 +314,21 @@ def ngram_components(docs: DataFrame, length: int = SHINGLE, percent: int = PERC
     part in links but is never a component's id unless all its ids are null; rows of one doc_id
     are rows of their own; an empty table gives no rows. Hashes have 64 bits.
     """
-    return Join(docs, length, percent).result().select(
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                        F.monotonically_increasing_id().alias("row"))
+    return Join(texts, length, percent).result().select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def deduplicate(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each component: its smallest id (of several rows with it, the first)."""
-    found = Join(docs, length, percent).result()
-    grouped = found.filter("n > 0")
-    first = grouped.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    gone = grouped.join(first, grouped["component"].eqNullSafe(first["component"])).filter(
-        F.col("row") != F.col("first.row")).select(F.col("row").alias("_gone"))
-    inner = docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("_row"))
-    return inner.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select("doc.*")
+    """``docs`` with one row of each component: its smallest id (of several rows with it, the first).
+
+    Works on a numbered copy, so every pass sees the same rows; all columns are kept as they are.
+    """
+    whole = store(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
+    found = Join(whole.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("string").alias("text"), "row"),
+                 length, percent).result().filter("n > 0")
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    gone = found.join(first, found["component"].eqNullSafe(first["component"])).filter(
+        F.col("row") != F.col("first.row")).select("row")
+    return whole.join(gone, "row", "left_anti").select("doc.*")

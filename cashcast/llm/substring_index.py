@@ -38,7 +38,9 @@ from cashcast.session import ship_package, store
 DEPTH = 100
 SEED = 32
 #: Bytes of fragments in one run-length index (whole buckets; a larger bucket is one index).
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 18
+#: Bytes of text whose fragments are compared where they are read.
+GATHER = 8 << 20
 #: Windows of a text that are named at a time.
 SPAN = 1 << 18
 _LOW = np.uint64((1 << 20) - 1)
@@ -119,24 +121,30 @@ def _fragments(depth: int, seed: int):
         for b in batches:
             doc = b.column("doc_id").to_numpy(zero_copy_only=False)
             ids = b.column("row").to_numpy(zero_copy_only=False)
-            parts = []
+            place = np.empty(len(doc), np.int64)  # documents in corpus order
+            place[np.lexsort((ids, doc))] = np.arange(len(doc))
+            parts, gathered = [], 0
             for i, j, data, off in tk.pieces(b.column("text")):
                 a, g, r, s, e = fragments(data, off, depth, seed)
                 parts.append((tk.signed(a), tk.signed(g), r + i, s, e))
-            if not parts:
-                continue
-            a, g, r, s, e = (np.concatenate(x) for x in zip(*parts))
-            place = np.empty(len(doc), np.int64)  # documents in corpus order
-            place[np.lexsort((ids, doc))] = np.arange(len(doc))
-            order = np.lexsort((s, place[r])) if np.any(np.diff(place) < 0) else np.arange(len(r))
-            order = order[np.argsort(tk.mix(a.view(np.uint64) + tk.mix(g.view(np.uint64)))[order], kind="stable")]
-            a, g, r, s, e = a[order], g[order], r[order], s[order], e[order]
-            again = np.zeros(len(r), bool)
-            again[1:] = (a[1:] == a[:-1]) & (g[1:] == g[:-1])
-            yield _removed(ids[r[again]], s[again], e[again])
-            for c in range(0, len(r), 1 << 16):
-                k = np.flatnonzero(~again[c:c + (1 << 16)]) + c
-                yield _batch(1, a[k], g[k], doc[r[k]], ids[r[k]], s[k], e[k])
+                gathered += len(data)
+                if gathered >= GATHER:
+                    yield from firsts(parts, doc, ids, place)
+                    parts, gathered = [], 0
+            if parts:
+                yield from firsts(parts, doc, ids, place)
+
+    def firsts(parts, doc, ids, place) -> Iterator[pa.RecordBatch]:
+        a, g, r, s, e = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((s, place[r])) if np.any(np.diff(place) < 0) else np.arange(len(r))
+        order = order[np.argsort(tk.mix(a.view(np.uint64) + tk.mix(g.view(np.uint64)))[order], kind="stable")]
+        a, g, r, s, e = a[order], g[order], r[order], s[order], e[order]
+        again = np.zeros(len(r), bool)
+        again[1:] = (a[1:] == a[:-1]) & (g[1:] == g[:-1])
+        yield _removed(ids[r[again]], s[again], e[again])
+        for c in range(0, len(r), 1 << 15):
+            k = np.flatnonzero(~again[c:c + (1 << 15)]) + c
+            yield _batch(1, a[k], g[k], doc[r[k]], ids[r[k]], s[k], e[k])
     return run
 
 
@@ -224,8 +232,8 @@ def _compare(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for b in batches:
-            for c in range(0, b.num_rows, 2048):
-                part = pa.Table.from_batches([b.slice(c, 2048)])
+            for c in range(0, b.num_rows, 512):
+                part = pa.Table.from_batches([b.slice(c, 512)])
                 rest = part if rest is None else pa.concat_tables([rest, part])
                 if rest.nbytes < INDEX_BYTES:
                     continue
@@ -295,8 +303,9 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, seed: int = SEED, with_t
     spark = docs.sparkSession
     ship_package(spark)
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), order.alias("doc_id"),
-                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # a numbered copy: every later pass sees the same numbers, also after lost executors
+    texts = store(docs.select(F.monotonically_increasing_id().alias("row"), order.alias("doc_id"),
+                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), "texts")
     spans = repeated_spans(texts, depth, seed)
     spans = store(spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     bloom = spark.sparkContext.broadcast(Bloom(spans, F.col("row")))
