@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashcast.llm import decontamination, language, line_rules, mixing, ngram_join, quality, sharding, substring_index, toxicity
+from cashcast.llm import decontamination, fuzzy_passages, language, line_rules, mixing, ngram_join, quality, sharding, substring_index, toxicity
 from cashcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_ngram_join")
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(read_table(spark, "documents", sf_dir))
+
+
+@query("op10_fuzzy_passages")
+def op10_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_passages.passages(read_table(spark, "documents", sf_dir))
