@@ -158,11 +158,13 @@ def _matcher(w: Windows, gap: int, slop: int):
                         if s < stop:
                             spans.setdefault(r, []).extend((s - int(begin[r]), stop - int(begin[r])))
                         s, r = max(s, stop), r + 1
-                near = {}
-                nw, ns = intersect(w, terms, counts, places, slop)
-                nr = np.searchsorted(base, ns, "right") - 1
-                for r, x in set(zip(nr.tolist(), nw.tolist())):
-                    near.setdefault(max(r, 0), set()).update(w.items[x])
+                near = ids
+                if slop:
+                    near = {}
+                    nw, ns = intersect(w, terms, counts, places, slop)
+                    nr = np.searchsorted(base, ns, "right") - 1
+                    for r, x in set(zip(nr.tolist(), nw.tolist())):
+                        near.setdefault(max(r, 0), set()).update(w.items[x])
                 k = range(len(n_words))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[:, 0], mask=keys[:, 2] != 0), pa.array(keys[:, 1]), pa.array(n_words), pa.array(n_hit.astype(np.int64)),
@@ -224,15 +226,16 @@ def _numbers(spans: str):
 
 
 def digest(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    found = find(docs, items, **options)
+    """Exact matches only: words, hit words and items of every row."""
+    found = find(docs, items, slop=0, **options)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("item_ids"), ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), F.size("near_ids").cast("long").alias("n_near_items"))
+        (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that hold a window of an item."""
-    bad = find(docs, items, **options).filter("n_hit > 0").select("doc_id", "text_hash").distinct()
+    bad = find(docs, items, slop=0, **options).filter("n_hit > 0").select("doc_id", "text_hash").distinct()
     h = F.xxhash64(docs["text"].cast("string"))
     return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["doc_id"]) & (h == bad["text_hash"]), "left_anti")

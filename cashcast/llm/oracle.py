@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from cashcast.llm.decontamination import WINDOW
 from cashcast.llm.line_rules import KEEP_SHARE, MAX_REPEAT_PCT, MIN_DOCS, MIN_WORDS, SHARE
 from cashcast.llm.mixing import MAX_EPOCHS
+from cashcast.llm.ngram_join import PERCENT, SHINGLE
 from cashcast.llm.sharding import SHARD_BYTES
+from cashcast.llm.substring_index import DEPTH
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -75,4 +78,55 @@ SELECT doc_id, n_words, word_chars, n_symbols, CAST(n_dup_lines AS BIGINT) AS n_
 FROM allof
 """
 
-ORACLE = {"op2_mix_sources": OP2, "op4_shards": OP4, "op8_line_rules": OP8}
+UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP1 = rf"""
+WITH b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+                  regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{SMALL}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+d AS (SELECT row_number() OVER () AS row, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{SMALL}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bp AS (SELECT item, w, least(len(w), {WINDOW}) AS n, unnest(range(1, greatest(len(w) - {WINDOW}, 0) + 2)) AS i FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, n, w[i:i + n - 1] AS g FROM bp),
+lens AS (SELECT DISTINCT n FROM win),
+dp AS (SELECT row, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n),
+hit AS (SELECT row, dp.n, i, item FROM dp JOIN win ON dp.n = win.n AND w[i:i + dp.n - 1] = win.g),
+word AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS p FROM hit) GROUP BY row),
+items AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT row, item FROM hit) GROUP BY row)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN word USING (row) LEFT JOIN items USING (row)
+"""
+
+OP5 = rf"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) AS row, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT row, i, substr(x, 2 * CAST(i AS BIGINT) + 1, {2 * DEPTH}) AS s
+      FROM (SELECT row, x, unnest(range(0, len(x) // 2 - {DEPTH} + 1)) AS i FROM d WHERE len(x) >= {2 * DEPTH})),
+r AS (SELECT row, i FROM (SELECT row, i, row_number() OVER (PARTITION BY s ORDER BY row, i) AS k FROM w) WHERE k > 1),
+e AS (SELECT row, i, i - lag(i) OVER (PARTITION BY row ORDER BY i) AS gap FROM r),
+g AS (SELECT row, i, sum(CASE WHEN gap IS NULL OR gap > {DEPTH} THEN 1 ELSE 0 END) OVER (PARTITION BY row ORDER BY i ROWS UNBOUNDED PRECEDING) AS no FROM e),
+sp AS (SELECT row, no, min(i) AS a, max(i) + {DEPTH} AS z FROM g GROUP BY row, no),
+k AS (SELECT sp.row, count(*) AS n_spans, sum(z - a) AS n_removed FROM sp GROUP BY sp.row),
+c AS (SELECT row, a, z, coalesce(lag(z) OVER (PARTITION BY row ORDER BY a), 0) AS p FROM sp),
+kept AS (SELECT c.row, string_agg(substr(x, 2 * CAST(p AS BIGINT) + 1, 2 * CAST(a - p AS BIGINT)), '' ORDER BY a)
+                || substr(any_value(x), 2 * CAST(max(z) AS BIGINT) + 1) AS x FROM c JOIN d USING (row) GROUP BY c.row)
+SELECT doc_id, len(d.x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN k USING (row) LEFT JOIN kept USING (row)
+"""
+
+OP9 = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{SMALL}'), '{WORD}') AS w FROM documents),
+p AS (SELECT row, w, unnest(range(1, greatest(len(w) - {SHINGLE}, 0) + 2)) AS i FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT row, array_to_string(w[i:i + {SHINGLE - 1}], ' ') AS g FROM p),
+n AS (SELECT row, count(*) AS n FROM s GROUP BY row),
+m AS (SELECT a.row AS x, b.row AS y, count(*) AS both_ FROM s a JOIN s b ON a.g = b.g AND a.row < b.row GROUP BY ALL),
+l AS (SELECT x, y FROM m JOIN n nx ON nx.row = x JOIN n ny ON ny.row = y WHERE 100 * both_ >= {PERCENT} * (nx.n + ny.n - both_)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT row AS x, row AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+c AS (SELECT r.x AS row, min(doc_id) AS component_id FROM r JOIN d ON d.row = r.y GROUP BY r.x)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM d JOIN c USING (row) LEFT JOIN n USING (row)
+"""
+
+ORACLE = {"op1_decontaminate": OP1, "op2_mix_sources": OP2, "op4_shards": OP4, "op5_repeats": OP5, "op8_line_rules": OP8,
+          "op9_ngram_join": OP9}
