@@ -78,15 +78,6 @@ WARMING_TREND_PER_MONTH = 0.04
 EXTREME_HEAT_MARGIN_C = 3.0
 WEATHER_FALLBACK = (10.0, 0.0)   # documented fallback (temperature, anomaly)
 
-# monthly temperature anchors (Jan / Apr / Jul / Oct), degrees C
-ANCHOR_TEMPS = [
-    ("DE_BY", {1: -2, 4: 9, 7: 19, 10: 11}),
-    ("DE_NW", {1: 2, 4: 10, 7: 20, 10: 12}),
-    ("FR_IDF", {1: 4, 4: 12, 7: 23, 10: 14}),
-    ("ES_MD", {1: 6, 4: 15, 7: 29, 10: 17}),
-    ("US_CA", {1: 13, 4: 17, 7: 27, 10: 21}),
-]
-
 # forecast model
 MIN_HISTORY_ROWS = 10
 INTERVAL_WIDTH = 0.80

@@ -32,11 +32,6 @@ def iso_week(col) -> Column:
     return F.weekofyear(_c(col))
 
 
-def plus_days(col, days) -> Column:
-    """Date plus a day count (Column or int)."""
-    return F.date_add(_c(col), days if isinstance(days, Column) else F.lit(int(days)))
-
-
 def season(month) -> Column:
     """Meteorological season of a month number."""
     m = _c(month)
@@ -44,25 +39,6 @@ def season(month) -> Column:
             .when(m.isin(6, 7, 8), "summer").otherwise("autumn"))
 
 
-def date_spine(start, end, step_days: int = 1) -> Column:
-    """Array of dates from start to end inclusive, every ``step_days``; explode it."""
-    s = F.lit(start) if isinstance(start, (dt.date, str)) else _c(start)
-    e = F.lit(end) if isinstance(end, (dt.date, str)) else _c(end)
-    return F.sequence(s.cast("date"), e.cast("date"), F.expr(f"INTERVAL {int(step_days)} DAYS"))
-
-
-def month_spine(start, months: int) -> Column:
-    """Array of ``months`` month starts beginning at ``start``."""
-    s = F.lit(start).cast("date") if isinstance(start, (dt.date, str)) else _c(start)
-    return F.sequence(s, F.add_months(s, months - 1), F.expr("INTERVAL 1 MONTH"))
-
-
-def horizon_end(start, months: int) -> Column:
-    """Start + n months - 1 day."""
-    s = F.lit(start).cast("date") if isinstance(start, (dt.date, str)) else _c(start)
-    return F.date_sub(F.add_months(s, months), 1)
-
-
 def fiscal_year(col) -> Column:
     """Fiscal year as text."""
     return F.year(_c(col)).cast("string")

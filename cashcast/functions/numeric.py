@@ -15,26 +15,11 @@ def validity_value(date_col) -> Column:
     return (F.unix_date(_c(date_col)).cast("decimal(21,7)") * F.lit(86400)).cast("decimal(21,7)")
 
 
-def round_half_even(col, digits: int = 0) -> Column:
-    """Python-style ``round`` (banker's rounding)."""
-    return F.bround(_c(col), digits)
-
-
 def clamp(col, lo, hi) -> Column:
     """X11: ``max(lo, min(x, hi))``."""
     return F.greatest(F.lit(lo), F.least(_c(col), F.lit(hi)))
 
 
-def mean_abs(col) -> Column:
-    """Mean of absolute values (aggregate)."""
-    return F.avg(F.abs(_c(col)))
-
-
-def default(col, value) -> Column:
-    """Null default."""
-    return F.coalesce(_c(col), F.lit(value))
-
-
 def padded_id(prefix: str, n, width: int = 6) -> Column:
     """``PREFIX-000001`` style id; ``format_string`` never truncates wide numbers."""
     return F.format_string(f"{prefix}%0{width}d", _c(n).cast("long"))
@@ -45,16 +30,6 @@ def padded(n, width: int = 6) -> Column:
     return F.format_string(f"%0{width}d", _c(n).cast("long"))
 
 
-def to_money(col, precision: int = 34, scale: int = 4) -> Column:
-    """Exact decimal from a number."""
-    return _c(col).cast(f"decimal({precision},{scale})")
-
-
-def negate(col) -> Column:
-    """Reversal amount."""
-    return -_c(col)
-
-
 def month_angle(month) -> Column:
     """``2*pi*(m-1)/12``."""
     return F.lit(2.0) * F.pi() * (_c(month).cast("double") - F.lit(1.0)) / F.lit(12.0)

@@ -97,7 +97,7 @@ def cancellation_pairs(docs: DataFrame, prefix: str = "BD-") -> DataFrame:
         F.when(is_s1, F.lit(False)).otherwise(F.col("BillingDocumentIsCancelled")).alias("BillingDocumentIsCancelled"),
         F.when(is_s1, padded_id(prefix, F.col("_rn") - 1)).otherwise(F.lit(None).cast("string")).alias("CancelledBillingDocument"),
         F.when(is_s1, F.lit("C")).otherwise(F.col("AccountingPostingStatus")).alias("AccountingPostingStatus"),
-        "FiscalYear", "FiscalPeriod", "SalesOrder",
+        "FiscalYear", "FiscalPeriod", "SalesOrder", "OrderKey",
     )
 
 
@@ -105,16 +105,19 @@ def billing_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """B4 + J9 + W5: each document mirrors all items of its order; S1 items are negated.
 
     Item numbers follow the order item sequence (000010, 000020, ...), which is already
-    dense per order, so no second window is needed. gross = net + tax; discount base = net.
+    dense per order, so no second window is needed; items that were not numbered give no
+    item number. gross = net + tax; discount base = net.
     """
-    d = docs.select("BillingDocument", "SalesOrder", (F.col("BillingDocumentType") == "S1").alias("_s1"))
-    j = d.join(items, "SalesOrder")
+    key = "OrderKey" if "OrderKey" in docs.columns and "OrderKey" in items.columns else "SalesOrder"
+    d = docs.select("BillingDocument", key, (F.col("BillingDocumentType") == "S1").alias("_s1"))
+    j = d.join(items, key)
+    item_no = [F.col("SalesOrderItem").alias("BillingDocumentItem")] if "SalesOrderItem" in items.columns else []
     sign = F.when(F.col("_s1"), F.lit(-1)).otherwise(F.lit(1))
     net = (F.col("NetAmount") * sign).cast("decimal(16,2)")
     tax = (F.col("TaxAmount") * sign).cast("decimal(16,2)")
     return j.select(
         "BillingDocument",
-        F.col("SalesOrderItem").alias("BillingDocumentItem"),
+        *item_no,
         "Material", "Product", "Plant", "MaterialGroup", "ProductHierarchyNode",
         net.cast("double").alias("NetAmount"),
         (net + tax).cast("double").alias("GrossAmount"),

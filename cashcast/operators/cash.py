@@ -55,11 +55,10 @@ def payment_terms(docs: DataFrame, tiers: DataFrame, dunning: DataFrame) -> Data
     an unknown level -> +0 days, x1.00)."""
     spark = docs.sparkSession
     open_f2 = docs.filter((F.col("BillingDocumentIsCancelled") == F.lit(False)) & (F.col("BillingDocumentType") == "F2"))
-    t = tiers.select(F.col("Customer").alias("PayerParty"), "Tier")
-    lv = dunning_levels(dunning).select(F.col("Customer").alias("PayerParty"), "DunningLevel")
-    j = (open_f2.join(t, "PayerParty")
-         .join(lv, "PayerParty", "left")
-         .withColumn("DunningLevel", F.coalesce(F.col("DunningLevel"), F.lit(0)))
+    # one payer dimension (tier and level), joined to the documents once
+    payers = (tiers.select("Customer", "Tier").join(dunning_levels(dunning), "Customer", "left")
+              .select(F.col("Customer").alias("PayerParty"), "Tier", F.coalesce("DunningLevel", F.lit(0)).alias("DunningLevel")))
+    j = (open_f2.join(payers, "PayerParty")
          .join(F.broadcast(terms_dim(spark)), "Tier")
          .join(F.broadcast(dunning_dim(spark)), "DunningLevel", "left"))
     return j.withColumns({
@@ -121,7 +120,8 @@ def seasonal_index(cash: DataFrame, first_year: int, last_year: int,
                    amount: str = "AmountInCompanyCodeCurrency") -> DataFrame:
     """Mean amount per posting for each ISO week (A6) over calendar years
     [first_year, last_year], divided by the unweighted mean of those weekly means (A7);
-    index 1.0 when the overall mean is 0.
+    index 1.0 when the overall mean is 0. Postings without an amount (no rate for their
+    currency) cannot count; ``n_skipped`` tells how many of the week's they are.
 
     The weekly mean is the exact decimal sum over the count, so it does not depend on
     how rows are split over partitions. The first aggregate leaves at most 53 rows, so the overall mean is a window over a
@@ -130,7 +130,8 @@ def seasonal_index(cash: DataFrame, first_year: int, last_year: int,
     y = F.year("PostingDate")
     weekly = (cash.filter((y >= first_year) & (y <= last_year))
               .groupBy(iso_week("PostingDate").alias("iso_week"))
-              .agg((F.sum(F.col(amount)).cast("double") / F.count(F.col(amount)).cast("double")).alias("mean_amount")))
+              .agg((F.sum(F.col(amount)).cast("double") / F.count(F.col(amount)).cast("double")).alias("mean_amount"),
+                   F.count_if(F.col(amount).isNull()).alias("n_skipped")))
     overall = F.avg("mean_amount").over(_whole())
     return weekly.withColumn("overall_mean", overall).withColumn(
         "seasonal_index",
@@ -151,14 +152,15 @@ def cash_forecast(index: DataFrame, start: dt.date, months: int, growth: float =
     one-row overall mean, so the job derives from the cash table; numbers follow the
     day offset, so no window is needed.
     """
-    overall = index.agg(F.first("overall_mean", ignorenulls=True).alias("overall_mean"))
+    # the index (53 weeks at most) becomes one row, so it is computed once
+    overall = index.agg(F.first("overall_mean", ignorenulls=True).alias("overall_mean"),
+                        F.map_from_entries(F.collect_list(F.struct("iso_week", "seasonal_index"))).alias("_index"))
     start_c = F.lit(str(start)).cast("date")
     end_c = F.date_sub(F.add_months(start_c, months), 1)
-    days = overall.select("overall_mean", F.explode(F.sequence(start_c, end_c)).alias("d"))
+    days = overall.select("overall_mean", "_index", F.explode(F.sequence(start_c, end_c)).alias("d"))
     days = days.withColumn("iso_week", iso_week("d"))
-    idx = index.select("iso_week", F.col("seasonal_index").alias("_si"))
-    j = days.join(F.broadcast(idx), "iso_week", "left")
-    si = F.coalesce(F.col("_si"), F.lit(1.0))
+    j = days
+    si = F.coalesce(F.try_element_at("_index", F.col("iso_week")), F.lit(1.0))
     base = F.coalesce(F.col("overall_mean"), F.lit(0.0))
     value = F.bround(base / 7 * si * F.lit(growth) * F.lit(noise), 4).cast(MONEY)
     n = F.datediff(F.col("d"), start_c) + 1

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashcast import config as C
+from cashcast.functions.numeric import exact_mean
 from cashcast.sources.fixtures import lookup
 
 
@@ -83,14 +84,15 @@ def phase_out_filter(lines: DataFrame, phased_out, date_col: str = "SalesOrderDa
 
 def weather_lookup(orders: DataFrame, weather: DataFrame, fallback=C.WEATHER_FALLBACK) -> DataFrame:
     """Weather of the customer's (country, region) in the order's month; default
-    (10.0, 0.0) when there is none. The weather table has one row per station-month,
-    a size fixed by the station list and the calendar, so it is broadcast."""
-    w = weather.select(F.col("country").alias("_cty"), F.col("region").alias("_reg"),
-                       F.col("year").alias("_y"), F.col("month").alias("_m"), "avg_temp_c", "temp_anomaly_c")
+    (10.0, 0.0) when there is none. Several stations of one place and month count with
+    their mean, so an order never gets two rows."""
+    w = weather.groupBy(F.col("country").alias("_cty"), F.col("region").alias("_reg"),
+                        F.col("year").alias("_y"), F.col("month").alias("_m")).agg(
+        exact_mean("avg_temp_c").alias("avg_temp_c"), exact_mean("temp_anomaly_c").alias("temp_anomaly_c"))
     d = F.col("SalesOrderDate")
     cond = ((F.col("Country") == F.col("_cty")) & (F.col("Region") == F.col("_reg"))
             & (F.year(d) == F.col("_y")) & (F.month(d) == F.col("_m")))
-    return (orders.join(F.broadcast(w), cond, "left")
+    return (orders.join(w, cond, "left")
             .withColumn("avg_temp_c", F.coalesce("avg_temp_c", F.lit(float(fallback[0]))))
             .withColumn("temp_anomaly_c", F.coalesce("temp_anomaly_c", F.lit(float(fallback[1]))))
             .drop("_cty", "_reg", "_y", "_m"))
@@ -100,9 +102,13 @@ def demand_weather_features(items: DataFrame, orders: DataFrame, weather: DataFr
                             base_year: int = C.BASE_YEAR) -> DataFrame:
     """Per item line - the order month's weather (J10), seasonal weight (D1) and weather multiplier."""
     hdr = weather_lookup(orders.select("SalesOrder", "SalesOrderDate", "Country", "Region"), weather)
-    j = items.join(hdr, "SalesOrder")
+    return with_demand_factors(items.join(hdr, "SalesOrder"), base_year)
+
+
+def with_demand_factors(lines: DataFrame, base_year: int = C.BASE_YEAR) -> DataFrame:
+    """D1 and D2 on lines that carry their order's date and weather."""
     d = F.col("SalesOrderDate")
-    return j.withColumns({
+    return lines.withColumns({
         "seasonal_weight": seasonal_weight(F.month(d), F.year(d), F.col("MaterialGroup"), base_year),
         "weather_mult": weather_multiplier(F.col("avg_temp_c"), F.col("temp_anomaly_c"), F.col("MaterialGroup")),
     })

@@ -27,15 +27,20 @@ def future_weeks(history: DataFrame, horizon: int, key: str = "Material", ds: st
     return heads.select(key, group, F.explode(spine).alias("ds"))
 
 
+def weekly_totals(history: DataFrame, key: str = "Material", ds: str = "week_start", value: str = "qty") -> DataFrame:
+    """One row per series and week: the sum over the groups the series has in that week."""
+    return history.groupBy(key, ds).agg(F.sum(value).alias(value))
+
+
 def naive_yoy_forecast(history: DataFrame, horizon: int, key: str = "Material", ds: str = "week_start",
                        value: str = "qty", group: str = "MaterialGroup") -> DataFrame:
     """F10 (W8): each future week repeats the value of the same week 52 weeks earlier.
 
     A self-join on ``week - 364 days`` (not ``lag(52)``: weeks may be missing); null
-    when there was no row a year earlier.
+    when there was no row a year earlier. A week's value is the sum over its groups.
     """
     fut = future_weeks(history, horizon, key, ds, group)
-    past = history.select(F.col(key).alias("_k"), F.col(ds).alias("_past"), F.col(value).alias("_v"))
+    past = weekly_totals(history, key, ds, value).select(F.col(key).alias("_k"), F.col(ds).alias("_past"), F.col(value).alias("_v"))
     j = fut.join(past, (fut[key] == past["_k"]) & (F.date_sub(fut["ds"], 364) == past["_past"]), "left")
     return j.select(key, group, "ds", F.col("_v").cast("double").alias("predicted_qty"))
 
@@ -43,8 +48,9 @@ def naive_yoy_forecast(history: DataFrame, horizon: int, key: str = "Material",
 def naive_in_sample(history: DataFrame, key: str = "Material", ds: str = "week_start",
                     value: str = "qty") -> DataFrame:
     """In-sample naive fit: y and the value 364 days earlier, where both exist."""
-    cur = history.select(key, F.col(ds).alias("ds"), F.col(value).cast("double").alias("y"))
-    past = history.select(F.col(key).alias("_k"), F.col(ds).alias("_past"), F.col(value).cast("double").alias("yhat"))
+    total = weekly_totals(history, key, ds, value)
+    cur = total.select(key, F.col(ds).alias("ds"), F.col(value).cast("double").alias("y"))
+    past = total.select(F.col(key).alias("_k"), F.col(ds).alias("_past"), F.col(value).cast("double").alias("yhat"))
     return (cur.join(past, (cur[key] == past["_k"]) & (F.date_sub(cur["ds"], 364) == past["_past"]))
             .select(key, "ds", "y", "yhat"))
 
@@ -93,9 +99,12 @@ def with_min_history(history: DataFrame, min_rows: int, key: str = "Material") -
 
 
 def series_status(history: DataFrame, min_rows: int, horizon: int, regressors: str,
-                  key: str = "Material", ds: str = "week_start", fit_status: DataFrame | None = None) -> DataFrame:
+                  key: str = "Material", ds: str = "week_start", fit_status: DataFrame | None = None,
+                  listed=()) -> DataFrame:
     """per series - rows, training end, status (ok / skipped / failed) and reason, plus run parameters.
 
+    A ``listed`` series without any history is skipped with 0 rows.
+
     ``fit_status`` (key, error) from the model stage turns 'ok' into 'failed' when the fit raised.
     """
     heads = history.groupBy(key).agg(F.count(F.lit(1)).alias("training_rows"), F.max(ds).alias("training_end"))
@@ -103,6 +112,9 @@ def series_status(history: DataFrame, min_rows: int, horizon: int, regressors: s
         heads = heads.join(fit_status.select(key, "error"), key, "left")
     else:
         heads = heads.withColumn("error", F.lit(None).cast("string"))
+    if listed:
+        names = history.sparkSession.createDataFrame([(v,) for v in sorted(set(listed))], f"{key} {history.schema[key].dataType.simpleString()}")
+        heads = names.join(heads, key, "full").withColumn("training_rows", F.coalesce("training_rows", F.lit(0)))
     short = F.col("training_rows") < min_rows
     return heads.select(
         key, F.col("training_rows").cast("bigint").alias("training_rows"), "training_end",

@@ -22,17 +22,17 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cashcast import config as C
-from cashcast.operators.evaluate import future_weeks, with_min_history
-from cashcast.operators.regressors import attach_regressors
+from cashcast.functions.calendar import month_floor
+from cashcast.session import ship_package
 
 YEAR_DAYS = 365.25
 
-OUTPUT_SCHEMA = ("Material string, MaterialGroup string, ds date, kind string, y double, yhat double, "
-                 "yhat_lower double, yhat_upper double, error string")
+OUTPUT_COLUMNS = ("MaterialGroup string, ds date, kind string, y double, yhat double, "
+                  "yhat_lower double, yhat_upper double, error string")
 
 
 @dataclass(frozen=True)
@@ -102,61 +102,84 @@ def fit_predict(train: pd.DataFrame, predict: pd.DataFrame, reg_cols: list[str],
     return fit, pred, sigma
 
 
-def _series_model(reg_cols: list[str], spec: ModelSpec):
+def _series_model(key: str, reg_cols: list[str], spec: ModelSpec):
     z = NormalDist().inv_cdf(0.5 + spec.interval_width / 2.0)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ds").reset_index(drop=True)
-        material = pdf["Material"].iloc[0]
-        group = pdf["MaterialGroup"].iloc[0]
+        pdf = pdf.sort_values(["ds", "MaterialGroup"]).reset_index(drop=True)
+        series, group = pdf[key].iloc[0], pdf["MaterialGroup"].iloc[0]
         train = pdf[pdf["is_train"]].rename(columns={f"{c}_train": c for c in reg_cols})
         full = pdf.rename(columns={f"{c}_full": c for c in reg_cols})
         try:
             fit, pred, sigma = fit_predict(train[["ds", "y", *reg_cols]], full[["ds", *reg_cols]], reg_cols, spec)
         except Exception as exc:  # noqa: BLE001 - one bad series must not fail the others
-            return pd.DataFrame([{"Material": material, "MaterialGroup": group, "ds": None, "kind": "error",
+            return pd.DataFrame([{key: series, "MaterialGroup": group, "ds": None, "kind": "error",
                                   "y": None, "yhat": None, "yhat_lower": None, "yhat_upper": None,
-                                  "error": f"{type(exc).__name__}: {exc}"[:500]}])
+                                  "error": f"{type(exc).__name__}: {exc}"}])
         cutoff = train["ds"].max()
-        fit_rows = pd.DataFrame({"ds": train["ds"].to_numpy(), "kind": "fit", "y": train["y"].to_numpy(dtype=float),
+        fit_rows = pd.DataFrame({"ds": train["ds"].to_numpy(), "MaterialGroup": train["MaterialGroup"].to_numpy(), "kind": "fit", "y": train["y"].to_numpy(dtype=float),
                                  "yhat": fit})
         future_mask = (full["ds"] > cutoff).to_numpy()
-        fc_rows = pd.DataFrame({"ds": full["ds"].to_numpy()[future_mask], "kind": "forecast", "y": np.nan,
+        fc_rows = pd.DataFrame({"ds": full["ds"].to_numpy()[future_mask], "MaterialGroup": group, "kind": "forecast", "y": np.nan,
                                 "yhat": pred[future_mask]})
         out = pd.concat([fit_rows, fc_rows], ignore_index=True)
         out["yhat_lower"] = out["yhat"] - z * sigma
         out["yhat_upper"] = out["yhat"] + z * sigma
-        out["Material"], out["MaterialGroup"], out["error"] = material, group, None
-        return out[["Material", "MaterialGroup", "ds", "kind", "y", "yhat", "yhat_lower", "yhat_upper", "error"]]
+        out[key], out["error"] = series, None
+        return out[[key, "MaterialGroup", "ds", "kind", "y", "yhat", "yhat_lower", "yhat_upper", "error"]]
 
     return run
 
 
 def model_input(history: DataFrame, monthly: DataFrame, horizon: int, fallback=C.WEATHER_FALLBACK,
-                reg_cols=("avg_temp_c", "temp_anomaly_c"), min_rows: int = C.MIN_HISTORY_ROWS) -> DataFrame:
+                reg_cols=("avg_temp_c", "temp_anomaly_c"), min_rows: int = C.MIN_HISTORY_ROWS,
+                key: str = "Material") -> DataFrame:
     """History (A16: series with at least ``min_rows`` rows) plus its future weeks (F2), with
     regressors filled twice as in the reference: over the training rows alone (for the fit)
-    and over training + future rows (for prediction) (F3)."""
+    and over training + future rows (for prediction) (F3).
+
+    A series is one ``key``; it may hold rows of several groups in a week, all of which are
+    trained on, and has one future row per week under its first row's group. History and
+    weather are read once: the future weeks are exploded from each series' last row, and
+    both fills are windows over the one frame.
+    """
     reg_cols = list(reg_cols)
-    hist = with_min_history(history, min_rows).select(
-        F.col("week_start").alias("ds"), "Material", "MaterialGroup", F.col("qty").cast("double").alias("y"))
-    fut = future_weeks(history.join(hist.select("Material").distinct(), "Material", "left_semi"), horizon).select(
-        "ds", "Material", "MaterialGroup", F.lit(None).cast("double").alias("y"))
-    train = attach_regressors(hist, monthly, reg_cols, fallback, order_extra=("MaterialGroup",))
-    full = attach_regressors(hist.unionByName(fut), monthly, reg_cols, fallback, order_extra=("MaterialGroup",))
-    tr = train.select("Material", "ds", *[F.col(c).alias(f"{c}_train") for c in reg_cols])
-    return (full.withColumnsRenamed({c: f"{c}_full" for c in reg_cols})
-            .join(tr, ["Material", "ds"], "left")
-            .withColumn("is_train", F.col("y").isNotNull()))
+    whole = Window.partitionBy(key)
+    by_date = whole.orderBy("ds", "MaterialGroup")
+    hist = history.select(F.col("week_start").alias("ds"), key, "MaterialGroup", F.col("qty").cast("double").alias("y"))
+    hist = hist.withColumns({
+        "_n": F.count(F.lit(1)).over(whole), "_first_group": F.first("MaterialGroup").over(by_date),
+        "_last": F.row_number().over(whole.orderBy(F.desc("ds"), F.desc("MaterialGroup"))) == 1,
+    }).filter(F.col("_n") >= min_rows)
+    weeks = F.sequence(F.date_add("ds", 7), F.date_add("ds", 7 * horizon), F.expr("INTERVAL 7 DAYS"))
+    future = F.transform(weeks, lambda d: F.struct(d.alias("ds"), F.col("_first_group").alias("MaterialGroup"),
+                                                   F.lit(None).cast("double").alias("y"), F.lit(False).alias("is_train")))
+    own = F.array(F.struct("ds", "MaterialGroup", "y", F.lit(True).alias("is_train")))
+    rows = hist.select(key, F.explode(F.when(F.col("_last"), F.concat(own, future)).otherwise(own)).alias("r")).select(key, "r.*")
+    m = monthly.select(F.col("month_start").alias("_month"), *reg_cols)
+    joined = rows.withColumn("_month", month_floor("ds")).join(F.broadcast(m), "_month", "left").drop("_month")
+    fwd = by_date.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bwd = by_date.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+
+    def filled(c: str, fb: float, only_train: bool):
+        v = F.when(F.col("is_train"), F.col(c)) if only_train else F.col(c)
+        out = F.coalesce(F.last(v, ignorenulls=True).over(fwd), F.first(v, ignorenulls=True).over(bwd), F.lit(float(fb)))
+        return F.when(F.col("is_train"), out) if only_train else out
+
+    out = joined.withColumns({f"{c}_full": filled(c, fb, False) for c, fb in zip(reg_cols, fallback)}
+                             | {f"{c}_train": filled(c, fb, True) for c, fb in zip(reg_cols, fallback)})
+    return out.drop(*reg_cols)
 
 
 def forecast_by_key(history: DataFrame, monthly: DataFrame, horizon: int = C.HORIZON_WEEKS,
                     fallback=C.WEATHER_FALLBACK, reg_cols=("avg_temp_c", "temp_anomaly_c"),
-                    min_rows: int = C.MIN_HISTORY_ROWS, spec: ModelSpec = ModelSpec()) -> DataFrame:
+                    min_rows: int = C.MIN_HISTORY_ROWS, spec: ModelSpec = ModelSpec(), key: str = "Material") -> DataFrame:
     """fit and forecast every series in parallel; rows of kind 'fit' (in-sample),
     'forecast' (after each series' own last week) or 'error'."""
-    inp = model_input(history, monthly, horizon, fallback, reg_cols, min_rows)
-    return inp.groupBy("Material").applyInPandas(_series_model(list(reg_cols), spec), OUTPUT_SCHEMA)
+    ship_package(history.sparkSession)
+    inp = model_input(history, monthly, horizon, fallback, reg_cols, min_rows, key)
+    kind = history.schema[key].dataType.simpleString()
+    return inp.groupBy(key).applyInPandas(_series_model(key, list(reg_cols), spec), f"{key} {kind}, {OUTPUT_COLUMNS}")
 
 
 def forecast_rows(model_out: DataFrame) -> DataFrame:

@@ -50,14 +50,15 @@ def weekly_history(feature: DataFrame, end, materials, drop_partial_weeks: bool
     return out
 
 
-def weekly_actuals(items: DataFrame, orders: DataFrame, end, materials, drop_partial_weeks: bool = False) -> DataFrame:
+def weekly_actuals(items: DataFrame, orders: DataFrame, end, materials, drop_partial_weeks: bool = False,
+                   key: str = "SalesOrder") -> DataFrame:
     """J1 + P4 + P5 + A2 - order quantity per week after the training end.
 
     Orders of the days after ``end`` in a week that started before it land on that
     week's Monday (which has no forecast row); ``drop_partial_weeks`` leaves it out."""
-    hdr = orders.select("SalesOrder", F.col("SalesOrderDate").cast("timestamp").alias("_ts"))
-    out = (items.select("SalesOrder", "Material", "MaterialGroup", "OrderQuantity")
-            .join(hdr, "SalesOrder")
+    hdr = orders.select(key, F.col("SalesOrderDate").cast("timestamp").alias("_ts"))
+    out = (items.select(key, "Material", "MaterialGroup", "OrderQuantity")
+            .join(hdr, key)
             .filter(F.col("_ts") > _end_ts(end))
             .filter(F.col("Material").isin(list(materials)))
             .groupBy(week_start("_ts").alias("SalesOrderDate"), "MaterialGroup", "Material")

@@ -1,27 +1,22 @@
-"""Sequential ids over a global order without funnelling rows into one partition.
-
-A window ``row_number()`` with no PARTITION BY moves every row to a single task.
-Instead: range-partition on the (unique) ordering key, sort inside each partition,
-number rows locally from ``monotonically_increasing_id`` (partition index in the
-upper bits, row index in the lower 33), and add each partition's offset - a running
-sum over a table with one row per partition, broadcast back (its size is the
-partition count, not the data size).
-
-The tagged frame is checkpointed to the shared checkpoint folder so that both the
-partition counts and the final join read the same numbering, also after a lost
-executor forces recomputation. The input is persisted while the range boundaries are
-sampled and the shuffle runs, and the tagged frame while it is checkpointed, so the
-upstream plan is computed once; both are released once the checkpoint is written
-(a lost cached block is recomputed from lineage, which is deterministic here).
+"""Sequential ids over a global order without funnelling rows into one partition.
+
+A window ``row_number()`` with no PARTITION BY moves every row to a single task, and one
+partitioned by a key moves a hot key's rows to one. Instead: range-partition on the
+ordering, sort inside each partition, and write the sorted rows once, each with its
+partition and its place there (``monotonically_increasing_id`` holds both), to the shared
+checkpoint folder. A row's number is its place plus its partition's offset - a running sum
+over a table with one row per partition, broadcast back (its size is the partition count,
+not the data size). Reads of the written rows see the same numbering whatever is lost.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cashcast.session import ensure_checkpoint_dir
+from cashcast.session import store
 
 _LOW_BITS = 33
 
@@ -30,59 +25,35 @@ def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
                       num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = 1-based position of each row in the order of ``order_cols``.
 
-    ``order_cols`` must be a unique key so that the numbering is deterministic.
+    ``order_cols`` must be a unique key so that the numbering is deterministic. The caller's
+    cache, if any, is left alone.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    mid = F.monotonically_increasing_id()
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    staged = (src.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn("_mid", mid)
-              .withColumn("_pid", F.shiftright(F.col("_mid"), _LOW_BITS))
-              .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid"), _LOW_BITS))
-              .drop("_mid")
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    tagged = staged.checkpoint(eager=True)
-    staged.unpersist()
-    src.unpersist()
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = store(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                     .withColumn("_mid", F.monotonically_increasing_id()), "numbered")
+    pid = F.shiftright("_mid", _LOW_BITS)
+    counts = numbered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(out_col, F.col("_off") + F.col("_local") + F.lit(1))
-            .drop("_pid", "_local", "_off"))
-
-
-HOT_KEY_ROWS = 1_000_000
+    local = F.col("_mid") - F.shiftleft(pid, _LOW_BITS)
+    return (numbered.join(F.broadcast(offsets), pid == F.col("_pid"))
+            .withColumn(out_col, F.col("_off") + local + F.lit(1))
+            .drop("_mid", "_pid", "_off"))
 
 
 def rank_within(df: DataFrame, key_cols: list, order_cols: list, out_col: str = "rank",
-                hot_threshold: int = HOT_KEY_ROWS, num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """1-based position of each row inside its key, in the order of ``order_cols``.
 
-    Hot keys are split from the rest. Rows are counted per key (a partial aggregate
-    over the key columns only); keys with more than ``hot_threshold`` rows are hot. Their
-    number is at most rows / threshold, which bounds the broadcast that routes rows.
-    * other keys: ``row_number`` over a window partitioned by the key - every group has
-      at most ``hot_threshold`` rows;
-    * hot keys: numbered over the global (key, order) sequence with range partitioning,
-      so one key spans several tasks, minus the key's first number.
-    The two parts are unioned; no task ever holds a hot key whole.
+    The position in the global (key, order) sequence less the key's first one. A key may
+    span several ranges, so no task holds a hot key whole, a null key included; the join
+    with the first positions has one row per key on its other side, so Spark can split a
+    hot key's rows there too.
     """
     keys = list(key_cols)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_threshold).select(*keys)
-    w = Window.partitionBy(*keys).orderBy(*order_cols)
-    if hot.isEmpty():
-        return df.withColumn(out_col, F.row_number().over(w).cast("long"))
-    hot_b = F.broadcast(hot)
-    normal = df.join(hot_b, keys, "left_anti").withColumn(out_col, F.row_number().over(w).cast("long"))
-    heavy = df.join(hot_b, keys, "left_semi")
-    ranked = global_row_number(heavy, keys + list(order_cols), "_g", num_partitions)
-    first = ranked.groupBy(*keys).agg(F.min("_g").alias("_g0"))
-    heavy = (ranked.join(F.broadcast(first), keys)
-             .withColumn(out_col, F.col("_g") - F.col("_g0") + F.lit(1))
-             .drop("_g", "_g0"))
-    return normal.unionByName(heavy)
+    ranked = global_row_number(df, keys + list(order_cols), "_g", num_partitions)
+    first = ranked.groupBy(*keys).agg(F.min("_g").alias("_g0")).withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [ranked[k].eqNullSafe(first[f"_k_{k}"]) for k in keys])
+    return (ranked.join(first, same)
+            .withColumn(out_col, F.col("_g") - F.col("_g0") + F.lit(1))
+            .drop("_g", "_g0", *[f"_k_{k}" for k in keys]))

@@ -81,7 +81,9 @@ def heat_anomaly(weather: DataFrame, windows) -> DataFrame:
 def period_uplift(lines: DataFrame, groups, year_a: int, year_b: int, months=C.SUMMER_MONTHS) -> DataFrame:
     """Mean order quantity in the summer months of ``year_a`` over that of ``year_b``."""
     d = F.col("SalesOrderDate")
-    base = lines.filter(F.col("MaterialGroup").isin(list(groups)) & F.month(d).isin(list(months)))
+    in_years = [(d >= F.make_date(F.lit(y), F.lit(1), F.lit(1))) & (d <= F.make_date(F.lit(y), F.lit(12), F.lit(31)))
+                for y in (year_a, year_b)]
+    base = lines.filter((in_years[0] | in_years[1]) & F.col("MaterialGroup").isin(list(groups)) & F.month(d).isin(list(months)))
     qa = F.when(F.year(d) == year_a, F.col("OrderQuantity").cast("double"))
     qb = F.when(F.year(d) == year_b, F.col("OrderQuantity").cast("double"))
     one = base.agg(F.avg(qa).alias("mean_a"), F.avg(qb).alias("mean_b"))
@@ -103,6 +105,8 @@ def integrity_report(orders, items, lines, docs, cash, customers, weather, mater
     for year, floor in zip(years, C.HEAT_ANOMALY_FLOORS):
         one = heat.filter(F.col("year") == year).agg(F.max("mean_anomaly").alias("observed"))
         checks.append(value_check(one, f"V6 heat-wave anomaly {year}", f"> {floor}", F.col("observed") > floor))
+    checks.append(zero_check(cash.filter(F.col("AmountInCompanyCodeCurrency").isNull() & F.col("AmountInTransactionCurrency").isNotNull()),
+                             "V5b posting in a currency without rate"))
     lo, hi = C.UPLIFT_RANGE
     up = period_uplift(lines, uplift_groups, *uplift_years).select(F.col("uplift").alias("observed"))
     checks.append(value_check(up, f"V7 summer uplift {uplift_years[0]} vs {uplift_years[1]}",
@@ -158,9 +162,9 @@ def cardinality_report(orders, items, docs, doc_items, cash, open_known) -> Data
     sums = doc_items.groupBy("BillingDocument").agg(
         F.sum(F.col("NetAmount").cast("decimal(16,2)")).alias("_n"), F.sum(F.col("TaxAmount").cast("decimal(16,2)")).alias("_t"))
     checks.append(zero_check(
-        docs.join(sums, "BillingDocument")
-        .filter((F.col("TotalNetAmount").cast("decimal(16,2)") != F.col("_n"))
-                | (F.col("TotalTaxAmount").cast("decimal(16,2)") != F.col("_t"))),
+        docs.join(sums, "BillingDocument", "left")  # a document without items sums to 0
+        .filter((F.col("TotalNetAmount").cast("decimal(16,2)") != F.coalesce("_n", F.lit(0)))
+                | (F.col("TotalTaxAmount").cast("decimal(16,2)") != F.coalesce("_t", F.lit(0)))),
         "V13 header total differs from item sum"))
     return report(*checks)
 
@@ -189,11 +193,11 @@ def key_report(tables: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
 
 # --- A12, A13, A18 ---------------------------------------------------------------------
 
-def revenue_share(items: DataFrame, orders: DataFrame, by: str = "Tier") -> DataFrame:
-    """Net revenue per tier and its share of the total (a window over the few tier rows)."""
-    j = items.select("SalesOrder", "NetAmount").join(orders.select("SalesOrder", by), "SalesOrder")
-    g = j.groupBy(F.coalesce(F.col(by), F.lit("none")).alias(by)).agg(F.sum("NetAmount").alias("revenue"))
-    total = F.sum("revenue").over(Window.partitionBy(F.lit(0)))
+def revenue_share(items: DataFrame, by: str = "Tier") -> DataFrame:
+    """Net revenue per tier, customer, ... and its share of the total. ``items`` carry
+    the column ``by`` of their order; the total is an aggregate of its own."""
+    g = items.groupBy(F.coalesce(F.col(by), F.lit("none")).alias(by)).agg(F.sum("NetAmount").alias("revenue"))
+    total = items.agg(F.sum("NetAmount")).scalar()
     return g.select(by, F.col("revenue").cast("double").alias("revenue"),
                     F.round(F.try_divide(F.col("revenue").cast("double"), total.cast("double")), 6).alias("share"))
 
@@ -207,17 +211,17 @@ FUNNEL = [  # (stage, the stage its pass rate is measured against)
 def eligibility_funnel(orders: DataFrame, docs: DataFrame, cash: DataFrame) -> DataFrame:
     """Orders -> status ok -> not rejected -> F2 -> cancelled -> S1, and F2 -> open
     F2 -> cash, each with its pass rate against its base stage. One aggregate per source
-    table, computed once."""
-    is_f2 = F.col("BillingDocumentType") == "F2"
+    table, computed once. ``docs`` are the F2 documents before numbering (B2); a cancelled
+    one has its S1."""
     o = orders.agg(
         F.count(F.lit(1)).alias("orders"),
         F.count_if(F.col("OverallSDProcessStatus").isin("B", "C")).alias("status_ok"),
         F.count_if(F.col("OverallSDProcessStatus").isin("B", "C") & (F.col("OverallSDDocumentRejectionSts") != "C")).alias("not_rejected"))
     d = docs.agg(
-        F.count_if(is_f2).alias("f2"),
-        F.count_if(is_f2 & F.col("BillingDocumentIsCancelled")).alias("cancelled"),
-        F.count_if(F.col("BillingDocumentType") == "S1").alias("s1"),
-        F.count_if(is_f2 & (F.col("BillingDocumentIsCancelled") == F.lit(False))).alias("open_f2"))
+        F.count(F.lit(1)).alias("f2"),
+        F.count_if(F.col("BillingDocumentIsCancelled")).alias("cancelled"),
+        F.count_if(F.col("BillingDocumentIsCancelled")).alias("s1"),
+        F.count_if(F.col("BillingDocumentIsCancelled") == F.lit(False)).alias("open_f2"))
     c = cash.agg(F.count(F.lit(1)).alias("cash"))
     names = [n for n, _ in FUNNEL]
     base = dict(FUNNEL)

@@ -51,8 +51,8 @@ def harmonic_value(month, a0="a0", a1="a1", b1="b1") -> Column:
 
 
 def harmonic_baseline(df: DataFrame, coeffs: DataFrame, key: str = "station_id", month: str = "month") -> DataFrame:
-    """H2: baseline by month from the per-key coefficients (one row per station, broadcast)."""
-    return (df.join(F.broadcast(coeffs.select(key, "a0", "a1", "b1")), key, "left")
+    """H2: baseline by month from the per-key coefficients (one row per station)."""
+    return (df.join(coeffs.select(key, "a0", "a1", "b1"), key, "left")
             .withColumn("baseline_c", harmonic_value(F.col(month)))
             .withColumn("july_baseline_c", harmonic_value(F.lit(7)))
             .drop("a0", "a1", "b1"))

@@ -2,8 +2,9 @@
 billing documents and items, cash postings and cash forecast, and the forecast result.
 
 Each job keeps the work on the executors from scan to write; the only driver-side
-results are row counts of written tables. Tables are written once and counted from
-storage, so no plan runs twice (write, then count, then display).
+results are row counts of written tables and the outcome of the key checks. A table's
+plan runs once: its rows are staged in the shared checkpoint folder, checked there (S6:
+null and repeated keys) and written from there.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from cashcast.operators import cash as CS
 from cashcast.operators import evaluate as EV
 from cashcast.operators import forecast as FC
 from cashcast.operators import history as H
+from cashcast.operators import quality as Q
+from cashcast.session import store
 from cashcast.sources import fixtures as X
 from cashcast.sources.tables import ensure_schema, with_required, write_table
 
@@ -28,7 +31,10 @@ FORECAST_RESULT_COLUMNS = [
 
 def _write(df: DataFrame, name: str, keys: list[str], fmt: str, root: str | None) -> int:
     spark = df.sparkSession
-    checked = with_required(df, keys)
+    checked = with_required(store(df, "staged"), keys)
+    failed = Q.key_report([(name, checked, keys)]).filter(~F.col("passed")).collect()  # at most two rows
+    if failed:
+        raise ValueError("; ".join(f"{r['check']}: {r['observed']:.0f}" for r in failed))
     if root is None:
         write_table(checked, name, fmt)
         return spark.table(name).count()
@@ -84,13 +90,13 @@ def forecast_job(spark: SparkSession, sf_dir: str, cfg: ForecastConfig = DEFAULT
     lines = X.order_lines(spark, sf_dir)
     history = H.weekly_history(H.daily_feature(lines), cfg.training_end, cfg.materials)
     monthly = H.monthly_regressors(X.weather(spark, sf_dir), cfg.countries)
-    model = FC.forecast_by_key(history, monthly, cfg.horizon, cfg.fallback, min_rows=cfg.min_rows)
+    model = store(FC.forecast_by_key(history, monthly, cfg.horizon, cfg.fallback, min_rows=cfg.min_rows), "model")
     orders = X.read_table(spark, "orders", sf_dir).select(
-        F.col("o_orderkey").cast("string").alias("SalesOrder"), F.col("o_orderdate").alias("SalesOrderDate"))
-    actuals = H.weekly_actuals(X.item_lines(spark, sf_dir), orders, cfg.training_end, cfg.materials)
+        F.col("o_orderkey").alias("OrderKey"), F.col("o_orderdate").alias("SalesOrderDate"))
+    actuals = H.weekly_actuals(X.item_lines(spark, sf_dir), orders, cfg.training_end, cfg.materials, key="OrderKey")
     result = EV.forecast_vs_actual(FC.forecast_rows(model), actuals).select(*FORECAST_RESULT_COLUMNS)
     status = EV.series_status(history, cfg.min_rows, cfg.horizon, "avg_temp_c, temp_anomaly_c",
-                              fit_status=FC.fit_errors(model))
+                              fit_status=FC.fit_errors(model), listed=cfg.materials)
     return {
         "forecast_salesorderquantity_material": _write(
             result, f"{schema}.forecast_salesorderquantity_material", ["SalesOrderDate", "Material"], fmt, root),

@@ -78,18 +78,19 @@ FROM history GROUP BY Material"""),
     "future": (["heads"], f"""
 SELECT h.Material, h.MaterialGroup, h.last_week + CAST(7 * t.k AS INTEGER) AS ds
 FROM heads h CROSS JOIN range(1, {CFG.horizon + 1}) t(k)"""),
-    "naive": (["future", "history"], """
+    "weekly": (["history"], "SELECT Material, week_start, SUM(qty) AS qty FROM history GROUP BY Material, week_start"),
+    "naive": (["future", "weekly"], """
 SELECT f.Material, f.MaterialGroup, f.ds, CAST(h.qty AS DOUBLE) AS predicted_qty
-FROM future f LEFT JOIN history h ON h.Material = f.Material AND h.week_start = f.ds - 364"""),
+FROM future f LEFT JOIN weekly h ON h.Material = f.Material AND h.week_start = f.ds - 364"""),
     "actuals": (["order_lines"], f"""
 SELECT CAST(date_trunc('week', CAST(o.o_orderdate AS TIMESTAMP)) AS DATE) AS SalesOrderDate, l.MaterialGroup, l.Material,
        CAST(SUM(l.OrderQuantity) AS BIGINT) AS actual_qty
 FROM order_lines l JOIN orders o ON l.SalesOrder = CAST(o.o_orderkey AS VARCHAR)
 WHERE CAST(o.o_orderdate AS TIMESTAMP) > {_END} AND l.Material IN ({_MATS})
 GROUP BY 1, 2, 3"""),
-    "insample": (["history"], """
+    "insample": (["weekly"], """
 SELECT c.Material, c.week_start AS ds, CAST(c.qty AS DOUBLE) AS y, CAST(p.qty AS DOUBLE) AS yhat
-FROM history c JOIN history p ON p.Material = c.Material AND p.week_start = c.week_start - 364"""),
+FROM weekly c JOIN weekly p ON p.Material = c.Material AND p.week_start = c.week_start - 364"""),
 })
 
 ORACLE["f3_regressor_fill"] = w(["history", "regressors"], f"""
@@ -121,12 +122,24 @@ SELECT Material, CAST(COUNT(*) AS BIGINT) AS n, round(AVG(abs(y - yhat)), 2) AS
 FROM insample GROUP BY Material""")
 
 ORACLE["f9_series_status"] = w(["history"], f"""
-SELECT Material, CAST(COUNT(*) AS BIGINT) AS training_rows, MAX(week_start) AS training_end,
-       CASE WHEN COUNT(*) < {CFG.min_rows} THEN 'skipped' ELSE 'ok' END AS status,
-       CASE WHEN COUNT(*) < {CFG.min_rows} THEN printf('only %d rows', COUNT(*)) END AS reason,
+SELECT m.Material, CAST(COUNT(h.week_start) AS BIGINT) AS training_rows, MAX(week_start) AS training_end,
+       CASE WHEN COUNT(h.week_start) < {CFG.min_rows} THEN 'skipped' ELSE 'ok' END AS status,
+       CASE WHEN COUNT(h.week_start) < {CFG.min_rows} THEN printf('only %d rows', COUNT(h.week_start)) END AS reason,
        {CFG.horizon} AS forecast_horizon_weeks, 'multiplicative' AS seasonality_mode,
        'avg_temp_c, temp_anomaly_c' AS weather_regressors
-FROM history GROUP BY Material""")
+FROM (SELECT unnest([{_MATS}, 'UNLISTED']) AS Material) m LEFT JOIN history h ON h.Material = m.Material GROUP BY m.Material""")
+# the fits all succeed, so the model's status table is the same
+ORACLE["f9_model_status"] = ORACLE["f9_series_status"]
+
+ORACLE["f1_forecast_keys"] = w(["future", "heads"], f"""
+SELECT f.ds AS SalesOrderDate, f.Material, f.MaterialGroup, true AS in_band
+FROM future f JOIN heads h ON h.Material = f.Material WHERE h.training_rows >= {CFG.min_rows}""")
+
+ORACLE["f11_naive_metrics"] = w(["naive", "actuals"], """
+SELECT f.Material, CAST(COUNT(*) AS BIGINT) AS n, round(AVG(abs(a.actual_qty - f.predicted_qty)), 2) AS mae,
+       round(AVG(abs(a.actual_qty - f.predicted_qty) / greatest(CAST(a.actual_qty AS DOUBLE), 1.0)) * 100, 2) AS mape_pct
+FROM naive f JOIN actuals a ON a.SalesOrderDate = f.ds AND a.Material = f.Material AND a.MaterialGroup = f.MaterialGroup
+WHERE f.predicted_qty IS NOT NULL GROUP BY f.Material""")
 
 ORACLE["a16_min_history"] = w(["history"], f"""
 SELECT * FROM history WHERE Material IN (SELECT Material FROM history GROUP BY Material HAVING COUNT(*) >= {CFG.min_rows})""")
@@ -239,7 +252,8 @@ FROM cash_calc a LEFT JOIN fx_dim fx ON a.TransactionCurrency = fx.TransactionCu
     "seasonal": (["cash_postings"], f"""
 SELECT *, CASE WHEN overall_mean <> 0 THEN mean_amount / overall_mean ELSE 1.0 END AS seasonal_index FROM (
   SELECT *, AVG(mean_amount) OVER () AS overall_mean FROM (
-    SELECT CAST(weekofyear(PostingDate) AS INTEGER) AS iso_week, CAST(SUM(AmountInCompanyCodeCurrency) AS DOUBLE) / CAST(COUNT(AmountInCompanyCodeCurrency) AS DOUBLE) AS mean_amount
+    SELECT CAST(weekofyear(PostingDate) AS INTEGER) AS iso_week, CAST(SUM(AmountInCompanyCodeCurrency) AS DOUBLE) / CAST(COUNT(AmountInCompanyCodeCurrency) AS DOUBLE) AS mean_amount,
+           COUNT(*) - COUNT(AmountInCompanyCodeCurrency) AS n_skipped
     FROM cash_postings WHERE year(PostingDate) BETWEEN {CFG.cash_years[0]} AND {CFG.cash_years[1]}
     GROUP BY 1) w) x"""),
 })
@@ -267,7 +281,7 @@ SELECT CashFlowID, {_dbl(['CshFlwValdtyStrtDteTmeVal'])}, CompanyCode, Transacti
        GlobalCurrency, {_dbl(['AmountInGlobalCurrency'])}, BankAccountInternalID, BillingDocument
 FROM cash_postings""")
 
-ORACLE["c5_seasonal_index"] = w(["seasonal"], "SELECT iso_week, mean_amount, round(seasonal_index, 6) AS seasonal_index FROM seasonal")
+ORACLE["c5_seasonal_index"] = w(["seasonal"], "SELECT iso_week, mean_amount, round(seasonal_index, 6) AS seasonal_index, n_skipped FROM seasonal")
 
 _FC_START = f"DATE '{CFG.cash_forecast_start}'"
 ORACLE["c6_cash_forecast"] = w(["seasonal"], f"""
@@ -465,6 +479,7 @@ ORACLE["v_integrity"] = w(["sales_orders", "sales_order_items", "order_lines", "
     _zero("V4 billing payer unknown", "billing_documents d WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.Customer = d.PayerParty)"),
     _zero("V5 posting before billing date", "cash_postings c JOIN billing_documents d ON c.BillingDocument = d.BillingDocument "
           "WHERE c.PostingDate < d.BillingDocumentDate"),
+    _zero("V5b posting in a currency without rate", "cash_postings WHERE AmountInCompanyCodeCurrency IS NULL AND AmountInTransactionCurrency IS NOT NULL"),
     _v6,
     f"""SELECT 'V7 summer uplift {_ya} vs {_yb}' AS "check", 'between {_ulo} and {_uhi}' AS expected,
        round(mean_a / mean_b, 6) AS observed, COALESCE(mean_a / mean_b BETWEEN {_ulo} AND {_uhi}, false) AS passed FROM uplift""",
@@ -522,6 +537,11 @@ ORACLE["v_keys"] = w(["billing_documents", "billing_items", "cash_postings", "sa
     _keys_sql("salesorderitem", "sales_order_items", ["SalesOrder", "SalesOrderItem"]),
 ]))
 
+ORACLE["a12_customer_share"] = w(["sales_order_items"], """
+SELECT SoldToParty, CAST(revenue AS DOUBLE) AS revenue,
+       round(CAST(revenue AS DOUBLE) / CAST(SUM(revenue) OVER () AS DOUBLE), 6) AS share
+FROM (SELECT COALESCE(SoldToParty, 'none') AS SoldToParty, SUM(NetAmount) AS revenue FROM sales_order_items GROUP BY 1) x""")
+
 ORACLE["a12_tier_share"] = w(["sales_orders", "sales_order_items"], """
 SELECT Tier, CAST(revenue AS DOUBLE) AS revenue,
        round(CAST(revenue AS DOUBLE) / CAST(SUM(revenue) OVER () AS DOUBLE), 6) AS share

@@ -74,8 +74,8 @@ def f5_weekly_history(spark, sf_dir):
 @query("f6_weekly_actuals")
 def f6_weekly_actuals(spark, sf_dir):
     orders = X.read_table(spark, "orders", sf_dir).select(
-        F.col("o_orderkey").cast("string").alias("SalesOrder"), F.col("o_orderdate").alias("SalesOrderDate"))
-    return H.weekly_actuals(X.item_lines(spark, sf_dir), orders, CFG.training_end, CFG.materials)
+        F.col("o_orderkey").alias("OrderKey"), F.col("o_orderdate").alias("SalesOrderDate"))
+    return H.weekly_actuals(X.item_lines(spark, sf_dir), orders, CFG.training_end, CFG.materials, key="OrderKey")
 
 
 @query("f4_monthly_regressors")
@@ -111,6 +111,8 @@ from cashcast.operators import evaluate as EV  # noqa: E402
 from cashcast.operators.regressors import attach_regressors  # noqa: E402
 
 REGRESSORS = "avg_temp_c, temp_anomaly_c"
+# every listed material gets a status row, also one that was never ordered before the training end
+LISTED = (*CFG.materials, "UNLISTED")
 
 
 @memo
@@ -161,7 +163,7 @@ def f8_fit_metrics(spark, sf_dir):
 
 @query("f9_series_status")
 def f9_series_status(spark, sf_dir):
-    return EV.series_status(_history(spark, sf_dir), CFG.min_rows, CFG.horizon, REGRESSORS)
+    return EV.series_status(_history(spark, sf_dir), CFG.min_rows, CFG.horizon, REGRESSORS, listed=LISTED)
 
 
 @query("a16_min_history")
@@ -214,13 +216,13 @@ def b1_eligible(spark, sf_dir):
 @query("b2_documents")
 def b2_documents(spark, sf_dir):
     _, _, docs = _billing(spark, sf_dir)
-    return docs.filter(F.col("BillingDocumentType") == "F2")
+    return docs.filter(F.col("BillingDocumentType") == "F2").drop("OrderKey")
 
 
 @query("b3_pairs")
 def b3_pairs(spark, sf_dir):
     _, _, docs = _billing(spark, sf_dir)
-    return docs
+    return docs.drop("OrderKey")
 
 
 @query("b4_items")
@@ -231,8 +233,8 @@ def b4_items(spark, sf_dir):
 
 @query("b5_totals")
 def b5_totals(spark, sf_dir):
-    _, _, docs = _billing(spark, sf_dir)
-    return B.document_totals(B.billing_items(docs, _items(spark, sf_dir)))
+    _, items, docs = _billing(spark, sf_dir)
+    return B.document_totals(B.billing_items(docs, items))
 
 
 # --- cash ------------------------------------------------------------------------------
@@ -266,18 +268,27 @@ def _cash_rows(spark, sf_dir):
 
 
 @memo
-def _index(spark, sf_dir):
-    """Seasonal index from cash rows built on the F2 documents before numbering: the
-    index needs posting dates and amounts only, neither document nor cash ids."""
+def _plain_documents(spark, sf_dir):
+    """(orders, F2 documents before numbering): for what needs no document ids."""
     orders = X.billing_orders(spark, sf_dir)
     items = X.sales_order_items(spark, sf_dir, header=orders, numbered=False)
-    f2 = (B.billing_documents(orders, items)
-          .withColumn("TotalNetAmount", F.bround(F.col("_net"), 2).cast("double"))
+    return orders, B.billing_documents(orders, items)
+
+
+@memo
+def _plain_cash(spark, sf_dir):
+    """Cash rows built on the F2 documents before numbering: dates and amounts, no ids."""
+    _, f2 = _plain_documents(spark, sf_dir)
+    f2 = (f2.withColumn("TotalNetAmount", F.bround(F.col("_net"), 2).cast("double"))
           .withColumn("BillingDocument", F.lit(None).cast("string")))
     tiers = X.customers(spark, sf_dir).filter(F.col("Tier").isNotNull()).select("Customer", "Tier")
     terms = CS.payment_terms(f2, tiers, X.customer_dunning(spark, sf_dir))
-    rows = CS.cash_postings(X.cash_draws(terms), numbered=False)
-    return CS.seasonal_index(rows, *CFG.cash_years)
+    return CS.cash_postings(X.cash_draws(terms), numbered=False)
+
+
+@memo
+def _index(spark, sf_dir):
+    return CS.seasonal_index(_plain_cash(spark, sf_dir), *CFG.cash_years)
 
 
 @query("j8_dunning_default")
@@ -316,7 +327,7 @@ def c4_postings(spark, sf_dir):
 @query("c5_seasonal_index")
 def c5_seasonal_index(spark, sf_dir):
     return _index(spark, sf_dir).select(
-        "iso_week", "mean_amount", F.round("seasonal_index", 6).alias("seasonal_index"))
+        "iso_week", "mean_amount", F.round("seasonal_index", 6).alias("seasonal_index"), "n_skipped")
 
 
 @query("c6_cash_forecast")
@@ -377,10 +388,10 @@ def d2_weather_mult(spark, sf_dir):
 
 @memo
 def _features(spark, sf_dir):
-    orders = X.sales_orders(spark, sf_dir)
-    items = X.sales_order_items(spark, sf_dir, header=orders).select(
-        "SalesOrder", "SalesOrderItem", "Material", "MaterialGroup", "OrderQuantity")
-    return D.demand_weather_features(items, orders, X.weather(spark, sf_dir), CFG.base_year)
+    # the month's weather goes to the orders, and with them to the lines: one join of items and orders
+    orders = D.weather_lookup(X.sales_orders(spark, sf_dir), X.weather(spark, sf_dir))
+    items = X.sales_order_items(spark, sf_dir, header=orders, carry=("SalesOrderDate", "avg_temp_c", "temp_anomaly_c"))
+    return D.with_demand_factors(items, CFG.base_year)
 
 
 @query("d3_expected_qty")
@@ -439,10 +450,7 @@ def d6_phase_out(spark, sf_dir):
 
 @query("d8_requested")
 def d8_requested(spark, sf_dir):
-    orders = X.sales_orders(spark, sf_dir)
-    items = X.sales_order_items(spark, sf_dir, header=orders).select("OrderKey", "SalesOrder", "SalesOrderItem", "OrderQuantity")
-    hdr = orders.select("SalesOrder", "CreationDate")
-    j = items.join(hdr, "SalesOrder")
+    j = X.sales_order_items(spark, sf_dir, header=X.sales_orders(spark, sf_dir), carry=("CreationDate",))
     factor = (F.lit(1.05).cast("decimal(6,2)") + (F.col("OrderKey") % 11) * F.lit(0.01).cast("decimal(6,2)"))
     return j.select("SalesOrder", "SalesOrderItem", "OrderQuantity",
                     D.requested_quantity(F.col("OrderQuantity"), factor).alias("requested_qty"),
@@ -471,7 +479,7 @@ def v_cardinality(spark, sf_dir):
     orders, items, docs = _billing(spark, sf_dir)
     cash = _cash_rows(spark, sf_dir)
     open_known = _terms(spark, sf_dir).select("BillingDocument")
-    return Q.cardinality_report(orders, items, docs, B.billing_items(docs, _items(spark, sf_dir)), cash, open_known)
+    return Q.cardinality_report(orders, items, docs, B.billing_items(docs, items), cash, open_known)
 
 
 @query("v_keys")
@@ -488,14 +496,18 @@ def v_keys(spark, sf_dir):
 
 @query("a12_tier_share")
 def a12_tier_share(spark, sf_dir):
-    orders = X.sales_orders(spark, sf_dir)
-    return Q.revenue_share(X.sales_order_items(spark, sf_dir, header=orders, numbered=False), orders)
+    return Q.revenue_share(X.sales_order_items(spark, sf_dir, numbered=False, carry=("Tier",)))
+
+
+@query("a12_customer_share")
+def a12_customer_share(spark, sf_dir):
+    return Q.revenue_share(X.sales_order_items(spark, sf_dir, numbered=False), "SoldToParty")
 
 
 @query("a13_funnel")
 def a13_funnel(spark, sf_dir):
-    orders, _, docs = _billing(spark, sf_dir)
-    return Q.eligibility_funnel(orders, docs, _cash_rows(spark, sf_dir))
+    orders, docs = _plain_documents(spark, sf_dir)
+    return Q.eligibility_funnel(orders, docs, _plain_cash(spark, sf_dir))
 
 
 @query("a14_heat_anomaly")
@@ -525,6 +537,12 @@ def _model(spark, sf_dir):
                               min_rows=CFG.min_rows)
 
 
+def _scored(forecast: DataFrame, actual: DataFrame) -> DataFrame:
+    """F8 of forecast weeks that have an actual."""
+    j = EV.forecast_vs_actual(forecast, actual).filter(F.col("actual_qty").isNotNull() & F.col("predicted_qty").isNotNull())
+    return EV.fit_metrics(j.select("Material", F.col("actual_qty").alias("y"), F.col("predicted_qty").alias("yhat")))
+
+
 @query("f1_model_forecast")
 def f1_model_forecast(spark, sf_dir):
     return FC.forecast_rows(_model(spark, sf_dir))
@@ -543,19 +561,30 @@ def f8_model_fit_metrics(spark, sf_dir):
 @query("f9_model_status")
 def f9_model_status(spark, sf_dir):
     return EV.series_status(_history(spark, sf_dir), CFG.min_rows, CFG.horizon, REGRESSORS,
-                            fit_status=FC.fit_errors(_model(spark, sf_dir)))
+                            fit_status=FC.fit_errors(_model(spark, sf_dir)), listed=LISTED)
+
+
+@query("f1_forecast_keys")
+def f1_forecast_keys(spark, sf_dir):
+    """What the model's forecast must hold whatever its numbers: one row per series and future
+    week, the point inside its band."""
+    return FC.forecast_rows(_model(spark, sf_dir)).select(
+        "SalesOrderDate", "Material", "MaterialGroup",
+        F.col("predicted_qty").between(F.col("predicted_qty_lower"), F.col("predicted_qty_upper")).alias("in_band"))
+
+
+@query("f11_naive_metrics")
+def f11_naive_metrics(spark, sf_dir):
+    """The naive half of F11: errors of the year-over-year repeat on the test window."""
+    return _scored(_naive_forecast_rows(spark, sf_dir), _actuals(spark, sf_dir))
 
 
 @query("f11_skill")
 def f11_skill(spark, sf_dir):
     """Model vs naive year-over-year on the test window (MAE and MAPE against actuals)."""
     actual = _actuals(spark, sf_dir)
-
-    def scored(fc):
-        j = EV.forecast_vs_actual(fc, actual).filter(F.col("actual_qty").isNotNull() & F.col("predicted_qty").isNotNull())
-        return EV.fit_metrics(j.select("Material", F.col("actual_qty").alias("y"), F.col("predicted_qty").alias("yhat")))
-
-    return EV.skill_vs_naive(scored(FC.forecast_rows(_model(spark, sf_dir))), scored(_naive_forecast_rows(spark, sf_dir)))
+    return EV.skill_vs_naive(_scored(FC.forecast_rows(_model(spark, sf_dir)), actual),
+                             _scored(_naive_forecast_rows(spark, sf_dir), actual))
 
 
 # --- profiles and listings -------------------------------------------------------------

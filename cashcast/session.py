@@ -56,6 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder: ids are checkpointed there")
         configured = tempfile.mkdtemp(prefix="cashcast-ckpt-")
+        _delete_on_exit(spark, configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -81,13 +82,27 @@ def ship_package(spark: SparkSession) -> None:
     sc._cashcast_shipped = True
 
 
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system of ``path`` delete it when the JVM ends."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
     Cuts the lineage: the table outlives executors, and later stages read exactly these
-    rows. Each call writes a folder of its own.
+    rows. Each call writes a folder of its own under one for the application, which is
+    deleted when the application's JVM ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cashcast-{uuid.uuid4().hex}/{label}"
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cashcast-{spark.sparkContext.applicationId}"
+    if getattr(spark.sparkContext, "_cashcast_store", None) != root:
+        _delete_on_exit(spark, root)
+        spark.sparkContext._cashcast_store = root
+    path = f"{root}/{uuid.uuid4().hex}/{label}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

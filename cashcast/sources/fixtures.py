@@ -140,11 +140,11 @@ def net_amount() -> Column:
 
 
 def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """salesorderitem, slim: one row per item (SalesOrder, Material, MaterialGroup, OrderQuantity)."""
+    """salesorderitem, slim: one row per item (OrderKey, Material, MaterialGroup, OrderQuantity)."""
     li = read_table(spark, "lineitem", sf_dir).select("l_orderkey", "l_partkey", "l_quantity")
     p = read_table(spark, "part", sf_dir).select("p_partkey", "p_type")
     return li.join(p, li.l_partkey == p.p_partkey).select(
-        F.col("l_orderkey").cast("string").alias("SalesOrder"),
+        F.col("l_orderkey").alias("OrderKey"),
         F.col("p_type").alias("Material"),
         material_group(F.col("p_type")).alias("MaterialGroup"),
         F.col("l_quantity").cast("int").alias("OrderQuantity"),
@@ -167,11 +167,14 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None = None,
-                      numbered: bool = True) -> DataFrame:
+                      numbered: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """salesorderitem: lineitem x part, with header fields carried from the order.
 
+    ``carry`` names further header columns that the caller needs on the lines, so that the
+    items are joined to their orders once.
+
     Item numbers (000010, 000020, ...) follow the line order inside each order. They are
-    computed skew-safe (``rank_within``: no order is ever held by a single task) on the
+    computed skew-safe (``rank_within``: a range of the global order per task) on the
     narrow lineitem rows before the joins, and only when asked for: totals per order do
     not need them.
     """
@@ -182,7 +185,7 @@ def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None
     p = read_table(spark, "part", sf_dir).select("p_partkey", "p_type", "p_brand")
     hdr = (header if header is not None else sales_orders(spark, sf_dir)).select(
         "OrderKey", "SalesOrganization", "DistributionChannel", "SoldToParty",
-        "TransactionCurrency", "OverallSDDocumentRejectionSts", "Tier")
+        "TransactionCurrency", "OverallSDDocumentRejectionSts", "Tier", *[c for c in carry if c != "Tier"])
     df = li.join(p, li.l_partkey == p.p_partkey).join(hdr, li.l_orderkey == hdr.OrderKey)
     df = df.withColumn("NetAmount", net_amount())
     tax = F.when(F.col("TransactionCurrency") == "EUR",
@@ -209,7 +212,7 @@ def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None
         lookup(F.col("Tier"), [("A", "1"), ("B", "5"), ("C", "9")], "9").alias("DeliveryPriority"),
         F.col("p_brand").alias("InternationalArticleNumber"),
         "SalesOrganization", "DistributionChannel", "SoldToParty",
-        F.col("SoldToParty").alias("PayerParty"),
+        F.col("SoldToParty").alias("PayerParty"), *carry,
     )
 
 

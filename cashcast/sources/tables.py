@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 
 def read_table(spark: SparkSession, name: str, sf_dir: str | None = None) -> DataFrame:
@@ -41,15 +45,25 @@ def clone_empty(spark: SparkSession, src: str, dst: str, fmt: str = "parquet") -
 def with_required(df: DataFrame, required: list[str]) -> DataFrame:
     """Enforce NOT NULL on key columns at write time.
 
-    A null key fails the job (``raise_error``) instead of silently writing the row;
-    uniqueness is checked by V10 before the write.
+    A null key fails the job (``raise_error``) instead of silently writing the row, and the
+    column's type says that it holds no null; uniqueness is checked by V10 before the write.
     """
-    out = df
-    for c in required:
-        out = out.withColumn(
-            c, F.when(F.col(c).isNull(), F.raise_error(F.lit(f"null value in required column {c}")))
-            .otherwise(F.col(c)))
-    return out
+    def checked(c: str) -> Column:
+        value = F.when(F.col(c).isNull(), F.raise_error(F.lit(f"null value in required column {c}"))).otherwise(F.col(c))
+        # never reached, but it makes the column's type one without nulls
+        return F.coalesce(value, _zero(df.schema[c].dataType))
+
+    return df.withColumns({c: checked(c) for c in required})
+
+
+def _zero(kind: DataType) -> Column:
+    """A non-null literal of a key column's type."""
+    values = {"date": dt.date(1970, 1, 1), "timestamp": dt.datetime(1970, 1, 1), "boolean": False, "string": "", "double": 0.0}
+    if kind.typeName() in values:
+        return F.lit(values[kind.typeName()])
+    if isinstance(kind, DecimalType):
+        return F.lit(Decimal(0).scaleb(-kind.scale))
+    return F.lit(0).cast(kind)
 
 
 def table_profile(df: DataFrame, key: list[str], n: int = 3) -> tuple[int, list]:

@@ -4,6 +4,9 @@ import math
 import numpy as np
 import pandas as pd
 
+from pyspark.sql import functions as F
+
+from cashcast.operators import evaluate as EV
 from cashcast.operators import forecast as FC
 
 
@@ -42,3 +45,41 @@ def test_grouped_model_isolates_failures(spark):
     assert {r.Material for r in fc} == {"GOOD"}          # SHORT is skipped (fewer than 10 rows)
     assert len(fc) == 4 and all(r.predicted_qty_lower <= r.predicted_qty <= r.predicted_qty_upper for r in fc)
     assert min(r.SalesOrderDate for r in fc) > max(d for d, *_ in rows if _ and _[0] == "GOOD")
+
+
+def _two_groups(spark, weeks=90):
+    """One material with two groups in every week, and one month of regressors per month."""
+    rows = [(dt.date(2023, 1, 2) + dt.timedelta(days=7 * k), "M1", g, 100 + 10 * (k % 13) + n)
+            for k in range(weeks) for n, g in enumerate(("G1", "G2"))]
+    history = spark.createDataFrame(rows, "week_start date, Material string, MaterialGroup string, qty long")
+    monthly = spark.createDataFrame([(dt.date(2023 + m // 12, m % 12 + 1, 1), 10.0 + m % 12, 0.5) for m in range(30)],
+                                    "month_start date, avg_temp_c double, temp_anomaly_c double")
+    return history, monthly
+
+
+def test_series_with_two_groups(spark):
+    history, monthly = _two_groups(spark)
+    inp = FC.model_input(history, monthly, 26)
+    assert inp.filter("is_train").count() == 180 and inp.filter("NOT is_train").count() == 26
+    assert inp.filter("is_train").select("ds", "MaterialGroup").distinct().count() == 180
+    out = FC.forecast_by_key(history, monthly, 26)
+    assert out.filter("kind = 'fit'").count() == 180
+    future = FC.forecast_rows(out)
+    assert future.count() == future.select("Material", "SalesOrderDate").distinct().count() == 26
+    naive = EV.naive_yoy_forecast(history, 26)
+    assert naive.count() == 26 and naive.filter("predicted_qty > 200").count() == 26  # both groups' sum
+    assert EV.naive_in_sample(history).count() == 90 - 52
+
+
+def test_key_parameter_and_failing_fit(spark):
+    history, monthly = _two_groups(spark)
+    renamed = history.withColumnRenamed("Material", "Sku")
+    bad = renamed.selectExpr("week_start", "'BAD' AS Sku", "MaterialGroup", "CAST('NaN' AS DOUBLE) AS qty")
+    both = renamed.withColumn("qty", F.col("qty").cast("double")).unionByName(bad)
+    out = FC.forecast_by_key(both, monthly, 26, key="Sku")
+    assert {r.Sku for r in out.filter("kind = 'error'").collect()} == {"BAD"}
+    assert out.filter("kind = 'forecast' AND Sku = 'M1'").count() == 26
+    errors = out.filter("kind = 'error'").select("Sku", "error")
+    status = {r.Sku: (r.status, r.training_rows) for r in EV.series_status(
+        both, 10, 26, "x", key="Sku", fit_status=errors, listed=["M1", "NEVER"]).collect()}
+    assert status == {"BAD": ("failed", 180), "M1": ("ok", 180), "NEVER": ("skipped", 0)}

@@ -12,33 +12,27 @@ def test_calendar(spark):
     r = df.select(
         K.week_start("ts").alias("w"), K.month_start_from_parts("y", "m").alias("ms"), K.month_floor("ts").alias("mf"),
         K.iso_week(F.lit(dt.date(2026, 1, 1))).alias("iw1"), K.iso_week(F.lit(dt.date(2023, 1, 1))).alias("iw2"),
-        K.plus_days(F.lit(dt.date(2025, 1, 1)), 10).alias("pd"), K.season(F.lit(12)).alias("s"),
-        F.size(K.month_spine(dt.date(2023, 1, 1), 42)).alias("months"),
-        F.size(K.date_spine(dt.date(2026, 1, 1), K.horizon_end(dt.date(2026, 1, 1), 6))).alias("days"),
-        K.horizon_end(dt.date(2026, 1, 1), 6).alias("he"),
+        K.season(F.lit(12)).alias("s"),
         K.fiscal_year(F.lit(dt.date(2025, 3, 4))).alias("fy"), K.fiscal_period(F.lit(dt.date(2025, 3, 4))).alias("fp"),
     ).first()
     assert r.w == dt.date(2025, 12, 29)          # Monday
     assert (r.ms, r.mf) == (dt.date(2024, 7, 1), dt.date(2025, 12, 1))
     assert (r.iw1, r.iw2) == (1, 52)
-    assert r.pd == dt.date(2025, 1, 11) and r.s == "winter"
-    assert (r.months, r.days, r.he) == (42, 181, dt.date(2026, 6, 30))
+    assert r.s == "winter"
     assert (r.fy, r.fp) == ("2025", "03")
 
 
 def test_numeric(spark):
     df = spark.createDataFrame([(Decimal("2.5"), 1000000, -20.0, 0.0, 80.0)], "d decimal(10,2), n long, g double, z double, a double")
     r = df.select(
-        N.round_half_even("d", 0).alias("he"), N.clamp(F.lit(500), 1, 180).alias("c"),
+        N.clamp(F.lit(500), 1, 180).alias("c"),
         N.padded_id("BD-", "n").alias("id"), N.padded(F.lit(10)).alias("p"),
         N.safe_pct("g", "z").alias("p0"), N.safe_pct("g", "a").alias("p1"),
-        N.negate("d").alias("neg"), N.to_money("d").alias("m"),
         F.round(F.cos(N.month_angle(F.lit(7))), 9).alias("cos7"),
     ).first()
-    assert r.he == Decimal("2") and r.c == 180
+    assert r.c == 180
     assert r.id == "BD-1000000" and r.p == "000010"   # wide numbers are never truncated
     assert r.p0 is None and r.p1 == 25.0
-    assert r.neg == Decimal("-2.50") and r.m == Decimal("2.5000")
     assert r.cos7 == -1.0
 
 

@@ -1,7 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cashcast.operators.ids import global_row_number
+from cashcast.operators.ids import global_row_number, rank_within
 
 
 def test_matches_row_number_and_is_partition_independent(spark):
@@ -14,14 +14,25 @@ def test_matches_row_number_and_is_partition_independent(spark):
         assert got == expected
 
 
-def test_rank_within_splits_hot_keys(spark):
-    from cashcast.operators.ids import rank_within
-    # key 0 is hot (half of all rows); the others are small
-    df = spark.range(0, 4000).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 37).alias("k"),
-                                     (F.col("id") * 7919 % 100003).alias("o"))
+def test_rank_within_splits_hot_and_null_keys(spark):
+    # keys 0 and null are hot (a third of the rows each); the others are small
+    hot = F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id") % 37 + 1)
+    df = spark.range(0, 4000).select(hot.alias("k"), (F.col("id") * 7919 % 100003).alias("o"))
     expected = {(r.k, r.o): r.rn for r in df.withColumn(
         "rn", F.row_number().over(Window.partitionBy("k").orderBy("o"))).collect()}
-    for threshold in (100, 10_000_000):
-        got = {(r.k, r.o): r.rn for r in rank_within(df, ["k"], ["o"], "rn", hot_threshold=threshold,
-                                                     num_partitions=4).collect()}
+    for parts in (1, 4):
+        got = {(r.k, r.o): r.rn for r in rank_within(df, ["k"], ["o"], "rn", num_partitions=parts).collect()}
         assert got == expected
+
+
+def test_caller_cache_stays(spark):
+    df = spark.range(100).cache()
+    df.count()
+    assert global_row_number(df, ["id"]).count() == 100
+    assert df.storageLevel.useMemory
+    df.unpersist()
+
+
+def test_empty(spark):
+    assert global_row_number(spark.range(0), ["id"]).count() == 0
+    assert rank_within(spark.range(0).withColumn("k", F.col("id")), ["k"], ["id"]).count() == 0

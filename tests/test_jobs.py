@@ -26,7 +26,27 @@ def test_with_required_rejects_null_keys(spark):
     import pytest
     with pytest.raises(Exception):
         with_required(df, ["k"]).collect()
-    assert with_required(df.filter(F.col("k").isNotNull()), ["k"]).count() == 1
+    good = with_required(df.filter(F.col("k").isNotNull()), ["k"])
+    assert good.count() == 1 and not good.schema["k"].nullable
+    kinds = spark.createDataFrame([(1, 2, None)], "a long, b int, c string").selectExpr(
+        "a", "b", "CAST(a AS DECIMAL(21,7)) AS d", "DATE '2020-01-01' AS e", "TIMESTAMP '2020-01-01 00:00:00' AS f")
+    typed = with_required(kinds, kinds.columns)
+    assert typed.dtypes == kinds.dtypes and typed.collect() == kinds.collect()
+
+
+def test_jobs_refuse_repeated_keys(spark):
+    import pytest
+    df = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    with pytest.raises(ValueError, match="V10"):
+        jobs._write(df, "t.k", ["k"], "parquet", tempfile.mkdtemp(prefix="cashcast-tables-"))
+
+
+def test_job_on_the_catalog(spark):
+    """Schema creation, saveAsTable, and reads back through the catalog."""
+    out = jobs.cash_job(spark, SF, schema="cashcast_cash")
+    assert spark.table("cashcast_cash.cashflow").count() == out["cashflow"] > 0
+    assert spark.table("cashcast_cash.cashflowforecast").count() == 182
+    spark.sql("DROP SCHEMA cashcast_cash CASCADE")
 
 
 def test_clone_empty_and_profile(spark):
