@@ -73,6 +73,37 @@ def line_amounts(qty, price, currency):
     return net, tax
 
 
+def order_tables(orders: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The full salesorder and salesorderitem tables: lines priced (D4), with their amounts
+    (D5) and requested quantity (D8); headers with TotalNetAmount back-filled from the lines
+    (A11, J15). ``lines`` carry p_retailprice, SalesOrderDate and TransactionCurrency."""
+    priced = price_with_surge(lines.withColumn("_month", F.month("SalesOrderDate")), "p_retailprice", "_month", "MaterialGroup", "Material")
+    net, tax = line_amounts("OrderQuantity", "unit_price", "TransactionCurrency")
+    factor = F.lit(1.05).cast("decimal(6,2)") + (F.col("OrderKey") % 11) * F.lit(0.01).cast("decimal(6,2)")
+    items = priced.withColumns({
+        "RequestedQuantity": requested_quantity("OrderQuantity", factor), "RequestedQuantityUnit": F.lit("CS"),
+        "NetPriceAmount": F.round("unit_price", 2).cast("decimal(24,2)"), "NetAmount": net, "TaxAmount": tax,
+    }).select("OrderKey", *ITEM_TABLE)
+    totals = items.groupBy("OrderKey").agg(F.sum("NetAmount").alias("TotalNetAmount"))
+    return orders.join(totals, "OrderKey", "left").select(*ORDER_TABLE), items.drop("OrderKey")
+
+
+ORDER_TABLE = [
+    "SalesOrder", "SalesOrderType", "CreationDate", "SalesOrderDate", "SoldToParty", "SalesOrganization", "DistributionChannel",
+    "OrganizationDivision", "SalesGroup", "SalesOffice", "TransactionCurrency", "TotalNetAmount", "CustomerPaymentTerms",
+    "RequestedDeliveryDate", "IncotermsClassification", "DeliveryBlockReason", "HeaderBillingBlockReason",
+    "OverallSDProcessStatus", "OverallSDDocumentRejectionSts", "FiscalYear", "FiscalPeriod", "BillingCompanyCode",
+    "PaymentMethod", "AdditionalCustomerGroup1",
+]
+
+ITEM_TABLE = [
+    "SalesOrder", "SalesOrderItem", "Material", "Product", "Plant", "MaterialGroup", "ProductHierarchyNode", "OrderQuantity",
+    "OrderQuantityUnit", "RequestedQuantity", "RequestedQuantityUnit", "NetPriceAmount", "NetAmount", "TaxAmount",
+    "SalesOrderItemCategory", "SalesDocumentRjcnReason", "DeliveryStatus", "BillingBlockStatus", "DeliveryPriority",
+    "InternationalArticleNumber", "SalesOrganization", "DistributionChannel", "SoldToParty", "PayerParty",
+]
+
+
 def phase_out_filter(lines: DataFrame, phased_out, date_col: str = "SalesOrderDate",
                      material: str = "Material") -> DataFrame:
     """Drop lines of a phased-out material on or after its phase-out date."""

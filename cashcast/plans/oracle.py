@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cashcast.config import DEFAULT as CFG
-from cashcast.plans.sql_fixtures import sql_case, sql_list, sql_with
+from cashcast.plans.sql_fixtures import _LINE_ORDER, sql_case, sql_list, sql_with
 
 ORACLE: dict[str, str] = {}
 
@@ -427,6 +427,34 @@ SELECT CAST(OrderKey AS VARCHAR) AS SalesOrder, CAST(SUM(net) AS DOUBLE) AS net,
                CAST(round(CAST(l_quantity AS DECIMAL(18,2)) * unit_price, 2) AS DECIMAL(20,2)) AS net FROM priced) a) b
 GROUP BY OrderKey""")
 
+_EXTRA["full_items"] = (["sales_orders", "priced"], f"""
+SELECT h.OrderKey, h.SalesOrder,
+       printf('%06d', row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {_LINE_ORDER}) * 10) AS SalesOrderItem,
+       p.p_type AS Material, p.p_type AS Product, CASE WHEN h.DistributionChannel = '10' THEN 'PLANT1' ELSE 'PLANT2' END AS Plant,
+       {sql_case('p.p_type', _C.MATERIAL_GROUPS)} AS MaterialGroup, p.p_brand AS ProductHierarchyNode,
+       CAST(l.l_quantity AS INTEGER) AS OrderQuantity, 'CS' AS OrderQuantityUnit,
+       CAST(greatest(CAST(l.l_quantity AS BIGINT) + 1,
+                     round_even(CAST(l.l_quantity AS DECIMAL(18,2))
+                                * (CAST(1.05 AS DECIMAL(6,2)) + (h.OrderKey % 11) * CAST(0.01 AS DECIMAL(6,2))), 0)) AS BIGINT) AS RequestedQuantity,
+       'CS' AS RequestedQuantityUnit, CAST(round(pr.unit_price, 2) AS DECIMAL(24,2)) AS NetPriceAmount,
+       CAST(round(CAST(l.l_quantity AS DECIMAL(18,2)) * pr.unit_price, 2) AS DECIMAL(20,2)) AS NetAmount,
+       CAST(CASE WHEN h.TransactionCurrency = 'EUR'
+                 THEN round(CAST(round(CAST(l.l_quantity AS DECIMAL(18,2)) * pr.unit_price, 2) AS DECIMAL(20,2)) * CAST({_C.VAT_RATE} AS DECIMAL(4,2)), 2)
+                 ELSE 0 END AS DECIMAL(20,2)) AS TaxAmount,
+       'TAN' AS SalesOrderItemCategory, CASE WHEN h.OverallSDDocumentRejectionSts = 'C' THEN 'Z1' ELSE '' END AS SalesDocumentRjcnReason,
+       'C' AS DeliveryStatus, '' AS BillingBlockStatus,
+       CASE h.Tier WHEN 'A' THEN '1' WHEN 'B' THEN '5' ELSE '9' END AS DeliveryPriority,
+       p.p_brand AS InternationalArticleNumber, h.SalesOrganization, h.DistributionChannel, h.SoldToParty, h.SoldToParty AS PayerParty
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN sales_orders h ON l.l_orderkey = h.OrderKey
+JOIN (SELECT p_partkey, month, MAX(unit_price) AS unit_price FROM priced GROUP BY 1, 2) pr
+  ON pr.p_partkey = p.p_partkey AND pr.month = month(h.SalesOrderDate)""")
+ORACLE["t_salesorderitem"] = w(["full_items"], """
+SELECT * EXCLUDE (OrderKey) REPLACE (CAST(NetPriceAmount AS DOUBLE) AS NetPriceAmount, CAST(NetAmount AS DOUBLE) AS NetAmount,
+                                     CAST(TaxAmount AS DOUBLE) AS TaxAmount) FROM full_items""")
+ORACLE["t_salesorder"] = w(["sales_orders", "full_items"], """
+SELECT o.* EXCLUDE (OrderKey, Country, Region, Tier), CAST(t.net AS DOUBLE) AS TotalNetAmount
+FROM sales_orders o LEFT JOIN (SELECT OrderKey, SUM(NetAmount) AS net FROM full_items GROUP BY OrderKey) t ON o.OrderKey = t.OrderKey""")
+
 _PH = " OR ".join(f"(Material = '{k}' AND SalesOrderDate >= DATE '{d}')" for k, d in CFG.phased_out)
 ORACLE["d6_phase_out"] = w(["order_lines"], f"""
 SELECT Material, COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE NOT ({_PH})) AS rows_kept FROM order_lines GROUP BY Material""")
@@ -530,11 +558,14 @@ def _keys_sql(name: str, table: str, keys: list[str]) -> str:
     ])
 
 
-ORACLE["v_keys"] = w(["billing_documents", "billing_items", "cash_postings", "sales_order_items"], "\nUNION ALL\n".join([
+ORACLE["v_keys"] = w(["billing_documents", "billing_items", "cash_postings", "sales_order_items", "sales_orders", "weather"], "\nUNION ALL\n".join([
     _keys_sql("billingdocument", "billing_documents", ["BillingDocument"]),
     _keys_sql("billingdocumentitem", "billing_items", ["BillingDocument", "BillingDocumentItem"]),
     _keys_sql("cashflow", "cash_postings", ["CashFlowID", "CshFlwValdtyStrtDteTmeVal"]),
     _keys_sql("salesorderitem", "sales_order_items", ["SalesOrder", "SalesOrderItem"]),
+    _keys_sql("salesorder", "sales_orders", ["SalesOrder"]),
+    _keys_sql("cashflowforecast", "(" + ORACLE["c6_cash_forecast"] + ")", ["CashFlowID", "CshFlwValdtyStrtDteTmeVal"]),
+    _keys_sql("weather", "weather", ["station_id", "year", "month"]),
 ]))
 
 ORACLE["a12_customer_share"] = w(["sales_order_items"], """

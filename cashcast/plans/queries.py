@@ -439,6 +439,23 @@ def d5_amounts(spark, sf_dir):
         F.sum(net).alias("net"), F.sum(tax).alias("tax")))
 
 
+def _order_tables(spark, sf_dir, numbered: bool):
+    orders = X.sales_orders(spark, sf_dir)
+    lines = X.sales_order_items(spark, sf_dir, header=orders, numbered=numbered,
+                                carry=("SalesOrderDate", "TransactionCurrency", "p_retailprice"))
+    return D.order_tables(orders, lines if numbered else lines.withColumn("SalesOrderItem", F.lit(None).cast("string")))
+
+
+@query("t_salesorder")
+def t_salesorder(spark, sf_dir):
+    return doubles(_order_tables(spark, sf_dir, numbered=False)[0])
+
+
+@query("t_salesorderitem")
+def t_salesorderitem(spark, sf_dir):
+    return doubles(_order_tables(spark, sf_dir, numbered=True)[1])
+
+
 @query("d6_phase_out")
 def d6_phase_out(spark, sf_dir):
     lines = X.order_lines(spark, sf_dir)
@@ -486,11 +503,15 @@ def v_cardinality(spark, sf_dir):
 def v_keys(spark, sf_dir):
     orders, _, docs = _billing(spark, sf_dir)
     items = _items(spark, sf_dir)
-    return Q.key_report([
+    return Q.key_report([  # all seven tables
         ("billingdocument", docs, ["BillingDocument"]),
         ("billingdocumentitem", B.billing_items(docs, items), ["BillingDocument", "BillingDocumentItem"]),
         ("cashflow", _postings(spark, sf_dir), ["CashFlowID", "CshFlwValdtyStrtDteTmeVal"]),
         ("salesorderitem", items, ["SalesOrder", "SalesOrderItem"]),
+        ("salesorder", orders, ["SalesOrder"]),
+        ("cashflowforecast", CS.cash_forecast(_index(spark, sf_dir), CFG.cash_forecast_start, CFG.cash_forecast_months),
+         ["CashFlowID", "CshFlwValdtyStrtDteTmeVal"]),
+        ("weather", X.weather(spark, sf_dir), ["station_id", "year", "month"]),
     ])
 
 

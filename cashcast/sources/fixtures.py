@@ -170,8 +170,8 @@ def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None
                       numbered: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """salesorderitem: lineitem x part, with header fields carried from the order.
 
-    ``carry`` names further header columns that the caller needs on the lines, so that the
-    items are joined to their orders once.
+    ``carry`` names further columns of the header (or of ``part``) that the caller needs on
+    the lines, so that the items are joined to their orders once.
 
     Item numbers (000010, 000020, ...) follow the line order inside each order. They are
     computed skew-safe (``rank_within``: a range of the global order per task) on the
@@ -182,10 +182,11 @@ def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None
     if numbered:
         from cashcast.operators.ids import rank_within
         li = rank_within(li, ["l_orderkey"], _LINE_ORDER, "_item")
-    p = read_table(spark, "part", sf_dir).select("p_partkey", "p_type", "p_brand")
+    from_part = [c for c in carry if c.startswith("p_")]
+    p = read_table(spark, "part", sf_dir).select("p_partkey", "p_type", "p_brand", *from_part)
     hdr = (header if header is not None else sales_orders(spark, sf_dir)).select(
         "OrderKey", "SalesOrganization", "DistributionChannel", "SoldToParty",
-        "TransactionCurrency", "OverallSDDocumentRejectionSts", "Tier", *[c for c in carry if c != "Tier"])
+        "TransactionCurrency", "OverallSDDocumentRejectionSts", "Tier", *[c for c in carry if c != "Tier" and c not in (*from_part, "TransactionCurrency")])
     df = li.join(p, li.l_partkey == p.p_partkey).join(hdr, li.l_orderkey == hdr.OrderKey)
     df = df.withColumn("NetAmount", net_amount())
     tax = F.when(F.col("TransactionCurrency") == "EUR",
