@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -105,4 +106,28 @@ def store(df: DataFrame, label: str) -> DataFrame:
         spark.sparkContext._cashcast_store = root
     path = f"{root}/{uuid.uuid4().hex}/{label}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cashcast_path = path
+    return out
+
+
+def release(*stored: DataFrame) -> None:
+    """Delete tables that ``store`` wrote and that no frame still to be computed reads."""
+    for df in stored:
+        jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
+        where = jvm.org.apache.hadoop.fs.Path(df._cashcast_path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+
+
+#: Rows of a narrow table that may be broadcast: a few columns of numbers, so tens of MB.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, stored and counted, with a broadcast hint if it has at most ``rows`` rows.
+
+    For the narrow side of a join with wide rows, which then need no shuffle; beyond the
+    bound the join is Spark's own choice.
+    """
+    df = store(df, "narrow")
+    return F.broadcast(df) if df.count() <= rows else df
