@@ -60,6 +60,12 @@ SELECT CAST(COUNT(*) AS BIGINT) AS rows, MIN(week_start) AS first_date, MAX(week
        CAST(CASE WHEN COUNT(DISTINCT Material) > 0 THEN COUNT(*) // COUNT(DISTINCT Material) END AS BIGINT) AS rows_per_series
 FROM history""")
 
+ORACLE["a9_weather_summary"] = w(["weather"], """
+SELECT CAST(COUNT(*) AS BIGINT) AS rows, MIN(make_date(year, month, 1)) AS first_date, MAX(make_date(year, month, 1)) AS last_date,
+       CAST(COUNT(DISTINCT station_id) AS BIGINT) AS series,
+       CAST(CASE WHEN COUNT(DISTINCT station_id) > 0 THEN COUNT(*) // COUNT(DISTINCT station_id) END AS BIGINT) AS rows_per_series
+FROM weather""")
+
 ORACLE["f12_split"] = w(["feature"], f"""
 SELECT split, Material, CAST(COUNT(*) AS BIGINT) AS days, CAST(SUM(Sum_OrderQuantity) AS BIGINT) AS qty FROM (
   SELECT 'train' AS split, * FROM feature WHERE SalesOrderDate <= DATE '{CFG.training_end}'
@@ -135,6 +141,11 @@ ORACLE["f1_forecast_keys"] = w(["future", "heads"], f"""
 SELECT f.ds AS SalesOrderDate, f.Material, f.MaterialGroup, true AS in_band
 FROM future f JOIN heads h ON h.Material = f.Material WHERE h.training_rows >= {CFG.min_rows}""")
 
+ORACLE["a9_forecast_summary"] = w(["future", "heads"], f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS rows, MIN(f.ds) AS first_date, MAX(f.ds) AS last_date, CAST(COUNT(DISTINCT f.Material) AS BIGINT) AS series,
+       CAST(CASE WHEN COUNT(DISTINCT f.Material) > 0 THEN COUNT(*) // COUNT(DISTINCT f.Material) END AS BIGINT) AS rows_per_series
+FROM future f JOIN heads h ON h.Material = f.Material WHERE h.training_rows >= {CFG.min_rows}""")
+
 ORACLE["f11_naive_metrics"] = w(["naive", "actuals"], """
 SELECT f.Material, CAST(COUNT(*) AS BIGINT) AS n, round(AVG(abs(a.actual_qty - f.predicted_qty)), 2) AS mae,
        round(AVG(abs(a.actual_qty - f.predicted_qty) / greatest(CAST(a.actual_qty AS DOUBLE), 1.0)) * 100, 2) AS mape_pct
@@ -609,14 +620,21 @@ SELECT year, month, orders, round(wt, 6) AS weight, round(CAST(orders AS DOUBLE)
 
 # --- profiles and listings -------------------------------------------------------------
 
+def _profile_sql(name: str, table: str, keys: list[str]) -> str:
+    k = " || '/' || ".join(f"CAST({c} AS VARCHAR)" for c in keys)
+    return (f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows, "
+            f"(SELECT string_agg(k, ';' ORDER BY k) FROM (SELECT {k} AS k FROM {table} ORDER BY 1 LIMIT 3) s) AS sample FROM {table}")
+
+
 ORACLE["s7_table_profile"] = w(["sales_orders", "sales_order_items", "billing_documents", "billing_items",
-                                "cash_postings", "weather"], """
-SELECT 'salesorder' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows FROM sales_orders
-UNION ALL SELECT 'salesorderitem', CAST(COUNT(*) AS BIGINT) FROM sales_order_items
-UNION ALL SELECT 'billingdocument', CAST(COUNT(*) AS BIGINT) FROM billing_documents
-UNION ALL SELECT 'billingdocumentitem', CAST(COUNT(*) AS BIGINT) FROM billing_items
-UNION ALL SELECT 'cashflow', CAST(COUNT(*) AS BIGINT) FROM cash_postings
-UNION ALL SELECT 'weather', CAST(COUNT(*) AS BIGINT) FROM weather""")
+                                "cash_postings", "weather"], "\nUNION ALL\n".join([
+    _profile_sql("salesorder", "sales_orders", ["SalesOrder"]),
+    _profile_sql("salesorderitem", "sales_order_items", ["SalesOrder", "SalesOrderItem"]),
+    _profile_sql("billingdocument", "billing_documents", ["BillingDocument"]),
+    _profile_sql("billingdocumentitem", "billing_items", ["BillingDocument", "BillingDocumentItem"]),
+    _profile_sql("cashflow", "cash_postings", ["BillingDocument"]),
+    _profile_sql("weather", "weather", ["station_id", "year", "month"]),
+]))
 
 ORACLE["o5_sorted_keys"] = w(["history"], "SELECT DISTINCT Material FROM history ORDER BY Material")
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cashcast.config import DEFAULT as CFG
 from cashcast.operators import history as H
 from cashcast.sources import fixtures as X
+from cashcast.sources.tables import table_profile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -94,6 +95,13 @@ def a9_run_summary(spark, sf_dir):
     return H.run_summary(_history(spark, sf_dir))
 
 
+@query("a9_weather_summary")
+def a9_weather_summary(spark, sf_dir):
+    """A9 of the weather table: months and stations."""
+    w = X.weather(spark, sf_dir).withColumn("month_start", F.make_date("year", "month", F.lit(1)))
+    return H.run_summary(w, "month_start", "station_id")
+
+
 @query("f12_split")
 def f12_split(spark, sf_dir):
     feature = H.daily_feature(X.order_lines(spark, sf_dir))
@@ -594,6 +602,12 @@ def f1_forecast_keys(spark, sf_dir):
         F.col("predicted_qty").between(F.col("predicted_qty_lower"), F.col("predicted_qty_upper")).alias("in_band"))
 
 
+@query("a9_forecast_summary")
+def a9_forecast_summary(spark, sf_dir):
+    """A9 of the model's forecast rows."""
+    return H.run_summary(FC.forecast_rows(_model(spark, sf_dir)), "SalesOrderDate", "Material")
+
+
 @query("f11_naive_metrics")
 def f11_naive_metrics(spark, sf_dir):
     """The naive half of F11: errors of the year-over-year repeat on the test window."""
@@ -612,12 +626,15 @@ def f11_skill(spark, sf_dir):
 
 @query("s7_table_profile")
 def s7_table_profile(spark, sf_dir):
-    """Row count of each business table built from the test tables (one aggregate each)."""
-    orders, items, docs = _billing(spark, sf_dir)
-    tables = [("salesorder", orders), ("salesorderitem", items), ("billingdocument", docs),
-              ("billingdocumentitem", B.billing_items(docs, _items(spark, sf_dir))), ("cashflow", _cash_rows(spark, sf_dir)),
-              ("weather", X.weather(spark, sf_dir))]
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n, df in tables]
+    """Row count and first three keys of each business table built from the test tables."""
+    orders, _, docs = _billing(spark, sf_dir)
+    items = _items(spark, sf_dir)
+    tables = [("salesorder", orders, ["SalesOrder"]), ("salesorderitem", items, ["SalesOrder", "SalesOrderItem"]),
+              ("billingdocument", docs, ["BillingDocument"]),
+              ("billingdocumentitem", B.billing_items(docs, items), ["BillingDocument", "BillingDocumentItem"]),
+              ("cashflow", _cash_rows(spark, sf_dir), ["BillingDocument"]),
+              ("weather", X.weather(spark, sf_dir), ["station_id", "year", "month"])]
+    parts = [table_profile(df, key).select(F.lit(n).alias("table_name"), "rows", "sample") for n, df, key in tables]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

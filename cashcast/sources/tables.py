@@ -66,6 +66,9 @@ def _zero(kind: DataType) -> Column:
     return F.lit(0).cast(kind)
 
 
-def table_profile(df: DataFrame, key: list[str], n: int = 3) -> tuple[int, list]:
-    """Row count and the first ``n`` rows by key (deterministic sample)."""
-    return df.count(), df.orderBy(*key).limit(n).collect()
+def table_profile(df: DataFrame, key: list[str], n: int = 3) -> DataFrame:
+    """One row with the row count and a sample, the first ``n`` rows by key (their keys,
+    parts joined by '/', rows by ';'). The sample is a top-n, never the whole table."""
+    first = df.select(F.concat_ws("/", *[F.col(k).cast("string") for k in key]).alias("k")).orderBy("k").limit(n)
+    sample = first.agg(F.array_join(F.array_sort(F.collect_list("k")), ";"))
+    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("sample", sample.scalar())

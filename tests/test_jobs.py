@@ -55,5 +55,5 @@ def test_clone_empty_and_profile(spark):
     clone_empty(spark, "cashcast_test.src", "cashcast_test.dst")
     assert spark.table("cashcast_test.dst").count() == 0
     assert spark.table("cashcast_test.dst").schema == spark.table("cashcast_test.src").schema
-    n, rows = table_profile(spark.table("cashcast_test.src"), ["id"], 1)
-    assert n == 2 and rows[0]["id"] == 1
+    r = table_profile(spark.table("cashcast_test.src"), ["id", "s"], 1).first()
+    assert (r.rows, r.sample) == (2, "1/x")

@@ -10,7 +10,7 @@ from cashcast.plans.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 MODEL = {"f1_model_forecast", "f7_model_vs_actual", "f8_model_fit_metrics", "f9_model_status", "f11_skill",
-         "f1_forecast_keys"}
+         "f1_forecast_keys", "a9_forecast_summary"}
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
 
