@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashcast.llm import textkit as tk
-from cashcast.session import ship_package, store
+from cashcast.session import broadcast_if_small, ship_package, store
 
 #: Words of a window, places that a proximity match allows, bytes of test text in a block.
 WINDOW = 10
@@ -236,6 +236,6 @@ def digest(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that hold a window of an item."""
-    bad = find(docs, items, slop=0, **options).filter("n_hit > 0").select("doc_id", "text_hash").distinct()
+    bad = broadcast_if_small(find(docs, items, slop=0, **options).filter("n_hit > 0").select("doc_id", "text_hash").distinct())
     h = F.xxhash64(docs["text"].cast("string"))
     return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["doc_id"]) & (h == bad["text_hash"]), "left_anti")

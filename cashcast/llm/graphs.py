@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cashcast.session import store
+from cashcast.session import release, store
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,9 +26,12 @@ def components(edges: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("up"), F.col("component").alias("over"))
         new = store(step.join(jump, "up").select("node", F.least("up", "over").alias("component"),
                                                  (F.least("up", "over") != F.col("old")).alias("changed")), "labels")
-        labels = new.select("node", "component")
-        if new.filter("changed").isEmpty():
-            return labels
+        done = new.filter("changed").isEmpty()
+        release(labels)
+        labels = new
+        if done:
+            release(both)
+            return labels.select("node", "component")
 
 
 class Bloom:

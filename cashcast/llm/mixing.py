@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cashcast.session import store
+from cashcast.session import release, store
 
 MAX_EPOCHS = 3
 #: Ranges that a queue, and the global order, are cut into; more ranges, smaller tasks.
@@ -87,7 +87,7 @@ def fair_queue(rows: DataFrame, sizes: DataFrame, budget: float, ranges: int = R
     copies = copies.withColumn("finish", (F.col("_done") + (F.col("epoch") - 1) * F.col("source_size")) / F.col("target"))
     copies = copies.withColumn("_time", F.floor(F.col("finish") * ranges)).select(
         "row", "doc_id", "source", "size", "epoch", "_key", "finish", "_time")
-    copies = store(copies, "mix_copies")  # read by both steps below
+    stored = copies = store(copies, "mix_copies")  # read by both steps below
     # the global order, range by range of virtual time
     spent = copies.groupBy("_time").agg(F.sum("size").alias("_sum"))
     upto = Window.orderBy("_time").rowsBetween(Window.unboundedPreceding, -1)
@@ -98,8 +98,10 @@ def fair_queue(rows: DataFrame, sizes: DataFrame, budget: float, ranges: int = R
              .rowsBetween(Window.unboundedPreceding, -1))
     at = F.col("_spent") + F.coalesce(F.sum("size").over(order), F.lit(0))
     taken = F.greatest(F.lit(0), F.least(F.col("size"), F.lit(int(round(budget))) - at))
-    return (copies.withColumn("taken", taken).filter("taken > 0")
-            .groupBy("row").agg(F.sum("taken").cast("long").alias("taken")))
+    out = store(copies.withColumn("taken", taken).filter("taken > 0")
+                .groupBy("row").agg(F.sum("taken").cast("long").alias("taken")), "mix_taken")
+    release(stored)
+    return out
 
 
 def plan(rows: DataFrame, max_epochs: float = MAX_EPOCHS, budget: float | None = None,

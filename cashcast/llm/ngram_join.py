@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from cashcast.llm import textkit as tk
 from cashcast.llm.graphs import Bloom, components
-from cashcast.session import ship_package, store
+from cashcast.session import broadcast_if_small, release, ship_package, store
 
 SHINGLE = 4
 PERCENT = 85
@@ -225,7 +225,7 @@ class Join:
         self.spark: SparkSession = texts.sparkSession
         ship_package(self.spark)
         self.length, self.percent = length, percent
-        self.texts, self.tested = texts.select("doc_id", "text"), None
+        self.texts, self.tested, self.stored = texts.select("doc_id", "text"), None, []
         self.rows = store(texts.mapInArrow(_bases(length), _BASE), "ngram_rows")
         freq, others = frequencies(texts, length)
         postings = self.texts.mapInArrow(_prefixes(self.spark.sparkContext.broadcast(freq), others, length, percent, most), _POSTING)
@@ -237,6 +237,7 @@ class Join:
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = store(pairs, "ngram_pairs")
+        self.stored.append(pairs)
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         classes = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()
         asked = self.rows.join(classes, "s").select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"))
@@ -247,7 +248,9 @@ class Join:
         left = sets.select(F.col("s").alias("a"), F.col("shingles").alias("x"))
         right = sets.select(F.col("s").alias("b"), F.col("shingles").alias("y"))
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-        return store(both.mapInArrow(_verify(self.percent), "a long, b long"), "ngram_links")
+        links = store(both.mapInArrow(_verify(self.percent), "a long, b long"), "ngram_links")
+        release(sets)
+        return links
 
     def reaches(self) -> Column:
         """Can a pair of (s, n, l, pos, s2, n2, l2, pos2) that shares this token reach the threshold?
@@ -285,8 +288,7 @@ class Join:
         members = lists.select("token", *[F.col(c).alias(c + "2") for c in ["pos", *cols]])
         apart = (F.col("c") != F.col("c2")) & ((F.col("c2") == F.col("hub_c")) | (F.col("s") < F.col("s2")))
         met = strays.join(members, "token").filter(apart & self.reaches())
-        self.final = met
-        return self._round(found, met)[0]
+        return found.unionByName(self.verified(self.candidates(met)))
 
     def _round(self, found: DataFrame | None, met: DataFrame) -> tuple[DataFrame, DataFrame]:
         new = self.verified(self.candidates(met))
@@ -299,6 +301,7 @@ class Join:
     def result(self) -> DataFrame:
         """(row, doc_id, n, component) of every row; component is the least doc_id that links reach."""
         joined = components(self.links())
+        release(self.lists, *self.stored)
         rows = self.rows.join(joined, self.rows["s"] == joined["node"], "left").select(
             self.rows["*"], F.coalesce("component", "s").alias("c"))
         least = rows.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("component"))
@@ -329,6 +332,6 @@ def deduplicate(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT)
     found = Join(whole.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("string").alias("text"), "row"),
                  length, percent).result().filter("n > 0")
     first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    gone = found.join(first, found["component"].eqNullSafe(first["component"])).filter(
-        F.col("row") != F.col("first.row")).select("row")
+    gone = broadcast_if_small(found.join(first, found["component"].eqNullSafe(first["component"])).filter(
+        F.col("row") != F.col("first.row")).select("row"))
     return whole.join(gone, "row", "left_anti").select("doc.*")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cashcast.session import store
+from cashcast.session import broadcast_if_small, release, store
 
 #: Bytes of text in a shard at most.
 SHARD_BYTES = 64 << 20
@@ -77,15 +77,18 @@ def assign(rows: DataFrame, buckets: DataFrame, limit: int = SHARD_BYTES) -> Dat
     slot = F.substring("bits", 1, top) if top else F.lit("")
     # every slot in use asks for its prefixes of the depths that occur
     asked = rows.select(slot.alias("slot")).distinct().withColumn("depth", F.explode(F.array(*[F.lit(d) for d in depths or [0]])))
-    slots = asked.withColumn("prefix", F.expr("substring(slot, 1, depth)")).join(buckets, ["prefix", "depth"])
+    slots = broadcast_if_small(asked.withColumn("prefix", F.expr("substring(slot, 1, depth)")).join(buckets, ["prefix", "depth"]))
     placed = rows.withColumn("slot", slot).join(slots, "slot").drop("slot")
+    named = F.concat(F.lit("b"), "prefix")
+    if buckets.filter("single").isEmpty():
+        return placed.withColumn("shard", named).drop("single")
     # overflow pages of single-key buckets, by input partition; other buckets are one page
     part = F.shiftright("row", 33)
     per_page = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col("n_bytes"), F.lit(1))))
-    one = placed.filter(~F.col("single")).withColumn("shard", F.concat(F.lit("b"), "prefix"))
+    one = placed.filter(~F.col("single")).withColumn("shard", named)
     w = Window.partitionBy("bits", part).orderBy("row")
     many = placed.filter("single").withColumn("shard", F.concat(
-        F.lit("b"), "prefix", F.lit("-"), part.cast("string"), F.lit("-"),
+        named, F.lit("-"), part.cast("string"), F.lit("-"),
         F.floor((F.row_number().over(w) - 1) / per_page).cast("string")))
     return one.unionByName(many).drop("single")
 

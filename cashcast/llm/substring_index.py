@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from cashcast.llm import textkit as tk
 from cashcast.llm.graphs import Bloom
 from cashcast.llm.run_index import RunIndex
-from cashcast.session import ship_package, store
+from cashcast.session import release, ship_package, store
 
 DEPTH = 100
 SEED = 32
@@ -277,7 +277,7 @@ def _result(with_text: bool, names: list[str]):
 
 
 def repeated_spans(texts: DataFrame, depth: int = DEPTH, seed: int = SEED) -> DataFrame:
-    """(row, start, end): the bytes of (row, doc_id, text) that are covered by earlier strings, spans may overlap."""
+    """(row, spans): per row of (row, doc_id, text), the spans covered by earlier strings; they may overlap."""
     spark = texts.sparkSession
     found = texts.select("doc_id", "row", "text").mapInArrow(_fragments(depth, seed), _FRAGMENT)
     dealt = found.repartition("a").sortWithinPartitions("kind", "a", "g", "doc_id", "row", "start")
@@ -289,7 +289,10 @@ def repeated_spans(texts: DataFrame, depth: int = DEPTH, seed: int = SEED) -> Da
     cut = some.join(wanted, "row").select("row", "text", "spans").mapInArrow(_cut, _TEXT)
     dealt = cut.repartition("a").sortWithinPartitions("a", "doc_id", "row", "start")
     compared = store(dealt.mapInArrow(_compare(depth), _SPANS), "compared")
-    return found.filter("kind = 0").select("row", "start", "end").unionByName(compared)
+    spans = found.filter("kind = 0").select("row", "start", "end").unionByName(compared)
+    spans = store(spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    release(found, compared)
+    return spans
 
 
 def remove_repeats(docs: DataFrame, depth: int = DEPTH, seed: int = SEED, with_text: bool = False) -> DataFrame:
@@ -307,7 +310,6 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, seed: int = SEED, with_t
     texts = store(docs.select(F.monotonically_increasing_id().alias("row"), order.alias("doc_id"),
                               F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), "texts")
     spans = repeated_spans(texts, depth, seed)
-    spans = store(spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     bloom = spark.sparkContext.broadcast(Bloom(spans, F.col("row")))
     hashed = texts.select(F.xxhash64("row").alias("h"), "row", "doc_id", "text")
     schema = "h long, row long, doc_id long, text string"
