@@ -1,10 +1,11 @@
 """Operator 6, toxicity: subword-bag embeddings averaged into a linear softmax.
 
-A text is the bag of its words and of their character n-grams (3 to 5 bytes, word borders
-included), hashed to buckets with an embedding each; the embeddings are averaged and a
+A text is the bag of its words' character n-grams (3 to 5 bytes, word borders included),
+hashed to buckets with an embedding each; the embeddings are averaged and a
 linear softmax over the two labels decides. Embeddings and softmax are trained jointly in
 numpy on a bounded sample, by Adagrad on the cross entropy. A misspelt word shares most of
-its n-grams with the word, so unseen spellings score alike.
+its n-grams with the word, so unseen spellings score alike; whole words are no features, as
+the model would lean on them alone.
 
 Average and softmax are linear, so a text's margin is the average of one number per bucket
 (its embedding times the softmax weights): whole texts are scored by one lookup per n-gram.
@@ -24,8 +25,8 @@ from cashcast.llm.learning import fold, labelled_sample
 from cashcast.session import ship_package
 
 #: Labelled rows of each label that the fit reads at most (about; chosen by a hash of the id).
-LEARN_DOCS = 2500
-EPOCHS = 12
+LEARN_DOCS = 4000
+EPOCHS = 10
 BATCH = 32
 BUCKET_BITS = 18
 DIM = 8
@@ -33,11 +34,11 @@ RATE = 0.4
 DECAY = 1e-6
 SIZES = (3, 4, 5)
 #: Texts of the sample that a bucket must occur in to be trained; other buckets stay zero.
-MIN_TEXTS = 4
+MIN_TEXTS = 6
 #: Long texts are scored by equal passages of about so many bytes; the most toxic one counts.
-PASSAGE = 2048
+PASSAGE = 768
 #: Neutral subwords averaged into every bag, so that a few n-grams alone decide nothing.
-NEUTRAL = 400
+NEUTRAL = 350
 THRESHOLD = 0.5
 
 _WORD = tk.byte_table((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF), (0x40, 0x40))
@@ -56,7 +57,7 @@ def passages(off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def subwords(data: np.ndarray, off: np.ndarray, bins: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bucket, bin) of all words and character n-grams of a piece, a pair of arrays for each size.
+    """(bucket, bin) of all character n-grams of a piece, a pair of arrays for each size.
 
     ``bins`` are offsets that cut the bytes into texts or passages. A word equal to the one
     before it is left out.
@@ -67,7 +68,6 @@ def subwords(data: np.ndarray, off: np.ndarray, bins: np.ndarray) -> Iterator[tu
     word = tk.span_hash(tk.prefix_sums(tk.LOWER[data]), starts, ends)
     again = np.zeros(len(word), bool)
     again[1:] = (word[1:] == word[:-1]) & (row[1:] == row[:-1])
-    yield (word[~again] & mask).astype(np.int64), np.searchsorted(bins, starts[~again], "right") - 1
     plain = _PLAIN[data]
     if again.any():
         drop = np.zeros(len(data) + 1, np.int8)
