@@ -27,7 +27,7 @@ from cashcast.session import broadcast_if_small, ship_package, store
 #: Words of a window, places that a proximity match allows, bytes of test text in a block.
 WINDOW = 10
 SLOP = 2
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Candidates that are intersected at a time; more go in several rounds.
 ROUND = 1 << 20
 
@@ -44,20 +44,35 @@ class Windows:
     """The windows of one block of test items: distinct word sequences and the items that hold them."""
 
     def __init__(self, items: list[tuple[str, str]], size: int) -> None:
-        words = {}
-        for item, text in items:
-            raw = np.frombuffer((text or "").encode(), np.uint8)
-            h, _ = _words(raw, np.array([0, len(raw)]))
-            n = min(size, len(h))
-            for i in range(len(h) - n + 1) if n else ():
-                words.setdefault(tuple(h[i:i + n].tolist()), set()).add(item)
-        self.vocabulary = np.unique(np.array([t for w in words for t in w], np.uint64))
-        self.items = [sorted(v) for v in words.values()]
-        self.length = np.array([len(w) for w in words], np.int64)
-        self.term = np.full((len(words), size), -1, np.int64)
-        for i, w in enumerate(words):
-            self.term[i, :len(w)] = np.searchsorted(self.vocabulary, np.array(w, np.uint64))
-        self.offset = np.tile(np.arange(size), (len(words), 1))
+        names = sorted({i for i, _ in items})
+        number = np.searchsorted(np.array(names, object), np.array([i for i, _ in items], object)) if items else np.zeros(0, int)
+        raw = [(t or "").encode() for _, t in items]
+        off = np.concatenate([[0], np.cumsum([len(t) for t in raw], dtype=np.int64)])
+        h, row = _words(np.frombuffer(b"".join(raw), np.uint8), off)
+        count = np.bincount(row, minlength=len(items))
+        # a window starts at every word that has enough behind it; a short item is one window
+        start = np.arange(len(h))
+        first = tk.row_starts(row, len(items))
+        behind = first[row] + count[row] - start if len(h) else start
+        length = np.minimum(count[row], size) if len(h) else start
+        start = start[behind >= length]
+        length = length[start]
+        at = start[:, None] + np.arange(size)
+        inside = np.arange(size) < length[:, None]
+        words = np.where(inside, h[np.minimum(at, max(len(h) - 1, 0))] if len(h) else np.uint64(0), np.uint64(0))
+        key = tk.mix((words * (np.arange(size, dtype=np.uint64) * np.uint64(2) + np.uint64(0x9E3779B97F4A7C15))).sum(1) + length.astype(np.uint64))
+        _, pick, window = np.unique(key, return_index=True, return_inverse=True)
+        pair = np.unique(np.stack([window, number[row[start]]], 1), axis=0) if len(start) else np.zeros((0, 2), int)
+        self.names, self.item = names, pair[:, 1]
+        self.item_at = np.searchsorted(pair[:, 0], np.arange(len(pick) + 1))
+        self.vocabulary = np.unique(h)
+        self.length = length[pick]
+        self.term = np.where(inside[pick], np.searchsorted(self.vocabulary, words[pick]), -1).astype(np.int32)
+        self.offset = np.tile(np.arange(size, dtype=np.int16), (len(pick), 1))
+
+    def items(self, window: int) -> list[str]:
+        """Ids of the items that hold the window."""
+        return [self.names[k] for k in self.item[self.item_at[window]:self.item_at[window + 1]]]
 
     def rarest_first(self, frequency: np.ndarray) -> None:
         """Order each window's terms by frequency in the index; places past a short window go last."""
@@ -120,7 +135,7 @@ def intersect(w: Windows, terms: np.ndarray, counts: np.ndarray, places: np.ndar
             if not len(win):
                 break
             asked = w.term[win, k]
-            want = (asked << 40) + start + w.offset[win, k]
+            want = (asked.astype(np.int64) << 40) + start + w.offset[win, k]
             pos = np.searchsorted(key, want - slop)
             hit = key[np.minimum(pos, len(key) - 1)]
             ok = (asked < 0) | ((pos < len(key)) & (hit <= want + slop) & (hit >= want - slop))
@@ -130,8 +145,9 @@ def intersect(w: Windows, terms: np.ndarray, counts: np.ndarray, places: np.ndar
     return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 
 
-def _matcher(w: Windows, gap: int, slop: int):
+def _matcher(shared, gap: int, slop: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = shared.value
         for b in batches:
             for keys, n_words, terms, counts, places in zip(*(b.column(c) for c in ("keys", "n_words", "terms", "counts", "places"))):
                 keys = np.frombuffer(keys.as_buffer(), np.int64).reshape(-1, 3)
@@ -149,7 +165,7 @@ def _matcher(w: Windows, gap: int, slop: int):
                 n_hit = tk.per_text(inside, np.append(begin, len(inside)))
                 ids, spans = {}, {}
                 for r, x in set(zip(row.tolist(), win.tolist())):
-                    ids.setdefault(r, set()).update(w.items[x])
+                    ids.setdefault(r, set()).update(w.items(x))
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], inside, [0]])))
                 for s, e in zip(edge[0::2].tolist(), edge[1::2].tolist()):
                     r = int(np.searchsorted(begin, s, "right")) - 1
@@ -164,7 +180,7 @@ def _matcher(w: Windows, gap: int, slop: int):
                     nw, ns = intersect(w, terms, counts, places, slop)
                     nr = np.searchsorted(base, ns, "right") - 1
                     for r, x in set(zip(nr.tolist(), nw.tolist())):
-                        near.setdefault(max(r, 0), set()).update(w.items[x])
+                        near.setdefault(max(r, 0), set()).update(w.items(x))
                 k = range(len(n_words))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[:, 0], mask=keys[:, 2] != 0), pa.array(keys[:, 1]), pa.array(n_words), pa.array(n_hit.astype(np.int64)),
@@ -205,7 +221,7 @@ def find(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = SLOP
         for r in index.select("terms", "counts").mapInArrow(_frequency, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
             frequency[r.term] = r.n
         w.rarest_first(frequency)
-        found = index.mapInArrow(_matcher(w, gap, slop), _FOUND)
+        found = index.mapInArrow(_matcher(docs.sparkSession.sparkContext.broadcast(w), gap, slop), _FOUND)  # a block's size
         out = found if out is None else out.unionByName(found)
     if blocks == 1:
         return out
