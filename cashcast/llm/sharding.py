@@ -38,7 +38,7 @@ def directory(keys: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
 
     ``single`` marks a bucket above the limit that holds one key.
     """
-    parts, rows, depth = [], keys, 0
+    parts, cells_of, rows, depth = [], [], keys, 0
     while True:
         cell = F.substring("bits", 1, depth + STEP)
         cells = rows.groupBy(cell.alias("cell")).agg(
@@ -51,6 +51,7 @@ def directory(keys: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
                            (F.min("low").over(w) == F.max("high").over(w)).alias("single"))
             fits = F.when((own["bytes"] <= limit) | own["single"], own).otherwise(fits)
         settled = store(cells.select("cell", fits.alias("b")), "shard_cells")
+        cells_of.append(settled)
         parts.append(settled.filter("b IS NOT NULL").select(
             F.expr("substring(cell, 1, b.depth)").alias("prefix"), F.col("b.depth").alias("depth"),
             F.col("b.bytes").alias("shard_bytes"), F.col("b.docs").alias("shard_docs"),
@@ -63,7 +64,9 @@ def directory(keys: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return store(out, "shard_directory")
+    out = store(out, "shard_directory")
+    release(*cells_of)
+    return out
 
 
 def assign(rows: DataFrame, buckets: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
