@@ -3,8 +3,6 @@ monthly weather regressors (F4, A3), date split (F12), profiles (A8, A9)."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
