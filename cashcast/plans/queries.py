@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cashcast.config import DEFAULT as CFG
 from cashcast.operators import history as H
+from cashcast.session import store
 from cashcast.sources import fixtures as X
 from cashcast.sources.tables import table_profile
 
@@ -153,7 +154,12 @@ def f10_naive_yoy(spark, sf_dir):
 
 @memo
 def _naive_forecast_rows(spark, sf_dir):
-    return EV.naive_yoy_forecast(_history(spark, sf_dir), CFG.horizon).select(
+    return _naive_rows(EV.naive_yoy_forecast(_history(spark, sf_dir), CFG.horizon))
+
+
+def _naive_rows(naive: DataFrame) -> DataFrame:
+    """Naive forecasts under the forecast table's names, without a band."""
+    return naive.select(
         F.col("ds").alias("SalesOrderDate"), "Material", "MaterialGroup", "predicted_qty",
         F.lit(None).cast("double").alias("predicted_qty_lower"),
         F.lit(None).cast("double").alias("predicted_qty_upper"))
@@ -560,9 +566,15 @@ def a18_month_volume(spark, sf_dir):
 from cashcast.operators import forecast as FC  # noqa: E402
 
 
+@memo
+def _stored_history(spark, sf_dir):
+    """The weekly history (one row per series and week), written once for queries that read it several times."""
+    return store(_history(spark, sf_dir), "history")
+
+
 @memo
 def _model(spark, sf_dir):
-    return FC.forecast_by_key(_history(spark, sf_dir), _monthly(spark, sf_dir), CFG.horizon, CFG.fallback,
+    return FC.forecast_by_key(_stored_history(spark, sf_dir), _monthly(spark, sf_dir), CFG.horizon, CFG.fallback,
                               min_rows=CFG.min_rows)
 
 
@@ -589,7 +601,7 @@ def f8_model_fit_metrics(spark, sf_dir):
 
 @query("f9_model_status")
 def f9_model_status(spark, sf_dir):
-    return EV.series_status(_history(spark, sf_dir), CFG.min_rows, CFG.horizon, REGRESSORS,
+    return EV.series_status(_stored_history(spark, sf_dir), CFG.min_rows, CFG.horizon, REGRESSORS,
                             fit_status=FC.fit_errors(_model(spark, sf_dir)), listed=LISTED)
 
 
@@ -617,9 +629,9 @@ def f11_naive_metrics(spark, sf_dir):
 @query("f11_skill")
 def f11_skill(spark, sf_dir):
     """Model vs naive year-over-year on the test window (MAE and MAPE against actuals)."""
-    actual = _actuals(spark, sf_dir)
-    return EV.skill_vs_naive(_scored(FC.forecast_rows(_model(spark, sf_dir)), actual),
-                             _scored(_naive_forecast_rows(spark, sf_dir), actual))
+    actual = store(_actuals(spark, sf_dir), "actuals")
+    naive = EV.naive_yoy_forecast(_stored_history(spark, sf_dir), CFG.horizon)
+    return EV.skill_vs_naive(_scored(FC.forecast_rows(_model(spark, sf_dir)), actual), _scored(_naive_rows(naive), actual))
 
 
 # --- profiles and listings -------------------------------------------------------------
