@@ -299,14 +299,20 @@ class Join:
         return found, lists
 
     def result(self) -> DataFrame:
-        """(row, doc_id, n, component) of every row; component is the least doc_id that links reach."""
-        joined = components(self.links())
+        """(row, doc_id, n, c, component) of every row: c names its component, unless its set is
+        empty; component is the least doc_id that links reach.
+
+        Only components of several rows are joined back, so their table is narrow and small
+        enough, as a rule, for the rows not to be dealt by component at all.
+        """
+        joined = broadcast_if_small(components(self.links()))
         release(self.lists, *self.stored)
         rows = self.rows.join(joined, self.rows["s"] == joined["node"], "left").select(
-            self.rows["*"], F.coalesce("component", "s").alias("c"))
-        least = rows.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("component"))
-        return rows.join(least, "c", "left").select(
-            "row", "doc_id", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component"))
+            self.rows["*"], F.when(F.col("n") > 0, F.coalesce("component", "s")).alias("c"))
+        several = rows.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("component"), F.count(F.lit(1)).alias("rows"))
+        several = broadcast_if_small(several.filter("rows > 1").select("c", "component"))
+        return rows.join(several, "c", "left").select(
+            "row", "doc_id", "n", "c", F.coalesce("component", "doc_id").alias("component"))
 
 
 def ngram_components(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -331,7 +337,7 @@ def deduplicate(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT)
     whole = store(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
     found = Join(whole.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("string").alias("text"), "row"),
                  length, percent).result().filter("n > 0")
-    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    gone = broadcast_if_small(found.join(first, found["component"].eqNullSafe(first["component"])).filter(
-        F.col("row") != F.col("first.row")).select("row"))
+    first = found.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("rows"))
+    first = broadcast_if_small(first.filter("rows > 1").select("c", F.col("first.row").alias("kept")))
+    gone = broadcast_if_small(found.join(first, "c").filter("row <> kept").select("row"))
     return whole.join(gone, "row", "left_anti").select("doc.*")

@@ -6,7 +6,7 @@ import pytest
 
 from cashcast.llm import (decontamination, fuzzy_passages, language, line_rules, mixing, ngram_join, quality, sharding,
                           substring_index, toxicity)
-from tests.llm.cases import CLASHES, LONG, PASSAGE, ROWS, awkward, by_id, empty, labels
+from tests.llm.cases import CLASHES, LONG, PASSAGE, ROWS, awkward, by_id, empty, labels, prose
 
 
 def items(spark, rows):
@@ -162,6 +162,14 @@ def test_ngram_join(spark):
     assert ngram_join.deduplicate(empty(spark)).count() == 0
 
 
+def test_deduplicate_goes_by_links_not_ids(spark):
+    """Different texts without an id, or of one id, are not one group."""
+    rows = [(None, prose(30, 1)), (None, prose(30, 2)), (None, prose(30, 2)), (7, prose(30, 3)), (7, prose(30, 4)), (8, prose(30, 4))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(r.text for r in ngram_join.deduplicate(docs).collect())
+    assert left == sorted(prose(30, k) for k in (1, 2, 3, 4))
+
+
 def test_fuzzy_passages(spark):
     got = fuzzy_passages.passages(awkward(spark)).collect()
     found = {(r.doc_id, r.other_doc_id): r for r in got}
