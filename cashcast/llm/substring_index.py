@@ -15,6 +15,9 @@ known by two hashes, of its minimizer and of its bytes.
   bytes are fetched, dealt by minimizer, and indexed bucket by bucket: a run-compressed
   Burrows-Wheeler transform with run samples. The fragments are streamed through it, and
   each window whose first occurrence is earlier is removed.
+* A minimizer with more than ``BUCKET_BYTES`` of such fragments is not indexed: its windows are
+  dealt one by one by the hash of all their bytes, so equal ones still meet, and all but the
+  first of each are removed as they stream by.
 
 What a task holds is a batch of fragments and one index; documents without any repeat are
 never shuffled.
@@ -33,11 +36,13 @@ from pyspark.sql import functions as F
 from cashcast.llm import textkit as tk
 from cashcast.llm.graphs import Bloom
 from cashcast.llm.run_index import RunIndex
-from cashcast.session import release, ship_package, store
+from cashcast.session import broadcast_if_small, release, ship_package, store
 
 DEPTH = 100
 SEED = 32
-#: Bytes of fragments in one run-length index (whole buckets; a larger bucket is one index).
+#: Bytes of fragments of one minimizer that are compared in one index; it takes about a hundred times as much.
+BUCKET_BYTES = 1 << 20
+#: Bytes of fragments in one run-length index (whole buckets; a larger one of at most BUCKET_BYTES is one index).
 INDEX_BYTES = 1 << 18
 #: Bytes of text whose fragments are compared where they are read.
 GATHER = 8 << 20
@@ -48,6 +53,7 @@ _LOW = np.uint64((1 << 20) - 1)
 _FRAGMENT = "kind int, a long, g long, doc_id long, row long, start int, end int"
 _TEXT = "a long, doc_id long, row long, start int, bytes binary"
 _SPANS = "row long, start int, end int"
+_WINDOW = "kind int, name long, doc_id long, row long, start long"
 
 
 def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
@@ -195,6 +201,59 @@ def _asked(bloom, keep: bool):
     return run
 
 
+def large_buckets(asked: DataFrame, bytes_: int) -> DataFrame:
+    """(a): the minimizers whose fragments to compare have more bytes than ``bytes_``."""
+    return asked.groupBy("a").agg(F.sum(F.col("end") - F.col("start")).alias("size")).filter(F.col("size") > bytes_).select("a")
+
+
+def _windows(depth: int):
+    """Kind 1: the first windows of ``depth`` bytes of each name (a hash of all bytes) among those gathered; kind 0: the others."""
+    def firsts(parts) -> pa.RecordBatch:
+        name, doc, row, start = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((start, row, doc, name))
+        name, doc, row, start = name[order], doc[order], row[order], start[order]
+        again = np.zeros(len(name), bool)
+        again[1:] = name[1:] == name[:-1]
+        name[again] = tk.signed(tk.mix(row[again].astype(np.uint64)))
+        return pa.RecordBatch.from_arrays([pa.array(np.where(again, 0, 1).astype(np.int32)), *(pa.array(x) for x in (name, doc, row, start))],
+                                          ["kind", "name", "doc_id", "row", "start"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts, n = [], 0
+            for k in range(b.num_rows):
+                raw, row = b.column("text")[k].as_buffer(), b.column("row")[k].as_py()
+                for s in b.column("spans")[k].as_py():
+                    sums = tk.prefix_sums(tk.EXACT[np.frombuffer(raw[s["start"]:s["end"]], np.uint8)])
+                    at = np.arange(s["end"] - s["start"] - depth + 1)
+                    name = tk.signed(tk.span_hash(sums, at, at + depth))
+                    parts.append((name, np.full(len(at), s["doc_id"], np.int64), np.full(len(at), row, np.int64), at + s["start"]))
+                    n += len(at)
+                    if n >= SPAN:
+                        yield firsts(parts)
+                        parts, n = [], 0
+            if parts:
+                yield firsts(parts)
+    return run
+
+
+def _again(depth: int):
+    """From windows sorted by (kind, name, corpus order): the spans of kind 0, and of all but the first of each name."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for b in batches:
+            kind, name, row, start = (b.column(c).to_numpy() for c in ("kind", "name", "row", "start"))
+            z, one = kind == 0, np.flatnonzero(kind)
+            if len(one):
+                h = name[one]
+                z[one] = np.concatenate([[last is not None and h[0] == last], h[1:] == h[:-1]])
+                last = h[-1]
+            r, s, e = merge(row[z], start[z], start[z] + depth)
+            yield pa.RecordBatch.from_arrays([pa.array(r.astype(np.int64)), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))],
+                                             ["row", "start", "end"])
+    return run
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the spans asked for of each text."""
     for b in batches:
@@ -276,7 +335,7 @@ def _result(with_text: bool, names: list[str]):
     return run
 
 
-def repeated_spans(texts: DataFrame, depth: int = DEPTH, seed: int = SEED) -> DataFrame:
+def repeated_spans(texts: DataFrame, depth: int = DEPTH, seed: int = SEED, bucket: int = BUCKET_BYTES) -> DataFrame:
     """(row, spans): per row of (row, doc_id, text), the spans covered by earlier strings; they may overlap."""
     spark = texts.sparkSession
     found = texts.select("doc_id", "row", "text").mapInArrow(_fragments(depth, seed), _FRAGMENT)
@@ -284,12 +343,18 @@ def repeated_spans(texts: DataFrame, depth: int = DEPTH, seed: int = SEED) -> Da
     found = store(dealt.mapInArrow(_buckets, _FRAGMENT), "fragments")
     asked = found.filter("kind = 1")
     bloom = spark.sparkContext.broadcast(Bloom(asked.select("row").distinct(), F.col("row")))
-    wanted = asked.groupBy("row").agg(F.collect_list(F.struct("a", "doc_id", "start", "end")).alias("spans"))
+    large = broadcast_if_small(large_buckets(asked, bucket))
+    wanted = lambda how: asked.join(large, "a", how).groupBy("row").agg(
+        F.collect_list(F.struct("a", "doc_id", "start", "end")).alias("spans"))
     some = texts.select(F.xxhash64("row").alias("h"), "row", "doc_id", "text").mapInArrow(_asked(bloom, True), "h long, row long, doc_id long, text string")
-    cut = some.join(wanted, "row").select("row", "text", "spans").mapInArrow(_cut, _TEXT)
+    cut = some.join(wanted("left_anti"), "row").select("row", "text", "spans").mapInArrow(_cut, _TEXT)
     dealt = cut.repartition("a").sortWithinPartitions("a", "doc_id", "row", "start")
     compared = store(dealt.mapInArrow(_compare(depth), _SPANS), "compared")
     spans = found.filter("kind = 0").select("row", "start", "end").unionByName(compared)
+    if not large.isEmpty():
+        windows = some.join(wanted("left_semi"), "row").select("row", "text", "spans").mapInArrow(_windows(depth), _WINDOW)
+        dealt = windows.repartition("name").sortWithinPartitions("kind", "name", "doc_id", "row", "start")
+        spans = spans.unionByName(dealt.mapInArrow(_again(depth), _SPANS))
     spans = store(spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     release(found, compared)
     return spans
