@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cashcast.llm import decontamination, fuzzy_passages, language, line_rules, mixing, ngram_join, quality, sharding, substring_index, toxicity
+from cashcast.llm import (decontamination, fuzzy_passages, importance, language, line_rules, mixing, ngram_join, quality, sharding, simhash,
+                          substring_index, toxicity, whitening)
 from cashcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +69,19 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_fuzzy_passages")
 def op10_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_passages.passages(read_table(spark, "documents", sf_dir))
+
+
+@query("op11_importance")
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_ranks(read_table(spark, "documents", sf_dir), read_table(spark, "benchmark", sf_dir))
+
+
+@query("op12_simhash")
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(read_table(spark, "documents", sf_dir))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whitened(read_table(spark, "embeddings", sf_dir))
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
