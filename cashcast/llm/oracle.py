@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from cashcast.llm import importance, simhash
 from cashcast.llm.decontamination import WINDOW
 from cashcast.llm.line_rules import KEEP_SHARE, MAX_REPEAT_PCT, MIN_DOCS, MIN_WORDS, SHARE
 from cashcast.llm.mixing import MAX_EPOCHS
 from cashcast.llm.ngram_join import PERCENT, SHINGLE
 from cashcast.llm.sharding import SHARD_BYTES
+from cashcast.llm.spanhash import P1, P2, P3, P4, P5
 from cashcast.llm.substring_index import DEPTH
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -128,5 +130,105 @@ c AS (SELECT r.x AS row, min(doc_id) AS component_id FROM r JOIN d ON d.row = r.
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM d JOIN c USING (row) LEFT JOIN n USING (row)
 """
 
+ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+# words' CRC-32 from the usual table of 256 entries; the gains and weights as sums over words
+OP11 = rf"""
+WITH tab AS (SELECT list(v ORDER BY b) AS t FROM (
+        SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM (SELECT unnest(range(256)) AS b))),
+d AS (SELECT row_number() OVER () AS row, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{SMALL}'), '{ALNUM_WORD}') AS ws FROM documents),
+dw AS (SELECT row, w, count(*) AS n FROM (SELECT row, unnest(ws) AS w FROM d) GROUP BY row, w),
+bw AS (SELECT w, count(*) AS n FROM (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{SMALL}'), '{ALNUM_WORD}')) AS w
+       FROM benchmark) GROUP BY w),
+x AS (SELECT w, hex(encode(w)) AS hx FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+h AS (SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(hx) // 2), lambda i: CAST('0x' || substr(hx, 2 * i + 1, 2) AS BIGINT))),
+                                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % {importance.BUCKETS} AS bucket FROM x, tab),
+s AS (SELECT bucket, sum(n) AS n FROM dw JOIN h USING (w) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS n FROM bw JOIN h USING (w) GROUP BY bucket),
+sums AS (SELECT (SELECT coalesce(sum(n), 0) FROM s) AS s_all, (SELECT coalesce(sum(n), 0) FROM t) AS t_all),
+g AS (SELECT b.bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (s_all + {importance.BUCKETS})::DOUBLE
+                                            / ((coalesce(s.n, 0) + 1)::DOUBLE * (t_all + {importance.BUCKETS})::DOUBLE))) AS BIGINT) AS gain
+      FROM (SELECT unnest(range({importance.BUCKETS})) AS bucket) b LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), sums),
+w AS (SELECT row, sum(n * gain) AS weight FROM dw JOIN h USING (w) JOIN g USING (bucket) GROUP BY row),
+r AS (SELECT row, doc_id, len(ws) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+             (CAST('0x' || substr(sha256('{importance.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM d LEFT JOIN w USING (row)),
+k AS (SELECT row, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM r WHERE n_features >= {importance.MIN_WORDS}),
+n AS (SELECT {importance.PERCENT} * count(*) // 100 AS drawn FROM k)
+SELECT doc_id, n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score, CASE WHEN rank <= drawn THEN rank END AS rank
+FROM r LEFT JOIN k USING (row), n
+"""
+
+
+def _u(x) -> str:
+    return f"{int(x)}::UHUGEINT"
+
+
+MASK = _u(2**64 - 1)
+
+
+def _rot(x: str, k: int) -> str:
+    """64-bit rotation in 128-bit numbers."""
+    return f"(((({x}) * {_u(2**k)}) & {MASK}) + (({x}) // {_u(2**(64 - k))}))"
+
+
+def _times(x: str, prime) -> str:
+    return f"((({x}) * {_u(prime)}) & {MASK})"
+
+
+def _plus(x: str, y) -> str:
+    return f"((({x}) + {_u(y)}) & {MASK})"
+
+
+def _step(acc: str, lane: str) -> str:
+    return _times(_rot(f"((({acc}) + ({lane}) * {_u(P2)}) & {MASK})", 31), P1)
+
+
+def _little(at: str, n: int) -> str:
+    """n bytes of the hexadecimal text hx from byte ``at``, the first one lowest."""
+    return "CAST('0x' || " + " || ".join(f"substr(hx, 2 * (({at}) + {k}) + 1, 2)" for k in reversed(range(n))) + " AS UBIGINT)::UHUGEINT"
+
+
+_SEED = simhash.SEED
+_INIT = [(_SEED + int(P1) + int(P2)) % 2**64, (_SEED + int(P2)) % 2**64, _SEED, (_SEED - int(P1)) % 2**64]
+_ACC = ", ".join(f"list_reduce(list_prepend({_u(v)}, list_transform(range(n // 32), lambda i: {_little(f'32 * i + {8 * j}', 8)})), "
+                 f"lambda a, l: {_step('a', 'l')}) AS v{j}" for j, v in enumerate(_INIT))
+_MERGED = f"(({_rot('v0', 1)} + {_rot('v1', 7)} + {_rot('v2', 12)} + {_rot('v3', 18)}) & {MASK})"
+_MERGES = "".join(f"m{j} AS (SELECT * REPLACE ({_plus(_times(f'xor(w, {_step(_u(0), f'v{j}')})', P1), P4)} AS w) FROM {f'm{j - 1}' if j else 'acc'}),\n"
+                  for j in range(4))
+_BITS = ", ".join(f"sum((h >> {k}) & 1::UBIGINT) AS s{k}" for k in range(64))
+_FP = " + ".join(f"(2 * s{k} > n)::UBIGINT * {2**k}::UBIGINT" for k in range(64))
+
+# XXH64 of the distinct shingles, step by step, in 128-bit numbers
+OP12 = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{SMALL}'), '{WORD}') AS ws FROM documents),
+p AS (SELECT row, ws, unnest(range(1, greatest(len(ws) - {simhash.SHINGLE}, 0) + 2)) AS i FROM d WHERE len(ws) > 0),
+sh AS (SELECT row, array_to_string(ws[i:i + {simhash.SHINGLE - 1}], ' ') AS g FROM p),
+x AS (SELECT g, hex(encode(g)) AS hx, strlen(g) AS n FROM (SELECT DISTINCT g FROM sh)),
+v AS (SELECT *, {_ACC} FROM x),
+acc AS (SELECT *, {_MERGED} AS w FROM v),
+{_MERGES}h0 AS (SELECT g, hx, n, n - n % 32 AS p8, n - n % 8 AS p4, n - n % 4 AS p1,
+              ((CASE WHEN n >= 32 THEN w ELSE {_u((_SEED + int(P5)) % 2**64)} END) + n::UHUGEINT) & {MASK} AS h FROM m3),
+h1 AS (SELECT * REPLACE (list_reduce(list_prepend(h, list_transform(range((p4 - p8) // 8), lambda i: {_little('p8 + 8 * i', 8)})),
+                                     lambda a, l: {_plus(_times(_rot(f"xor(a, {_step(_u(0), 'l')})", 27), P1), P4)}) AS h) FROM h0),
+h2 AS (SELECT * REPLACE (CASE WHEN p1 > p4 THEN {_plus(_times(_rot(f"xor(h, {_times(_little('p4', 4), P1)})", 23), P2), P3)} ELSE h END AS h) FROM h1),
+h3 AS (SELECT * REPLACE (list_reduce(list_prepend(h, list_transform(range(n - p1), lambda i: {_little('p1 + i', 1)})),
+                                     lambda a, l: {_times(_rot(f"xor(a, {_times('l', P5)})", 11), P1)}) AS h) FROM h2),
+h4 AS (SELECT * REPLACE ({_times(f"xor(h, h // {_u(2**33)})", P2)} AS h) FROM h3),
+h5 AS (SELECT * REPLACE ({_times(f"xor(h, h // {_u(2**29)})", P3)} AS h) FROM h4),
+hs AS (SELECT g, CAST(xor(h, h // {_u(2**32)}) AS UBIGINT) AS h FROM h5),
+b AS (SELECT row, count(*) AS n, {_BITS} FROM sh JOIN hs USING (g) GROUP BY row),
+f AS (SELECT d.row, doc_id, coalesce(fp, 0::UBIGINT) AS fp FROM d LEFT JOIN (SELECT row, {_FP} AS fp FROM b) USING (row)),
+u AS (SELECT DISTINCT fp FROM f),
+e AS (SELECT a.fp AS x, b.fp AS y FROM u a, u b WHERE bit_count(xor(a.fp, b.fp)) BETWEEN 1 AND {simhash.DISTANCE}),
+r AS (SELECT fp AS x, fp AS y FROM u UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+least_ AS (SELECT fp, min(doc_id) AS doc_id FROM f GROUP BY fp),
+c AS (SELECT r.x AS fp, min(doc_id) AS component_id FROM r JOIN least_ ON least_.fp = r.y GROUP BY r.x)
+SELECT f.doc_id, lpad(lower(hex(f.fp)), 16, '0') AS fingerprint, component_id FROM f JOIN c ON c.fp = f.fp
+"""
+
 ORACLE = {"op1_decontaminate": OP1, "op2_mix_sources": OP2, "op4_shards": OP4, "op5_repeats": OP5, "op8_line_rules": OP8,
-          "op9_ngram_join": OP9}
+          "op9_ngram_join": OP9, "op11_importance": OP11, "op12_simhash": OP12}
