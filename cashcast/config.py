@@ -153,3 +153,13 @@ UPLIFT_RANGE = (1.4, 1.7)
 ELIGIBLE_SHARE_TARGET = (0.63, 0.05)
 CANCELLED_SHARE_TARGET = (0.10, 0.02)
 ITEMS_PER_ORDER = (2, 3)
+
+# FIXED VALUES: documented table volumes (two sets are published) and the forecast's length; "about"
+# is read as within a tenth
+VOLUME_TARGETS = [
+    ("generator", [("weather", 210), ("salesorder", 5000), ("salesorderitem", 12500), ("billingdocument", 3500),
+                   ("billingdocumentitem", 9000), ("cashflow", 3150), ("cashflowforecast", 181)]),
+    ("overview", [("weather", 210), ("salesorder", 7000), ("salesorderitem", 17500), ("billingdocument", 4851),
+                  ("billingdocumentitem", 12600), ("cashflow", 3969), ("cashflowforecast", 181)]),
+]
+VOLUME_TOLERANCE = 0.1

@@ -3,7 +3,7 @@ document items (B4, J9, W5), header totals from items (B5, A5, J15)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashcast import config as C
@@ -33,9 +33,14 @@ def eligible_orders(orders: DataFrame) -> DataFrame:
                          & (F.col("OverallSDDocumentRejectionSts") != "C"))
 
 
-def order_item_totals(items: DataFrame) -> DataFrame:
+def _order_key(*tables: DataFrame) -> str:
+    """The bigint key if all tables have it: joins and aggregates on one key share their exchanges."""
+    return "OrderKey" if all("OrderKey" in t.columns for t in tables) else "SalesOrder"
+
+
+def order_item_totals(items: DataFrame, key: str = "SalesOrder") -> DataFrame:
     """A4 + A11: per order - first payer (lowest, deterministic), net and tax sums (exact decimals)."""
-    return items.groupBy("SalesOrder").agg(
+    return items.groupBy(key).agg(
         F.min("PayerParty").alias("_payer"),
         F.sum("NetAmount").alias("_net"),
         F.sum("TaxAmount").alias("_tax"),
@@ -51,8 +56,8 @@ def billing_documents(orders: DataFrame, items: DataFrame, lag_days: str = "lag_
     order's items (B5), 0 for an order without items.
     """
     elig = eligible_orders(orders)
-    tot = order_item_totals(items)
-    d = elig.join(tot, "SalesOrder", "left")
+    key = _order_key(elig, items)
+    d = elig.join(order_item_totals(items, key), key, "left")
     bill = F.date_add(F.col("CreationDate"), F.col(lag_days).cast("int"))
     cancelled = F.col(is_cancelled).cast("boolean")
     return d.select(
@@ -73,17 +78,40 @@ def billing_documents(orders: DataFrame, items: DataFrame, lag_days: str = "lag_
     )
 
 
-def cancellation_pairs(docs: DataFrame, prefix: str = "BD-") -> DataFrame:
+def _variants(cancelled: Column) -> Column:
+    """0 for the F2; 1 for the S1 of a cancelled one."""
+    return F.explode(F.when(cancelled, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+
+
+def document_numbers(eligible: DataFrame, is_cancelled: str = "is_cancelled") -> DataFrame:
+    """W4 of the billing documents: (OrderKey, _first), the number of each eligible order's F2.
+
+    Only the key and the flag are range-partitioned and written, whatever the documents carry.
+    """
+    narrow = eligible.select("OrderKey", _variants(F.col(is_cancelled).cast("boolean")).alias("_s1"))
+    return global_row_number(narrow, ["OrderKey", "_s1"], "_first").filter("_s1 = 0").drop("_s1")
+
+
+def document_keys(eligible: DataFrame, numbers: DataFrame, is_cancelled: str = "is_cancelled", prefix: str = "BD-") -> DataFrame:
+    """(OrderKey, BillingDocument, BillingDocumentType) of all documents, without their amounts."""
+    x = eligible.select("OrderKey", _variants(F.col(is_cancelled).cast("boolean")).alias("_s1")).join(numbers, "OrderKey")
+    return x.select("OrderKey", padded_id(prefix, F.col("_first") + F.col("_s1")).alias("BillingDocument"),
+                    F.when(F.col("_s1") == 1, "S1").otherwise("F2").alias("BillingDocumentType"))
+
+
+def cancellation_pairs(docs: DataFrame, numbers: DataFrame | None = None, prefix: str = "BD-") -> DataFrame:
     """B3 + U2 + W4 + J14: every cancelled F2 is followed by its S1 reversal.
 
-    One pass: explode each F2 into itself and, when cancelled, its S1 variant; number
-    all documents by (order, F2 before S1). An S1 always directly follows its F2, so
-    its reference is the previous number - no self-join.
+    One pass: each F2 joins its order's number (``numbers``, from ``document_numbers``; made of
+    the documents' own keys where none is given) and explodes into itself and, when cancelled,
+    its S1 variant. An S1 directly follows its F2, so its reference is the previous number -
+    no self-join, and no range exchange of the documents.
     S1: not cancelled, status 'C', amounts negated.
     """
-    variants = F.when(F.col("BillingDocumentIsCancelled"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    x = docs.withColumn("_s1", F.explode(variants))
-    numbered = global_row_number(x, ["OrderKey", "_s1"], "_rn")
+    if numbers is None:
+        numbers = document_numbers(docs, "BillingDocumentIsCancelled")
+    numbered = (docs.join(numbers, "OrderKey").withColumn("_s1", _variants(F.col("BillingDocumentIsCancelled")))
+                .withColumn("_rn", F.col("_first") + F.col("_s1")))
     is_s1 = F.col("_s1") == 1
     sign = F.when(is_s1, F.lit(-1)).otherwise(F.lit(1))
     return numbered.select(
@@ -108,7 +136,7 @@ def billing_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     dense per order, so no second window is needed; items that were not numbered give no
     item number. gross = net + tax; discount base = net.
     """
-    key = "OrderKey" if "OrderKey" in docs.columns and "OrderKey" in items.columns else "SalesOrder"
+    key = _order_key(docs, items)
     d = docs.select("BillingDocument", key, (F.col("BillingDocumentType") == "S1").alias("_s1"))
     j = d.join(items, key)
     item_no = [F.col("SalesOrderItem").alias("BillingDocumentItem")] if "SalesOrderItem" in items.columns else []
@@ -128,6 +156,14 @@ def billing_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def item_amounts(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """B4's amounts alone: BillingDocument, NetAmount, TaxAmount of every document item."""
+    key = _order_key(docs, items)
+    sign = F.when(F.col("BillingDocumentType") == "S1", F.lit(-1)).otherwise(F.lit(1))
+    j = docs.select(key, "BillingDocument", "BillingDocumentType").join(items.select(key, "NetAmount", "TaxAmount"), key)
+    return j.select("BillingDocument", *[(F.col(c) * sign).cast("decimal(16,2)").cast("double").alias(c) for c in ("NetAmount", "TaxAmount")])
+
+
 def document_totals(doc_items: DataFrame) -> DataFrame:
     """Net and tax sums per document from its items, rounded to 2."""
     return doc_items.groupBy("BillingDocument").agg(

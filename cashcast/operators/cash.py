@@ -78,14 +78,21 @@ def collected_amount(net, rate, mult):
     return F.bround(net.cast("decimal(20,2)") * rate.cast("decimal(5,2)") * mult.cast("decimal(5,2)"), 4).cast(MONEY)
 
 
+def posting_numbers(keys: DataFrame, order_key: str = "OrderKey") -> DataFrame:
+    """W4 of the postings: (order key, _rn) of the orders that have one, in order."""
+    return global_row_number(keys.select(order_key), [order_key], "_rn")
+
+
 def cash_postings(terms: DataFrame, base_dso: str = "base_dso", noise: str = "noise",
                   base_rate: str = "base_rate", order_key: str = "OrderKey", prefix: str = "CF-",
-                  numbered: bool = True) -> DataFrame:
+                  numbered: bool = True, numbers: DataFrame | None = None) -> DataFrame:
     """C4: one cash row per open F2 with a known payer: posting date, collected amount,
     conversion into company currency (X18, via the FX dimension; an unknown currency
     gives NULL), house bank, validity value (X9) and CF-numbering (W4) in document order.
 
     ``base_dso``, ``noise`` and ``base_rate`` are input columns (the draws are data).
+    Numbers come from narrow rows of the order key, one posting an order: ``numbers`` (order
+    key, ``_rn``; see ``posting_numbers``), or else the postings' own keys.
     With ``numbered=False`` the CashFlowID is left NULL: consumers that only aggregate
     the postings (seasonal index, checks) skip the global numbering.
     """
@@ -95,7 +102,7 @@ def cash_postings(terms: DataFrame, base_dso: str = "base_dso", noise: str = "no
     rows = (terms.withColumns({"total_dso": days, "PostingDate": post, "_amount": amount})
             .join(F.broadcast(fx_dim(spark)), "TransactionCurrency", "left"))
     if numbered:
-        rows = global_row_number(rows, [order_key, "BillingDocument"], "_rn")
+        rows = rows.join(posting_numbers(terms, order_key) if numbers is None else numbers, order_key)
         cf_id = padded_id(prefix, F.col("_rn"))
     else:
         cf_id = F.lit(None).cast("string")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cashcast import config as C
 from cashcast.functions.numeric import exact_mean
+from cashcast.session import broadcast_if_small
 from cashcast.sources.fixtures import lookup
 
 
@@ -113,26 +114,28 @@ def phase_out_filter(lines: DataFrame, phased_out, date_col: str = "SalesOrderDa
     return lines.filter(~cond)
 
 
-def weather_lookup(orders: DataFrame, weather: DataFrame, fallback=C.WEATHER_FALLBACK) -> DataFrame:
+def weather_lookup(orders: DataFrame, weather: DataFrame, fallback=C.WEATHER_FALLBACK, few_places: bool = False) -> DataFrame:
     """Weather of the customer's (country, region) in the order's month; default
     (10.0, 0.0) when there is none. Several stations of one place and month count with
-    their mean, so an order never gets two rows."""
+    their mean, so an order never gets two rows. ``few_places`` says that the places are a
+    dimension of fixed size (countries' regions), so a row per place and calendar month is
+    broadcast and the orders need no shuffle by a few skewed places; else that is up to a count."""
     w = weather.groupBy(F.col("country").alias("_cty"), F.col("region").alias("_reg"),
                         F.col("year").alias("_y"), F.col("month").alias("_m")).agg(
         exact_mean("avg_temp_c").alias("avg_temp_c"), exact_mean("temp_anomaly_c").alias("temp_anomaly_c"))
     d = F.col("SalesOrderDate")
     cond = ((F.col("Country") == F.col("_cty")) & (F.col("Region") == F.col("_reg"))
             & (F.year(d) == F.col("_y")) & (F.month(d) == F.col("_m")))
-    return (orders.join(w, cond, "left")
+    return (orders.join(F.broadcast(w) if few_places else broadcast_if_small(w), cond, "left")
             .withColumn("avg_temp_c", F.coalesce("avg_temp_c", F.lit(float(fallback[0]))))
             .withColumn("temp_anomaly_c", F.coalesce("temp_anomaly_c", F.lit(float(fallback[1]))))
             .drop("_cty", "_reg", "_y", "_m"))
 
 
 def demand_weather_features(items: DataFrame, orders: DataFrame, weather: DataFrame,
-                            base_year: int = C.BASE_YEAR) -> DataFrame:
+                            base_year: int = C.BASE_YEAR, few_places: bool = False) -> DataFrame:
     """Per item line - the order month's weather (J10), seasonal weight (D1) and weather multiplier."""
-    hdr = weather_lookup(orders.select("SalesOrder", "SalesOrderDate", "Country", "Region"), weather)
+    hdr = weather_lookup(orders.select("SalesOrder", "SalesOrderDate", "Country", "Region"), weather, few_places=few_places)
     return with_demand_factors(items.join(hdr, "SalesOrder"), base_year)
 
 

@@ -1,24 +1,31 @@
-"""Sequential ids over a global order without funnelling rows into one partition.
+"""Sequential ids over a global order, and numbers inside a key, without funnelling rows into one partition.
 
 A window ``row_number()`` with no PARTITION BY moves every row to a single task, and one
-partitioned by a key moves a hot key's rows to one. Instead: range-partition on the
-ordering, sort inside each partition, and write the sorted rows once, each with its
+partitioned by a key moves a hot key's rows to one. Instead, W4 range-partitions on the
+ordering, sorts inside each partition, and writes the sorted rows once, each with its
 partition and its place there (``monotonically_increasing_id`` holds both), to the shared
 checkpoint folder. A row's number is its place plus its partition's offset - a running sum
 over a table with one row per partition, broadcast back (its size is the partition count,
-not the data size). Reads of the written rows see the same numbering whatever is lost.
+not the data size). Callers number the narrow key columns and join the wide rows by key.
+
+W5 is a window over the key, one exchange that later joins on the key use again; only keys
+with more rows than a task should have take the way of W4, a segmented prefix scan that
+carries their counts over the borders of the ranges.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cashcast.session import store
 
 _LOW_BITS = 33
+#: A key with more rows than this, and than a partition's even share, is numbered in several ranges.
+HOT_ROWS = 1_000_000
+_CELLS = 1 << 16
 
 
 def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
@@ -41,19 +48,57 @@ def global_row_number(df: DataFrame, order_cols: list, out_col: str = "rn",
             .drop("_mid", "_pid", "_off"))
 
 
-def rank_within(df: DataFrame, key_cols: list, order_cols: list, out_col: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
-    """1-based position of each row inside its key, in the order of ``order_cols``.
+def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[f"_k_{k}"]) for k in keys])
+
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows and than a shuffle partition's even share of them, as
+    columns ``_k_<key>``; None if there is none. So there are fewer of them than partitions.
 
-    The position in the global (key, order) sequence less the key's first one. A key may
-    span several ranges, so no task holds a hot key whole, a null key included; the join
-    with the first positions has one row per key on its other side, so Spark can split a
-    hot key's rows there too.
+    Rows are counted first (a Parquet table answers from its footers); then in a fixed number
+    of cells by the key's hash, which bounds every key from above; keys only of cells that pass.
     """
-    keys = list(key_cols)
-    ranked = global_row_number(df, keys + list(order_cols), "_g", num_partitions)
-    first = ranked.groupBy(*keys).agg(F.min("_g").alias("_g0")).withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    same = reduce(lambda a, b: a & b, [ranked[k].eqNullSafe(first[f"_k_{k}"]) for k in keys])
-    return (ranked.join(first, same)
-            .withColumn(out_col, F.col("_g") - F.col("_g0") + F.lit(1))
-            .drop("_g", "_g0", *[f"_k_{k}" for k in keys]))
+    n = df.count()
+    limit = max(hot_rows, n // int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if n <= limit:
+        return None
+    cell = F.pmod(F.xxhash64(*keys), F.lit(_CELLS))
+    full = [r[0] for r in df.groupBy(cell.alias("cell")).count().filter(F.col("count") > limit).select("cell").collect()]
+    if not full:
+        return None
+    counted = df.filter(cell.isin(full)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rows = counted.filter(F.col("_n") > limit).select(*[F.col(k).alias(f"_k_{k}") for k in keys]).collect()  # below n / limit
+    schema = counted.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).schema
+    return df.sparkSession.createDataFrame(rows, schema) if rows else None
+
+
+def rank_within(df: DataFrame, key_cols: list[str], order_cols: list[str], out_col: str = "rank",
+                num_partitions: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """1-based position of each row inside its key (null is one), in the order of ``order_cols``."""
+    keys, order = list(key_cols), list(order_cols)
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return df.withColumn(out_col, number)
+    hot = F.broadcast(hot)  # fewer rows than partitions
+    cold = df.join(hot, _same(df, hot, keys), "left_anti").withColumn(out_col, number)
+    split = _segmented_rank(df.join(hot, _same(df, hot, keys), "left_semi"), keys, order, out_col, num_partitions)
+    return cold.unionByName(split)
+
+
+def _segmented_rank(df: DataFrame, keys: list[str], order: list[str], out_col: str, num_partitions: int | None) -> DataFrame:
+    """``rank_within`` of few, long keys: places inside ranges of (key, order), and for a key that
+    crosses a border the rows it has in the ranges before."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = store(df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
+                   .withColumn("_mid", F.monotonically_increasing_id()), "segments")
+    pid = F.shiftright("_mid", _LOW_BITS)
+    # a row per key and range it is in: fewer than keys plus ranges
+    parts = placed.groupBy(pid.alias("_pid"), *[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*[f"_k_{k}" for k in keys]).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = F.broadcast(parts.withColumn("_carry", F.coalesce(F.sum("_cnt").over(before), F.lit(0))))
+    return (placed.join(parts, (pid == F.col("_pid")) & _same(placed, parts, keys))
+            .withColumn(out_col, (F.col("_mid") - F.col("_first") + F.col("_carry") + 1).cast("int"))
+            .select(*df.columns, out_col))

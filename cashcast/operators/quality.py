@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cashcast import config as C
@@ -116,79 +116,147 @@ def integrity_report(orders, items, lines, docs, cash, customers, weather, mater
 
 # --- V8, V11-V13: cardinalities and totals ---------------------------------------------
 
+def _as_rows(one: DataFrame, checks: list[tuple[str, str, Column, Column]]) -> DataFrame:
+    """The one row of a report's aggregates as a row for each (check, expected, observed, passed)."""
+    made = F.array(*[F.struct(F.lit(name).alias("check"), F.lit(expected).alias("expected"),
+                              observed.cast("double").alias("observed"), F.coalesce(passed, F.lit(False)).alias("passed"))
+                     for name, expected, observed, passed in checks])
+    return one.select(F.inline(made))
+
+
+def _zero(name: str, observed: str) -> tuple[str, str, Column, Column]:
+    """A number of violations: expected 0."""
+    n = F.coalesce(F.col(observed), F.lit(0))
+    return name, "= 0", n, n == 0
+
+
+def _near(name: str, observed: Column, target: float, tolerance: float) -> tuple[str, str, Column, Column]:
+    return name, f"{target} +/- {tolerance}", observed, F.abs(observed - target) <= tolerance
+
+
+def _share(part: str, whole: str) -> Column:
+    return F.round(F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double")), 6)
+
+
+def _stacked(key: str, *sides: tuple[DataFrame, Column, dict[str, Column]]) -> DataFrame:
+    """The sides' rows under one key column, a column of one side null in the others: with the
+    aggregate over the key a full outer join of them all, in one exchange of partial sums."""
+    names = [n for _, _, cols in sides for n in cols]
+    types = {n: df.select(c.alias(n)).schema[n].dataType for df, _, cols in sides for n, c in cols.items()}
+    parts = [df.select(k.cast("string").alias(key), *[cols[n].alias(n) if n in cols else F.lit(None).cast(types[n]).alias(n) for n in names])
+             for df, k, cols in sides]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def order_checks(orders: DataFrame, items: DataFrame, docs: DataFrame) -> DataFrame:
+    """V8 and V11 by order: each table is scanned once and meets the others under the order's key."""
+    lo, hi = C.ITEMS_PER_ORDER
+    one = F.lit(1)
+    eligible = F.when(F.col("OverallSDProcessStatus").isin("B", "C") & (F.col("OverallSDDocumentRejectionSts") != "C"), 1)
+    key = F.col("SalesOrder")
+    per = (_stacked("k", (orders, key, {"o": one, "e": eligible}), (items, key, {"i": one}),
+                    (docs.filter(F.col("BillingDocumentType") == "F2"), key, {"f": one, "c": F.when(F.col("BillingDocumentIsCancelled"), 1)}))
+           .groupBy("k").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("o", "e", "i", "f", "c")]))
+    apart = F.col("k").isNull()  # a null key meets nothing
+    of = per.agg(
+        F.count_if((F.col("i") > 0) & ~F.col("i").between(lo, hi)).alias("span"),
+        F.sum(F.when(apart | (F.col("i") == 0), F.col("o"))).alias("bare"),
+        F.sum(F.when(apart | (F.col("o") == 0), F.col("i"))).alias("orphan"),
+        F.sum(F.when(apart | (F.col("f") != 1), F.col("e"))).alias("unbilled"),
+        *[F.sum(c).alias(f"n_{c}") for c in ("o", "e", "f", "c")])
+    return _as_rows(of, [
+        _zero(f"V8 orders without {lo}-{hi} items", "span"), _zero("V8 orders without items", "bare"),
+        _zero("V8 items without order", "orphan"), _zero("V8 eligible orders without exactly one F2", "unbilled"),
+        _near("V11 eligible share of orders", _share("n_e", "n_o"), *C.ELIGIBLE_SHARE_TARGET),
+        _near("V11 cancelled share of F2", _share("n_c", "n_f"), *C.CANCELLED_SHARE_TARGET),
+    ])
+
+
+def document_checks(docs: DataFrame, doc_items: DataFrame, cash: DataFrame, open_known: DataFrame) -> DataFrame:
+    """V8, V12 and V13 by document, an S1 under the document that it cancels as well. Where an F2
+    has several S1, or an id several documents (V10), one that is wrong counts them all."""
+    one, key = F.lit(1), F.col("BillingDocument")
+    money = lambda c: F.col(c).cast("decimal(16,2)")
+    f2 = F.col("BillingDocumentType") == "F2"
+    heads = {"n_docs": one, "head_net": money("TotalNetAmount"), "head_tax": money("TotalTaxAmount"), "n_f2": F.when(f2, 1),
+             "f2_net": F.when(f2, F.col("TotalNetAmount")), "f2_tax": F.when(f2, F.col("TotalTaxAmount"))}
+    minus = {"n_s1": one, "s1_net": -F.col("TotalNetAmount"), "s1_tax": -F.col("TotalTaxAmount")}
+    s1 = docs.filter(F.col("BillingDocumentType") == "S1")
+    rows = _stacked("k", (docs, key, heads), (s1, F.col("CancelledBillingDocument"), minus),
+                    (doc_items, key, {"item_net": money("NetAmount"), "item_tax": money("TaxAmount")}),
+                    (cash, key, {"n_cash": one}), (open_known, key, {"n_open": one}))
+    counts = ("n_docs", "n_f2", "n_s1", "n_cash", "n_open", "item_net", "item_tax")
+    ends = ("head_net", "head_tax", "f2_net", "f2_tax", "s1_net", "s1_tax")
+    per = rows.groupBy("k").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
+                                *[g(c).alias(f"{n}_{c}") for c in ends for n, g in (("lo", F.min), ("hi", F.max))])
+    differs = lambda a, b: F.coalesce((F.col(f"lo_{a}") != b) | (F.col(f"hi_{a}") != b), F.lit(False))
+    apart = F.col("k").isNull()
+    wrong = (apart | F.col("lo_f2_net").isNull() | differs("s1_net", F.col("lo_f2_net")) | differs("s1_tax", F.col("lo_f2_tax"))
+             | differs("s1_net", F.col("hi_f2_net")) | differs("s1_tax", F.col("hi_f2_tax")))
+    none = F.lit(0).cast("decimal(16,2)")
+    net, tax = (F.when(apart, none).otherwise(F.col(c)) for c in ("item_net", "item_tax"))
+    of = per.agg(F.count_if(F.col("n_s1") > 1).alias("twice"),
+                 F.sum(F.when(apart | (F.col("n_cash") != 1), F.col("n_open"))).alias("unpaid"),
+                 F.sum(F.when(wrong, F.col("n_s1"))).alias("unlike"),
+                 F.sum(F.when(differs("head_net", net) | differs("head_tax", tax), F.col("n_docs"))).alias("unequal"))
+    return _as_rows(of, [
+        _zero("V8 F2 with more than one S1", "twice"), _zero("V8 open F2 without exactly one cash row", "unpaid"),
+        _zero("V12 S1 amounts not minus their F2", "unlike"), _zero("V13 header total differs from item sum", "unequal"),
+    ])
+
+
 def cardinality_report(orders, items, docs, doc_items, cash, open_known) -> DataFrame:
     """V8 (items per order, orphans both ways, one F2 per eligible order, at most one S1
     per F2, one cash row per open F2 of a known payer), V11 (shares near target),
-    V12 (S1 mirrors its F2), V13 (header totals equal item sums)."""
-    from cashcast.operators.billing import eligible_orders
-    lo, hi = C.ITEMS_PER_ORDER
-    per_order = items.groupBy("SalesOrder").agg(F.count(F.lit(1)).alias("n"))
-    elig = eligible_orders(orders).select("SalesOrder")
-    f2 = docs.filter(F.col("BillingDocumentType") == "F2")
-    s1 = docs.filter(F.col("BillingDocumentType") == "S1")
-    f2_per_order = f2.groupBy("SalesOrder").agg(F.count(F.lit(1)).alias("n"))
-    s1_per_f2 = s1.groupBy("CancelledBillingDocument").agg(F.count(F.lit(1)).alias("n"))
-    cash_per_doc = cash.groupBy("BillingDocument").agg(F.count(F.lit(1)).alias("n"))
-    checks = [
-        zero_check(per_order.filter(~F.col("n").between(lo, hi)), f"V8 orders without {lo}-{hi} items"),
-        zero_check(orders.select("SalesOrder").join(items.select("SalesOrder"), "SalesOrder", "left_anti"),
-                   "V8 orders without items"),
-        zero_check(items.select("SalesOrder").join(orders.select("SalesOrder"), "SalesOrder", "left_anti"),
-                   "V8 items without order"),
-        zero_check(elig.join(f2_per_order, "SalesOrder", "left").filter(F.coalesce("n", F.lit(0)) != 1),
-                   "V8 eligible orders without exactly one F2"),
-        zero_check(s1_per_f2.filter(F.col("n") > 1), "V8 F2 with more than one S1"),
-        zero_check(open_known.select("BillingDocument").join(cash_per_doc, "BillingDocument", "left")
-                   .filter(F.coalesce("n", F.lit(0)) != 1), "V8 open F2 without exactly one cash row"),
-    ]
-    tgt, tol = C.ELIGIBLE_SHARE_TARGET
-    share = orders.agg(F.round(F.try_divide(F.count_if(F.col("OverallSDProcessStatus").isin("B", "C")
-                                                       & (F.col("OverallSDDocumentRejectionSts") != "C")).cast("double"),
-                                            F.count(F.lit(1)).cast("double")), 6).alias("observed"))
-    checks.append(value_check(share, "V11 eligible share of orders", f"{tgt} +/- {tol}",
-                              F.abs(F.col("observed") - tgt) <= tol))
-    tgt, tol = C.CANCELLED_SHARE_TARGET
-    canc = f2.agg(F.round(F.try_divide(F.count_if(F.col("BillingDocumentIsCancelled")).cast("double"),
-                                       F.count(F.lit(1)).cast("double")), 6).alias("observed"))
-    checks.append(value_check(canc, "V11 cancelled share of F2", f"{tgt} +/- {tol}",
-                              F.abs(F.col("observed") - tgt) <= tol))
-    f2_amounts = f2.select(F.col("BillingDocument").alias("CancelledBillingDocument"),
-                           F.col("TotalNetAmount").alias("_fn"), F.col("TotalTaxAmount").alias("_ft"))
-    checks.append(zero_check(
-        s1.join(f2_amounts, "CancelledBillingDocument", "left")
-        .filter(~(F.col("TotalNetAmount") == -F.col("_fn")) | ~(F.col("TotalTaxAmount") == -F.col("_ft"))
-                | F.col("_fn").isNull()),
-        "V12 S1 amounts not minus their F2"))
-    sums = doc_items.groupBy("BillingDocument").agg(
-        F.sum(F.col("NetAmount").cast("decimal(16,2)")).alias("_n"), F.sum(F.col("TaxAmount").cast("decimal(16,2)")).alias("_t"))
-    checks.append(zero_check(
-        docs.join(sums, "BillingDocument", "left")  # a document without items sums to 0
-        .filter((F.col("TotalNetAmount").cast("decimal(16,2)") != F.coalesce("_n", F.lit(0)))
-                | (F.col("TotalTaxAmount").cast("decimal(16,2)") != F.coalesce("_t", F.lit(0)))),
-        "V13 header total differs from item sum"))
-    return report(*checks)
+    V12 (S1 mirrors its F2), V13 (header totals equal item sums): two aggregates, one over
+    order keys and one over document keys."""
+    return report(order_checks(orders, items, docs), document_checks(docs, doc_items, cash, open_known))
 
 
-# --- V9-V10: keys ----------------------------------------------------------------------
+# --- V11: volumes ----------------------------------------------------------------------
+
+def volume_targets(spark: SparkSession, targets=C.VOLUME_TARGETS, tolerance: float = C.VOLUME_TOLERANCE) -> DataFrame:
+    """The targets dimension (S2): volume, table_name, expected_rows, tolerance."""
+    rows = [(volume, name, n, tolerance) for volume, tables in targets for name, n in tables]
+    return spark.createDataFrame(rows, "volume string, table_name string, expected_rows long, tolerance double")
 
-def null_keys(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """V9: rows with a null in any key column."""
-    cond = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return zero_check(df.filter(cond), f"V9 null key {name}")
 
+def table_counts(tables: list[tuple[str, DataFrame]]) -> DataFrame:
+    """(table_name, rows) of each table; a Parquet table answers from its footers."""
+    return report(*[df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n, df in tables])
 
-def duplicate_keys(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Key values that occur more than once."""
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    return zero_check(dup, f"V10 duplicate key {name}")
+
+def volume_report(counts: DataFrame, targets: DataFrame, base: str = "salesorder") -> DataFrame:
+    """Each table's rows against every volume's target, and, whatever the volume, its rows
+    for each row of the table ``base`` against the same quotient of the targets.
+
+    A table without rows in ``counts`` has 0; one without a target is left out. Both sides have
+    a row per table.
+    """
+    j = targets.join(F.broadcast(counts), "table_name", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    of = Window.partitionBy("volume")
+    based = lambda c: F.max(F.when(F.col("table_name") == base, F.col(c))).over(of)
+    near = lambda a, b: F.coalesce(F.abs(a - b) <= F.col("tolerance") * b, F.lit(False))
+    j = j.withColumns({"per_base": F.try_divide(F.col("rows").cast("double"), based("rows").cast("double")),
+                       "expected_per_base": F.try_divide(F.col("expected_rows").cast("double"), based("expected_rows").cast("double"))})
+    return j.select("volume", "table_name", "rows", "expected_rows", near(F.col("rows"), F.col("expected_rows")).alias("passed"),
+                    F.round("per_base", 6).alias("per_order"), F.round("expected_per_base", 6).alias("expected_per_order"),
+                    near(F.col("per_base"), F.col("expected_per_base")).alias("quotient_passed"))
+
+
+# --- V9-V10: keys ----------------------------------------------------------------------
+
+def key_checks(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """V9 (rows with a null in any key column) and V10 (key values that occur more than once) of
+    one table, from one aggregate over its keys."""
+    n, missing = F.col("_n"), reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    of = per.agg(F.sum(F.when(missing, n)).alias("nulls"), F.count_if(n > 1).alias("repeated"))
+    return _as_rows(of, [_zero(f"V9 null key {name}", "nulls"), _zero(f"V10 duplicate key {name}", "repeated")])
 
 
 def key_report(tables: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
-    checks = []
-    for name, df, keys in tables:
-        checks.append(null_keys(df, keys, name))
-        checks.append(duplicate_keys(df, keys, name))
-    return report(*checks)
+    return report(*[key_checks(df, keys, name) for name, df, keys in tables])
 
 
 # --- A12, A13, A18 ---------------------------------------------------------------------
@@ -211,36 +279,24 @@ FUNNEL = [  # (stage, the stage its pass rate is measured against)
 def eligibility_funnel(orders: DataFrame, docs: DataFrame, cash: DataFrame) -> DataFrame:
     """Orders -> status ok -> not rejected -> F2 -> cancelled -> S1, and F2 -> open
     F2 -> cash, each with its pass rate against its base stage. One aggregate per source
-    table, computed once. ``docs`` are the F2 documents before numbering (B2); a cancelled
-    one has its S1."""
-    o = orders.agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.count_if(F.col("OverallSDProcessStatus").isin("B", "C")).alias("status_ok"),
-        F.count_if(F.col("OverallSDProcessStatus").isin("B", "C") & (F.col("OverallSDDocumentRejectionSts") != "C")).alias("not_rejected"))
-    d = docs.agg(
-        F.count(F.lit(1)).alias("f2"),
-        F.count_if(F.col("BillingDocumentIsCancelled")).alias("cancelled"),
-        F.count_if(F.col("BillingDocumentIsCancelled")).alias("s1"),
-        F.count_if(F.col("BillingDocumentIsCancelled") == F.lit(False)).alias("open_f2"))
+    table, computed once; their one-row results are one row of eight counts. ``docs`` are the
+    F2 documents before numbering (B2); a cancelled one has its S1."""
+    ok = F.col("OverallSDProcessStatus").isin("B", "C")
+    o = orders.agg(F.count(F.lit(1)).alias("orders"), F.count_if(ok).alias("status_ok"),
+                   F.count_if(ok & (F.col("OverallSDDocumentRejectionSts") != "C")).alias("not_rejected"))
+    d = docs.agg(F.count(F.lit(1)).alias("f2"), F.count_if(F.col("BillingDocumentIsCancelled")).alias("cancelled"),
+                 F.count_if(F.col("BillingDocumentIsCancelled")).alias("s1"),
+                 F.count_if(F.col("BillingDocumentIsCancelled") == F.lit(False)).alias("open_f2"))
     c = cash.agg(F.count(F.lit(1)).alias("cash"))
     names = [n for n, _ in FUNNEL]
-    base = dict(FUNNEL)
-
-    def rows(one: DataFrame, cols: list[str]) -> DataFrame:
-        arr = F.array(*[F.struct(F.lit(names.index(n)).alias("step"), F.lit(n).alias("stage"),
-                                 F.col(n).cast("bigint").alias("rows"),
-                                 F.lit(base[n]).cast("string").alias("base_stage")) for n in cols])
-        return one.select(F.explode(arr).alias("x")).select("x.*")
-
-    funnel = (rows(o, ["orders", "status_ok", "not_rejected"])
-              .unionByName(rows(d, ["f2", "cancelled", "s1", "open_f2"]))
-              .unionByName(rows(c, ["cash"])))
-    # eight rows: a stage -> rows map over the whole frame gives each stage its base
-    by_stage = F.map_from_entries(F.collect_list(F.struct("stage", "rows")).over(Window.partitionBy(F.lit(0))))
-    return funnel.select(
-        "step", "stage", "rows", "base_stage",
-        F.round(F.try_divide(F.col("rows").cast("double"),
-                             F.element_at(by_stage, F.col("base_stage")).cast("double")), 6).alias("pass_rate"))
+    sides = [one.select(*[F.col(n).cast("bigint").alias(n) if n in one.columns else F.lit(None).cast("bigint").alias(n) for n in names])
+             for one in (o, d, c)]
+    row = report(*sides).agg(*[F.max(n).alias(n) for n in names])
+    stages = F.array(*[F.struct(
+        F.lit(i).alias("step"), F.lit(n).alias("stage"), F.col(n).alias("rows"), F.lit(base).cast("string").alias("base_stage"),
+        (F.round(F.try_divide(F.col(n).cast("double"), F.col(base).cast("double")), 6) if base
+         else F.lit(None).cast("double")).alias("pass_rate")) for i, (n, base) in enumerate(FUNNEL)])
+    return row.select(F.inline(stages))
 
 
 def month_volume(orders: DataFrame, base_year: int) -> DataFrame:

@@ -23,12 +23,21 @@ def fit_harmonic(df: DataFrame, key: str = "station_id", month: str = "month", v
     by Cramer's rule in column expressions. Fewer than 3 distinct months make it
     singular: the coefficients are then NULL.
     """
-    th = month_angle(F.col(month))
-    c, s, v = F.cos(th), F.sin(th), F.col(value).cast("double")
-    sums = df.filter(F.col(value).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.sum(c).alias("sc"), F.sum(s).alias("ss"),
-        F.sum(c * c).alias("scc"), F.sum(c * s).alias("scs"), F.sum(s * s).alias("sss"),
-        F.sum(v).alias("sv"), F.sum(v * c).alias("svc"), F.sum(v * s).alias("svs"))
+    sums = df.filter(F.col(value).isNotNull()).groupBy(key).agg(*[e.alias(n) for n, e in _normal_sums(month, value).items()])
+    return sums.select(key, *_coefficients())
+
+
+def _normal_sums(month: str, value: str) -> dict[str, Column]:
+    """Sums of the 3x3 normal equations over the readings that are not null."""
+    th, v = month_angle(F.col(month)), F.col(value).cast("double")
+    there = lambda x: F.when(v.isNotNull(), x)
+    c, s = there(F.cos(th)), there(F.sin(th))
+    return {"n": F.sum(there(F.lit(1.0))), "sc": F.sum(c), "ss": F.sum(s), "scc": F.sum(c * c), "scs": F.sum(c * s),
+            "sss": F.sum(s * s), "sv": F.sum(v), "svc": F.sum(v * c), "svs": F.sum(v * s)}
+
+
+def _coefficients() -> list[Column]:
+    """a0, a1, b1 from the columns of ``_normal_sums``, by Cramer's rule."""
     n, sc, ss, scc, scs, sss, sv, svc, svs = (F.col(x) for x in ("n", "sc", "ss", "scc", "scs", "sss", "sv", "svc", "svs"))
     det = _det3(n, sc, ss, sc, scc, scs, ss, scs, sss)
     ok = F.abs(det) > F.lit(_EPS) * F.greatest(F.lit(1.0), n * n * n)
@@ -36,12 +45,11 @@ def fit_harmonic(df: DataFrame, key: str = "station_id", month: str = "month", v
     def solve(num: Column) -> Column:
         return F.when(ok, num / det)
 
-    return sums.select(
-        key,
+    return [
         solve(_det3(sv, sc, ss, svc, scc, scs, svs, scs, sss)).alias("a0"),
         solve(_det3(n, sv, ss, sc, svc, scs, ss, svs, sss)).alias("a1"),
         solve(_det3(n, sc, sv, sc, scc, svc, ss, scs, svs)).alias("b1"),
-    )
+    ]
 
 
 def harmonic_value(month, a0="a0", a1="a1", b1="b1") -> Column:
@@ -58,6 +66,18 @@ def harmonic_baseline(df: DataFrame, coeffs: DataFrame, key: str = "station_id",
             .drop("a0", "a1", "b1"))
 
 
+def fitted_baseline(df: DataFrame, key: str = "station_id", month: str = "month", value: str = "avg_temp_c") -> DataFrame:
+    """H1 + H2 on the same readings: the station's fit as sums over its rows, so the readings are
+    read and dealt out once. A station's rows are as many as its months."""
+    w = Window.partitionBy(key)
+    own = df.columns
+    return (df.select(*own, *[e.over(w).alias(n) for n, e in _normal_sums(month, value).items()])
+            .select(*own, *_coefficients())
+            .withColumn("baseline_c", harmonic_value(F.col(month)))
+            .withColumn("july_baseline_c", harmonic_value(F.lit(7)))
+            .drop("a0", "a1", "b1"))
+
+
 def temperature_anomaly(with_baseline: DataFrame, trend: float = C.WARMING_TREND_PER_MONTH,
                         key: str = "station_id") -> DataFrame:
     """H3: observed - baseline - trend x months since the station's first month."""

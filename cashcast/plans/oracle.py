@@ -579,6 +579,18 @@ ORACLE["v_keys"] = w(["billing_documents", "billing_items", "cash_postings", "sa
     _keys_sql("weather", "weather", ["station_id", "year", "month"]),
 ]))
 
+_vols = ", ".join(f"('{v}', '{t}', {n})" for v, tables in _C.VOLUME_TARGETS for t, n in tables)
+_tables = {"weather": "weather", "salesorder": "sales_orders", "salesorderitem": "sales_order_items", "billingdocument": "billing_documents",
+           "billingdocumentitem": "billing_items", "cashflow": "cash_postings", "cashflowforecast": "(" + ORACLE["c6_cash_forecast"] + ")"}
+ORACLE["v_targets"] = w(["weather", "sales_orders", "sales_order_items", "billing_documents", "billing_items", "cash_postings"], f"""
+SELECT t.volume, t.table_name, c.rows, CAST(t.n AS BIGINT) AS expected_rows, abs(c.rows - t.n) <= {_d(_C.VOLUME_TOLERANCE)} * t.n AS passed,
+       round(CAST(c.rows AS DOUBLE) / b.rows, 6) AS per_order, round(CAST(t.n AS DOUBLE) / tb.n, 6) AS expected_per_order,
+       abs(CAST(c.rows AS DOUBLE) / b.rows - CAST(t.n AS DOUBLE) / tb.n) <= {_d(_C.VOLUME_TOLERANCE)} * (CAST(t.n AS DOUBLE) / tb.n) AS quotient_passed
+FROM (VALUES {_vols}) t(volume, table_name, n)
+JOIN (""" + " UNION ALL ".join(f"SELECT '{k}' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows FROM {v} x" for k, v in _tables.items()) + f""") c ON c.table_name = t.table_name
+JOIN (SELECT COUNT(*) AS rows FROM sales_orders) b ON true
+JOIN (VALUES {_vols}) tb(volume, table_name, n) ON tb.volume = t.volume AND tb.table_name = 'salesorder'""")
+
 ORACLE["a12_customer_share"] = w(["sales_order_items"], """
 SELECT SoldToParty, CAST(revenue AS DOUBLE) AS revenue,
        round(CAST(revenue AS DOUBLE) / CAST(SUM(revenue) OVER () AS DOUBLE), 6) AS share

@@ -64,33 +64,33 @@ def customer_dunning(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_sales_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customersalesarea: channel 20 for everyone, plus channel 10 when custkey % 3 = 0."""
-    cust = customers(spark, sf_dir)
+def _sales_areas(cust: DataFrame) -> DataFrame:
+    """Customers with one row for each of their channels: 20 for everyone, plus 10 when custkey % 3 = 0."""
     channels = F.when(F.col("CustKey") % 3 == 0, F.array(F.lit("10"), F.lit("20"))).otherwise(F.array(F.lit("20")))
-    area = cust.select("Customer", "CustKey", "Tier", "Currency", F.explode(channels).alias("DistributionChannel"))
-    return area.select(
-        "Customer", "CustKey", "DistributionChannel",
-        lookup(F.col("Tier"), C.TIER_PAYMENT_TERMS, C.OTHER_PAYMENT_TERMS).alias("CustomerPaymentTerms"),
-        F.when(F.col("DistributionChannel") == "10", F.lit("EXW")).otherwise(F.lit("FCA")).alias("IncotermsClassification"),
-        "Currency",
-        F.when(F.col("CustKey") % 4 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("KG0"), (F.col("CustKey") % 3 + 2).cast("string"))).alias("CustomerGroup"),
-    )
+    return cust.withColumn("DistributionChannel", F.explode(channels)).withColumns({
+        "CustomerPaymentTerms": lookup(F.col("Tier"), C.TIER_PAYMENT_TERMS, C.OTHER_PAYMENT_TERMS),
+        "IncotermsClassification": F.when(F.col("DistributionChannel") == "10", F.lit("EXW")).otherwise(F.lit("FCA")),
+        "CustomerGroup": F.when(F.col("CustKey") % 4 == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("KG0"), (F.col("CustKey") % 3 + 2).cast("string"))),
+    })
 
 
-def preferred_sales_area(area: DataFrame) -> DataFrame:
+def customer_sales_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customersalesarea: one row per customer and channel."""
+    return _sales_areas(customers(spark, sf_dir)).select(
+        "Customer", "CustKey", "DistributionChannel", "CustomerPaymentTerms", "IncotermsClassification", "Currency", "CustomerGroup")
+
+
+def preferred_sales_area(area: DataFrame, key: str = "Customer") -> DataFrame:
     """One sales-area row per customer, channel '10' first, then the lowest channel."""
-    w = Window.partitionBy("Customer").orderBy((F.col("DistributionChannel") != C.DEFAULT_CHANNEL), "DistributionChannel")
+    w = Window.partitionBy(key).orderBy((F.col("DistributionChannel") != C.DEFAULT_CHANNEL), "DistributionChannel")
     return area.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer geo + preferred sales area, keyed by CustKey (one row per customer)."""
-    cust = customers(spark, sf_dir)
-    area = preferred_sales_area(customer_sales_area(spark, sf_dir)).select(
-        "CustKey", "DistributionChannel", "CustomerPaymentTerms", "IncotermsClassification", "CustomerGroup")
-    return cust.join(area, "CustKey", "left")
+    """Customer geo + preferred sales area, one row per customer. Dealt out by CustKey once,
+    which the join with the orders uses again."""
+    return preferred_sales_area(_sales_areas(customers(spark, sf_dir)), "CustKey")
 
 
 def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,6 +253,24 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """billing_orders, slim: keys, statuses and the cancellation draw, from the orders alone."""
+    o = read_table(spark, "orders", sf_dir)
+    return o.select(
+        F.col("o_orderkey").alias("OrderKey"), F.col("o_orderkey").cast("string").alias("SalesOrder"),
+        F.col("o_custkey").cast("string").alias("SoldToParty"),
+        lookup(F.col("o_orderstatus"), C.ORDER_STATUS).alias("OverallSDProcessStatus"),
+        F.when(F.col("o_orderpriority") == C.REJECTED_PRIORITY, F.lit("C")).otherwise(F.lit("")).alias("OverallSDDocumentRejectionSts"),
+        (F.col("o_orderkey") % 10 == 0).alias("is_cancelled"))
+
+
+def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OrderKey of every order that has an item, once (reduced before it is shuffled)."""
+    li = read_table(spark, "lineitem", sf_dir).select("l_orderkey", "l_partkey")
+    p = read_table(spark, "part", sf_dir).select("p_partkey")
+    return li.join(p, li.l_partkey == p.p_partkey, "left_semi").select(F.col("l_orderkey").alias("OrderKey")).distinct()
+
+
 def billing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """salesorder plus the billing draws re-aimed as data: lag_days and is_cancelled."""
     return sales_orders(spark, sf_dir).withColumns({

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import threading
+from collections.abc import Iterator
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,14 +13,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType
 
 
+_SCOPE = threading.local()
+
+
+@contextlib.contextmanager
+def schemas_read_once() -> Iterator[None]:
+    """Inside, a folder's schema is inferred by its first read only: each inference is a Spark job.
+    Every read still lists the files anew and is a scan of its own."""
+    outer, _SCOPE.schemas = getattr(_SCOPE, "schemas", None), {}
+    try:
+        yield
+    finally:
+        _SCOPE.schemas = outer
+
+
 def read_table(spark: SparkSession, name: str, sf_dir: str | None = None) -> DataFrame:
     """Full scan of a catalog table, or of ``{sf_dir}/{name}.parquet`` when a folder is given.
 
     Scans stay lazy, so column pruning and filter pushdown reach the parquet reader.
     """
-    if sf_dir is not None:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spark.table(name)
+    if sf_dir is None:
+        return spark.table(name)
+    path, known = f"{sf_dir}/{name}.parquet", getattr(_SCOPE, "schemas", None)
+    if known is None:
+        return spark.read.parquet(path)
+    if (id(spark), path) in known:
+        return spark.read.schema(known[id(spark), path]).parquet(path)
+    df = spark.read.parquet(path)
+    known[id(spark), path] = df.schema
+    return df
 
 
 def ensure_schema(spark: SparkSession, schema: str) -> None:
