@@ -15,6 +15,30 @@ def _end_ts(end) -> F.Column:
     return F.lit(str(end)).cast("timestamp")
 
 
+#: How dates are written that are not typed.
+DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd.MM.yyyy", "yyyyMMdd")
+
+
+def parsed_dates(df: DataFrame, column: str, formats=DATE_FORMATS) -> DataFrame:
+    """``column`` as a timestamp by the first of the formats that reads it; null where none
+    does, never an error. A typed column is only cast."""
+    if df.schema[column].dataType.typeName() != "string":
+        return df.withColumn(column, F.col(column).cast("timestamp"))
+    text = F.trim(F.col(column))
+    return df.withColumn(column, F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]))
+
+
+def split_dates(df: DataFrame, column: str, formats=DATE_FORMATS) -> tuple[DataFrame, DataFrame]:
+    """(rows whose date is null or read, rejected rows as they are with a ``reason``), for a
+    side table; both are filters over one scan each, nothing is collected."""
+    raw = "_raw_date"
+    read = parsed_dates(df.withColumn(raw, F.col(column)), column, formats)
+    bad = F.col(raw).isNotNull() & F.col(column).isNull()
+    reason = F.concat(F.lit(f"{column}: no date in '"), F.col(raw).cast("string"), F.lit("'"))
+    rejected = read.filter(bad).withColumn("reason", reason).withColumn(column, F.col(raw)).drop(raw)
+    return read.filter(~bad).drop(raw), rejected
+
+
 def daily_feature(lines: DataFrame) -> DataFrame:
     """Order quantity per (date, material, group) - the material-level feature table."""
     return (lines.groupBy("SalesOrderDate", "Material", "MaterialGroup")

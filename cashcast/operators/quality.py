@@ -141,11 +141,8 @@ def _share(part: str, whole: str) -> Column:
 def _stacked(key: str, *sides: tuple[DataFrame, Column, dict[str, Column]]) -> DataFrame:
     """The sides' rows under one key column, a column of one side null in the others: with the
     aggregate over the key a full outer join of them all, in one exchange of partial sums."""
-    names = [n for _, _, cols in sides for n in cols]
-    types = {n: df.select(c.alias(n)).schema[n].dataType for df, _, cols in sides for n, c in cols.items()}
-    parts = [df.select(k.cast("string").alias(key), *[cols[n].alias(n) if n in cols else F.lit(None).cast(types[n]).alias(n) for n in names])
-             for df, k, cols in sides]
-    return reduce(DataFrame.unionByName, parts)
+    parts = [df.select(k.cast("string").alias(key), *[c.alias(n) for n, c in cols.items()]) for df, k, cols in sides]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def order_checks(orders: DataFrame, items: DataFrame, docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cashcast.config import DEFAULT as CFG
+from cashcast.operators.forecast import ModelSpec
 from cashcast.plans.sql_fixtures import _LINE_ORDER, sql_case, sql_list, sql_with
 
 ORACLE: dict[str, str] = {}
@@ -141,6 +142,14 @@ ORACLE["f1_forecast_keys"] = w(["future", "heads"], f"""
 SELECT f.ds AS SalesOrderDate, f.Material, f.MaterialGroup, true AS in_band
 FROM future f JOIN heads h ON h.Material = f.Material WHERE h.training_rows >= {CFG.min_rows}""")
 
+ORACLE["f1_model_record"] = w(["history"], f"""
+SELECT Material, CAST(COUNT(*) AS BIGINT) AS training_rows, MAX(week_start) AS training_end, 2 AS n_trend,
+       {2 * ModelSpec().fourier_order} AS n_season, 2 AS n_regressors, true AS scores_agree
+FROM history GROUP BY Material HAVING COUNT(*) >= {CFG.min_rows}""")
+
+ORACLE["f1_band_widths"] = w(["history"], f"""
+SELECT Material, CAST({CFG.horizon} AS BIGINT) AS weeks, true AS wider FROM history GROUP BY Material HAVING COUNT(*) >= {CFG.min_rows}""")
+
 ORACLE["a9_forecast_summary"] = w(["future", "heads"], f"""
 SELECT CAST(COUNT(*) AS BIGINT) AS rows, MIN(f.ds) AS first_date, MAX(f.ds) AS last_date, CAST(COUNT(DISTINCT f.Material) AS BIGINT) AS series,
        CAST(CASE WHEN COUNT(DISTINCT f.Material) > 0 THEN COUNT(*) // COUNT(DISTINCT f.Material) END AS BIGINT) AS rows_per_series

@@ -196,7 +196,7 @@ def _billing(spark, sf_dir):
     """(orders, items without item numbers, numbered documents)."""
     orders = X.billing_orders(spark, sf_dir)
     items = X.sales_order_items(spark, sf_dir, header=orders, numbered=False)
-    docs = B.cancellation_pairs(B.billing_documents(orders, items), _document_numbers(spark, sf_dir))
+    docs = B.cancellation_pairs(B.billing_documents(orders, X.item_amounts(spark, sf_dir)), _document_numbers(spark, sf_dir))
     return orders, items, docs
 
 
@@ -271,8 +271,7 @@ def b4_items(spark, sf_dir):
 
 @query("b5_totals")
 def b5_totals(spark, sf_dir):
-    _, items, _ = _billing(spark, sf_dir)
-    return B.document_totals(B.billing_items(_document_keys(spark, sf_dir), items))
+    return B.document_totals(B.item_amounts(_document_keys(spark, sf_dir), X.item_amounts(spark, sf_dir)))
 
 
 # --- cash ------------------------------------------------------------------------------
@@ -308,23 +307,13 @@ def _cash_rows(spark, sf_dir):
     return CS.cash_postings(X.cash_draws(_terms(spark, sf_dir)), numbered=False)
 
 
-@memo
-def _plain_documents(spark, sf_dir):
-    """(orders, F2 documents before numbering): for what needs no document ids."""
-    orders = X.billing_orders(spark, sf_dir)
-    items = X.sales_order_items(spark, sf_dir, header=orders, numbered=False)
-    return orders, B.billing_documents(orders, items)
-
-
 @memo
 def _plain_cash(spark, sf_dir):
     """Cash rows built on the F2 documents before numbering: dates and amounts, no ids."""
-    _, f2 = _plain_documents(spark, sf_dir)
+    f2 = B.billing_documents(X.billing_orders(spark, sf_dir), X.item_amounts(spark, sf_dir))
     f2 = (f2.withColumn("TotalNetAmount", F.bround(F.col("_net"), 2).cast("double"))
           .withColumn("BillingDocument", F.lit(None).cast("string")))
-    tiers = X.customers(spark, sf_dir).filter(F.col("Tier").isNotNull()).select("Customer", "Tier")
-    terms = CS.payment_terms(f2, tiers, X.customer_dunning(spark, sf_dir))
-    return CS.cash_postings(X.cash_draws(terms), numbered=False)
+    return CS.cash_postings(X.cash_draws(_payer_terms(spark, sf_dir, f2)), numbered=False)
 
 
 @memo
@@ -535,8 +524,7 @@ def v_integrity(spark, sf_dir):
 def v_cardinality(spark, sf_dir):
     """Over written tables, as in the jobs: items and documents are made once, with what the checks read."""
     orders = X.billing_orders(spark, sf_dir)
-    items = store(X.sales_order_items(spark, sf_dir, header=orders, numbered=False).select(
-        "OrderKey", "SalesOrder", "PayerParty", "NetAmount", "TaxAmount"), "items")
+    items = store(X.item_amounts(spark, sf_dir), "items")
     docs = store(B.cancellation_pairs(B.billing_documents(orders, items), _document_numbers(spark, sf_dir)).select(
         "OrderKey", "SalesOrder", "BillingDocument", "BillingDocumentType", "BillingDocumentIsCancelled", "CancelledBillingDocument",
         "BillingDocumentDate", "PayerParty", "TransactionCurrency", "TotalNetAmount", "TotalTaxAmount"), "documents")
@@ -634,6 +622,31 @@ def f1_model_forecast(spark, sf_dir):
     return FC.forecast_rows(_model(spark, sf_dir))
 
 
+@query("f1_model_record")
+def f1_model_record(spark, sf_dir):
+    """The stored models' record of each run, and whether the forecasts scored from the stored
+    coefficients by column expressions have the errors that the fit itself reported."""
+    inp = store(FC.model_input(_stored_history(spark, sf_dir), _monthly(spark, sf_dir), CFG.horizon, CFG.fallback, min_rows=CFG.min_rows), "model_input")
+    models = FC.fit_models(inp)
+    rows = inp.filter("is_train").select("Material", "ds", "y", F.col("avg_temp_c_train").alias("avg_temp_c"),
+                                         F.col("temp_anomaly_c_train").alias("temp_anomaly_c"))
+    scored = EV.fit_metrics(FC.score(models, rows)).withColumnRenamed("mae", "_mae").withColumnRenamed("mape_pct", "_mape")
+    same = (F.abs(F.col("_mae") - F.col("train_mae")) < 0.011) & (F.abs(F.col("_mape") - F.col("train_mape_pct")) < 0.011)
+    return models.join(scored, "Material", "left").select(
+        "Material", "training_rows", "training_end", F.size("trend").alias("n_trend"), F.size("season").alias("n_season"),
+        F.size("reg_effect").alias("n_regressors"), F.coalesce(same, F.lit(False)).alias("scores_agree"))
+
+
+@query("f1_band_widths")
+def f1_band_widths(spark, sf_dir):
+    """The band of the last forecast week is wider than that of the first."""
+    fc = FC.forecast_rows(_model(spark, sf_dir))
+    width = F.col("predicted_qty_upper") - F.col("predicted_qty_lower")
+    ends = fc.groupBy("Material").agg(F.min_by(width, "SalesOrderDate").alias("first"), F.max_by(width, "SalesOrderDate").alias("last"),
+                                      F.count(F.lit(1)).alias("weeks"))
+    return ends.select("Material", "weeks", (F.col("last") >= F.col("first")).alias("wider"))
+
+
 @query("f7_model_vs_actual")
 def f7_model_vs_actual(spark, sf_dir):
     return EV.forecast_vs_actual(FC.forecast_rows(_model(spark, sf_dir)), _actuals(spark, sf_dir))

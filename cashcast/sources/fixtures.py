@@ -139,6 +139,11 @@ def net_amount() -> Column:
                   "(1 - CAST(l_discount AS DECIMAL(15,2))), 2) AS DECIMAL(15,2))")
 
 
+def tax_amount(currency: Column) -> Column:
+    """19 % of NetAmount in EUR, else 0."""
+    return F.when(currency == "EUR", F.expr("CAST(ROUND(NetAmount * 0.19, 2) AS DECIMAL(15,2))")).otherwise(F.lit(0).cast("decimal(15,2)"))
+
+
 def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """salesorderitem, slim: one row per item (OrderKey, Material, MaterialGroup, OrderQuantity)."""
     li = read_table(spark, "lineitem", sf_dir).select("l_orderkey", "l_partkey", "l_quantity")
@@ -189,9 +194,7 @@ def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None
         "TransactionCurrency", "OverallSDDocumentRejectionSts", "Tier", *[c for c in carry if c != "Tier" and c not in (*from_part, "TransactionCurrency")])
     df = li.join(p, li.l_partkey == p.p_partkey).join(hdr, li.l_orderkey == hdr.OrderKey)
     df = df.withColumn("NetAmount", net_amount())
-    tax = F.when(F.col("TransactionCurrency") == "EUR",
-                 F.expr("CAST(ROUND(NetAmount * 0.19, 2) AS DECIMAL(15,2))")
-                 ).otherwise(F.lit(0).cast("decimal(15,2)"))
+    tax = tax_amount(F.col("TransactionCurrency"))
     item_no = [padded(F.col("_item") * 10).alias("SalesOrderItem")] if numbered else []
     return df.select(
         F.col("l_orderkey").alias("OrderKey"),
@@ -253,6 +256,19 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def item_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """salesorderitem, slim: OrderKey, SalesOrder, PayerParty, NetAmount, TaxAmount; what totals need."""
+    li = read_table(spark, "lineitem", sf_dir).select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
+    p = read_table(spark, "part", sf_dir).select("p_partkey")
+    o = read_table(spark, "orders", sf_dir).select("o_orderkey", "o_custkey")
+    cust = customers(spark, sf_dir).select("CustKey", "Currency")
+    hdr = o.join(cust, o.o_custkey == cust.CustKey, "left")
+    df = li.join(p, li.l_partkey == p.p_partkey, "left_semi").join(hdr, li.l_orderkey == hdr.o_orderkey)
+    return df.withColumn("NetAmount", net_amount()).select(
+        F.col("l_orderkey").alias("OrderKey"), F.col("l_orderkey").cast("string").alias("SalesOrder"),
+        F.col("o_custkey").cast("string").alias("PayerParty"), "NetAmount", tax_amount(F.col("Currency")).alias("TaxAmount"))
+
+
 def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """billing_orders, slim: keys, statuses and the cancellation draw, from the orders alone."""
     o = read_table(spark, "orders", sf_dir)

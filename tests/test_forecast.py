@@ -1,13 +1,20 @@
 import datetime as dt
 import math
+import os
+import time
 
+import duckdb
 import numpy as np
 import pandas as pd
+import pytest
 
 from pyspark.sql import functions as F
 
 from cashcast.operators import evaluate as EV
 from cashcast.operators import forecast as FC
+from cashcast.plans import queries as Q
+
+SF = "/root/testdata/sf0.01"
 
 
 def _series(n=156, level=100.0, slope=0.5, amp=0.3, seed=0):
@@ -21,6 +28,19 @@ def _series(n=156, level=100.0, slope=0.5, amp=0.3, seed=0):
     return rows
 
 
+def plain_score(m, frame, reg_cols):
+    """The model's formula from its coefficients, row by row."""
+    out = []
+    for r in frame.itertuples(index=False):
+        t = (r.ds - m["origin"]).days / m["span_days"]
+        g = m["trend"][0] + m["trend"][1] * t + sum(c * max(t - at, 0.0) for at, c in zip(m["changepoints"], m["changes"]))
+        day, k = (r.ds - dt.date(1970, 1, 1)).days * 2 * math.pi / 365.25, len(m["season"]) // 2
+        s = sum(m["season"][i] * math.cos(day * (i + 1)) + m["season"][k + i] * math.sin(day * (i + 1)) for i in range(k))
+        x = sum(e * (getattr(r, c) - mu) / sd for c, e, mu, sd in zip(reg_cols, m["reg_effect"], m["reg_mean"], m["reg_scale"]))
+        out.append(m["scale"] * g * (1 + s + x))
+    return np.array(out)
+
+
 def test_recovers_trend_times_season():
     rows = _series()
     train = pd.DataFrame(rows[:130], columns=["ds", "y"])
@@ -28,10 +48,90 @@ def test_recovers_trend_times_season():
     for frame in (train, test):
         frame["t"] = 0.0
         frame["a"] = 0.0
-    fit, pred, sigma = FC.fit_predict(train, test[["ds", "t", "a"]], ["t", "a"], FC.ModelSpec())
-    assert np.mean(np.abs(fit - train["y"])) < 3.0
-    assert np.mean(np.abs(pred - test["y"])) < 8.0
-    assert 0 < sigma < 5
+    m = FC.fit_series(train, ["t", "a"], FC.ModelSpec())
+    assert np.mean(np.abs(plain_score(m, train, ["t", "a"]) - train["y"])) < 3.0
+    assert np.mean(np.abs(plain_score(m, test, ["t", "a"]) - test["y"])) < 8.0
+    assert 0 < m["sigma"] < 5 and m["train_mae"] == pytest.approx(np.mean(np.abs(plain_score(m, train, ["t", "a"]) - train["y"])), abs=0.006)
+
+
+def _weeks(spark, names, weeks=60, seed=0):
+    rows = [(d, n, "G", float(y)) for k, n in enumerate(names) for d, y in _series(weeks, seed=seed + k)]
+    history = spark.createDataFrame(rows, "week_start date, Material string, MaterialGroup string, qty double")
+    monthly = spark.createDataFrame([(dt.date(2022 + m // 12, m % 12 + 1, 1), 10.0 + m % 12, 0.1 * (m % 5)) for m in range(48)],
+                                    "month_start date, avg_temp_c double, temp_anomaly_c double")
+    return history, monthly
+
+
+def _broken(how):
+    """A fit that hangs, or kills its process, on a series of zeros (a local function: workers get it by value)."""
+    def fit(train, reg_cols, spec):
+        while train["y"].iloc[0] == 0:
+            if how == "dies":
+                os._exit(3)
+            time.sleep(0.01)
+        return FC.fit_series(train, reg_cols, spec)
+    return fit
+
+
+@pytest.mark.parametrize("how, error", [("hangs", "TimeoutError"), ("dies", "ChildProcessError")])
+def test_a_series_that_hangs_or_dies_fails_alone(spark, how, error):
+    history, monthly = _weeks(spark, ["A", "BAD", "C"])
+    history = history.withColumn("qty", F.when(F.col("Material") == "BAD", F.lit(0.0)).otherwise(F.col("qty")))
+    out = FC.forecast_by_key(history, monthly, 4, time_limit=3.0, fit=_broken(how))
+    failed = FC.fit_errors(out).collect()
+    assert [r.Material for r in failed] == ["BAD"] and failed[0].error.startswith(error)
+    assert sorted({r.Material for r in FC.forecast_rows(out).collect()}) == ["A", "C"]
+    status = {r.Material: r.status for r in EV.series_status(history, 10, 4, "x", fit_status=FC.fit_errors(out)).collect()}
+    assert status == {"A": "ok", "BAD": "failed", "C": "ok"}
+
+
+def test_stored_models_score_without_a_fit(spark, tmp_path):
+    """A DuckDB twin recomputes the forecasts and their band from the stored coefficients."""
+    history, monthly = _weeks(spark, ["A", "B"], 80)
+    inp = FC.model_input(history, monthly, 26)
+    models = FC.fit_models(inp)
+    models.write.parquet(str(tmp_path / "models"))
+    stored = spark.read.parquet(str(tmp_path / "models"))
+    again = FC.forecast_by_key(history, monthly, 26, models=stored, fit=None)
+    inp.write.parquet(str(tmp_path / "rows"))
+    got = {(r.Material, r.ds): r for r in again.collect()}
+    twin = duckdb.sql(f"""
+        WITH r AS (SELECT *, CASE WHEN is_train THEN avg_temp_c_train ELSE avg_temp_c_full END AS x0,
+                          CASE WHEN is_train THEN temp_anomaly_c_train ELSE temp_anomaly_c_full END AS x1
+                   FROM read_parquet('{tmp_path}/rows/*.parquet')),
+        j AS (SELECT r.Material, r.ds, m.* EXCLUDE (Material, MaterialGroup), date_diff('day', origin, ds) / span_days AS t,
+                     date_diff('day', DATE '1970-01-01', ds) * 2 * pi() / 365.25 AS d, x0, x1
+              FROM r JOIN read_parquet('{tmp_path}/models/*.parquet') m ON m.Material = r.Material),
+        f AS (SELECT *, trend[1] + trend[2] * t + list_sum(list_transform(range(1, len(changes) + 1), lambda i: changes[i] * greatest(t - changepoints[i], 0))) AS g,
+                     1 + list_sum(list_transform(range(1, 11), lambda k: season[k] * cos(d * k) + season[k + 10] * sin(d * k)))
+                     + reg_effect[1] * (x0 - reg_mean[1]) / reg_scale[1] + reg_effect[2] * (x1 - reg_mean[2]) / reg_scale[2] AS m FROM j)
+        SELECT Material, ds, scale * g * m AS yhat,
+               sqrt(sigma ** 2 + (scale * m) ** 2 * len(changes) * 2 * change_scale ** 2 * greatest(t - 1, 0) ** 3 / 3) AS sd FROM f""").fetchall()
+    assert len(twin) == len(got) == 2 * (80 + 26)
+    z = 1.2815515655446004
+    for key, ds, yhat, sd in twin:
+        r = got[key, ds]
+        assert r.yhat == pytest.approx(yhat, rel=1e-9) and r.yhat_upper - r.yhat == pytest.approx(z * sd, rel=1e-9)
+
+
+def test_band_grows_with_the_horizon(spark):
+    history, monthly = _weeks(spark, ["A"], 120)
+    rows = sorted(FC.forecast_rows(FC.forecast_by_key(history, monthly, 26)).collect(), key=lambda r: r.SalesOrderDate)
+    widths = [r.predicted_qty_upper - r.predicted_qty_lower for r in rows]
+    assert widths[-1] > widths[12] > widths[0] > 0
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
+def test_band_covers_the_test_weeks_better_than_the_residuals(spark):
+    """The share of test weeks inside the 80 % band is nearer to 80 % than with the residual sd alone."""
+    fit = Q.QUERIES["f8_model_fit_metrics"](spark, SF).count()
+    d = Q.QUERIES["f7_model_vs_actual"](spark, SF).filter("actual_qty IS NOT NULL").toPandas()
+    inside = d.actual_qty.between(d.predicted_qty_lower, d.predicted_qty_upper).mean()
+    model = Q._model.__wrapped__(spark, SF)
+    off = FC.fit_rows(model).groupBy("Material").agg(F.stddev_samp(F.col("y") - F.col("yhat")).alias("sd")).toPandas()
+    d = d.merge(off, on="Material")
+    old = (d.actual_qty - d.predicted_qty).abs().le(1.2815515655446004 * d.sd).mean()
+    assert fit == 5 and abs(inside - 0.8) < abs(old - 0.8)
 
 
 def test_grouped_model_isolates_failures(spark):

@@ -64,3 +64,20 @@ def test_drop_partial_weeks(spark):
     orders = spark.createDataFrame([("1", dt.date(2026, 1, 1)), ("2", dt.date(2026, 1, 5))], "SalesOrder string, SalesOrderDate date")
     act = {r.SalesOrderDate for r in H.weekly_actuals(items, orders, "2025-12-31", ["M1"], drop_partial_weeks=True).collect()}
     assert act == {dt.date(2026, 1, 5)}
+
+
+def test_dates_in_several_formats_and_rejects(spark):
+    """Three written formats, a typed-looking null and one value that is no date."""
+    rows = [("2025-01-06", 1), (" 06.01.2025", 2), ("20250106", 3), ("2025-01-06 10:30:00", 4), ("tomorrow", 5), (None, 6), ("2025-02-30", 7)]
+    df = spark.createDataFrame(rows, "SalesOrderDate string, n int")
+    read, rejected = H.split_dates(df, "SalesOrderDate")
+    got = {r.n: r.SalesOrderDate for r in read.collect()}
+    day = dt.datetime(2025, 1, 6)
+    assert got == {1: day, 2: day, 3: day, 4: day.replace(hour=10, minute=30), 6: None}
+    assert {r.n: r.reason for r in rejected.collect()} == {5: "SalesOrderDate: no date in 'tomorrow'", 7: "SalesOrderDate: no date in '2025-02-30'"}
+    assert rejected.columns == ["SalesOrderDate", "n", "reason"] and {r.SalesOrderDate for r in rejected.collect()} == {"tomorrow", "2025-02-30"}
+    typed = df.select(F.lit(dt.date(2025, 1, 6)).alias("SalesOrderDate"), "n")
+    assert H.split_dates(typed, "SalesOrderDate")[1].count() == 0 and H.parsed_dates(typed, "SalesOrderDate").first()[0] == day
+    feature = H.parsed_dates(df, "SalesOrderDate").select("SalesOrderDate", F.lit("M").alias("Material"), F.lit("G").alias("MaterialGroup"),
+                                                          F.col("n").alias("Sum_OrderQuantity"))
+    assert [r.qty for r in H.weekly_history(feature, "2025-12-31", ["M"]).collect()] == [10]
