@@ -39,9 +39,14 @@ def _order_key(*tables: DataFrame) -> str:
 
 
 def order_item_totals(items: DataFrame, key: str = "SalesOrder") -> DataFrame:
-    """A4 + A11: per order - first payer (lowest, deterministic), net and tax sums (exact decimals)."""
+    """A4 + A11: per order - first payer (lowest, deterministic), net and tax sums (exact decimals).
+
+    Items that carry the payer as a number, ``PayerKey``, are aggregated by hash; the least of
+    texts needs a sort.
+    """
+    payer = F.min("PayerKey").cast("string") if "PayerKey" in items.columns else F.min("PayerParty")
     return items.groupBy(key).agg(
-        F.min("PayerParty").alias("_payer"),
+        payer.alias("_payer"),
         F.sum("NetAmount").alias("_net"),
         F.sum("TaxAmount").alias("_tax"),
     )

@@ -257,7 +257,7 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def item_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """salesorderitem, slim: OrderKey, SalesOrder, PayerParty, NetAmount, TaxAmount; what totals need."""
+    """salesorderitem, slim: OrderKey, SalesOrder, PayerKey, NetAmount, TaxAmount; what totals need."""
     li = read_table(spark, "lineitem", sf_dir).select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount")
     p = read_table(spark, "part", sf_dir).select("p_partkey")
     o = read_table(spark, "orders", sf_dir).select("o_orderkey", "o_custkey")
@@ -266,7 +266,7 @@ def item_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = li.join(p, li.l_partkey == p.p_partkey, "left_semi").join(hdr, li.l_orderkey == hdr.o_orderkey)
     return df.withColumn("NetAmount", net_amount()).select(
         F.col("l_orderkey").alias("OrderKey"), F.col("l_orderkey").cast("string").alias("SalesOrder"),
-        F.col("o_custkey").cast("string").alias("PayerParty"), "NetAmount", tax_amount(F.col("Currency")).alias("TaxAmount"))
+        F.col("o_custkey").alias("PayerKey"), "NetAmount", tax_amount(F.col("Currency")).alias("TaxAmount"))
 
 
 def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
