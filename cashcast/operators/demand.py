@@ -89,6 +89,7 @@ def order_tables(orders: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFr
     return orders.join(totals, "OrderKey", "left").select(*ORDER_TABLE), items.drop("OrderKey")
 
 
+# FIXED VALUES: column names of the two order tables
 ORDER_TABLE = [
     "SalesOrder", "SalesOrderType", "CreationDate", "SalesOrderDate", "SoldToParty", "SalesOrganization", "DistributionChannel",
     "OrganizationDivision", "SalesGroup", "SalesOffice", "TransactionCurrency", "TotalNetAmount", "CustomerPaymentTerms",
@@ -132,15 +133,9 @@ def weather_lookup(orders: DataFrame, weather: DataFrame, fallback=C.WEATHER_FAL
             .drop("_cty", "_reg", "_y", "_m"))
 
 
-def demand_weather_features(items: DataFrame, orders: DataFrame, weather: DataFrame,
-                            base_year: int = C.BASE_YEAR, few_places: bool = False) -> DataFrame:
-    """Per item line - the order month's weather (J10), seasonal weight (D1) and weather multiplier."""
-    hdr = weather_lookup(orders.select("SalesOrder", "SalesOrderDate", "Country", "Region"), weather, few_places=few_places)
-    return with_demand_factors(items.join(hdr, "SalesOrder"), base_year)
-
-
-def with_demand_factors(lines: DataFrame, base_year: int = C.BASE_YEAR) -> DataFrame:
-    """D1 and D2 on lines that carry their order's date and weather."""
+def demand_weather_features(lines: DataFrame, base_year: int = C.BASE_YEAR) -> DataFrame:
+    """Per item line the seasonal weight (D1) and the weather multiplier (D2), from its order's
+    date and weather. J10 goes to the headers first, so items and orders are joined once."""
     d = F.col("SalesOrderDate")
     return lines.withColumns({
         "seasonal_weight": seasonal_weight(F.month(d), F.year(d), F.col("MaterialGroup"), base_year),

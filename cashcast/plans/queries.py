@@ -420,7 +420,7 @@ def _features(spark, sf_dir):
     # the month's weather goes to the orders, and with them to the lines: one join of items and orders
     orders = D.weather_lookup(X.sales_orders(spark, sf_dir), X.weather(spark, sf_dir), few_places=True)
     items = X.sales_order_items(spark, sf_dir, header=orders, carry=("SalesOrderDate", "avg_temp_c", "temp_anomaly_c"))
-    return D.with_demand_factors(items, CFG.base_year)
+    return D.demand_weather_features(items, CFG.base_year)
 
 
 @query("d3_expected_qty")
