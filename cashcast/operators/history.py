@@ -3,14 +3,14 @@ monthly weather regressors (F4, A3), date split (F12), profiles (A8, A9)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashcast.functions.calendar import month_start_from_parts, week_start
 from cashcast.functions.numeric import exact_mean
 
 
-def _end_ts(end) -> F.Column:
+def _end_ts(end) -> Column:
     """The training end as a timestamp literal; '1999-12-31' means midnight of that day."""
     return F.lit(str(end)).cast("timestamp")
 
@@ -19,13 +19,18 @@ def _end_ts(end) -> F.Column:
 DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd.MM.yyyy", "yyyyMMdd")
 
 
-def parsed_dates(df: DataFrame, column: str, formats=DATE_FORMATS) -> DataFrame:
+def as_timestamp(df: DataFrame, column: str, formats=DATE_FORMATS) -> Column:
     """``column`` as a timestamp by the first of the formats that reads it; null where none
-    does, never an error. A typed column is only cast."""
+    does, never an error. A typed column is only cast, so its filters reach the scan."""
     if df.schema[column].dataType.typeName() != "string":
-        return df.withColumn(column, F.col(column).cast("timestamp"))
+        return F.col(column).cast("timestamp")
     text = F.trim(F.col(column))
-    return df.withColumn(column, F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]))
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+
+
+def parsed_dates(df: DataFrame, column: str, formats=DATE_FORMATS) -> DataFrame:
+    """``df`` with ``column`` as a timestamp (``as_timestamp``)."""
+    return df.withColumn(column, as_timestamp(df, column, formats))
 
 
 def split_dates(df: DataFrame, column: str, formats=DATE_FORMATS) -> tuple[DataFrame, DataFrame]:
@@ -45,7 +50,7 @@ def daily_feature(lines: DataFrame) -> DataFrame:
             .agg(F.sum("OrderQuantity").alias("Sum_OrderQuantity")))
 
 
-def _partial_week_start(end) -> F.Column:
+def _partial_week_start(end) -> Column:
     """Monday of the week that contains ``end`` when that week runs past ``end``."""
     d = F.lit(str(end)).cast("date")
     return F.when(F.dayofweek(d) != 1, week_start(d))  # dayofweek: 1 = Sunday
@@ -56,11 +61,11 @@ def weekly_history(feature: DataFrame, end, materials, drop_partial_weeks: bool
 
     Rows up to ``end`` (compared as a timestamp, so a row at 10:00 on the last day is
     out), for the listed materials, summed per (Monday, material, group). Null group
-    keys are dropped, null quantities add 0, and missing weeks stay missing.
+    keys and dates that cannot be read (``split_dates`` has them) are dropped, null quantities add 0, and missing weeks stay missing.
     The last week is cut by ``end`` unless ``end`` is a Sunday; ``drop_partial_weeks``
     leaves that week out (the default keeps it, as the original does).
     """
-    ts = F.col("SalesOrderDate").cast("timestamp")
+    ts = as_timestamp(feature, "SalesOrderDate")
     out = (feature
             .filter(ts <= _end_ts(end))
             .filter(F.col("Material").isin(list(materials)))
@@ -78,7 +83,7 @@ def weekly_actuals(items: DataFrame, orders: DataFrame, end, materials, drop_par
 
     Orders of the days after ``end`` in a week that started before it land on that
     week's Monday (which has no forecast row); ``drop_partial_weeks`` leaves it out."""
-    hdr = orders.select(key, F.col("SalesOrderDate").cast("timestamp").alias("_ts"))
+    hdr = orders.select(key, as_timestamp(orders, "SalesOrderDate").alias("_ts"))
     out = (items.select(key, "Material", "MaterialGroup", "OrderQuantity")
             .join(hdr, key)
             .filter(F.col("_ts") > _end_ts(end))

@@ -724,7 +724,8 @@ def o3_first_rows(spark, sf_dir):
 
 @query("w6_first_items")
 def w6_first_items(spark, sf_dir):
-    return B.first_items(_items(spark, sf_dir), 2).select("SalesOrder", "SalesOrderItem", "Material", "OrderQuantity")
+    items = X.sales_order_items(spark, sf_dir, header=X.billing_orders(spark, sf_dir), first=2)
+    return B.first_items(items, 2).select("SalesOrder", "SalesOrderItem", "Material", "OrderQuantity")
 
 
 @query("x6_season")

@@ -172,21 +172,23 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_order_items(spark: SparkSession, sf_dir: str, header: DataFrame | None = None,
-                      numbered: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+                      numbered: bool = True, carry: tuple[str, ...] = (), first: int | None = None) -> DataFrame:
     """salesorderitem: lineitem x part, with header fields carried from the order.
 
     ``carry`` names further columns of the header (or of ``part``) that the caller needs on
     the lines, so that the items are joined to their orders once.
 
     Item numbers (000010, 000020, ...) follow the line order inside each order. They are
-    computed skew-safe (``rank_within``: a range of the global order per task) on the
+    computed skew-safe (``rank_within``) on the
     narrow lineitem rows before the joins, and only when asked for: totals per order do
-    not need them.
+    not need them. With ``first`` only that many items of each order are kept (W6), which Spark
+    limits already before the exchange.
     """
     li = read_table(spark, "lineitem", sf_dir).select("l_orderkey", *_LINE_ORDER)
     if numbered:
         from cashcast.operators.ids import rank_within
         li = rank_within(li, ["l_orderkey"], _LINE_ORDER, "_item")
+        li = li if first is None else li.filter(F.col("_item") <= first)
     from_part = [c for c in carry if c.startswith("p_")]
     p = read_table(spark, "part", sf_dir).select("p_partkey", "p_type", "p_brand", *from_part)
     hdr = (header if header is not None else sales_orders(spark, sf_dir)).select(

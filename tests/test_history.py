@@ -78,6 +78,9 @@ def test_dates_in_several_formats_and_rejects(spark):
     assert rejected.columns == ["SalesOrderDate", "n", "reason"] and {r.SalesOrderDate for r in rejected.collect()} == {"tomorrow", "2025-02-30"}
     typed = df.select(F.lit(dt.date(2025, 1, 6)).alias("SalesOrderDate"), "n")
     assert H.split_dates(typed, "SalesOrderDate")[1].count() == 0 and H.parsed_dates(typed, "SalesOrderDate").first()[0] == day
-    feature = H.parsed_dates(df, "SalesOrderDate").select("SalesOrderDate", F.lit("M").alias("Material"), F.lit("G").alias("MaterialGroup"),
+    feature = df.select("SalesOrderDate", F.lit("M").alias("Material"), F.lit("G").alias("MaterialGroup"),
                                                           F.col("n").alias("Sum_OrderQuantity"))
-    assert [r.qty for r in H.weekly_history(feature, "2025-12-31", ["M"]).collect()] == [10]
+    assert [r.qty for r in H.weekly_history(feature, "2025-12-31", ["M"]).collect()] == [10]  # text is read as it is
+    items = df.select(F.col("n").cast("string").alias("SalesOrder"), F.lit("M").alias("Material"), F.lit("G").alias("MaterialGroup"), F.col("n").alias("OrderQuantity"))
+    orders = df.select(F.col("n").cast("string").alias("SalesOrder"), "SalesOrderDate")
+    assert [r.actual_qty for r in H.weekly_actuals(items, orders, "2024-12-31", ["M"]).collect()] == [10]
