@@ -124,7 +124,9 @@ def _has_letter(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def _predictor(spark, filters: Filters):
+def _predictor(spark, filters: Filters, judged: bool = False):
+    """Adds lang_pred and score to batches in place of their text; if ``judged``, also n_grams and
+    ``known``, the share of them that are the best language's."""
     shared = spark.sparkContext.broadcast(filters)  # 8 MB for each 64 languages, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,19 +135,23 @@ def _predictor(spark, filters: Filters):
         for b in batches:
             for i, j, data, off in tk.pieces(b.column("text")):
                 n = j - i
+                g, rows = grams(data, off)
+                n_grams = np.bincount(rows, minlength=n)
                 if f.languages:
-                    g, rows = grams(data, off)
                     hits = f.hits(g, rows, n)
                     best, total = hits.argmax(1), hits.sum(1)
-                    score = np.where(total > 0, hits[np.arange(n), best] / np.maximum(total, 1e-12), 0.0)
+                    most = hits[np.arange(n), best]
+                    score = np.where(total > 0, most / np.maximum(total, 1e-12), 0.0)
                 else:
-                    best, score = np.zeros(n, int), np.zeros(n)
+                    best, score, most = np.zeros(n, int), np.zeros(n), np.zeros(n)
                 no = ~_has_letter(data, off) | (not f.languages)
+                own = [c for c in b.schema.names if c != "text"]
+                also = [pa.array(n_grams.astype(np.int64)), pa.array(most / np.maximum(n_grams, 1))] if judged else []
                 yield pa.RecordBatch.from_arrays(
-                    [*(b.column(c).slice(i, n) for c in b.schema.names if c != "text"),
+                    [*(b.column(c).slice(i, n) for c in own),
                      pa.array(names[np.where(no, len(f.languages), best)].tolist(), pa.string()),
-                     pa.array(np.where(no, 0.0, np.clip(score, 0, 1)))],
-                    [*(c for c in b.schema.names if c != "text"), "lang_pred", "score"])
+                     pa.array(np.where(no, 0.0, np.clip(score, 0, 1))), *also],
+                    [*own, "lang_pred", "score", *(["n_grams", "known"] if judged else [])])
     return run
 
 
@@ -171,18 +177,24 @@ def language_id(docs: DataFrame) -> DataFrame:
     return predict(docs, filters).select("doc_id", (part == 2).alias("held_out"), "lang_pred", "score")
 
 
-#: The decision's share of all languages' counts under which a text has no clear language.
-MIN_SCORE = 0.3
+#: Share of a text's n-grams that the best language must contain, and n-grams under which a text is too short to tell.
+MIN_KNOWN = 0.3
+FEW_GRAMS = 20
 
 
-def known_language(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """``docs`` without the rows whose language is undetermined or decided by less than ``min_score``.
+def known_language(docs: DataFrame, min_known: float = MIN_KNOWN, few_grams: int = FEW_GRAMS) -> DataFrame:
+    """``docs`` without the rows that are in none of the learned languages.
 
-    All columns are kept as they are; the filters are learned from the learning fold's ``lang``.
+    These are the undetermined ones (null text, no letter, nothing learned) and those of
+    ``few_grams`` n-grams or more of which the best language contains under ``min_known``. Neither
+    depends on how many languages share the text's n-grams, so texts of close languages stay, and
+    short texts with letters stay whatever they hold. All columns are kept as they are; the filters
+    are learned from the learning fold's ``lang``.
     """
     ship_package(docs.sparkSession)
     filters = learn(docs.filter(fold(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang"))
     whole = docs.select(F.struct("*").alias("doc"), F.col("text").cast("string").alias("text"))
-    schema = f"doc {whole.schema['doc'].dataType.simpleString()}, lang_pred string, score double"
-    found = whole.mapInArrow(_predictor(docs.sparkSession, filters), schema)
-    return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select("doc.*")
+    schema = f"doc {whole.schema['doc'].dataType.simpleString()}, lang_pred string, score double, n_grams long, known double"
+    found = whole.mapInArrow(_predictor(docs.sparkSession, filters, judged=True), schema)
+    enough = (F.col("n_grams") < few_grams) | (F.col("known") >= min_known)
+    return found.filter((F.col("lang_pred") != UNDETERMINED) & enough).select("doc.*")

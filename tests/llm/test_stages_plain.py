@@ -122,6 +122,21 @@ def test_more_languages_than_a_mask_has_bits(spark):
     assert len(held) > 150 and sum(got[d].lang_pred == name for d, _, name in held) >= 0.95 * len(held)
 
 
+def test_close_languages_and_short_texts_stay(spark):
+    """Eight languages of the same syllables but for one of ten; noise goes, what is too short to tell stays."""
+    rng = random.Random(8)
+    common = [a + b + c for a, b, c in zip("bcdfghjkl", "aeiouaeio", "mnprstvwx")]
+    text = lambda syll, n: " ".join("".join(rng.choices(syll, k=3)) for _ in range(n))
+    rows = [(i * 8 + k, text([*common, f"z{'aeiouyäö'[k]}q"], 80), f"l{k}") for k in range(8) for i in range(30)]
+    noise = [(1000 + i, text([a + b for a in "qxzjv" for b in "qxzjv"], 80), None) for i in range(20)]
+    short = [(2000, "Qx", None), (2001, "xyzzy plugh", None), (2002, "12 !", None), (2003, None, None), (2004, "", None)]
+    docs = spark.createDataFrame(rows + noise + short, "doc_id long, text string, lang string")
+    predicted = {r.doc_id: r for r in language.language_id(docs).collect()}
+    assert sum(predicted[r[0]].score < 0.3 for r in rows) > 100  # a share of all languages' hits says nothing here
+    kept = {r.doc_id for r in language.known_language(docs).collect()}
+    assert kept == {r[0] for r in rows} | {2000, 2001}
+
+
 @tables
 def test_toxicity_finds_toxic_documents(spark):
     """Accuracy alone says little where one label is rare: recall and false positives on the held-out rows."""
