@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashcast.llm import textkit as tk
-from cashcast.session import broadcast_if_small, ship_package, store
+from cashcast.session import broadcast_if_small, release, ship_package, store
 
 #: Words of a window, places that a proximity match allows, bytes of test text in a block.
 WINDOW = 10
@@ -222,17 +222,22 @@ def find(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = SLOP
             frequency[r.term] = r.n
         w.rarest_first(frequency)
         found = index.mapInArrow(_matcher(docs.sparkSession.sparkContext.broadcast(w), gap, slop), _FOUND)  # a block's size
-        out = found if out is None else out.unionByName(found)
-    if blocks == 1:
-        return out
-    # a document's answers of several blocks: its hit words are counted again from the spans
+        if blocks == 1:
+            return found
+        # equal rows have equal answers: one of each before the blocks meet, so copies are counted and not gathered
+        answers = found.groupBy("doc_id", "text_hash").agg(
+            *[F.first(c).alias(c) for c in ("n_words", "item_ids", "near_ids", "spans")], F.count(F.lit(1)).alias("copies"))
+        answers = store(answers, "block")
+        release(index)
+        out = answers if out is None else out.unionByName(answers)
+    # a document's answers, one of each block: its hit words are counted again from the spans
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
     merged = out.groupBy("doc_id", "text_hash").agg(
-        F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
-        F.array_distinct(F.flatten(F.collect_list("near_ids"))).alias("near_ids"),
-        F.array_distinct(F.flatten(F.collect_list(_numbers("spans")))).alias("hits"), F.count(F.lit(1)).alias("copies"))
-    return (merged.withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("copies") / blocks).cast("int"))))
+        F.max("n_words").alias("n_words"), union("item_ids").alias("item_ids"), union("near_ids").alias("near_ids"),
+        union(_numbers("spans")).alias("hits"), F.max("copies").cast("int").alias("copies"))
+    return (merged.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
             .select("doc_id", "text_hash", "n_words", F.size("hits").cast("long").alias("n_hit"), "item_ids", "near_ids",
-                    F.flatten(F.transform(F.array_sort("hits"), lambda x: F.array(x, x + 1))).alias("spans")))
+                    _passages(F.col("hits")).alias("spans")))
 
 
 def _numbers(spans: str):
@@ -241,6 +246,14 @@ def _numbers(spans: str):
     return F.flatten(F.transform(pairs, lambda i: F.sequence(F.get(F.col(spans), i), F.get(F.col(spans), i + 1) - 1)))
 
 
+def _passages(hits):
+    """Flat spans of sorted word numbers: neighbours are one passage."""
+    beside = lambda x, i, step: F.coalesce(F.get(hits, i + step) == x + step, F.lit(False))
+    starts = F.filter(hits, lambda x, i: ~beside(x, i, -1))
+    ends = F.filter(hits, lambda x, i: ~beside(x, i, 1))
+    return F.flatten(F.zip_with(starts, ends, lambda s, e: F.array(s, e + 1)))
+
+
 def digest(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """Exact matches only: words, hit words and items of every row."""
     found = find(docs, items, slop=0, **options)

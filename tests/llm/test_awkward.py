@@ -42,6 +42,21 @@ def test_decontamination_in_blocks(spark):
     assert sorted(one, key=key) == sorted(many, key=key)
 
 
+def test_blocks_find_the_same_passages(spark):
+    """All of find's columns, with passages that two items share at a border and many copies of one row."""
+    words = PASSAGE.split()
+    asked = [("a", " ".join(words[:14]), "x"), ("b", " ".join(words[14:30]), "x"), ("c", " ".join(words[8:20]), "x"),
+             ("d", " ".join(words[50:60]), "x"), ("e", "short words", "x"), ("f", None, "x")]
+    copies = awkward(spark).unionByName(awkward(spark).filter("doc_id = 9 OR doc_id IS NULL"))
+    answers = []
+    for size in (1 << 20, 200, 40):
+        found = decontamination.find(copies, items(spark, asked), block_bytes=size).collect()
+        answers.append(sorted(((str(r.doc_id), r.text_hash, r.n_words, r.n_hit, sorted(r.item_ids), sorted(r.near_ids), r.spans)
+                               for r in found)))
+    assert answers[0] == answers[1] == answers[2] and len(answers[0]) == len(ROWS) + 3
+    assert [a[6] for a in answers[0] if a[0] == "9"] == [[30, 60, 80, 90]] * 2
+
+
 def test_proximity(spark):
     words = PASSAGE.split()
     moved = " ".join([*words[:4], "inserted", *words[4:10]])
