@@ -15,7 +15,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 OP2 = rf"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, source,
-                  coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size FROM documents),
+                  coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size,
+                  substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')), 1, 16) AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS weight,
              {MAX_EPOCHS} * source_size AS cap, sum(source_size) OVER () AS total FROM s),
@@ -25,7 +26,7 @@ f AS (SELECT *, (total - coalesce(sum(cap) OVER lo, 0)) / sum(weight) OVER hi AS
              hi AS (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
 lev AS (SELECT max(level_) AS level_ FROM f),
 t AS (SELECT f.source, source_size, least(CAST(cap AS DOUBLE), lev.level_ * weight) AS target FROM f, lev),
-q AS (SELECT d.*, source_size, target, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+q AS (SELECT d.*, source_size, target FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size, row ROWS UNBOUNDED PRECEDING) AS done
       FROM q WHERE size > 0 AND target > 0),
 e AS (SELECT c.*, n AS epoch, (done + (n - 1) * source_size) / target AS finish

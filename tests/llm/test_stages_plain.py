@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline
-from cashcast.llm import language, sharding
+from cashcast.llm import language, mixing, sharding
 from cashcast.llm.decontamination import WINDOW
 from cashcast.llm.oracle import OP2, OP4
 from cashcast.session import store
@@ -92,6 +92,26 @@ def test_stages_keep_what_plain_versions_keep(spark):
     assert sorted(map(str, read(last))) == sorted(map(str, read(mixed)))
 
 
+@pytest.mark.parametrize("hot_rows", [1_000_000, 100, 0])
+def test_mixing_like_its_twin_with_hot_ids(spark, hot_rows, monkeypatch):
+    """A third of the rows without id, a third one row again and again, whether or not ranges are cut again."""
+    monkeypatch.setattr(mixing, "HOT_TIMES", 0 if hot_rows == 0 else 2)
+    rng = random.Random(5)
+    text = lambda n: " ".join(rng.choices(["a", "bc", "def", "x"], k=n))
+    rows = [(None, text(rng.randint(1, 30)), rng.choice(["s", None])) for _ in range(1000)]
+    rows += [(7, "the same row", "s")] * 1000 + [(None, None, "s")] * 20
+    rows += [(i % 300, text(rng.randint(0, 9)), rng.choice(["s", "t", "u", None])) for i in range(1000)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas().astype({"doc_id": "Int64"}))
+    names = [c[0] for c in con.execute(f"DESCRIBE {OP2}").fetchall()]
+    plain = lambda r: tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+    expected = Counter(map(plain, con.execute(OP2).fetchall()))
+    got = Counter(plain(r[n] for n in names) for r in mixing.mixed(docs.repartition(7), hot_rows=hot_rows).collect())
+    assert got == expected
+
+
 @pytest.mark.parametrize("rows, limit, deep", [(3000, 60, 9), (400, 3000, 1)])
 def test_sharding_like_its_twin_where_buckets_split(spark, rows, limit, deep):
     """Thousands of shards, more bits than one round settles, and shards of many documents."""
