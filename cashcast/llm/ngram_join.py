@@ -3,16 +3,20 @@
 A document's set is its distinct word shingles; rows of equal sets are one class. The
 shingles of a set are ordered from rare to frequent by a fixed-size count sketch over all
 documents. Two sets that reach the threshold share at least l of the tokens in their
-prefixes of length |x| - ceil(t |x|) + l; each set picks the l that costs least by estimate
-(postings written, postings met, candidates verified): sets with frequent tokens lengthen
-their prefix and need more shared tokens. A pair is verified, exactly, if it shares at least
-the smaller l of the two.
+prefixes of length |x| - ceil(t |x|) + l, and the smaller set of a pair has them in the
+shorter prefix of length |x| - ceil(2t / (1 + t) |x|) + l, its indexed one. Each set lengthens
+its prefix, a token and a match at a time, as long as that lowers its estimated cost (postings
+written, postings met, candidates verified): sets with frequent tokens need more shared tokens.
+A pair is verified, exactly, if it shares at least the smaller l of the two.
 
 Links are wanted as components, so lists of a token are not expanded into all pairs: first
 every list's members meet only their list's hub (the one with the fewest rarer tokens). What still lies in
 another component than its hub is a stray; after some hub rounds, strays meet all members
 of their lists that are not in their own component, whatever number that is, so no link
-between different components is lost.
+between different components is lost. There, only indexed postings of the smaller set meet
+postings of the larger, and only in cells of a token and a class of sizes, which long lists
+have several of: documents of one template that differ in words of their own have these first
+and the template's behind their indexed prefix, so they do not meet at all.
 """
 
 from __future__ import annotations
@@ -30,18 +34,18 @@ from cashcast.session import broadcast_if_small, release, ship_package, store
 
 SHINGLE = 4
 PERCENT = 85
-#: log2 of the sketch's counters; most tokens to share; estimated costs of a posting, of a met
-#: posting and of a verification; share of the sets that meet in one more token; rows of a
-#: token's list that go to one task.
+#: log2 of the sketch's counters; estimated costs of a posting, of a met posting and of a
+#: verification; share of the sets that meet in one more token; rows of a token's list that go
+#: to one task; shared tokens that are enough to verify a set with its hub.
 SKETCH_BITS = 16
-MAX_MATCHES = 3
 POSTING, MEET, VERIFY = 1.0, 0.02, 30.0
 DECAY = 0.6
 LIST_ROWS = 20_000
 HUB_ROUNDS = 1
+HUB_SHARED = 3
 
 _BASE = "doc_id long, row long, n int, s long"
-_POSTING = "token long, salt int, hot boolean, s long, n int, l int, pos int, doc_id long"
+_POSTING = "token long, salt int, hot boolean, s long, n int, l int, pos int, indexed boolean, doc_id long"
 
 
 def _sets(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -96,20 +100,35 @@ def frequencies(texts: DataFrame, length: int) -> tuple[np.ndarray, float]:
     return np.where(counts > noise, np.maximum(1.0, counts - usual), 1.0).astype(np.float32), others
 
 
-def matches(n: np.ndarray, met: list[np.ndarray], lengths: list[np.ndarray], percent: int) -> np.ndarray:
-    """The l of least estimated cost for sets of size n; for each l, the postings met and the prefix's length."""
-    best, best_cost = np.ones(len(n), np.int64), None
-    for m in range(1, len(met) + 1):
-        cost = POSTING * lengths[m - 1] + (MEET + VERIFY * DECAY ** (m - 1)) * met[m - 1]
-        if best_cost is None:
-            best_cost = cost
-            continue
-        better = (cost < best_cost) & (m <= (n * percent + 99) // 100)
-        best[better], best_cost = m, np.where(better, cost, best_cost)
+def overlap(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that a set of size n shares at least with any set that it is linked with, and with one not smaller."""
+    return (n * percent + 99) // 100, (2 * n * percent + 99 + percent) // (100 + percent)
+
+
+def matches(sums: np.ndarray, begin: np.ndarray, n: np.ndarray, others: float, percent: int) -> np.ndarray:
+    """The l of each set (size n, its tokens from ``begin``): the first whose successor does not cost less.
+
+    ``sums`` are the running sums of the tokens' estimated documents, from rare to frequent in each set.
+    """
+    least, least_same = overlap(n, percent)
+
+    def cost(m: int) -> np.ndarray:
+        met = np.minimum(n - least_same + m, n)
+        met = sums[begin + met] - sums[begin] + (others - 1) * met
+        return POSTING * np.minimum(n - least + m, n) + (MEET + VERIFY * DECAY ** (m - 1)) * met
+
+    best, m = np.ones(len(n), np.int64), 1
+    open_, now = n > 0, cost(1)
+    while open_.any():
+        m += 1
+        then = cost(m)
+        open_ &= (then < now) & (m <= least)
+        best[open_] = m
+        now = then
     return best
 
 
-def _prefixes(freq, others: float, length: int, percent: int, most: int):
+def _prefixes(freq, others: float, length: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f_all = freq.value
         level = np.floor(np.log2(f_all)).astype(np.int64)
@@ -130,18 +149,18 @@ def _prefixes(freq, others: float, length: int, percent: int, most: int):
                 begin = np.cumsum(size) - size
                 f = f_all[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 sums = np.concatenate([[0.0], np.cumsum(f, dtype=float)])
-                need = (size * percent + 99) // 100
-                lengths = [np.minimum(size - need + m, size) for m in range(1, most + 1)]
-                m = matches(size, [sums[begin + x] - sums[begin] + (others - 1) * x for x in lengths], lengths, percent)
-                take = np.minimum(size - need + m, size)
+                m = matches(sums, begin, size, others, percent)
+                least, least_same = overlap(size, percent)
+                take = np.minimum(size - least + m, size)
                 pos = np.arange(len(h)) - begin[rows]
                 keep = pos < take[rows]
                 h, r, f, pos = h[keep], rows[keep], f[keep], pos[keep]
                 salts = np.maximum(1, np.ceil(f / LIST_ROWS)).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(tk.signed(h)), pa.array((s[r] % salts).astype(np.int32)), pa.array(salts > 1), pa.array(tk.signed(s[r])),
-                     pa.array(n[r].astype(np.int32)), pa.array(m[r].astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(ids[i:j][r].astype(np.int64))],
-                    ["token", "salt", "hot", "s", "n", "l", "pos", "doc_id"])
+                     pa.array(n[r].astype(np.int32)), pa.array(m[r].astype(np.int32)), pa.array(pos.astype(np.int32)),
+                     pa.array(pos < (size - least_same + m)[r]), pa.array(ids[i:j][r].astype(np.int64))],
+                    ["token", "salt", "hot", "s", "n", "l", "pos", "indexed", "doc_id"])
     return run
 
 
@@ -221,14 +240,14 @@ def _verify(percent: int):
 class Join:
     """The join of one table (row, doc_id, text): its classes, live lists, verified links and components."""
 
-    def __init__(self, texts: DataFrame, length: int = SHINGLE, percent: int = PERCENT, most: int = MAX_MATCHES) -> None:
+    def __init__(self, texts: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> None:
         self.spark: SparkSession = texts.sparkSession
         ship_package(self.spark)
         self.length, self.percent = length, percent
         self.texts, self.tested, self.stored = texts.select("doc_id", "text"), None, []
         self.rows = store(texts.mapInArrow(_bases(length), _BASE), "ngram_rows")
         freq, others = frequencies(texts, length)
-        postings = self.texts.mapInArrow(_prefixes(self.spark.sparkContext.broadcast(freq), others, length, percent, most), _POSTING)
+        postings = self.texts.mapInArrow(_prefixes(self.spark.sparkContext.broadcast(freq), others, length, percent), _POSTING)
         dealt = postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "s", "doc_id")
         self.lists = store(dealt.mapInArrow(_lists, _POSTING), "ngram_lists")
 
@@ -262,11 +281,40 @@ class Join:
         left = F.least("l", "l2") - 1 + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
         return fits & ((100 + self.percent) * left >= self.percent * (F.col("n") + F.col("n2")))
 
-    def candidates(self, met: DataFrame) -> DataFrame:
+    def candidates(self, met: DataFrame, enough: int | None = None) -> DataFrame:
         """Pairs (a < b) that share enough tokens, from a row (s, n, l, pos and the same of the other) per shared token."""
+        wanted = F.col("l") if enough is None else F.least("l", F.lit(enough))
         return (met.groupBy(F.least("s", "s2").alias("a"), F.greatest("s", "s2").alias("b"))
                 .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("l", "l2")).alias("l"))
-                .filter("shared >= l").select("a", "b"))
+                .filter(F.col("shared") >= wanted).select("a", "b"))
+
+    def strays(self, lists: DataFrame) -> DataFrame:
+        """Tokens shared by a stray and another member of its list, in another component, as rows for ``candidates``.
+
+        The smaller set (of equal sizes, the one of the smaller hash) must have the token in its
+        indexed prefix. Two sizes that can reach the threshold are in the same or neighbouring
+        classes. A list of several salts meets salt by salt, so no task holds all its pairs.
+        """
+        cols = ["s", "n", "l", "c"]
+        hub = lists.groupBy("token").agg(F.min(F.struct("pos", "doc_id", *cols)).alias("hub"))
+        width = -np.log((self.percent - 1) / 100) if self.percent > 1 else np.inf  # a little wider than the ratio of sizes
+        sized = F.floor(F.log("n") / F.lit(float(width))) if np.isfinite(width) else F.lit(0).cast("long")
+        members = lists.join(hub, "token").select(
+            "token", "salt", "indexed", "pos", *cols, (F.col("c") != F.col("hub.c")).alias("stray"), sized.alias("size"))
+        members = store(members, "ngram_members")
+        self.stored.append(members)
+        # a stray meets strays and others, others meet strays only
+        small = (members.filter("indexed")
+                 .withColumn("kind", F.explode(F.when(F.col("stray"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))))
+                 .withColumn("size", F.explode(F.array("size", F.col("size") + 1))))
+        large = members.select("token", "size", F.col("stray").alias("kind"), F.col("salt").alias("salt2"),
+                               *[F.col(c).alias(c + "2") for c in ["pos", *cols]])
+        key = ["token", "size", "kind"]
+        cells = broadcast_if_small(small.select(*key, "salt").distinct().join(large.select(*key, "salt2").distinct(), key))
+        met = (small.select(*key, "salt", "pos", *cols).join(cells, [*key, "salt"])
+               .join(large.join(cells, [*key, "salt2"]), [*key, "salt", "salt2"]))
+        ordered = (F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("s") < F.col("s2")))
+        return met.filter(ordered & (F.col("c") != F.col("c2")) & self.reaches())
 
     def links(self) -> DataFrame:
         """Links (a, b) between classes that give all components."""
@@ -282,16 +330,10 @@ class Join:
                 again = met.groupBy("token").agg(F.min(F.struct("pos", "doc_id", *cols)).alias("hub"))
                 met = met.drop("hub").join(again, "token").filter(F.col("c") != F.col("hub.c"))
             found, lists = self._round(found, met.select("pos", *cols, *other).filter(self.reaches()))
-        hub = lists.groupBy("token").agg(F.min(F.struct("pos", "doc_id", *cols)).alias("hub"))
-        strays = lists.join(hub, "token").filter(F.col("c") != F.col("hub.c")).select(
-            "token", "pos", *cols, F.col("hub.c").alias("hub_c"))
-        members = lists.select("token", *[F.col(c).alias(c + "2") for c in ["pos", *cols]])
-        apart = (F.col("c") != F.col("c2")) & ((F.col("c2") == F.col("hub_c")) | (F.col("s") < F.col("s2")))
-        met = strays.join(members, "token").filter(apart & self.reaches())
-        return found.unionByName(self.verified(self.candidates(met)))
+        return found.unionByName(self.verified(self.candidates(self.strays(lists))))
 
     def _round(self, found: DataFrame | None, met: DataFrame) -> tuple[DataFrame, DataFrame]:
-        new = self.verified(self.candidates(met))
+        new = self.verified(self.candidates(met, HUB_SHARED))
         found = new if found is None else found.unionByName(new)
         joined = components(found)
         lists = self.lists.join(joined, self.lists["s"] == joined["node"], "left").select(
